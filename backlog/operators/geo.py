@@ -7,6 +7,7 @@ counties of two states under one state code) its name alone decides.
 from __future__ import annotations
 
 import json
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -138,6 +139,25 @@ _MAP_TYPE = "map<string,struct<lat:double,lon:double>>"
 _CENTROID_SCHEMA = "state string, county string, lat double, lon double"
 
 
+@dataclass(frozen=True)
+class Places:
+    """Known places: a short list when they are few, else the dimension to join."""
+
+    listed: list[tuple[str, str, float, float]] | None
+    dimension: DataFrame | None = None
+
+    @classmethod
+    def of(cls, dimension: DataFrame) -> Places:
+        """At most `MAX_MAP_PLACES` rows of a dimension are fetched to see whether it is short."""
+        rows = dimension.select("state", "county", "lat", "lon").limit(MAX_MAP_PLACES + 1).collect()
+        if len(rows) > MAX_MAP_PLACES:
+            return cls(None, dimension)
+        return cls(sorted((r.state.upper(), r.county.upper(), r.lat, r.lon) for r in rows))
+
+
+FIXED_PLACES = Places(COUNTY_CENTROIDS)
+
+
 def county_centroids(spark: SparkSession) -> DataFrame:
     """The fixed list as a dimension `(state, county, lat, lon)`, in list order."""
     return spark.createDataFrame(COUNTY_CENTROIDS, _CENTROID_SCHEMA)
@@ -230,23 +250,16 @@ def centroids_of_pairs(pairs: DataFrame, dimension: DataFrame, county: str, stat
     )
 
 
-def with_coordinates(
-    df: DataFrame, county: str = "county", state: str = "state", dimension: DataFrame | None = None
-) -> DataFrame:
-    """Add `latitude, longitude`; unknown places and null keys stay null.
+def with_coordinates(df: DataFrame, places: Places = FIXED_PLACES) -> DataFrame:
+    """Add `latitude, longitude` of `county, state`; unknown places and null keys stay null.
 
-    The fixed list, and any dimension of up to `MAX_MAP_PLACES` rows, becomes a constant map:
-    every row is answered where it lies, without a shuffle. A larger dimension is joined.
+    A short list of places becomes a constant map: every row is answered where it lies,
+    without a shuffle. A long one is joined.
     """
-    if dimension is None:
-        places = COUNTY_CENTROIDS
-    else:
-        rows = dimension.select("state", "county", "lat", "lon").limit(MAX_MAP_PLACES + 1).collect()
-        if len(rows) > MAX_MAP_PLACES:
-            located = centroids_of_pairs(df, dimension, county, state)
-            return df.drop("latitude", "longitude").join(located, [county, state], "left")
-        places = sorted((r.state.upper(), r.county.upper(), r.lat, r.lon) for r in rows)
-    centre = _centroid_from_map(F.col(county), F.col(state), places)
+    if places.listed is None:
+        located = centroids_of_pairs(df, places.dimension, "county", "state")
+        return df.drop("latitude", "longitude").join(located, ["county", "state"], "left")
+    centre = _centroid_from_map(F.col("county"), F.col("state"), places.listed)
     ok = _valid(F.col("_centre.lat"), F.col("_centre.lon"))
     return (
         df.withColumn("_centre", centre)

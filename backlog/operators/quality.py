@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -30,38 +28,50 @@ def _row(table: str, check: str, column: str, issues: Column, pct: Column, faile
     )
 
 
-def _fixed_row(table: str, check: str, column: str, failed: bool) -> Column:
-    return _row(table, check, column, F.lit(int(failed)), F.lit(None), F.lit(failed))
-
-
-def _checks_of(df: DataFrame, table: str) -> DataFrame:
-    """V2-V6 of one table, with both null counts out of one scan."""
-    rows = [_fixed_row(table, "missing_column", c, c not in df.columns) for c in KEY_COLUMNS]
-    rows.append(_fixed_row(table, "missing_column", "project_name", "project_name" not in df.columns))
-    present = [c for c in FILLED_COLUMNS if c in df.columns]
-    empty = [
-        F.count_if(F.col(c).isNull() | (F.col(c) == "")).alias(f"empty_{c}") for c in present
-    ]
-    total = F.col("rows")
-    rows.append(_row(table, "empty_table", "", F.lit(0), F.lit(None), F.lit(False)))
-    keep = [F.lit(True)] * (len(rows) - 1) + [total == 0]
-    for c in present:
-        n = F.col(f"empty_{c}")
-        rows.append(_row(table, "empty_value", c, n, F.try_divide(n, total) * 100, n > 0))
-        keep.append(total > 0)
-    counted = df.agg(F.count("*").alias("rows"), *empty)
-    shown = F.array_compact(F.array(*[F.when(k, r) for k, r in zip(keep, rows)]))
-    return counted.select(F.inline(shown))
+def _schema_checks(tables: ProjectTables) -> DataFrame:
+    """V1-V3 from the catalog alone."""
+    rows = []
+    for table in S.TABLE_OF_STATUS.values():
+        missing = table not in tables.names()
+        rows.append((table, "missing_table", "", int(missing), None, missing))
+        if not missing:
+            present = tables.columns(table)
+            rows += [
+                (table, "missing_column", c, int(c not in present), None, c not in present)
+                for c in (*KEY_COLUMNS, "project_name")
+            ]
+    return tables.spark.createDataFrame(rows, REPORT_SCHEMA)
+
+
+def _value_checks(tables: ProjectTables) -> DataFrame | None:
+    """V4-V6: the empty cells of all tables, counted in one pass over them."""
+    existing = {s: tables.columns(t) for s, t in S.TABLE_OF_STATUS.items() if t in tables.names()}
+    used = [c for c in FILLED_COLUMNS if any(c in columns for columns in existing.values())]
+    if not existing:
+        return None
+    aggregates, rows, shown = [], [], []
+    for status, columns in existing.items():
+        here, total = F.col("status") == status, F.col(f"{status}_rows")
+        table = S.TABLE_OF_STATUS[status]
+        aggregates.append(F.count_if(here).alias(f"{status}_rows"))
+        rows.append(_row(table, "empty_table", "", F.lit(0), F.lit(None), F.lit(False)))
+        shown.append(total == 0)
+        for c in (c for c in used if c in columns):
+            empty = F.col(c).isNull() | (F.col(c) == "")
+            aggregates.append(F.count_if(here & empty).alias(f"{status}_{c}"))
+            n = F.col(f"{status}_{c}")
+            rows.append(_row(table, "empty_value", c, n, F.try_divide(n, total) * 100, n > 0))
+            shown.append(total > 0)
+    counted = tables.all_projects(["status", *used]).agg(*aggregates)
+    kept = F.array_compact(F.array(*[F.when(when, row) for when, row in zip(shown, rows)]))
+    return counted.select(F.inline(kept))
 
 
 def data_quality(tables: ProjectTables) -> DataFrame:
     """V1-V6. A missing table is one failed check; an empty one is noted and passes."""
-    names = list(S.TABLE_OF_STATUS.values())
-    existing = set(tables.names())
-    presence = [(t, "missing_table", "", int(t not in existing), None, t not in existing) for t in names]
-    frames = [tables.spark.createDataFrame(presence, REPORT_SCHEMA)]
-    frames += [_checks_of(tables.scan(t), t) for t in names if t in existing]
-    return reduce(DataFrame.unionByName, frames)
+    values = _value_checks(tables)
+    checks = _schema_checks(tables)
+    return checks if values is None else checks.unionByName(values)
 
 
 def issue_total(report: DataFrame) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from backlog import schema as S
 from backlog.functions.numbers import number_or_null
 from backlog.functions.text import clean_text, is_filled, join_filled, whole_number_text
-from backlog.operators.geo import with_coordinates
+from backlog.operators.geo import FIXED_PLACES, Places, with_coordinates
 
 
 def name_header_levels(levels: list[list[str | None]]) -> list[tuple[str, ...]]:
@@ -79,7 +79,7 @@ def drop_blank_keys(df: DataFrame) -> DataFrame:
 
 
 def shape_snapshot(
-    df: DataFrame, snapshot_date: date | Column, dimension: DataFrame | None = None
+    df: DataFrame, snapshot_date: date | Column, places: Places = FIXED_PLACES
 ) -> DataFrame:
     """A raw snapshot sheet with flattened headers -> typed project rows, located and dated.
 
@@ -88,7 +88,7 @@ def shape_snapshot(
     """
     fuels = [c for c in columns_containing(df, "fuel") if c != "fuel_types"]
     dated = with_fuel_types(df, fuels).withColumn(S.SNAPSHOT, _day(snapshot_date))
-    return _locate(cast_known_columns(rename_columns(dated)), dimension)
+    return _locate(cast_known_columns(rename_columns(dated)), places)
 
 
 def _shape_cluster_sheet(df: DataFrame, status: str, snapshot_date: date | Column) -> DataFrame:
@@ -103,7 +103,7 @@ def _shape_cluster_sheet(df: DataFrame, status: str, snapshot_date: date | Colum
 
 
 def shape_cluster(
-    sheets: dict[str, DataFrame], snapshot_date: date | Column, dimension: DataFrame | None = None
+    sheets: dict[str, DataFrame], snapshot_date: date | Column, places: Places = FIXED_PLACES
 ) -> DataFrame:
     """The cluster sheets as typed rows tagged with process, status and date.
 
@@ -117,7 +117,7 @@ def shape_cluster(
     if not frames:
         raise ValueError("no known cluster sheet among " + ", ".join(map(repr, sheets)))
     stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
-    return _locate(stacked, dimension)
+    return _locate(stacked, places)
 
 
 def _day(snapshot_date: date | Column) -> Column:
@@ -125,8 +125,8 @@ def _day(snapshot_date: date | Column) -> Column:
     return day.cast("date")
 
 
-def _locate(df: DataFrame, dimension: DataFrame | None) -> DataFrame:
+def _locate(df: DataFrame, places: Places) -> DataFrame:
     if "county" in df.columns and "state" in df.columns:
-        return with_coordinates(df, dimension=dimension)
+        return with_coordinates(df, places)
     nowhere = F.lit(None).cast("double")
     return df.withColumns({"latitude": nowhere, "longitude": nowhere})

@@ -57,7 +57,7 @@ def all_queries() -> dict[str, Query]:
 @_register
 def snapshot_scan(t):
     sheet = t.flat_sheet(S.ACTIVE)
-    return shape.shape_snapshot(sheet, F.col(S.SNAPSHOT), t.centroids())
+    return shape.shape_snapshot(sheet, F.col(S.SNAPSHOT), t.places())
 
 
 @_register
@@ -353,7 +353,7 @@ def county_centroid(t):
 @_register
 def geo_enrich(t):
     rows = t.all_projects(["status", "queue_position", "county", "state"])
-    return geo.with_coordinates(rows, dimension=t.centroids())
+    return geo.with_coordinates(rows, t.places())
 
 
 @_register

@@ -13,6 +13,7 @@ TABLE_OF_STATUS = {
     COMPLETED: "completed_projects",
     WITHDRAWN: "withdrawn_projects",
 }
+STATUS_OF_TABLE = {table: status for status, table in TABLE_OF_STATUS.items()}
 CLUSTER_TABLE = "cluster_15_requests"
 CLUSTER_PROCESS = "C15"
 

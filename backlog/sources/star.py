@@ -10,18 +10,63 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from backlog import schema as S
-from backlog.functions.text import join_filled
-from backlog.operators.geo import with_coordinates
+from backlog.operators.geo import Places, with_coordinates
 from backlog.operators.shape import flatten_columns, shape_cluster
 from backlog.sources.tables import ProjectTables
 
-_STATUS_CODES = {S.ACTIVE: "O", S.COMPLETED: "F"}
-_FROM_CUSTOMER = {"project_name", "county", "state", "utility", "pto_study_region", "latitude", "longitude"}
-_COORDINATES = {"latitude", "longitude"}
+# Order status of a table; whatever else there is counts as withdrawn.
+_TABLE_ROWS = {
+    S.ACTIVE: "o_orderstatus = 'O'",
+    S.COMPLETED: "o_orderstatus = 'F'",
+    S.WITHDRAWN: "o_orderstatus IS NULL OR o_orderstatus NOT IN ('O', 'F')",
+}
+
+_HOURS_BY_KEY = "INTERVAL '1' HOUR * (7 + o_orderkey % 2)"
+_HOURS_BY_CUSTOMER = "INTERVAL '1' HOUR * (7 + o_custkey % 2)"
+
+# Project columns by where their values come from.
+_FROM_ORDER = {
+    "status": """CASE o_orderstatus WHEN 'O' THEN 'Active' WHEN 'F' THEN 'Completed'
+        ELSE 'Withdrawn' END""",
+    "queue_position": """CASE WHEN o_orderkey % 101 = 0 THEN '  ' WHEN o_orderkey % 103 = 0 THEN NULL
+        ELSE CAST(o_custkey AS STRING) END""",
+    "request_receive_date": f"o_orderdate + {_HOURS_BY_CUSTOMER}",
+    "queue_date": f"o_orderdate + INTERVAL '1' DAY * (o_orderkey % 40) + {_HOURS_BY_KEY}",
+    "study_process": """CASE WHEN o_orderkey % 13 = 0 THEN NULL WHEN o_orderpriority = '1-URGENT' THEN 'C01'
+        WHEN o_orderpriority = '2-HIGH' THEN 'C14' WHEN o_orderpriority = '3-MEDIUM' THEN 'TC'
+        WHEN o_orderpriority = '4-NOT SPECIFIED' THEN 'Serial LGIP' ELSE 'ISP' END""",
+    "ingestion_date": "trunc(CAST(o_orderdate AS DATE), 'YEAR')",
+}
+_FROM_CAPACITY = {
+    "mw_1": "mw_1",
+    "mw_2": "mw_2",
+    "mw_3": "mw_3",
+    "net_mw": "net_mw",
+    "proposed_online_date": f"ship_1 + {_HOURS_BY_KEY}",
+    "current_online_date": f"ship_2 + {_HOURS_BY_CUSTOMER}",
+}
+_FROM_FUELS = {
+    "fuel_type_1": "fuel_type_1",
+    "fuel_type_2": "fuel_type_2",
+    "fuel_type_3": "fuel_type_3",
+    "fuel_types": "concat_ws('/', fuel_type_1, fuel_type_2, fuel_type_3)",
+}
+_FROM_CUSTOMER = {
+    "project_name": "c_name",
+    "county": """CASE o_orderkey % 7 WHEN 0 THEN concat(n_name, '/NATION_0')
+        WHEN 1 THEN concat(' ', lower(n_name), ' County ') WHEN 2 THEN 'NOWHERE' WHEN 3 THEN NULL
+        ELSE n_name END""",
+    "state": "r_name",
+    "utility": "c_mktsegment",
+    "pto_study_region": "n_name",
+}
+_COORDINATES = ("latitude", "longitude")
+_EXPRESSIONS = {**_FROM_ORDER, **_FROM_CAPACITY, **_FROM_FUELS, **_FROM_CUSTOMER}
 
 COLUMNS = (
     "project_name", "queue_position", "request_receive_date", "queue_date", "study_process",
@@ -74,32 +119,44 @@ CLUSTER_LAYOUT = (
 )
 
 
-def _line(number: int, value: str) -> Column:
-    return F.when(F.col("l_linenumber") == number, F.col(value))
-
+# What a cluster column is made of, where that is not a column of the same name.
+_CLUSTER_INPUTS = {
+    "fuel_types": {"fuel_type_1", "fuel_type_2", "fuel_type_3"},
+    "latitude": {"county", "state"},
+    "longitude": {"county", "state"},
+}
 
-def _hours(n: Column) -> Column:
-    return F.make_dt_interval(hours=n.cast("int"))
+_schemas: dict[tuple[str, str], T.StructType] = {}
 
 
 class StarTables(ProjectTables):
-    """Project tables computed from the star schema in `path`, only the joins a question needs."""
+    """Project tables computed from the star schema in `path`, with only the joins a question needs."""
 
     def __init__(self, spark: SparkSession, path: str):
         super().__init__(spark)
         self._path = path
+        self._sources: dict[str, DataFrame] = {}
+        self._places: Places | None = None
 
     def source(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self._path}/{name}.parquet")
+        """A star table. Its schema is read from a file footer once per process, not per query."""
+        if name not in self._sources:
+            file, known = f"{self._path}/{name}.parquet", (self._path, name)
+            if known not in _schemas:
+                _schemas[known] = self.spark.read.parquet(file).schema
+            self._sources[name] = self.spark.read.schema(_schemas[known]).parquet(file)
+        return self._sources[name]
 
     def names(self) -> list[str]:
         return [*S.TABLE_OF_STATUS.values(), S.CLUSTER_TABLE]
 
+    def columns(self, name: str) -> list[str]:
+        return self.cluster().columns if name == S.CLUSTER_TABLE else list(COLUMNS)
+
     def scan(self, name: str) -> DataFrame:
         if name == S.CLUSTER_TABLE:
             return self.cluster()
-        status = next(s for s, table in S.TABLE_OF_STATUS.items() if table == name)
-        return self._projects(COLUMNS, status)
+        return self._projects(COLUMNS, S.STATUS_OF_TABLE[name])
 
     def table(self, status: str, columns: Sequence[str] | None = None) -> DataFrame:
         return self._projects(columns or (*COLUMNS, "status"), status)
@@ -108,128 +165,118 @@ class StarTables(ProjectTables):
         return self._projects(columns or (*COLUMNS, "status"))
 
     def cluster(self, columns: Sequence[str] | None = None) -> DataFrame:
-        day = F.to_date("Application Date")
-        sheets = self.cluster_sheets(None if columns is None else {*columns, S.KEY})
-        df = shape_cluster(sheets, F.trunc(day, "year"), self.centroids())
+        sheets = self.cluster_sheets(columns)
+        dated = F.trunc(F.to_date("Application Date"), "year")
+        df = shape_cluster(sheets, dated, self.places())
         return df if columns is None else df.select(*columns)
 
     def centroids(self) -> DataFrame:
         """County dimension `(state, county, lat, lon)`: the nations and their regions."""
         nation, region = self.source("nation"), self.source("region")
-        return nation.join(region, nation.n_regionkey == region.r_regionkey).select(
-            F.col("r_name").alias("state"),
-            F.col("n_name").alias("county"),
-            (30 + F.col("n_nationkey") * 0.5).alias("lat"),
-            (-120 + F.col("n_nationkey") * 0.5).alias("lon"),
+        return nation.join(region, nation.n_regionkey == region.r_regionkey).selectExpr(
+            "r_name AS state",
+            "n_name AS county",
+            "30 + n_nationkey * 0.5D AS lat",
+            "-120 + n_nationkey * 0.5D AS lon",
         )
 
+    def places(self) -> Places:
+        if self._places is None:
+            self._places = Places.of(self.centroids())
+        return self._places
+
     def raw_sheet(self, status: str) -> tuple[list[tuple[str, str]], DataFrame]:
         """A table as its raw sheet: the header levels, and text cells in columns by position."""
         changed = WITHDRAWN_LAYOUT if status == S.WITHDRAWN else {}
         levels = [changed.get(column, level) for level, column in SHEET_LAYOUT]
         df = self._projects([*(column for _, column in SHEET_LAYOUT), S.SNAPSHOT], status)
-        cells = [F.col(column).cast("string").alias(f"_c{i}") for i, (_, column) in enumerate(SHEET_LAYOUT)]
-        return levels, df.select(*cells, S.SNAPSHOT)
+        cells = [f"CAST({column} AS STRING) AS _c{i}" for i, (_, column) in enumerate(SHEET_LAYOUT)]
+        return levels, df.selectExpr(*cells, S.SNAPSHOT)
 
     def flat_sheet(self, status: str) -> DataFrame:
         """The raw sheet under flattened headers, with the date of its snapshot."""
         levels, df = self.raw_sheet(status)
         return df.toDF(*flatten_columns(levels), S.SNAPSHOT)
 
-    def cluster_sheets(self, columns: set[str] | None = None) -> dict[str, DataFrame]:
-        """The cluster workbook's sheets; only the withdrawn one has a withdrawal date."""
+    def cluster_sheets(self, columns: Sequence[str] | None = None) -> dict[str, DataFrame]:
+        """The cluster workbook's sheets as text; only the withdrawn one has a withdrawal date.
+
+        Given the columns in demand, the sheets have no more than those are made of.
+        """
+        layout = list(CLUSTER_LAYOUT)
+        if columns is not None:
+            wanted = {S.KEY, "request_receive_date"}.union(
+                *(_CLUSTER_INPUTS.get(column, {column}) for column in columns)
+            )
+            layout = [(header, column) for header, column in layout if column in wanted]
         sheets = {}
         for sheet, status in (("Cluster 15 ", S.ACTIVE), ("Withdrawn", S.WITHDRAWN)):
-            df = self._projects(COLUMNS, status)
-            cells = [F.col(column).cast("string").alias(header) for header, column in CLUSTER_LAYOUT]
-            if status == S.WITHDRAWN:
-                cells.append(F.col("current_online_date").cast("string").alias("Withdrawal Date"))
-            sheets[sheet] = df.select(*cells)
+            cells = [(header, column) for header, column in layout]
+            if status == S.WITHDRAWN and (columns is None or "withdrawal_date" in columns):
+                cells.append(("Withdrawal Date", "current_online_date"))
+            df = self._projects([column for _, column in cells], status)
+            sheets[sheet] = df.selectExpr(
+                *[f"CAST({column} AS STRING) AS `{header}`" for header, column in cells]
+            )
         return sheets
 
     def _capacity(self) -> DataFrame:
         """Per order: MW of its lines and the first ship dates of lines 1 and 2."""
         return self.source("lineitem").groupBy(F.col("l_orderkey").alias("capacity_key")).agg(
-            F.sum(_line(1, "l_quantity")).alias("mw_1"),
-            F.sum(_line(2, "l_quantity")).alias("mw_2"),
-            F.sum(_line(3, "l_quantity")).alias("mw_3"),
-            F.sum("l_quantity").alias("net_mw"),
-            F.min(_line(1, "l_shipdate")).alias("ship_1"),
-            F.min(_line(2, "l_shipdate")).alias("ship_2"),
+            F.expr("sum(CASE WHEN l_linenumber = 1 THEN l_quantity END) AS mw_1"),
+            F.expr("sum(CASE WHEN l_linenumber = 2 THEN l_quantity END) AS mw_2"),
+            F.expr("sum(CASE WHEN l_linenumber = 3 THEN l_quantity END) AS mw_3"),
+            F.expr("sum(l_quantity) AS net_mw"),
+            F.expr("min(CASE WHEN l_linenumber = 1 THEN l_shipdate END) AS ship_1"),
+            F.expr("min(CASE WHEN l_linenumber = 2 THEN l_shipdate END) AS ship_2"),
         )
 
     def _fuels(self) -> DataFrame:
         """Per order: the part types of lines 1 to 3. Only those lines meet the parts."""
-        line, part = self.source("lineitem"), self.source("part")
-        typed = line.where(F.col("l_linenumber").between(1, 3)).join(
-            part, line.l_partkey == part.p_partkey, "left"
+        typed = (
+            self.source("lineitem")
+            .where("l_linenumber BETWEEN 1 AND 3")
+            .join(self.source("part"), F.col("l_partkey") == F.col("p_partkey"), "left")
         )
         return typed.groupBy(F.col("l_orderkey").alias("fuel_key")).agg(
-            *[F.min(_line(i, "p_type")).alias(f"fuel_type_{i}") for i in (1, 2, 3)]
+            F.expr("min(CASE WHEN l_linenumber = 1 THEN p_type END) AS fuel_type_1"),
+            F.expr("min(CASE WHEN l_linenumber = 2 THEN p_type END) AS fuel_type_2"),
+            F.expr("min(CASE WHEN l_linenumber = 3 THEN p_type END) AS fuel_type_3"),
         )
 
     def _developers(self) -> DataFrame:
-        customer, nation, region = (self.source(t) for t in ("customer", "nation", "region"))
-        return customer.join(nation, customer.c_nationkey == nation.n_nationkey, "left").join(
-            region, nation.n_regionkey == region.r_regionkey, "left"
+        return (
+            self.source("customer")
+            .join(self.source("nation"), F.col("c_nationkey") == F.col("n_nationkey"), "left")
+            .join(self.source("region"), F.col("n_regionkey") == F.col("r_regionkey"), "left")
         )
 
     def _projects(self, columns: Sequence[str], status: str | None = None) -> DataFrame:
         """The projects, one per order.
 
-        Every join is a left join to one row per key, so it can go when nothing of it is read:
-        Catalyst drops the two per-order aggregates by itself, the customer join (whose key it
-        cannot know to be unique) is left out here.
+        Every join is a left join to one row per key, so leaving it out when nothing of it is
+        read changes no row. The two per-order aggregates share the partitioning of the orders.
         """
-        code, key, customer = F.col("o_orderstatus"), F.col("o_orderkey"), F.col("o_custkey")
-        df = self.source("orders")
-        if status is None:
-            state = F.lit(S.WITHDRAWN)
-            state = F.when(code == "O", S.ACTIVE).when(code == "F", S.COMPLETED).otherwise(state)
-        elif status in _STATUS_CODES:
-            state, df = F.lit(status), df.where(code == _STATUS_CODES[status])
-        else:
-            state = F.lit(status)
-            df = df.where(code.isNull() | ~code.isin(*_STATUS_CODES.values()))
-        df = df.join(self._capacity(), key == F.col("capacity_key"), "left")
-        df = df.join(self._fuels(), key == F.col("fuel_key"), "left")
-        if _FROM_CUSTOMER & set(columns):
-            df = df.join(self._developers(), customer == F.col("c_custkey"), "left")
-
-        priority, nation = F.col("o_orderpriority"), F.col("n_name")
-        by_key = _hours(7 + key % 2)
-        by_customer = _hours(7 + customer % 2)
-        wait = F.make_dt_interval(days=(key % 40).cast("int"))
-        computed = {
-            "status": state,
-            "project_name": F.col("c_name"),
-            "queue_position": F.when(key % 101 == 0, "  ")
-            .when(key % 103 == 0, None)
-            .otherwise(customer.cast("string")),
-            "request_receive_date": F.col("o_orderdate") + by_customer,
-            "queue_date": F.col("o_orderdate") + wait + by_key,
-            "study_process": F.when(key % 13 == 0, None)
-            .when(priority == "1-URGENT", "C01")
-            .when(priority == "2-HIGH", "C14")
-            .when(priority == "3-MEDIUM", "TC")
-            .when(priority == "4-NOT SPECIFIED", "Serial LGIP")
-            .otherwise("ISP"),
-            "county": F.when(key % 7 == 0, F.concat(nation, F.lit("/NATION_0")))
-            .when(key % 7 == 1, F.concat(F.lit(" "), F.lower(nation), F.lit(" County ")))
-            .when(key % 7 == 2, "NOWHERE")
-            .when(key % 7 == 3, None)
-            .otherwise(nation),
-            "state": F.col("r_name"),
-            "utility": F.col("c_mktsegment"),
-            "pto_study_region": nation,
-            "proposed_online_date": F.col("ship_1") + by_key,
-            "current_online_date": F.col("ship_2") + by_customer,
-            "ingestion_date": F.trunc(F.to_date("o_orderdate"), "year"),
-            "fuel_types": join_filled(F.col(f"fuel_type_{i}") for i in (1, 2, 3)),
-        }
+        located = [c for c in columns if c in _COORDINATES]
         plain = [c for c in columns if c not in _COORDINATES]
-        places = [c for c in ("county", "state") if _COORDINATES & set(columns) and c not in plain]
-        df = df.select(*[computed[c].alias(c) if c in computed else F.col(c) for c in [*plain, *places]])
-        if _COORDINATES & set(columns):
-            df = with_coordinates(df, dimension=self.centroids())
+        if located:
+            plain += [c for c in ("county", "state") if c not in plain]
+        needed = set(plain)
+
+        df = self.source("orders")
+        if status is not None:
+            df = df.where(_TABLE_ROWS[status])
+        if needed & set(_FROM_CAPACITY):
+            df = df.join(self._capacity(), F.col("o_orderkey") == F.col("capacity_key"), "left")
+        if needed & set(_FROM_FUELS):
+            df = df.join(self._fuels(), F.col("o_orderkey") == F.col("fuel_key"), "left")
+        if needed & set(_FROM_CUSTOMER):
+            df = df.join(self._developers(), F.col("o_custkey") == F.col("c_custkey"), "left")
+
+        expressions = dict(_EXPRESSIONS)
+        if status is not None:
+            expressions["status"] = f"'{status}'"
+        df = df.selectExpr(*[f"{expressions[c]} AS {c}" for c in plain])
+        if located:
+            df = with_coordinates(df, self.places())
         return df.select(*columns)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from backlog import schema as S
@@ -29,6 +29,10 @@ class ProjectTables:
         schema = S.CLUSTER_SCHEMA if name == S.CLUSTER_TABLE else S.PROJECT_SCHEMA
         return self.spark.createDataFrame([], schema)
 
+    def columns(self, name: str) -> list[str]:
+        """Column names of a table; no columns when it is not there."""
+        return self._frames[name].columns if name in self._frames else []
+
     def table(self, status: str, columns: Sequence[str] | None = None) -> DataFrame:
         """One status table with its `status` column."""
         df = self.scan(S.TABLE_OF_STATUS[status]).withColumn("status", F.lit(status))
@@ -66,23 +70,41 @@ def list_tables(spark: SparkSession, database: str | None = None) -> DataFrame:
 
 
 def table_inventory(tables: ProjectTables) -> DataFrame:
-    """One row per existing table with its rows, columns and newest snapshot."""
-    frames = []
-    for name in tables.names():
-        df = tables.scan(name)
-        frames.append(
-            df.agg(F.count("*").alias("row_count"), F.max(S.SNAPSHOT).alias("latest_snapshot"))
-            .select(
-                F.lit(name).alias("table_name"),
-                "row_count",
-                F.lit(len(df.columns)).alias("column_count"),
-                "latest_snapshot",
-            )
-        )
-    if not frames:
+    """One row per existing table with its rows, columns and newest snapshot.
+
+    The status tables are counted in one pass.
+    """
+    existing = tables.names()
+    aggregates, rows = [], []
+    for status, name in S.TABLE_OF_STATUS.items():
+        here = F.col("status") == status
+        aggregates += [
+            F.count_if(here).alias(f"{status}_rows"),
+            F.max(F.when(here, F.col(S.SNAPSHOT))).alias(f"{status}_newest"),
+        ]
+        if name in existing:
+            rows.append(_inventory_row(tables, name, f"{status}_rows", f"{status}_newest"))
+    counted = tables.all_projects(["status", S.SNAPSHOT]).agg(*aggregates)
+    inventory = counted.select(F.inline(F.array(*rows))) if rows else None
+    if S.CLUSTER_TABLE in existing:
+        newest = F.max(S.SNAPSHOT).alias("newest")
+        cluster = tables.cluster([S.SNAPSHOT]).agg(F.count("*").alias("rows"), newest)
+        row = F.array(_inventory_row(tables, S.CLUSTER_TABLE, "rows", "newest"))
+        cluster = cluster.select(F.inline(row))
+        inventory = cluster if inventory is None else inventory.unionByName(cluster)
+    if inventory is None:
         empty = "table_name string, row_count bigint, column_count int, latest_snapshot date"
         return tables.spark.createDataFrame([], empty)
-    return reduce(DataFrame.unionByName, frames)
+    return inventory
+
+
+def _inventory_row(tables: ProjectTables, name: str, rows: str, newest: str) -> Column:
+    return F.struct(
+        F.lit(name).alias("table_name"),
+        F.col(rows).alias("row_count"),
+        F.lit(len(tables.columns(name))).alias("column_count"),
+        F.col(newest).alias("latest_snapshot"),
+    )
 
 
 def table_columns(df: DataFrame, name: str) -> DataFrame:
