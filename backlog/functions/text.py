@@ -5,16 +5,16 @@ from __future__ import annotations
 from collections.abc import Iterable
 from functools import reduce
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # `trim` only removes spaces; sheet cells also carry tabs, newlines and no-break spaces.
-_EDGE_SPACE = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$"
+_WHITE_SPACE = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
 
 
 def clean_text(c: Column) -> Column:
     """Text without white space at either end."""
-    return F.regexp_replace(c, _EDGE_SPACE, "")
+    return F.btrim(c, F.lit(_WHITE_SPACE))
 
 
 def is_filled(c: Column) -> Column:
@@ -46,3 +46,8 @@ def without_county_suffix(c: Column) -> Column:
 def whole_number_text(c: Column) -> Column:
     """A key that a spreadsheet turned into `1402.0` reads `1402` again."""
     return F.regexp_replace(c.cast("string"), r"^([0-9]+)\.0$", "$1")
+
+
+def with_values(df: DataFrame, *columns: str) -> DataFrame:
+    """rows with a value in every given column, as filters a scan can take over."""
+    return df.where(reduce(Column.__and__, [F.col(c).isNotNull() for c in columns]))

@@ -9,8 +9,13 @@ from pyspark.sql import functions as F
 
 from backlog import schema as S
 from backlog.functions.labels import place_label
-from backlog.functions.numbers import number_or_null
-from backlog.functions.text import clean_text, contains_any, matches_search, without_county_suffix
+from backlog.functions.text import (
+    clean_text,
+    contains_any,
+    matches_search,
+    with_values,
+    without_county_suffix,
+)
 from backlog.operators.scope import in_study_processes
 from backlog.sources.tables import ProjectTables
 
@@ -119,18 +124,19 @@ def project_locations(tables: ProjectTables, which: str = "all") -> DataFrame:
     columns = ["project_name", "county", "state", "net_mw", "latitude", "longitude", "status"]
     known = which in {s.lower() for s in S.STATUSES}
     df = _tables_named(tables, which if known else "all", columns)
-    return (
-        df.dropna(subset=["county", "state"])
-        .select(
+    placed = with_values(df, "county", "state", "latitude", "longitude")
+    return with_values(
+        placed.select(
             "project_name",
             without_county_suffix(F.col("county")).alias("county"),
             "state",
             F.col("net_mw").alias("capacity"),
-            number_or_null(F.col("latitude")).alias("latitude"),
-            number_or_null(F.col("longitude")).alias("longitude"),
+            F.col("latitude").try_cast("double").alias("latitude"),
+            F.col("longitude").try_cast("double").alias("longitude"),
             "status",
-        )
-        .dropna(subset=["latitude", "longitude"])
+        ),
+        "latitude",
+        "longitude",
     )
 
 
@@ -138,7 +144,7 @@ def location_rollup(locations: DataFrame) -> DataFrame:
     """One row per place with its map label, most projects first."""
     places = ["county", "state", "latitude", "longitude"]
     return (
-        locations.dropna(subset=places)
+        with_values(locations, *places)
         .groupBy(*places)
         .agg(
             F.count("project_name").alias("project_count"),

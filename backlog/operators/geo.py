@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from backlog.functions.text import clean_text
+from backlog.functions.text import clean_text, with_values
 
 # State, county, latitude, longitude.
 COUNTY_CENTROIDS = [
@@ -172,12 +172,11 @@ def _literal_map(entries: dict) -> Column:
 def county_parts(county: Column) -> Column:
     """`' kern county/Mojave'` -> `['KERN', 'MOHAVE']`."""
     fixes = F.create_map(*[F.lit(x) for pair in COUNTY_FIXES.items() for x in pair])
-
-    def one(part: Column) -> Column:
-        name = clean_text(F.replace(clean_text(part), F.lit(" COUNTY"), F.lit("")))
-        return F.coalesce(F.try_element_at(fixes, name), name)
-
-    return F.transform(F.split(F.upper(clean_text(county)), "/"), one)
+    names = F.transform(
+        F.split(F.upper(clean_text(county)), "/"),
+        lambda part: clean_text(F.replace(clean_text(part), F.lit(" COUNTY"), F.lit(""))),
+    )
+    return F.transform(names, lambda name: F.coalesce(F.try_element_at(fixes, name), name))
 
 
 def _state_key(state: Column) -> Column:
@@ -216,7 +215,11 @@ def _centroid_from_map(county: Column, state: Column, places: list) -> Column:
             F.try_divide(total["lon"], total["n"]).alias("lon"),
         )
 
-    return F.when(county.isNotNull() & state.isNotNull(), F.aggregate(found, start, add, mean))
+    nowhere = F.struct(
+        F.lit(None).cast("double").alias("lat"), F.lit(None).cast("double").alias("lon")
+    )
+    known = county.isNotNull() & state.isNotNull()
+    return F.when(known, F.aggregate(found, start, add, mean)).otherwise(nowhere)
 
 
 def centroids_of_pairs(pairs: DataFrame, dimension: DataFrame, county: str, state: str) -> DataFrame:
@@ -230,7 +233,7 @@ def centroids_of_pairs(pairs: DataFrame, dimension: DataFrame, county: str, stat
     )
     last = F.max_by(F.struct("lat", "lon"), F.col("d_state"))
     by_name = dim.groupBy(F.col("d_county").alias("n_county")).agg(last.alias("n"))
-    distinct = pairs.select(county, state).dropna().distinct()
+    distinct = with_values(pairs.select(county, state), county, state).distinct()
     parts = distinct.select(county, state, F.explode(county_parts(F.col(county))).alias("part"))
     exact = (F.col("part") == F.col("d_county")) & (_state_key(F.col(state)) == F.col("d_state"))
     located = (
@@ -260,15 +263,14 @@ def with_coordinates(df: DataFrame, places: Places = FIXED_PLACES) -> DataFrame:
         located = centroids_of_pairs(df, places.dimension, "county", "state")
         return df.drop("latitude", "longitude").join(located, ["county", "state"], "left")
     centre = _centroid_from_map(F.col("county"), F.col("state"), places.listed)
-    ok = _valid(F.col("_centre.lat"), F.col("_centre.lon"))
-    return (
-        df.withColumn("_centre", centre)
-        .withColumns({
-            "latitude": F.when(ok, F.col("_centre.lat")),
-            "longitude": F.when(ok, F.col("_centre.lon")),
-        })
-        .drop("_centre")
-    )
+    # A generator, not a projection: a filter on the coordinates then stays above it, where a
+    # projected expression would be copied into the filter and worked out once per mention.
+    located = df.drop("latitude", "longitude").select("*", F.inline(F.array(centre)))
+    ok = _valid(F.col("lat"), F.col("lon"))
+    return located.withColumns({
+        "latitude": F.when(ok, F.col("lat")),
+        "longitude": F.when(ok, F.col("lon")),
+    }).drop("lat", "lon")
 
 
 def coordinate_coverage(df: DataFrame) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from backlog import schema as S
-from backlog.functions.text import is_filled
+from backlog.functions.text import is_filled, with_values
 from backlog.operators.shape import drop_blank_keys
 
 KEYS = (S.KEY,)
@@ -73,7 +73,7 @@ def retain(df: DataFrame, as_of: date, weeks: int = 52) -> DataFrame:
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str] = KEYS, n: int = 10) -> DataFrame:
     """The n keys stored most often, of those stored more than once."""
-    counts = df.dropna(subset=list(keys)).groupBy(*keys).agg(F.count("*").alias("count"))
+    counts = with_values(df, *keys).groupBy(*keys).agg(F.count("*").alias("count"))
     return counts.where("count > 1").orderBy(F.desc("count"), *keys).limit(n)
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from backlog import schema as S
 from backlog.functions.dates import days_between_floor, seconds_between
+from backlog.functions.text import with_values
 from backlog.operators.scope import Family, in_study_processes, projects_of
 from backlog.sources.tables import ProjectTables
 
@@ -19,8 +20,8 @@ _ONLINE = ["proposed_online_date", "current_online_date"]
 
 
 def _lead_days(tables: ProjectTables, family: Family, study_processes: Filter) -> DataFrame:
-    df = projects_of(tables, S.ACTIVE, _REQUEST, family, study_processes).dropna(subset=_REQUEST)
-    return df.select(
+    df = projects_of(tables, S.ACTIVE, _REQUEST, family, study_processes)
+    return with_values(df, *_REQUEST).select(
         days_between_floor(F.col("request_receive_date"), F.col("queue_date")).alias("lead_days")
     )
 
@@ -50,7 +51,7 @@ def lead_time_bands(
 
 def _with_delay(df: DataFrame) -> DataFrame:
     delay = days_between_floor(F.col("proposed_online_date"), F.col("current_online_date"))
-    return df.dropna(subset=_ONLINE).withColumn("delay_days", delay)
+    return with_values(df, *_ONLINE).withColumn("delay_days", delay)
 
 
 def delay_detail(tables: ProjectTables, family: Family) -> DataFrame:
