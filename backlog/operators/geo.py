@@ -169,14 +169,28 @@ def _literal_map(entries: dict) -> Column:
     return F.from_json(F.lit(text), _MAP_TYPE)
 
 
-def county_parts(county: Column) -> Column:
-    """`' kern county/Mojave'` -> `['KERN', 'MOHAVE']`."""
-    fixes = F.create_map(*[F.lit(x) for pair in COUNTY_FIXES.items() for x in pair])
-    names = F.transform(
+def county_names(county: Column) -> Column:
+    """`' kern county/Mojave'` -> `['KERN', 'MOJAVE']`."""
+    return F.transform(
         F.split(F.upper(clean_text(county)), "/"),
         lambda part: clean_text(F.replace(clean_text(part), F.lit(" COUNTY"), F.lit(""))),
     )
-    return F.transform(names, lambda name: F.coalesce(F.try_element_at(fixes, name), name))
+
+
+def _meant(name: Column) -> Column:
+    """The county a written name means."""
+    fixes = F.create_map(*[F.lit(x) for pair in COUNTY_FIXES.items() for x in pair])
+    return F.coalesce(F.try_element_at(fixes, name), name)
+
+
+def _with_written_names(places: dict, prefix: str = "") -> dict:
+    """A lookup by meant name, made one by written name, so rows need no step between."""
+    written = dict(places)
+    for name, meant in COUNTY_FIXES.items():
+        written.pop(prefix + name, None)
+        if prefix + meant in places:
+            written[prefix + name] = places[prefix + meant]
+    return written
 
 
 def _state_key(state: Column) -> Column:
@@ -189,8 +203,11 @@ def _valid(lat: Column, lon: Column) -> Column:
 
 def _centroid_from_map(county: Column, state: Column, places: list) -> Column:
     """Mean of the known parts as `lat, lon`; both null when no part is known."""
-    exact = _literal_map({f"{s}|{c}": (lat, lon) for s, c, lat, lon in places})
-    by_name = _literal_map({c: (lat, lon) for _, c, lat, lon in places})
+    in_state = {f"{s}|{c}": (lat, lon) for s, c, lat, lon in places}
+    for prefix in {f"{s}|" for s, *_ in places}:
+        in_state = _with_written_names(in_state, prefix)
+    exact = _literal_map(in_state)
+    by_name = _literal_map(_with_written_names({c: (lat, lon) for _, c, lat, lon in places}))
     state_name = _state_key(state)
 
     def find(part: Column) -> Column:
@@ -199,7 +216,7 @@ def _centroid_from_map(county: Column, state: Column, places: list) -> Column:
             F.try_element_at(by_name, part),
         )
 
-    found = F.filter(F.transform(county_parts(county), find), lambda place: place.isNotNull())
+    found = F.filter(F.transform(county_names(county), find), lambda place: place.isNotNull())
     start = F.struct(F.lit(0.0).alias("lat"), F.lit(0.0).alias("lon"), F.lit(0.0).alias("n"))
 
     def add(total: Column, place: Column) -> Column:
@@ -234,7 +251,8 @@ def centroids_of_pairs(pairs: DataFrame, dimension: DataFrame, county: str, stat
     last = F.max_by(F.struct("lat", "lon"), F.col("d_state"))
     by_name = dim.groupBy(F.col("d_county").alias("n_county")).agg(last.alias("n"))
     distinct = with_values(pairs.select(county, state), county, state).distinct()
-    parts = distinct.select(county, state, F.explode(county_parts(F.col(county))).alias("part"))
+    written = distinct.select(county, state, F.explode(county_names(F.col(county))).alias("part"))
+    parts = written.withColumn("part", _meant(F.col("part")))
     exact = (F.col("part") == F.col("d_county")) & (_state_key(F.col(state)) == F.col("d_state"))
     located = (
         parts.join(dim, exact, "left")

@@ -149,17 +149,16 @@ def study_summary(tables: ProjectTables, study_processes: Filter = None) -> Data
 
 def study_processes(tables: ProjectTables) -> DataFrame:
     """The processes in use, and the next cluster once the data reaches its predecessor."""
-    process = clean_text(F.col("study_process")).alias("study_process")
     used = (
         tables.all_projects(["study_process"])
         .where(is_filled(F.col("study_process")))
-        .select(process)
+        .select(clean_text(F.col("study_process")).alias("process"))
         .distinct()
     )
-    newest = F.max(cluster_number(F.col("study_process")))
-    following = used.agg(newest.alias("newest")).where("newest >= 14")
-    offered = used.unionByName(following.select(F.lit(S.CLUSTER_PROCESS).alias("study_process")))
-    return offered.distinct().orderBy(*study_order(F.col("study_process")))
+    following = F.when(cluster_number(F.col("process")) >= 14, S.CLUSTER_PROCESS)
+    offered = F.array_compact(F.array("process", following))
+    each = used.select(F.explode(offered).alias("study_process"))
+    return each.distinct().orderBy(*study_order(F.col("study_process")))
 
 
 def cluster_summary(tables: ProjectTables) -> DataFrame:

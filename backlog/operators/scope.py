@@ -34,12 +34,14 @@ def latest_snapshot(df: DataFrame) -> DataFrame:
 def latest_snapshot_per_status(df: DataFrame) -> DataFrame:
     """F1 over the stacked tables: every table has its own newest date.
 
-    The broadcast side has one row per status, three at most.
+    The dates come as one small map (three statuses), so this is a plain filter that sinks
+    below the joins and prunes partitions, where a join would have to be carried out on top.
     """
     newest = (
-        df.where(F.col("status").isin(*S.STATUSES)).groupBy("status").agg(F.max(S.SNAPSHOT).alias(S.SNAPSHOT))
+        df.where(F.col("status").isin(*S.STATUSES)).groupBy("status").agg(F.max(S.SNAPSHOT).alias("day"))
     )
-    return df.join(F.broadcast(newest), ["status", S.SNAPSHOT], "left_semi")
+    days = F.map_from_entries(F.collect_list(F.struct("status", "day")))
+    return df.where(F.col(S.SNAPSHOT) == F.try_element_at(newest.select(days).scalar(), F.col("status")))
 
 
 def in_study_processes(df: DataFrame, study_processes: Sequence[str] | None) -> DataFrame:

@@ -65,6 +65,7 @@ _FROM_CUSTOMER = {
     "utility": "c_mktsegment",
     "pto_study_region": "n_name",
 }
+_FROM_NATION = {"county", "state", "pto_study_region"}
 _COORDINATES = ("latitude", "longitude")
 _EXPRESSIONS = {**_FROM_ORDER, **_FROM_CAPACITY, **_FROM_FUELS, **_FROM_CUSTOMER}
 
@@ -244,7 +245,9 @@ class StarTables(ProjectTables):
             F.expr("min(CASE WHEN l_linenumber = 3 THEN p_type END) AS fuel_type_3"),
         )
 
-    def _developers(self) -> DataFrame:
+    def _developers(self, located: bool) -> DataFrame:
+        if not located:
+            return self.source("customer")
         return (
             self.source("customer")
             .join(self.source("nation"), F.col("c_nationkey") == F.col("n_nationkey"), "left")
@@ -271,7 +274,8 @@ class StarTables(ProjectTables):
         if needed & set(_FROM_FUELS):
             df = df.join(self._fuels(), F.col("o_orderkey") == F.col("fuel_key"), "left")
         if needed & set(_FROM_CUSTOMER):
-            df = df.join(self._developers(), F.col("o_custkey") == F.col("c_custkey"), "left")
+            developers = self._developers(bool(needed & _FROM_NATION))
+            df = df.join(developers, F.col("o_custkey") == F.col("c_custkey"), "left")
 
         expressions = dict(_EXPRESSIONS)
         if status is not None:

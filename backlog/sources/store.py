@@ -56,9 +56,12 @@ class StoredTable:
         return stored.withColumn(S.SNAPSHOT, F.col(S.SNAPSHOT).cast("date"))
 
     def replace(self, df: DataFrame) -> int:
-        """Write and commit the next version."""
+        """Write and commit the next version.
+
+        Rebalanced by date: few files per small snapshot, many tasks for a large one.
+        """
         version = (self.version() or 0) + 1
-        df.write.mode("overwrite").partitionBy(S.SNAPSHOT).parquet(self._data(version))
+        df.hint("rebalance", S.SNAPSHOT).write.mode("overwrite").partitionBy(S.SNAPSHOT).parquet(self._data(version))
         commit = self.spark.createDataFrame([(version,)], _COMMITS)
         commit.coalesce(1).write.mode("append").parquet(f"{self._path}/commits")
         return version

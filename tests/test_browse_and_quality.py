@@ -1,0 +1,151 @@
+import pytest
+from conftest import DAY, rows
+
+from backlog import schema as S
+from backlog.operators import browse, quality
+from backlog.sources import tables as stored
+from backlog.sources.tables import ProjectTables
+
+
+@pytest.fixture(scope="module")
+def tables(make_tables):
+    return make_tables(
+        Active=[
+            {"queue_position": "1", "project_name": "Alpha SOLAR", "county": " Kern County", "state": "CA",
+             "fuel_types": "Solar/Battery", "net_mw": 100.0, "latitude": 35.0, "longitude": -118.0, "study_process": "C14"},
+            {"queue_position": "2", "project_name": "axb", "county": "KERN", "state": "CA",
+             "fuel_types": "Wind", "net_mw": None, "latitude": None, "longitude": None, "study_process": "TC"},
+        ],
+        Completed=[
+            {"queue_position": "3", "project_name": None, "county": None, "state": "NV",
+             "fuel_types": "", "net_mw": 30.0, "latitude": 1.0, "longitude": 1.0},
+        ],
+        Withdrawn=[
+            {"queue_position": "", "project_name": "Beta", "county": "Kern", "state": "CA",
+             "fuel_types": "Solar", "net_mw": 50.0, "latitude": 35.0, "longitude": -118.0, "study_process": "C14"},
+        ],
+    )
+
+
+def keys(df):
+    return sorted(r.queue_position for r in df.collect())
+
+
+def test_projects_by_table_and_study(tables):
+    assert keys(browse.projects(tables)) == ["", "1", "2", "3"]
+    assert keys(browse.projects(tables, "withdrawn")) == [""]
+    assert keys(browse.projects(tables, "all", None, ["C14"])) == ["", "1"]
+    chosen = browse.projects(tables, "withdrawn", ["queue_position", "study_process"], ["C14"])
+    assert rows(chosen) == [("", "C14", "Withdrawn")]
+    with pytest.raises(ValueError):
+        browse.projects(tables, "nonsense")
+
+
+def test_tables_of_different_columns_stack(spark, make):
+    t = ProjectTables(spark, {
+        "grid_generation_queue": make([{"queue_position": "1", "net_mw": 1.0, "utility": "U"}]),
+        "withdrawn_projects": make([{"net_mw": 2.0, "queue_position": "2"}]),
+    })
+    got = browse.projects(t, "all", ["queue_position", "utility"])
+    assert sorted(rows(got)) == [("1", "U", "Active"), ("2", None, "Withdrawn")]
+
+
+def test_filters(tables):
+    df = browse.projects(tables)
+    assert keys(browse.filter_projects(df)) == ["", "1", "2", "3"]
+    assert keys(browse.filter_projects(df, fuels=["Solar"])) == ["", "1"]
+    assert keys(browse.filter_projects(df, fuels=["solar"])) == []
+    assert keys(browse.filter_projects(df, counties=["KERN"])) == ["2"]
+    assert keys(browse.filter_projects(df, states=["NV", "AZ"])) == ["3"]
+    assert keys(browse.filter_projects(df, min_capacity=50)) == ["", "1"]
+    assert keys(browse.filter_projects(df, search="solar")) == ["1"]
+    assert keys(browse.filter_projects(df, search="A.B")) == ["2"]
+    assert keys(browse.filter_projects(df, fuels=["Solar"], search="beta", min_capacity=10)) == [""]
+
+
+def test_capacity_falls_back_to_mw_1(spark, make):
+    df = make([{"queue_position": "1", "mw_1": 5.0}, {"queue_position": "2", "mw_1": None}])
+    assert keys(browse.filter_projects(df, min_capacity=1)) == ["1"]
+    assert browse.capacity_column(make([{"county": "x"}])) is None
+
+
+def test_metrics(tables):
+    df = browse.projects(tables)
+    assert rows(browse.browse_metrics(df)) == [(4, 180.0, 3)]
+    assert rows(browse.browse_metrics(browse.filter_projects(df, states=["XX"]))) == [(0, 0.0, 0)]
+
+
+def test_options(tables):
+    df = browse.projects(tables)
+    assert [r[0] for r in rows(browse.fuel_categories(df))] == ["", "Battery", "Solar", "Wind"]
+    assert rows(browse.options(df, "state")) == [("CA",), ("NV",)]
+    assert rows(browse.county_state_options(df)) == [
+        ("county", " Kern County"), ("county", "KERN"), ("county", "Kern"), ("state", "CA"), ("state", "NV"),
+    ]
+
+
+def test_locations_and_rollup(tables):
+    places = browse.project_locations(tables)
+    assert sorted((r.county, r.status) for r in places.collect()) == [("Kern", "Active"), ("Kern", "Withdrawn")]
+    assert browse.project_locations(tables, "withdrawn").count() == 1
+    assert browse.project_locations(tables, "whatever").count() == 2
+    rolled = rows(browse.location_rollup(places))
+    assert rolled == [("Kern", "CA", 35.0, -118.0, 2, 150.0, "Kern County, CA<br>Projects: 2<br>Total Capacity: 150 MW")]
+
+
+def test_present_columns(tables):
+    assert browse.present_columns(tables.cluster()).columns == [
+        c for c in browse.DISPLAY_COLUMNS if c in S.CLUSTER_COLUMNS
+    ]
+
+
+def test_quality_of_good_and_bad_tables(tables):
+    report = quality.data_quality(tables)
+    failed = {(r.table_name, r.check_name, r.column_name, r.issue_count, r.pct) for r in report.where("failed").collect()}
+    assert failed == {
+        ("completed_projects", "empty_value", "project_name", 1, 100.0),
+        ("withdrawn_projects", "empty_value", "queue_position", 1, 100.0),
+    }
+    assert rows(quality.issue_total(report)) == [(2,)]
+
+
+def test_quality_of_missing_tables_and_columns(spark, make):
+    t = ProjectTables(spark, {
+        "grid_generation_queue": make([{"queue_position": "1", "net_mw": 1.0}]),
+        "completed_projects": make([], "queue_position", "project_name", "ingestion_date", "mw_1"),
+    })
+    report = quality.data_quality(t)
+    failed = sorted((r.table_name, r.check_name, r.column_name) for r in report.where("failed").collect())
+    assert failed == [
+        ("grid_generation_queue", "missing_column", "ingestion_date"),
+        ("grid_generation_queue", "missing_column", "mw_1"),
+        ("grid_generation_queue", "missing_column", "project_name"),
+        ("withdrawn_projects", "missing_table", ""),
+    ]
+    empty = report.where("check_name = 'empty_table'").collect()
+    assert [(r.table_name, r.issue_count, r.failed) for r in empty] == [("completed_projects", 0, False)]
+
+
+def test_quality_of_nothing(spark):
+    assert rows(quality.issue_total(quality.data_quality(ProjectTables(spark)))) == [(3,)]
+
+
+def test_inventory_and_columns(spark, make_tables):
+    t = make_tables(Active=[{"queue_position": "1"}, {"queue_position": None}], cluster=[{"queue_position": "9", "ingestion_date": DAY}])
+    assert rows(stored.table_inventory(t)) == [
+        ("grid_generation_queue", 2, len(S.PROJECT_COLUMNS), DAY), ("cluster_15_requests", 1, len(S.CLUSTER_COLUMNS), DAY),
+    ]
+    assert rows(stored.table_inventory(ProjectTables(spark))) == []
+    described = rows(stored.table_columns(t.scan("grid_generation_queue").select("queue_position", "mw_1"), "q"))
+    assert described == [("q", 1, "queue_position", "string", 1), ("q", 2, "mw_1", "double", 0)]
+
+
+def test_catalog(spark, make):
+    make([{"queue_position": "1", "study_process": "C14"}]).createOrReplaceTempView("grid_generation_queue")
+    try:
+        t = stored.from_catalog(spark)
+        assert t.names() == ["grid_generation_queue"]
+        assert t.table(S.ACTIVE, ["queue_position", "status"]).first() == ("1", "Active")
+        assert "grid_generation_queue" in [r.table_name for r in stored.list_tables(spark).collect()]
+    finally:
+        spark.catalog.dropTempView("grid_generation_queue")

@@ -1,0 +1,168 @@
+"""The plans the engine relies on at scale: what is read, what is shuffled, how skew is split."""
+
+import re
+from datetime import date
+
+import pytest
+from conftest import TESTDATA, plan
+
+from backlog import schema as S
+from backlog.operators import browse, metrics, snapshots, timing
+from backlog.operators.scope import INTERACTIVE, REPORT
+from backlog.plans.queries import all_queries
+from backlog.sources.store import StoredTables
+from backlog.sources.star import StarTables
+
+PATH = f"{TESTDATA}/sf0.001"
+QUERIES = all_queries()
+
+
+@pytest.fixture(scope="module")
+def star(spark):
+    return StarTables(spark, PATH)
+
+
+@pytest.fixture(scope="module")
+def no_broadcast(spark):
+    """Plans as for tables too large to broadcast."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+@pytest.fixture(scope="module")
+def store(spark, make, tmp_path_factory):
+    root = str(tmp_path_factory.mktemp("store"))
+    tables = StoredTables(spark, root)
+    for i, status in enumerate(S.STATUSES):
+        days = [date(2025, 1, 6), date(2025, 1, 13)]
+        batch = [
+            {"queue_position": f"{status}{j}", "mw_1": 1.0, "net_mw": 2.0, "fuel_types": "Solar",
+             "study_process": "C14", "county": "KERN", S.SNAPSHOT: days[j % 2]}
+            for j in range(10)
+        ]
+        tables.stored[S.TABLE_OF_STATUS[status]].replace(make(batch, *S.PROJECT_COLUMNS))
+    return StoredTables(spark, root)
+
+
+def scans(text, table=""):
+    return [line for line in text.split("\n") if "FileScan parquet" in line and table in line]
+
+
+@pytest.mark.parametrize("name", list(QUERIES))
+def test_no_query_multiplies_rows(spark, no_broadcast, name):
+    text = plan(QUERIES[name](spark, PATH))
+    assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
+    assert "Python" not in text
+
+
+def test_only_the_joins_that_are_needed(star):
+    text = plan(metrics.study_processes(star))
+    assert "Join" not in text and len(scans(text)) == 1
+    text = plan(metrics.cancellation_rate(star, INTERACTIVE))
+    assert sorted(re.findall(r"/(\w+)\.parquet", text)) == ["lineitem", "orders"]
+    text = plan(metrics.capacity_by_fuel(star, INTERACTIVE))
+    assert not scans(text, "customer.parquet")
+
+
+def test_status_and_lines_are_pushed_to_the_scan(star):
+    text = plan(metrics.capacity_by_fuel(star, INTERACTIVE))
+    assert "EqualTo(o_orderstatus,O)" in scans(text, "orders.parquet")[0]
+    assert any("LessThanOrEqual(l_linenumber,3)" in line for line in scans(text, "lineitem.parquet"))
+
+
+def test_one_shuffle_of_the_lines_serves_the_join(star, no_broadcast):
+    """Orders and the per-order aggregate meet in the aggregate's own partitioning."""
+    text = plan(metrics.cancellation_rate(star, INTERACTIVE))
+    assert len(re.findall(r"Exchange hashpartitioning", text)) == 2
+    assert "partial_sum" in text
+
+
+def test_top_lists_are_not_sorted_whole(star):
+    for df in (metrics.top_zones(star, REPORT), metrics.top_projects(star, REPORT)):
+        text = plan(df)
+        assert "TakeOrderedAndProject" in text and "rangepartitioning" not in text
+
+
+def test_top_projects_are_reduced_before_the_shuffle(star):
+    text = plan(metrics.top_projects(star, INTERACTIVE))
+    partial, exchange = text.index("row_number(), 1, Partial"), text.index("Exchange hashpartitioning(project_name")
+    assert exchange < partial  # the plan prints from the result down
+
+
+def test_duplicates_are_combined_before_the_shuffle(star):
+    text = plan(snapshots.duplicate_keys(star.table(S.ACTIVE, [S.KEY])))
+    assert "partial_count" in text and "TakeOrderedAndProject" in text
+
+
+def test_delay_summary_counts_per_delay_first(star):
+    text = plan(timing.delay_summary(star, REPORT))
+    assert re.search(r"HashAggregate\(keys=\[delay_days#\d+L\], functions=\[partial_count", text)
+
+
+def test_latest_snapshot_prunes_partitions(store):
+    text = plan(metrics.capacity_by_fuel(store, REPORT))
+    wide = [line for line in scans(text) if "fuel_types" in line]
+    assert len(wide) == 1
+    assert re.search(r"PartitionFilters: \[[^\]]*ingestion_date#\d+ = Subquery", wide[0])
+    assert "ReadSchema: struct<mw_1:double,fuel_types:string>" in wide[0]
+
+
+def test_latest_snapshots_of_all_tables_prune_partitions(store):
+    text = plan(metrics.status_counts(store, REPORT))
+    wide = [line for line in scans(text) if "mw_1" in line]
+    assert len(wide) == 3
+    assert all(re.search(r"PartitionFilters: \[.*Subquery", line) for line in wide)
+    assert all("ReadSchema: struct<mw_1:double>" in line for line in wide)
+
+
+def test_retention_prunes_partitions(store):
+    text = plan(snapshots.retain(store.all_projects(["status", S.SNAPSHOT, S.KEY]), date(2025, 6, 1)))
+    assert all("ingestion_date" in line.split("PartitionFilters: ")[1].split("]")[0] for line in scans(text))
+
+
+def test_upsert_reads_no_replaced_partition(store):
+    table = store.scan("grid_generation_queue")
+    batch = table.limit(0)
+    text = plan(snapshots.upsert(table, batch, date(2025, 1, 13)))
+    assert any(re.search(r"PartitionFilters: \[.*<=> 2025-01-13", line) for line in scans(text))
+
+
+def test_filters_reach_every_table(store):
+    df = browse.filter_projects(
+        browse.projects(store, "all", ["queue_position", "county", "net_mw"], ["C14"]), counties=["KERN"]
+    )
+    found = scans(plan(df))
+    assert len(found) == 3
+    assert all("EqualTo(county,KERN)" in line and "EqualTo(study_process,C14)" in line for line in found)
+
+
+def test_a_hot_key_is_split_over_tasks(spark, no_broadcast):
+    """A third of the stored rows share one key: the join's hot partition is divided."""
+    settings = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10KB",
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+        "spark.sql.shuffle.partitions": "8",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        rows = spark.range(60_000).repartition(8)
+        existing = rows.selectExpr(
+            "IF(id % 3 = 0, 'HOT', concat('K', id)) AS queue_position", "DATE '2025-01-06' AS ingestion_date",
+            "uuid() AS project_name",
+        )
+        incoming = rows.where("id % 2 = 0").selectExpr(
+            "concat('K', id) AS queue_position", "DATE '2025-01-13' AS ingestion_date", "uuid() AS project_name"
+        )
+        result = snapshots.upsert(existing, incoming, date(2025, 1, 13))
+        counted = result.groupBy((result.queue_position == "HOT").alias("hot")).count()
+        assert {r["hot"]: r["count"] for r in counted.collect()} == {True: 20_000, False: 20_000 + 30_000}
+        assert "SortMergeJoin(skew=true)" in plan(counted)
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
