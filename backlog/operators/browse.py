@@ -19,6 +19,11 @@ from backlog.functions.text import (
 from backlog.operators.scope import in_study_processes
 from backlog.sources.tables import ProjectTables
 
+# The columns a table view starts with, and those of the cluster view.
+TABLE_COLUMNS = (
+    "project_name", "queue_position", "study_process", "county", "state", "fuel_types", "net_mw",
+    "mw_1", "status",
+)
 DISPLAY_COLUMNS = (
     "queue_position", "project_name", "fuel_types", "net_mw", "county", "state",
     "application_status", "pto_study_region", "proposed_online_date", "service_type",

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from backlog.functions.text import clean_text, with_values
+from backlog.operators.joins import join_per_key
 
 # State, county, latitude, longitude.
 COUNTY_CENTROIDS = [
@@ -279,7 +280,7 @@ def with_coordinates(df: DataFrame, places: Places = FIXED_PLACES) -> DataFrame:
     """
     if places.listed is None:
         located = centroids_of_pairs(df, places.dimension, "county", "state")
-        return df.drop("latitude", "longitude").join(located, ["county", "state"], "left")
+        return join_per_key(df.drop("latitude", "longitude"), located, ["county", "state"], "left")
     centre = _centroid_from_map(F.col("county"), F.col("state"), places.listed)
     # A generator, not a projection: a filter on the coordinates then stays above it, where a
     # projected expression would be copied into the filter and worked out once per mention.

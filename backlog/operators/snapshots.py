@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from backlog import schema as S
 from backlog.functions.text import is_filled, with_values
+from backlog.operators.joins import join_per_key
 from backlog.operators.shape import drop_blank_keys
 
 KEYS = (S.KEY,)
@@ -21,24 +22,18 @@ KEYS = (S.KEY,)
 
 def _newest_per_key(incoming: DataFrame, keys: Sequence[str]) -> DataFrame:
     """One row per key, combined before the shuffle, however often a key comes."""
-    return incoming.groupBy(*keys).agg(F.max(S.SNAPSHOT).alias("newest"))
+    return incoming.groupBy(*keys).agg(F.max(S.SNAPSHOT).alias("_newest"))
 
 
-def _older_than_newest(df: DataFrame, newest: DataFrame, keys: Sequence[str]):
-    same_key = [df[k] == newest[k] for k in keys]
-    return [*same_key, df[S.SNAPSHOT] < newest["newest"]]
-
-
-def _without_superseded(df: DataFrame, incoming: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows whose key is also in the incoming snapshot, under a newer date, go."""
-    newest = _newest_per_key(incoming, keys)
-    return df.join(newest, _older_than_newest(df, newest, keys), "left_anti")
+def _older_rows(df: DataFrame, incoming: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """Rows of `df` whose key is incoming under a newer date: without them, or only them."""
+    older = F.col(S.SNAPSHOT) < F.col("_newest")
+    return join_per_key(df, _newest_per_key(incoming, keys), keys, how, older)
 
 
 def superseded(existing: DataFrame, incoming: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
     """The stored rows the incoming snapshot replaces by a newer date."""
-    newest = _newest_per_key(drop_blank_keys(incoming), keys)
-    return existing.join(newest, _older_than_newest(existing, newest, keys), "left_semi")
+    return _older_rows(existing, drop_blank_keys(incoming), keys, "left_semi")
 
 
 def upsert(
@@ -52,17 +47,19 @@ def upsert(
     day = F.lit(snapshot_date)
     batch = drop_blank_keys(incoming).withColumn(S.SNAPSHOT, day)
     stored = existing.where(~F.col(S.SNAPSHOT).eqNullSafe(day))
-    kept = _without_superseded(stored, batch, keys)
+    kept = _older_rows(stored, batch, keys, "left_anti")
     return kept.unionByName(batch, allowMissingColumns=True)
 
 
 def upsert_dated(existing: DataFrame, incoming: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
     """U1 for rows of several snapshots at once: as if they were loaded one by one, oldest first."""
     batch = drop_blank_keys(incoming)
-    dates = batch.select(S.SNAPSHOT).distinct()
-    stored = existing.join(dates, S.SNAPSHOT, "left_anti")
-    both = stored.unionByName(batch, allowMissingColumns=True)
-    return _without_superseded(both, batch, keys)
+    # One entry per day loaded; as a filter it prunes partitions, where a join by date would
+    # shuffle the whole table onto a few dates.
+    days = batch.select(F.collect_set(S.SNAPSHOT)).scalar()
+    reloaded = F.coalesce(F.array_contains(days, F.col(S.SNAPSHOT)), F.lit(False))
+    both = existing.where(~reloaded).unionByName(batch, allowMissingColumns=True)
+    return _older_rows(both, batch, keys, "left_anti")
 
 
 def retain(df: DataFrame, as_of: date, weeks: int = 52) -> DataFrame:

@@ -357,6 +357,12 @@ FROM (SELECT fuel_types AS fuel, SUM(net_mw) AS total_mw FROM projects WHERE sta
 SELECT project_name, queue_position, net_mw, ingestion_date, status FROM projects WHERE {_FILTER}""",
     "withdrawn_columns": f"""
 SELECT queue_position, study_process, mw_1, status FROM projects WHERE status = 'Withdrawn' AND {_FILTER}""",
+    "browse_table": """
+SELECT project_name, queue_position, study_process, county, state, fuel_types, net_mw, mw_1, status FROM projects""",
+    "fuel_categories_late": """
+SELECT DISTINCT trim(fuel) AS fuel FROM (SELECT unnest(string_split(fuel_types, '/')) AS fuel FROM projects
+  WHERE status = 'Active' AND current_online_date > proposed_online_date)""",
+    "state_options": "SELECT DISTINCT state FROM projects WHERE state IS NOT NULL",
     "fuel_contains_any": """
 SELECT fuel_types AS fuel, SUM(net_mw) AS total_mw FROM projects WHERE status = 'Active'
   AND (contains(fuel_types, 'PROMO') OR contains(fuel_types, 'SMALL')) GROUP BY fuel_types""",

@@ -285,6 +285,12 @@ def withdrawn_columns(t):
     return browse.projects(t, "withdrawn", ["queue_position", "study_process", "mw_1"], STUDY_FILTER)
 
 
+@_register
+def browse_table(t):
+    df = browse.projects(t, "all", browse.TABLE_COLUMNS)
+    return browse.present_columns(df, browse.TABLE_COLUMNS)
+
+
 @_register
 def fuel_contains_any(t):
     totals = metrics.capacity_by_fuel(t, INTERACTIVE)
@@ -322,6 +328,16 @@ def fuel_categories(t):
     return browse.fuel_categories(t.all_projects(["fuel_types"]))
 
 
+@_register
+def fuel_categories_late(t):
+    return browse.fuel_categories(timing.late_by_fuel(t), "fuel", strip=True)
+
+
+@_register
+def state_options(t):
+    return browse.options(t.all_projects(["state"]), "state")
+
+
 @_register
 def county_state_options(t):
     return browse.county_state_options(t.all_projects(["county", "state"]))

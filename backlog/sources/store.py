@@ -32,11 +32,15 @@ class StoredTable:
         self._schema = schema
         self._path = f"{root}/{name}"
 
+    def _files(self):
+        """The file system the table is on, and its folder, as Hadoop sees them."""
+        folder = self.spark._jvm.org.apache.hadoop.fs.Path(self._path)
+        return folder.getFileSystem(self.spark._jsc.hadoopConfiguration()), folder
+
     def version(self) -> int | None:
         """The newest committed version; None before the first load."""
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self._path}/commits")
-        files = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        if not files.exists(path):
+        files, folder = self._files()
+        if not files.exists(self.spark._jvm.org.apache.hadoop.fs.Path(folder, "commits")):
             return None
         commits = self.spark.read.schema(_COMMITS).parquet(f"{self._path}/commits")
         return commits.agg(F.max("version")).first()[0]
@@ -74,6 +78,25 @@ class StoredTable:
         """Load rows of several snapshots, as if one after the other."""
         return self.replace(snapshots.upsert_dated(self._rebuilt(), incoming))
 
+    def retain(self, as_of: date, weeks: int = 52) -> int:
+        """forget the snapshots older than some weeks."""
+        return self.replace(snapshots.retain(self.read(), as_of, weeks))
+
+    def drop_old_versions(self, keep: int = 2) -> list[int]:
+        """Delete the folders of all but the newest committed versions; the latest always stays.
+
+        Keep as many as the longest-running reader may still be reading.
+        """
+        version = self.version()
+        if version is None:
+            return []
+        files, folder = self._files()
+        old = [s.getPath() for s in files.listStatus(folder) if s.getPath().getName().startswith("v=")]
+        old = [p for p in old if int(p.getName()[2:]) <= version - max(keep, 1)]
+        for path in old:
+            files.delete(path, True)
+        return sorted(int(p.getName()[2:]) for p in old)
+
     def duplicate_keys(self) -> DataFrame:
         """V8: keys stored more than once."""
         return snapshots.duplicate_keys(self.read())

@@ -120,3 +120,8 @@ def table_columns(df: DataFrame, name: str) -> DataFrame:
         for i, field in enumerate(df.schema.fields, start=1)
     ])
     return counts.select(F.lit(name).alias("table_name"), F.inline(described))
+
+
+def sample_rows(df: DataFrame, n: int = 3) -> DataFrame:
+    """A few rows to look at."""
+    return df.limit(n)

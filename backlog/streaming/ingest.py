@@ -17,14 +17,17 @@ def ingest_new_files(
     landing: str,
     headers: list[str],
     table: StoredTable,
-    checkpoint: str,
+    checkpoint: str | None = None,
 ) -> StreamingQuery:
     """Load every Parquet file that has landed since the last run, then stop.
 
     A file is one dated snapshot of one sheet, text under flattened headers. The date is the
     one in its name, so files may arrive late or together. Loading is idempotent: a batch
-    that is run again after a failure changes nothing.
+    that is run again after a failure changes nothing. Progress is kept in `checkpoint`, or
+    else in the shared folder the cluster names.
     """
+    if checkpoint is None:
+        checkpoint = f"{spark.conf.get('spark.checkpoint.dir')}/ingest-{table.name}"
     schema = T.StructType([T.StructField(h, T.StringType()) for h in headers])
     files = (
         spark.readStream.schema(schema)

@@ -7,7 +7,7 @@ import pytest
 from conftest import TESTDATA, plan
 
 from backlog import schema as S
-from backlog.operators import browse, metrics, snapshots, timing
+from backlog.operators import browse, geo, metrics, snapshots, timing
 from backlog.operators.scope import INTERACTIVE, REPORT
 from backlog.plans.queries import all_queries
 from backlog.sources.store import StoredTables
@@ -138,8 +138,9 @@ def test_filters_reach_every_table(store):
     assert all("EqualTo(county,KERN)" in line and "EqualTo(study_process,C14)" in line for line in found)
 
 
-def test_a_hot_key_is_split_over_tasks(spark, no_broadcast):
-    """A third of the stored rows share one key: the join's hot partition is divided."""
+@pytest.fixture
+def eager_skew_handling(spark, no_broadcast):
+    """Skew thresholds for tables of test size."""
     settings = {
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
@@ -150,19 +151,68 @@ def test_a_hot_key_is_split_over_tasks(spark, no_broadcast):
     before = {k: spark.conf.get(k, None) for k in settings}
     for key, value in settings.items():
         spark.conf.set(key, value)
-    try:
-        rows = spark.range(60_000).repartition(8)
-        existing = rows.selectExpr(
-            "IF(id % 3 = 0, 'HOT', concat('K', id)) AS queue_position", "DATE '2025-01-06' AS ingestion_date",
-            "uuid() AS project_name",
-        )
-        incoming = rows.where("id % 2 = 0").selectExpr(
-            "concat('K', id) AS queue_position", "DATE '2025-01-13' AS ingestion_date", "uuid() AS project_name"
-        )
-        result = snapshots.upsert(existing, incoming, date(2025, 1, 13))
+    yield
+    for key, value in before.items():
+        spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def third_hot(spark, hot, cold):
+    return spark.range(60_000).repartition(8).selectExpr(
+        f"IF(id % 3 = 0, '{hot}', concat('{cold}', id)) AS hot_or_not", "id", "uuid() AS project_name"
+    )
+
+
+def test_a_hot_stored_key_is_split_over_tasks(spark, eager_skew_handling):
+    """A third of the stored rows share one key: the join's hot partition is divided."""
+    existing = third_hot(spark, "HOT", "K").selectExpr(
+        "hot_or_not AS queue_position", "DATE '2025-01-06' AS ingestion_date", "project_name"
+    )
+    incoming = spark.range(0, 60_000, 2).selectExpr(
+        "concat('K', id) AS queue_position", "DATE '2025-01-13' AS ingestion_date", "uuid() AS project_name"
+    )
+    single = snapshots.upsert(existing, incoming, date(2025, 1, 13))
+    batch = snapshots.upsert_dated(existing, incoming)
+    for result in (single, batch):
         counted = result.groupBy((result.queue_position == "HOT").alias("hot")).count()
         assert {r["hot"]: r["count"] for r in counted.collect()} == {True: 20_000, False: 20_000 + 30_000}
         assert "SortMergeJoin(skew=true)" in plan(counted)
-    finally:
-        for key, value in before.items():
-            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+    gone = snapshots.superseded(existing, incoming).groupBy().count()
+    assert gone.collect()[0][0] == 20_000
+    assert "SortMergeJoin(skew=true)" in plan(gone)
+
+
+def test_a_hot_incoming_key_is_combined_before_the_shuffle(spark, eager_skew_handling):
+    existing = spark.range(1000).selectExpr(
+        "concat('K', id) AS queue_position", "DATE '2025-01-06' AS ingestion_date", "uuid() AS project_name"
+    )
+    incoming = third_hot(spark, "K7", "N").selectExpr(
+        "hot_or_not AS queue_position", "DATE '2025-01-13' AS ingestion_date", "project_name"
+    )
+    result = snapshots.upsert(existing, incoming, date(2025, 1, 13))
+    assert "partial_max" in plan(result)
+    assert result.count() == 999 + 60_000
+
+
+def test_a_hot_place_is_split_over_tasks(spark, eager_skew_handling):
+    dim = spark.createDataFrame([("CA", f"P{i}", i / 100, 1.0) for i in range(1000)], geo._CENTROID_SCHEMA)
+    rows = third_hot(spark, "P5", "P").selectExpr("hot_or_not AS county", "'CA' AS state", "project_name")
+    counted = geo.with_coordinates(rows, geo.Places.of(dim)).groupBy("latitude").count()
+    assert {r["latitude"]: r["count"] for r in counted.collect()}[0.05] == 20_001
+    assert "SortMergeJoin(skew=true)" in plan(counted)
+
+
+def test_a_hot_developer_is_split_over_tasks(spark, eager_skew_handling, tmp_path):
+    """A third of the orders belong to one customer."""
+    for name in ("lineitem", "part", "nation", "region", "customer", "orders"):
+        df = spark.read.parquet(f"{PATH}/{name}.parquet")
+        if name == "orders":
+            df = spark.range(60).crossJoin(df).selectExpr(
+                "o_orderkey + 1000000 * id AS o_orderkey",
+                "IF(o_orderkey % 3 = 0, CAST(7 AS BIGINT), o_custkey) AS o_custkey",
+                "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority",
+            )
+        df.write.parquet(f"{tmp_path}/{name}.parquet")
+    star = StarTables(spark, str(tmp_path))
+    counted = browse.projects(star, "all", ["project_name"]).groupBy("project_name").count()
+    assert max(r["count"] for r in counted.collect()) >= 500 * 60
+    assert "SortMergeJoin(skew=true)" in plan(counted)

@@ -52,6 +52,18 @@ def test_loads_are_idempotent_and_versioned(spark, tmp_path, make):
     assert rows(table.duplicate_keys()) == [("A", 2)]
 
 
+def test_retention_and_old_versions(spark, tmp_path, make):
+    table = StoredTable(spark, str(tmp_path), "grid_generation_queue", S.PROJECT_SCHEMA)
+    assert table.drop_old_versions() == []
+    for key, day in (("A", date(2023, 1, 2)), ("B", D1), ("C", D2)):
+        table.load(make([{"queue_position": key, "mw_1": 1.0, S.SNAPSHOT: day}], *S.PROJECT_COLUMNS), day)
+    assert table.retain(D2) == 4
+    assert held(table) == [("B", D1, 1.0), ("C", D2, 1.0)]
+    assert table.drop_old_versions() == [1, 2]
+    assert table.drop_old_versions(keep=0) == [3]
+    assert held(table) == [("B", D1, 1.0), ("C", D2, 1.0)]
+
+
 def test_an_uncommitted_version_is_not_read(spark, tmp_path, make):
     table = StoredTable(spark, str(tmp_path), "completed_projects", S.PROJECT_SCHEMA)
     batch = make([{"queue_position": "A", "mw_1": 1.0, S.SNAPSHOT: D1}], *S.PROJECT_COLUMNS)
