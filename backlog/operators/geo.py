@@ -170,12 +170,14 @@ def _literal_map(entries: dict) -> Column:
     return F.from_json(F.lit(text), _MAP_TYPE)
 
 
+def _county_name(part: Column) -> Column:
+    """`' kern county '` -> `'KERN'`."""
+    return clean_text(F.replace(clean_text(F.upper(part)), F.lit(" COUNTY"), F.lit("")))
+
+
 def county_names(county: Column) -> Column:
     """`' kern county/Mojave'` -> `['KERN', 'MOJAVE']`."""
-    return F.transform(
-        F.split(F.upper(clean_text(county)), "/"),
-        lambda part: clean_text(F.replace(clean_text(part), F.lit(" COUNTY"), F.lit(""))),
-    )
+    return F.transform(F.split(county, "/"), _county_name)
 
 
 def _meant(name: Column) -> Column:
@@ -237,7 +239,12 @@ def _centroid_from_map(county: Column, state: Column, places: list) -> Column:
         F.lit(None).cast("double").alias("lat"), F.lit(None).cast("double").alias("lon")
     )
     known = county.isNotNull() & state.isNotNull()
-    return F.when(known, F.aggregate(found, start, add, mean)).otherwise(nowhere)
+    # Most texts name one county, which needs no array.
+    return (
+        F.when(known & ~county.contains("/"), find(_county_name(county)))
+        .when(known, F.aggregate(found, start, add, mean))
+        .otherwise(nowhere)
+    )
 
 
 def centroids_of_pairs(pairs: DataFrame, dimension: DataFrame, county: str, state: str) -> DataFrame:

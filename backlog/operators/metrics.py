@@ -195,6 +195,7 @@ def weekly_growth(tables: ProjectTables, measure: str = "mw_1") -> DataFrame:
     """MW per status and snapshot, and the change since the snapshot before."""
     per_snapshot = (
         tables.all_projects(["status", S.SNAPSHOT, measure])
+        .where(F.col(S.SNAPSHOT).isNotNull())
         .groupBy("status", S.SNAPSHOT)
         .agg(F.sum(measure).alias("weekly_mw"))
     )

@@ -40,7 +40,7 @@ base AS (
     ship_1 + INTERVAL '1' HOUR * (7 + o_orderkey % 2) AS proposed_online_date,
     ship_2 + INTERVAL '1' HOUR * (7 + o_custkey % 2) AS current_online_date,
     CAST(date_trunc('year', o_orderdate) AS DATE) AS ingestion_date,
-    concat_ws('/', fuel_type_1, fuel_type_2, fuel_type_3) AS fuel_types
+    concat_ws('/', nullif(fuel_type_1, ''), nullif(fuel_type_2, ''), nullif(fuel_type_3, '')) AS fuel_types
   FROM orders
   LEFT JOIN capacity ON o_orderkey = capacity_key
   LEFT JOIN fuels ON o_orderkey = fuel_key
@@ -275,7 +275,7 @@ SELECT c_custkey, coalesce(TRY_CAST(t AS DOUBLE), 0) AS text_float, coalesce(TRY
   CAST(trunc(c_acctbal) AS BIGINT) AS number_int
 FROM (SELECT c_custkey, c_acctbal, CASE c_custkey % 5 WHEN 0 THEN CAST(c_acctbal AS VARCHAR)
         WHEN 1 THEN ' ' || c_custkey || ' ' WHEN 2 THEN c_name WHEN 3 THEN '' END AS t FROM customer)""",
-    "latest_snapshot_rows": f"SELECT {_KEPT} FROM latest",
+    "latest_snapshot": f"SELECT {_KEPT} FROM latest",
     "latest_active_rows": f"SELECT {_KEPT} FROM latest WHERE status = 'Active'",
     "retention": """
 SELECT status, ingestion_date, COUNT(*) AS kept_rows, SUM(net_mw) AS kept_mw FROM projects
@@ -294,7 +294,7 @@ WHERE ingestion_date IS NULL OR ingestion_date >= DATE '2000-06-30' - 364 GROUP
     ),
     "snapshot_upsert_batch": _UPSERTED.format(
         kept=_KEPT,
-        existing="true",
+        existing="ingestion_date IS NOT NULL",
         incoming="i.ingestion_date >= DATE '1999-01-01'",
         appended="false",
     ),
@@ -312,7 +312,8 @@ HAVING COUNT(*) > 1 ORDER BY count DESC, queue_position LIMIT 10""",
     "weekly_growth": """
 SELECT status, ingestion_date, weekly_mw,
   weekly_mw - lag(weekly_mw) OVER (PARTITION BY status ORDER BY ingestion_date) AS growth_mw
-FROM (SELECT status, ingestion_date, SUM(mw_1) AS weekly_mw FROM projects GROUP BY ALL)""",
+FROM (SELECT status, ingestion_date, SUM(mw_1) AS weekly_mw FROM projects
+      WHERE ingestion_date IS NOT NULL GROUP BY ALL)""",
     "capacity_by_fuel": """
 SELECT fuel_types AS fuel, SUM(mw_1) AS total_mw FROM latest WHERE status = 'Active' GROUP BY fuel_types""",
     "status_counts": _status_counts("latest", "mw_1", "{}"),

@@ -151,9 +151,7 @@ def safe_numeric(t):
 # --- scope (F1, F15, U1, J3, J4, A20, A22, A24) ----------------------------------------------
 
 
-@_register
-def latest_snapshot_rows(t):
-    return latest_snapshot_per_status(t.all_projects(KEPT_COLUMNS)).select(*KEPT_COLUMNS)
+_register(lambda t: latest_snapshot_per_status(t.all_projects(KEPT_COLUMNS)), "latest_snapshot")
 
 
 @_register

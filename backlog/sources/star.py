@@ -54,7 +54,7 @@ _FROM_FUELS = {
     "fuel_type_1": "fuel_type_1",
     "fuel_type_2": "fuel_type_2",
     "fuel_type_3": "fuel_type_3",
-    "fuel_types": "concat_ws('/', fuel_type_1, fuel_type_2, fuel_type_3)",
+    "fuel_types": "concat_ws('/', nullif(fuel_type_1, ''), nullif(fuel_type_2, ''), nullif(fuel_type_3, ''))",
 }
 _FROM_CUSTOMER = {
     "project_name": "c_name",

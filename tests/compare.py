@@ -14,11 +14,12 @@ TABLES = (
 ).split()
 
 
-def connect(path: str) -> duckdb.DuckDBPyConnection:
+def connect(path: str, files: str = "") -> duckdb.DuckDBPyConnection:
     con = duckdb.connect()
     con.execute("SET TimeZone='UTC'")
     for table in TABLES:
-        con.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{path}/{table}.parquet')")
+        source = f"{path}/{table}.parquet" + (f"/{files}" if files else "")
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{source}')")
     return con
 
 
