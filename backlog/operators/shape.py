@@ -103,11 +103,14 @@ def _shape_cluster_sheet(df: DataFrame, status: str, snapshot_date: date | Colum
 
 
 def shape_cluster(
-    sheets: dict[str, DataFrame], snapshot_date: date | Column, places: Places = FIXED_PLACES
+    sheets: dict[str, DataFrame],
+    snapshot_date: date | Column,
+    places: Places | None = FIXED_PLACES,
 ) -> DataFrame:
     """The cluster sheets as typed rows tagged with process, status and date.
 
-    Sheets are stacked by column name; sheets of an unknown name are skipped.
+    Sheets are stacked by column name; sheets of an unknown name are skipped. Without places
+    the rows get no coordinates.
     """
     frames = [
         _shape_cluster_sheet(df, S.CLUSTER_SHEETS[name], snapshot_date)
@@ -117,7 +120,7 @@ def shape_cluster(
     if not frames:
         raise ValueError("no known cluster sheet among " + ", ".join(map(repr, sheets)))
     stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
-    return _locate(stacked, places)
+    return stacked if places is None else _locate(stacked, places)
 
 
 def _day(snapshot_date: date | Column) -> Column:

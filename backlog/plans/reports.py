@@ -44,8 +44,8 @@ def _isolated(name: str, step: Callable[[], object]) -> Outcome:
 def write_reports(tables: ProjectTables, folder: str) -> list[Outcome]:
     """The nine report files of the seven analyses, each in a folder of its own name."""
 
-    def small(name: str, df: DataFrame) -> None:
-        write_csv(df, f"{folder}/{name}", single_file=True)
+    def small(name: str, df: DataFrame, *order: str) -> None:
+        write_csv(df, f"{folder}/{name}", single_file=True, order=order)
 
     def delays() -> None:
         detail = timing.delay_detail(tables, REPORT)
@@ -55,10 +55,12 @@ def write_reports(tables: ProjectTables, folder: str) -> list[Outcome]:
         # One row per project: written in as many files as it takes.
         write_csv(detail, f"{folder}/project_timeline_delays")
         small("timeline_delay_summary", timing.delay_summary(tables, REPORT))
-        small("timeline_delay_by_fuel", timing.delay_by_fuel(tables, REPORT))
+        small("timeline_delay_by_fuel", timing.delay_by_fuel(tables, REPORT), "fuel_type")
 
     analyses: dict[str, Callable[[], object]] = {
-        "capacity_by_fuel": lambda: small("capacity_by_fuel", metrics.capacity_by_fuel(tables, REPORT)),
+        "capacity_by_fuel": lambda: small(
+            "capacity_by_fuel", metrics.capacity_by_fuel(tables, REPORT), "fuel"
+        ),
         "project_count_by_status": lambda: small(
             "project_count_by_status", metrics.status_counts(tables, REPORT)
         ),

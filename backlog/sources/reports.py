@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 
 
-def write_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
-    """A folder of CSV files with a header; one file only for results that are small by nature."""
-    out = df.coalesce(1) if single_file else df
-    out.write.mode("overwrite").option("header", True).csv(path)
+def write_csv(df: DataFrame, path: str, single_file: bool = False, order: Sequence[str] = ()) -> None:
+    """A folder of CSV files with a header; one file, sorted, for results that are small by nature."""
+    if single_file:
+        # Repartitioned, not coalesced: the work before it stays spread over the cluster.
+        df = df.repartition(1)
+    if order:
+        df = df.sortWithinPartitions(*order)
+    df.write.mode("overwrite").option("header", True).csv(path)

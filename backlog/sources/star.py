@@ -168,7 +168,8 @@ class StarTables(ProjectTables):
     def cluster(self, columns: Sequence[str] | None = None) -> DataFrame:
         sheets = self.cluster_sheets(columns)
         dated = F.trunc(F.to_date("Application Date"), "year")
-        df = shape_cluster(sheets, dated, self.places())
+        located = columns is None or {*_COORDINATES} & {*columns}
+        df = shape_cluster(sheets, dated, self.places() if located else None)
         return df if columns is None else df.select(*columns)
 
     def centroids(self) -> DataFrame:

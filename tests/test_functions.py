@@ -65,6 +65,21 @@ def test_days_are_floored_not_calendar(spark):
     assert got == [(8, 774000.0), (9, 781200.0), (-1, -1.0), (0, 0.0), (None, None)]
 
 
+def test_days_of_published_projects(spark):
+    """Online dates at seven or eight o'clock, with the published days between them."""
+    published = [
+        ("2005-06-30 07:00:00", "2024-04-01 07:00:00", 6850),
+        ("2007-09-01 07:00:00", "2030-10-31 07:00:00", 8461),
+        ("2008-06-01 07:00:00", "2027-06-30 07:00:00", 6968),
+        ("2006-05-31 07:00:00", "2023-02-28 08:00:00", 6117),
+    ]
+    got = one(
+        spark, "a timestamp_ntz, b timestamp_ntz", [(at(a), at(b)) for a, b, _ in published],
+        dates.days_between_floor(F.col("a"), F.col("b")),
+    )
+    assert [g[0] for g in got] == [days for *_, days in published]
+
+
 def test_days_do_not_depend_on_the_session_zone(spark):
     pair = [(at("2021-03-13 12:00:00"), at("2021-03-14 12:00:00"))]
     zone = spark.conf.get("spark.sql.session.timeZone")

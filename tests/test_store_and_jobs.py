@@ -8,6 +8,7 @@ from backlog import schema as S
 from backlog.operators import browse, metrics
 from backlog.operators.scope import INTERACTIVE, REPORT
 from backlog.plans import reports
+from backlog.sources.reports import write_csv
 from backlog.sources.store import StoredTable, StoredTables, incoming_rows
 from backlog.streaming.ingest import ingest_new_files
 
@@ -136,10 +137,24 @@ def test_reports_are_written_and_failures_isolated(spark, store, tmp_path, make_
     assert sum(o.ok for o in outcomes.values()) == 6
 
 
+def test_browse_result_as_csv(spark, store, tmp_path):
+    chosen = browse.filter_projects(
+        browse.projects(store, "all", ["project_name", "queue_position", "net_mw"]), min_capacity=100
+    )
+    write_csv(chosen, f"{tmp_path}/export")
+    back = spark.read.csv(f"{tmp_path}/export", header=True)
+    assert back.columns == ["project_name", "queue_position", "net_mw", "status"]
+    assert sorted(r.queue_position for r in back.collect()) == ["1", "2", "3"]
+
+
 def test_all_nine_reports(spark, make_tables, tmp_path):
     t = make_tables(
-        Active=[{"queue_position": "1", "project_name": "A", "mw_1": 1.0, "net_mw": 1.0, "fuel_types": "Solar",
-                 "proposed_online_date": at("2025-01-01"), "current_online_date": at("2025-02-01")}],
+        Active=[
+            {"queue_position": str(i), "project_name": f"P{i}", "mw_1": float(i), "net_mw": float(i),
+             "fuel_types": f"Fuel {7 * i % 20:02d}", "pto_study_region": f"Zone {3 * i % 10}",
+             "proposed_online_date": at("2025-01-01"), "current_online_date": at("2025-02-01")}
+            for i in range(40)
+        ],
     )
     assert all(o.ok for o in reports.write_reports(t, str(tmp_path)))
     assert sorted(p.name for p in tmp_path.iterdir()) == [
@@ -148,6 +163,15 @@ def test_all_nine_reports(spark, make_tables, tmp_path):
         "top_projects_by_net_mw",
     ]
 
+    def listed(name):
+        return rows(spark.read.csv(f"{tmp_path}/{name}", header=True))
+
+    fuels = listed("capacity_by_fuel")
+    assert fuels == sorted(fuels) and len(fuels) == 20
+    zones = [float(r[1]) for r in listed("top5_iso_zones")]
+    assert zones == sorted(zones, reverse=True) and len(zones) == 5
+    assert [r[0] for r in listed("top_projects_by_net_mw")] == [f"P{i}" for i in range(39, 29, -1)]
+
 
 def test_stream_loads_each_file_once(spark, tmp_path):
     landing, checkpoint = f"{tmp_path}/landing", f"{tmp_path}/checkpoint"
