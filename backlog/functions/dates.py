@@ -6,6 +6,12 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def time_or_null(c: Column) -> Column:
+    """Text as a zone-less timestamp; `2005-06-30 07:00` or `6/30/2005`, else null."""
+    iso = F.regexp_replace(c.cast("string"), r"^\s*(\d{1,2})/(\d{1,2})/(\d{4})", "$3-$1-$2")
+    return iso.try_cast("timestamp_ntz")
+
+
 def _elapsed_seconds(start: Column, end: Column) -> Column:
     span = end.cast("timestamp_ntz") - start.cast("timestamp_ntz")
     return span.cast("interval second").cast("decimal(18,6)")

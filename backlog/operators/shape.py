@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from backlog import schema as S
+from backlog.functions.dates import time_or_null
 from backlog.functions.numbers import number_or_null
 from backlog.functions.text import clean_text, is_filled, join_filled, whole_number_text
 from backlog.operators.geo import FIXED_PLACES, Places, with_coordinates
@@ -68,6 +69,8 @@ def cast_known_columns(df: DataFrame) -> DataFrame:
             continue
         elif isinstance(want, T.DoubleType):
             typed[field.name] = number_or_null(c)
+        elif isinstance(want, T.TimestampNTZType) and isinstance(field.dataType, T.StringType):
+            typed[field.name] = time_or_null(c)
         else:
             typed[field.name] = c.try_cast(want)
     return df.withColumns(typed) if typed else df

@@ -52,8 +52,11 @@ def upsert(
 
 
 def upsert_dated(existing: DataFrame, incoming: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
-    """U1 for rows of several snapshots at once: as if they were loaded one by one, oldest first."""
-    batch = drop_blank_keys(incoming)
+    """U1 for rows of several snapshots at once: as if they were loaded one by one, oldest first.
+
+    Incoming rows without a date belong to no snapshot and are not loaded.
+    """
+    batch = drop_blank_keys(incoming).where(F.col(S.SNAPSHOT).isNotNull())
     # One entry per day loaded; as a filter it prunes partitions, where a join by date would
     # shuffle the whole table onto a few dates.
     days = batch.select(F.collect_set(S.SNAPSHOT)).scalar()

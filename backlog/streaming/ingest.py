@@ -22,7 +22,8 @@ def ingest_new_files(
     """Load every Parquet file that has landed since the last run, then stop.
 
     A file is one dated snapshot of one sheet, text under flattened headers. The date is the
-    one in its name, so files may arrive late or together. Loading is idempotent: a batch
+    one in its name, so files may arrive late or together; a file without one is a copy of the
+    newest and is passed over. Loading is idempotent: a batch
     that is run again after a failure changes nothing. Progress is kept in `checkpoint`, or
     else in the shared folder the cluster names.
     """

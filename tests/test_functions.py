@@ -91,6 +91,14 @@ def test_days_do_not_depend_on_the_session_zone(spark):
     assert got == [(1,)]
 
 
+def test_time_or_null(spark):
+    values = ["2005-06-30 07:00:00", "2005-06-30", "6/3/2005", " 06/30/2005 7:05", "30.6.2005", "13/45/2005", "", None]
+    got = one(spark, "v string", values, dates.time_or_null(F.col("v")))
+    assert [g[0] for g in got] == [
+        at("2005-06-30 07:00:00"), at("2005-06-30"), at("2005-06-03"), at("2005-06-30 07:05:00"), None, None, None, None,
+    ]
+
+
 def test_snapshot_date_of(spark):
     values = [
         "queue-report-06022025.csv", "cluster-15-requests-12312024.parquet", "queue-report.csv",

@@ -76,6 +76,14 @@ def test_single_loads_equal_brute_force(stored, seed):
     same(snapshots.upsert(stored(existing), stored(incoming), days[2]), load_one(existing, incoming, days[2]))
 
 
+def test_undated_incoming_rows_are_not_loaded(stored):
+    existing = [("A", D1, 1.0), ("B", None, 2.0)]
+    incoming = [("A", None, 5.0), ("C", None, 6.0), ("D", D2, 7.0)]
+    once = snapshots.upsert_dated(stored(existing), stored(incoming))
+    same(once, [*existing, ("D", D2, 7.0)])
+    same(snapshots.upsert_dated(once, stored(incoming)), [*existing, ("D", D2, 7.0)])
+
+
 def test_per_table_keys(spark):
     schema = "status string, queue_position string, ingestion_date date"
     existing = spark.createDataFrame([("Active", "A", D1), ("Completed", "A", D1)], schema)
