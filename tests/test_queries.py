@@ -5,9 +5,11 @@ from compare import connect, differences
 from conftest import TESTDATA
 
 import __spark_entry__ as entry_points
+from backlog.plans.oracle import all_sql
+from backlog.plans.queries import all_queries
 
-QUERIES = entry_points.queries()
-SQL = entry_points.oracle_sql()
+QUERIES = all_queries()
+SQL = all_sql()
 PATH = f"{TESTDATA}/sf0.01"
 
 
@@ -18,6 +20,7 @@ def duck():
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(entry_points.queries()) and set(SQL) <= set(entry_points.oracle_sql())
 
 
 @pytest.mark.parametrize("name", list(QUERIES))
