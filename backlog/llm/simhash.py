@@ -191,8 +191,8 @@ def links(fps: DataFrame, settings: Settings = Settings()) -> DataFrame:
     for number, chosen in enumerate(combinations(cuts, parts - settings.distance)):
         key = F.lit(number).cast("long")
         for first, bits in chosen:
-            part = F.shiftrightunsigned("fp", first).bitwiseAND(F.lit((1 << bits) - 1))
-            key = F.shiftleft(key, bits).bitwiseOR(part) if parts - settings.distance == 1 else F.xxhash64(key, part)
+            part = F.shiftrightunsigned("fp", first).bitwiseAND(F.lit((1 << bits) - 1 if bits < 64 else -1))
+            key = F.xxhash64(key, part)
         keys.append(key)
     rows = fps.select("fp", F.explode(F.array(*keys)).alias("key"))
     pieces = (

@@ -1,0 +1,115 @@
+import numpy as np
+import pytest
+import xxhash
+from pyspark.sql import functions as F
+
+from backlog.llm import simhash as S
+from backlog.llm.components import components
+
+
+def brute_print(text):
+    words = [w for w in __import__("re").split(r"[\x20\x09-\x0D]+", "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")) if w]
+    if not words:
+        return 0
+    grams = [" ".join(words[k:k + 3]) for k in range(max(1, len(words) - 2))]
+    hashes = [xxhash.xxh64_intdigest(g.encode(), 42) for g in grams]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+@pytest.mark.parametrize("text", [None, "", " \n", "One", "one TWO", "Ä b c d", "a\x0bb\x1cc d e", "x " * 50, "É éa b c d e f"])
+def test_fingerprint(text):
+    assert S.fingerprint(text) == brute_print(text)
+
+
+def test_fingerprints_of_documents_and_spark_hash(spark, documents):
+    for row in documents.limit(60).collect():
+        assert S.fingerprint(row.text) == brute_print(row.text)
+    assert spark.range(1).select(F.xxhash64(F.lit("a b c"))).first()[0] % 2**64 == xxhash.xxh64_intdigest(b"a b c", 42)
+
+
+@pytest.mark.parametrize("radius", [0, 1, 2, 3, 4, 6, 7])
+def test_planes_find_all_near_pairs(radius):
+    rng = np.random.default_rng(radius)
+    base = rng.integers(0, 2**63, 40, dtype=np.uint64)
+    values = np.concatenate([base, *[base ^ sum((np.uint64(1) << rng.integers(0, 64, 40, dtype=np.uint64)) for _ in range(k)) for k in range(1, 9)]])
+    planes = S.Planes(values)
+    everything = ~np.zeros((len(values) + 63) // 64, np.uint64)
+    for shift in (1, 3, 40, 63, 64, 65, 200):
+        marks = np.zeros(len(values), bool)
+        marks[:len(values) - shift] = True
+        found = planes.near(shift, S.packed(marks) & everything, radius)
+        want = np.flatnonzero(np.bitwise_count(values[:-shift] ^ values[shift:]) <= radius)
+        assert found.tolist() == want.tolist()
+
+
+def by_brute_force(rows):
+    prints = [brute_print(t) for _, t in rows]
+    group = list(range(len(rows)))
+
+    def top(k):
+        while group[k] != k:
+            k = group[k]
+        return k
+
+    for a in range(len(rows)):
+        for b in range(a):
+            if (prints[a] ^ prints[b]).bit_count() <= 3:
+                x, y = top(a), top(b)
+                group[max(x, y)] = min(x, y)
+    least = {}
+    for k, (i, _) in enumerate(rows):
+        g = top(k)
+        if i is not None:
+            least[g] = min(least.get(g, i), i)
+    return sorted(((i, f"{p:016x}", least.get(top(k))) for k, ((i, _), p) in enumerate(zip(rows, prints))), key=str)
+
+
+def got(df):
+    return sorted(((r.doc_id, r.fingerprint, r.component_id) for r in df.collect()), key=str)
+
+
+def test_components_of_documents(documents, with_clashes):
+    rows = [(r.doc_id, r.text) for r in documents.collect()]
+    assert got(S.near_duplicates(with_clashes(documents))) == by_brute_force(rows)
+
+
+def test_odd_rows(docs_of):
+    rows = [(5, None), (3, ""), (9, "a b c d e f"), (9, "a b c d e f"), (None, "a b c d e f"), (None, "only null ids here"), (7, "p q r s"), (None, None)]
+    assert got(S.near_duplicates(docs_of(*rows))) == by_brute_force(rows)
+    assert S.near_duplicates(docs_of()).count() == 0
+
+
+@pytest.mark.parametrize("settings", [S.Settings(bucket_rows=8), S.Settings(more_parts=2), S.Settings(more_parts=1, bucket_rows=4), S.Settings(distance=5), S.Settings(distance=0)])
+def test_hot_buckets_and_more_parts_find_the_same(spark, settings):
+    rng = np.random.default_rng(3)
+    base = rng.integers(0, 2**62, 30, dtype=np.uint64)
+    flips = lambda k: sum((np.uint64(1) << rng.integers(0, 63, 30, dtype=np.uint64)) for _ in range(k))
+    near_one = base[0] ^ (np.uint64(1) << np.arange(40, dtype=np.uint64))
+    values = np.unique(np.concatenate([base, base ^ flips(2), base ^ flips(4), base ^ flips(7), near_one])).astype(np.int64)
+    df = spark.createDataFrame([(int(v),) for v in values], "fp long")
+    roots = {r.node: r.root for r in components(S.links(df, settings)).collect()}
+    label = {int(v): int(v) for v in values}
+    changed = True
+    while changed:
+        changed = False
+        for a in values:
+            for b in values:
+                if bin(int(a) ^ int(b)).count("1") <= settings.distance and label[int(a)] > label[int(b)]:
+                    label[int(a)], changed = label[int(b)], True
+    assert {int(v): roots.get(int(v), int(v)) for v in values} == label
+
+
+def test_components_of_chains_hubs_and_nothing(spark):
+    edges = [(k, k + 1) for k in range(40)] + [(100, k) for k in range(101, 160)] + [(200, 200)]
+    out = {r.node: r.root for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert {k: v for k, v in out.items() if k <= 40} == {k: 0 for k in range(41)}
+    assert {k: v for k, v in out.items() if k >= 100} == {k: 100 for k in range(100, 160)}
+    assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_one_of_each(docs_of, with_clashes):
+    a, b = "alpha beta gamma delta epsilon zeta", "one two three four five six seven"
+    docs = with_clashes(docs_of((4, a), (2, a), (2, a), (2, b), (1, b), (None, a), (None, "null ids only"), (None, "null ids only"), (8, None), (9, "")))
+    out = S.one_of_each(docs)
+    assert out.columns == docs.columns
+    assert sorted(((r.doc_id, r.text) for r in out.collect()), key=str) == sorted([(2, a), (1, b), (None, "null ids only"), (8, None)], key=str)
