@@ -1,0 +1,73 @@
+import numpy as np
+import pytest
+
+from backlog.llm import language as G
+
+TEXT = {
+    "en": "the water of the river that was there with them and the other thing which they thought",
+    "de": "das wasser ist nicht auf der strasse und die schönen häuser sind für den könig zwischen",
+    "fr": "les eaux de la rivière étaient là où nous avons été avec le garçon français très heureux",
+}
+
+
+def page(lang, n=12, declared=True, seed=0):
+    words = np.random.default_rng(seed).permutation(TEXT[lang].split())[:n]
+    return f"<html{f' lang=\"{lang}-XX\"' if declared else ''}><script>var the = 'the the the'</script><p>{' '.join(words)}</p></html>"
+
+
+@pytest.fixture(scope="module")
+def model(docs_of):
+    return G.text_model(docs_of(*[(k, TEXT[x], x) for k, x in enumerate(list(TEXT) * 20)], (99, "x", None)))
+
+
+def pages(spark, rows):
+    return spark.createDataFrame(rows, "page_id long, url string, html string")
+
+
+def test_text_model(model):
+    assert model.languages == ["de", "en", "fr"]
+    for lang, text in TEXT.items():
+        assert model.languages[int(model.log_likelihood(text, 60).argmax())] == lang
+    assert model.log_likelihood(None, 60).tolist() == [0, 0, 0] == model.log_likelihood("ab", 60).tolist()
+
+
+def test_texts_and_hosts(spark, model, with_clashes):
+    rows = [(k, f"http://{lang}.site.org/{k}", page(lang, seed=k)) for k, lang in enumerate(list(TEXT) * 30)]
+    # No text, no declaration: only the host tells, or the suffix.
+    rows += [(200, "http://de.site.org/empty", ""), (201, "http://fr.site.org/null", None), (202, None, page("de", declared=False)), (203, None, None), (204, "no url", page("fr")), (0, rows[0][1], rows[0][2])]
+    out = {}
+    for r in G.identify_pages(with_clashes(pages(spark, rows)), model).collect():
+        out.setdefault(r.page_id, []).append(r)
+    assert all(out[k][0].language == lang for k, lang in enumerate(list(TEXT) * 30)) and len(out[0]) == 2
+    assert [out[k][0].language for k in (200, 201, 202, 204)] == ["de", "fr", "de", "fr"]
+    assert 0 < out[203][0].probability < 0.9
+
+
+def test_posterior_against_the_definition(spark, model):
+    s = G.Settings()
+    rows = [(k, f"http://{h}/", page(lang, 3, declared, k)) for k, (h, lang, declared) in enumerate(
+        [("a.x.com", "en", True), ("a.x.com", "en", False), ("b.x.com", "de", True), ("c.org", "fr", True), ("a.x.com", "de", False)] * 3
+    )]
+    ll = np.array([model.log_likelihood(G.plain_text(h), s.effective_trigrams) for *_, h in rows])
+    p = np.exp(ll + model.log_share)
+    p /= p.sum(1, keepdims=True)
+    host = np.array([u.split("/")[2] for _, u, _ in rows])
+    domain, suffix = np.array([".".join(h.split(".")[-2:]) for h in host]), np.array([h.split(".")[-1] for h in host])
+    said = np.array([h[12:14] if "lang" in h[:12] else "none" for *_, h in rows])
+    a, g = s.smoothing, p.sum(0) / len(p)
+    for r in G.identify_pages(pages(spark, rows), model).collect():
+        k = r.page_id
+        of = lambda x: p[x == x[k]].sum(0)
+        n = lambda x: (x == x[k]).sum()
+        by_domain = (of(domain) - p[k] + a * g) / (n(domain) - 1 + a)
+        prior = (of(host) - p[k] + a * by_domain) / (n(host) - 1 + a)
+        declared = (of(said) + a / (len(g) + 2)) / (p.sum(0) + a)
+        address = (of(suffix) + a * n(suffix) / len(p)) / (p.sum(0) + a)
+        f = np.exp(ll[k] - ll[k].max()) * declared * address * prior
+        assert r.language == model.languages[int(f.argmax())] and r.probability == pytest.approx(f.max() / f.sum(), rel=1e-6)
+
+
+def test_no_labels_and_no_pages(spark, docs_of, model):
+    none = G.text_model(docs_of((1, "x", None)))
+    assert G.identify_pages(pages(spark, [(1, "http://x.org", "y")]), none).first() == (1, None, None)
+    assert G.identify_pages(pages(spark, []), model).count() == 0
