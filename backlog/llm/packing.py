@@ -34,8 +34,7 @@ class WordIds:
     """Little-endian ids of each word, worked out once.
 
     The tokenizer drops white space and never joins what stands on its two sides, so a text's ids are those
-    of its words in a row. It also parts letters from punctuation, so a word of letters with ASCII punctuation
-    around it is looked up by its parts; letters are one unit to it and end in a token that ends a word.
+    of its words in a row. To it, letters are one unit, and so is the ASCII punctuation before or after them.
     """
 
     def __init__(self, path: str, most: int = 900_000):
@@ -48,34 +47,32 @@ class WordIds:
     def encoded(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def learn_letters(self, words: list[str]) -> None:
-        """Ids of words of letters alone, many in a call."""
-        for k in range(0, len(words), 500):
-            part = words[k:k + 500]
-            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, "<u4")
+    def learn(self, words: set[str]) -> None:
+        """Ids of words, many in a call: each unit ends in a token that ends a word, so units can be counted."""
+        counted = []
+        for w in words:
+            units = 1
+            if not (w.isascii() and w.isalpha()):
+                core = w.strip(PUNCTUATION)
+                lead = w[:w.index(core)] if core else w
+                if not (core.isalpha() and core.lower().isalpha()) or "'" in lead or "<|" in w:
+                    self.ids[w] = self.encoded(w)
+                    continue
+                units += bool(lead) + (len(lead) + len(core) < len(w))
+            counted.append((w, units))
+        for k in range(0, len(counted), 500):
+            part = counted[k:k + 500]
+            text = " ".join([w for w, _ in part])
+            ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
             last = np.flatnonzero(self.ends[np.minimum(ids, len(self.ends) - 1)]) + 1
-            if len(last) != len(part):
-                self.ids.update((w, self.encoded(w)) for w in part)
+            upto = np.cumsum([units for _, units in part])
+            if len(last) != upto[-1]:
+                self.ids.update((w, self.encoded(w)) for w, _ in part)
                 continue
             data, at = ids.tobytes(), 0
-            for w, end in zip(part, (4 * last).tolist()):
+            for (w, _), end in zip(part, (4 * last[upto - 1]).tolist()):
                 self.ids[w], at = data[at:end], end
 
-    def learn(self, words: set[str]) -> None:
-        split = []
-        for w in words:
-            core = w.strip(PUNCTUATION)
-            lead = w[:w.index(core)] if core else w
-            if core.isalpha() and core.lower().isalpha() and "'" not in lead and "<|" not in w:
-                split.append((w, lead, core, w[len(lead) + len(core):]))
-            else:
-                self.ids[w] = self.encoded(w)
-        self.learn_letters(sorted({core for *_, core, _ in split if core not in self.ids}))
-        for part in {part for _, lead, _, trail in split for part in (lead, trail) if part not in self.ids}:
-            self.ids[part] = self.encoded(part)
-        for w, lead, core, trail in split:
-            self.ids[w] = self.ids[lead] + self.ids[core] + self.ids[trail]
-
     def of(self, text: str | None) -> bytes:
         words = (text or "").replace("\n", " ").replace("\t", " ").split(" ")
         if missing := set(words).difference(self.ids):
