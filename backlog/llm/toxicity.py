@@ -11,10 +11,12 @@ are not read; language, source and ids are no input of a score.
 
 from __future__ import annotations
 
+import pickle
 import re
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -126,10 +128,29 @@ def _sums(values: np.ndarray, starts: np.ndarray, n: int) -> np.ndarray:
     return total[np.append(starts[1:], n)] - total[starts]
 
 
+def _fitted(rows: list[tuple[int, np.ndarray]], settings: Settings) -> Machine:
+    """A machine for (toxic, hashed terms) rows."""
+    toxic = np.array([y for y, _ in rows], np.float32)
+    share = float(toxic.mean()) if len(toxic) else 0.0
+    if not 0 < share < 1:
+        return Machine(settings, np.zeros(0, np.int64), 30.0 if share else -30.0)
+    numbers, counts = np.unique(np.concatenate([x for _, x in rows]), return_counts=True)
+    in_toxic = np.bincount(np.searchsorted(numbers, np.concatenate([x for y, x in rows if y])), minlength=len(numbers))
+    n, n_toxic = len(toxic), toxic.sum()
+    common = counts / n
+    error = np.sqrt(common * (1 - common) * (1 / n_toxic + 1 / (n - n_toxic)) + 1e-12)
+    z = (in_toxic / n_toxic - (counts - in_toxic) / (n - n_toxic)) / error
+    numbers = numbers[(counts >= settings.least_docs) & (np.abs(z) >= settings.least_z)]
+    machine = Machine(settings, numbers, float(np.log(share / (1 - share))))
+    known = [np.searchsorted(numbers, x[np.isin(x, numbers)]) for _, x in rows]
+    return machine.fit(known, toxic)
+
+
 def train(docs: DataFrame, labels: DataFrame, may_learn: Column, settings: Settings = Settings()) -> Machine:
     """Fit on the labelled documents for which `may_learn`, an expression over doc_id, is true.
 
-    The driver gets at most settings.rows rows, of one 8-byte number for each term.
+    One task fits the model: it gets at most settings.rows rows, of 8 bytes for each term; the driver gets the
+    model.
     """
     chosen = (
         labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull()).where(may_learn)
@@ -140,32 +161,24 @@ def train(docs: DataFrame, labels: DataFrame, may_learn: Column, settings: Setti
 
     def run(batches):
         for batch in batches:
-            found = [sorted(hashed(t, bits) for t in terms(text)) for text in batch.column(1).to_pylist()]
+            found = [np.array(sorted(hashed(t, bits) for t in terms(text)), "<i8").tobytes() for text in batch.column(1).to_pylist()]
             yield {"terms": found, "toxic": batch.column(2), "id": batch.column(0)}
 
-    picked = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("labelled")).select("doc_id", "text", "toxic")
-    rows = sorted(
-        ((i, y, np.array(x, np.int64)) for i, y, x in arrow_map(picked, run, "id long, toxic int, terms array<long>").select("id", "toxic", "terms").toPandas().itertuples(index=False)),
-        key=lambda r: (r[0], len(r[2]), r[1]),
-    )
-    toxic = np.array([y for _, y, _ in rows], np.float32)
-    share = float(toxic.mean()) if len(toxic) else 0.0
-    if not 0 < share < 1:
-        bias = 30.0 if share else -30.0
-        return Machine(settings, np.zeros(0, np.int64), bias)
-    everything = np.concatenate([x for _, _, x in rows])
-    numbers, counts = np.unique(everything, return_counts=True)
-    in_toxic = np.bincount(
-        np.searchsorted(numbers, np.concatenate([x for _, y, x in rows if y])), minlength=len(numbers)
-    )
-    n, n_toxic = len(toxic), toxic.sum()
-    common = counts / n
-    error = np.sqrt(common * (1 - common) * (1 / n_toxic + 1 / (n - n_toxic)) + 1e-12)
-    z = (in_toxic / n_toxic - (counts - in_toxic) / (n - n_toxic)) / error
-    numbers = numbers[(counts >= settings.least_docs) & (np.abs(z) >= settings.least_z)]
-    machine = Machine(settings, numbers, float(np.log(share / (1 - share))))
-    known = [np.searchsorted(numbers, x[np.isin(x, numbers)]) for _, _, x in rows]
-    return machine.fit(known, toxic)
+    def fit(rows: pd.DataFrame) -> pd.DataFrame:
+        # In the same order whichever tasks they came from; a document may have several rows.
+        ordered = sorted(zip(rows.id, rows.terms, rows.toxic))
+        machine = _fitted([(int(y), np.frombuffer(x, "<i8")) for _, x, y in ordered], settings)
+        return pd.DataFrame({"model": [pickle.dumps((machine.numbers, machine.bias, machine.weights, machine.factors))]})
+
+    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    picked = own.join(F.broadcast(chosen), F.col("doc_id") == F.col("labelled")).select("doc_id", "text", "toxic")
+    models = arrow_map(picked, run, "id long, toxic int, terms binary").groupBy(F.lit(1)).applyInPandas(fit, "model binary").collect()
+    if not models:
+        return _fitted([], settings)
+    numbers, bias, weights, factors = pickle.loads(bytes(models[0].model))
+    machine = Machine(settings, numbers, bias)
+    machine.weights, machine.factors = weights, factors
+    return machine
 
 
 def scored(docs: DataFrame, machine: Machine) -> DataFrame:
