@@ -172,7 +172,7 @@ def train(docs: DataFrame, labels: DataFrame, may_learn: Column, settings: Setti
 
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     picked = own.join(F.broadcast(chosen), F.col("doc_id") == F.col("labelled")).select("doc_id", "text", "toxic")
-    models = arrow_map(picked, run, "id long, toxic int, terms binary").groupBy(F.lit(1)).applyInPandas(fit, "model binary").collect()
+    models = arrow_map(picked, run, "id long, toxic int, terms binary").groupBy(F.lit("all")).applyInPandas(fit, "model binary").collect()
     if not models:
         return _fitted([], settings)
     numbers, bias, weights, factors = pickle.loads(bytes(models[0].model))
