@@ -5,6 +5,15 @@ All cells are read as text; `operators.shape` gives them their types.
 
 from __future__ import annotations
 
+import csv
+import io
+import sys
+from collections.abc import Iterable, Iterator
+from functools import reduce
+from itertools import islice
+
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,19 +22,37 @@ from backlog.operators.shape import flatten_columns, name_header_levels
 
 # A snapshot sheet has two title rows above its two header rows.
 TITLE_ROWS, HEADER_ROWS = 2, 2
-MAX_COLUMNS = 128
 
 FILE_NAME = "_file_name"
+_RECORDS = "path string, record long, cells array<string>"
 
+# The record reader travels to the executors by value, so they need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-def _read_cells(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Every record of the files as text cells by position, whatever its length.
 
-    Header cells contain line breaks, so records may span lines: the files are read in
-    parallel, each by one task.
+def _parsed(batches: Iterable[pa.RecordBatch], skip: int, take: int | None) -> Iterator[pa.RecordBatch]:
+    """Records `skip` to `skip + take` of each file (path, content), numbered, as text cells; empty cells are null.
+
+    Lines without any cell are no records. A quoted cell may hold line ends, so a file is read by one task.
     """
-    schema = ", ".join(f"_c{i} string" for i in range(MAX_COLUMNS))
-    return spark.read.csv(path, schema=schema, multiLine=True, escape='"')
+    csv.field_size_limit(1 << 30)
+    target = pa.schema([("path", pa.string()), ("record", pa.int64()), ("cells", pa.list_(pa.string()))])
+    for batch in batches:
+        for path, content in zip(batch.column(0).to_pylist(), batch.column(1)):
+            lines = io.TextIOWrapper(io.BytesIO(content.as_py()), encoding="utf-8-sig", newline="")
+            records = enumerate(r for r in csv.reader(lines) if r)
+            wanted = islice(records, skip, None if take is None else skip + take)
+            while part := list(islice(wanted, 5_000)):
+                cells = [[c if c != "" else None for c in cells] for _, cells in part]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([path] * len(part)), pa.array([n for n, _ in part], pa.int64()), pa.array(cells, pa.list_(pa.string()))],
+                    schema=target,
+                )
+
+
+def _records(spark: SparkSession, paths: str | list[str], skip: int = 0, take: int | None = None) -> DataFrame:
+    files = spark.read.format("binaryFile").load(paths).select("path", "content")
+    return files.mapInArrow(lambda batches: _parsed(batches, skip, take), _RECORDS)
 
 
 def read_snapshot(
@@ -36,24 +63,28 @@ def read_snapshot(
 ) -> DataFrame:
     """One or many dated CSV exports of one sheet, under flattened headers, with `_file_name`.
 
-    The header comes from the first file; the files of one sheet have one layout. Title and
-    header records are dropped from every file by what they hold, as rows have no order.
+    Every file is read under its own header, however wide; files of one layout together, and the layouts
+    are stacked by column name. Title and header records are told by their place in the file.
     """
-    cells = _read_cells(spark, path)
-    first = _read_cells(spark, cells.inputFiles()[0])
-    head = [tuple(r) for r in first.limit(title_rows + header_rows).collect()]
-    header = head[title_rows:]
-    width = max(i for row in header for i, cell in enumerate(row) if cell is not None) + 1
-    names = flatten_columns(name_header_levels([list(row[:width]) for row in header]))
-
-    used = [f"_c{i}" for i in range(width)]
-    rows = cells.select(*used, F.col("_metadata.file_name").alias(FILE_NAME))
-    for row in header:
-        same = [F.col(c).eqNullSafe(F.lit(value)) for c, value in zip(used, row)]
-        rows = rows.where(~_all(same))
-    # A title fills the first cell alone, an empty record none.
-    rows = rows.where(F.coalesce(*used[1:]).isNotNull())
-    return rows.toDF(*names, FILE_NAME)
+    layouts: dict[tuple[str, ...], list[str]] = {}
+    heads: dict[str, list[list[str | None]]] = {}
+    for row in _records(spark, path, title_rows, header_rows).orderBy("path", "record").collect():
+        heads.setdefault(row.path, []).append(list(row.cells))
+    for file, header in heads.items():
+        width = max((i + 1 for row in header for i, cell in enumerate(row) if cell is not None), default=0)
+        levels = [(row + [None] * width)[:width] for row in header]
+        layouts.setdefault(tuple(flatten_columns(name_header_levels(levels))), []).append(file)
+    if not layouts:
+        raise ValueError(f"no sheet with a header in {path}")
+    frames = [_under(spark, list(names), files, title_rows + header_rows) for names, files in layouts.items()]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+
+
+def _under(spark: SparkSession, names: list[str], files: list[str], skip: int) -> DataFrame:
+    """The records of files of one layout; those without any filled cell are none."""
+    rows = _records(spark, files, skip).where(F.exists("cells", lambda c: c.isNotNull()))
+    cells = [F.try_element_at("cells", F.lit(i + 1)).alias(name) for i, name in enumerate(names)]
+    return rows.select(*cells, F.regexp_extract("path", "[^/]+$", 0).alias(FILE_NAME))
 
 
 def read_cluster(spark: SparkSession, sheets: dict[str, str]) -> dict[str, DataFrame]:
@@ -82,9 +113,3 @@ def newest_file_rows(df: DataFrame) -> DataFrame:
     newest = df.select(F.max(file_date())).scalar()
     return df.where(file_date() == newest)
 
-
-def _all(conditions: list[Column]) -> Column:
-    result = conditions[0]
-    for condition in conditions[1:]:
-        result = result & condition
-    return result

@@ -174,3 +174,24 @@ def test_snapshot_date_is_never_today(spark):
     raw = spark.createDataFrame([("Z1",)], "`Unnamed: 1_level_0 Queue Position` string")
     shaped = shape.shape_snapshot(raw, F.to_date(F.lit("2020-02-03")))
     assert shaped.first().ingestion_date == date(2020, 2, 3)
+
+
+def test_every_file_under_its_own_header(spark, tmp_path):
+    """140 columns, two layouts, a title with two cells, rows of other lengths, a clash with a header."""
+    def write(name, header, records):
+        with open(tmp_path / name, "w", newline="") as f:
+            csv.writer(f).writerows([["Title one", "as of 2025"], ["Title two"], ["G"] * len(header), header, *records])
+
+    write("queue-report-01062025.csv", ["Queue Position", "MW-1", *[f"Extra {k}" for k in range(138)]], [["1", "10", *map(str, range(138))], ["2"], [""]])
+    write("queue-report-01132025.csv", ["Queue Position", "Project County", "MW-1", "State"], [["3", "Kern", "30", "CA", "beyond"], ["Queue Position", "", "", ""], ["Title one", "as of 2025"]])
+    raw = sheets.read_snapshot(spark, f"{tmp_path}/*.csv")
+    key, wide = raw.columns[0], raw.columns[139]
+    assert len(raw.columns) == 140 + 2 + 1
+    got = {r[key]: r.asDict() for r in raw.collect()}
+    assert set(got) == {"1", "2", "3", "Queue Position", "Title one"}
+    assert got["1"][wide] == "137" and got["2"][wide] is None and got["1"]["_file_name"] == "queue-report-01062025.csv"
+    mw = next(c for c in raw.columns if "MW-1" in c)
+    assert (got["1"][mw], got["3"][mw]) == ("10", "30")
+    placed = shape.shape_snapshot(raw, sheets.file_date())
+    assert [r.latitude for r in placed.where(f"`{key}` = '3'").collect()] == [35.3425]
+    assert not {"county", "state"} & set(placed.columns)
