@@ -133,35 +133,34 @@ COUNTY_FIXES = {
     "HYDER": "GOODING",
 }
 
-# Above this many places a literal map in every row's expression costs more than a join.
-MAX_MAP_PLACES = 512
-
 _MAP_TYPE = "map<string,struct<lat:double,lon:double>>"
 _CENTROID_SCHEMA = "state string, county string, lat double, lon double"
 
 
 @dataclass(frozen=True)
 class Places:
-    """Known places: a short list when they are few, else the dimension to join."""
+    """Known places: the fixed list, which is a constant of the plan, or a dimension to join.
+
+    Both answer alike. A place listed twice counts as last listed, and a name in a state that is not
+    listed means the last place of that name. The order of a dimension is its `place_no`, or else that
+    of its rows' values.
+    """
 
-    listed: list[tuple[str, str, float, float]] | None
+    listed: list[tuple[str | None, str, float, float]] | None
     dimension: DataFrame | None = None
 
     @classmethod
     def of(cls, dimension: DataFrame) -> Places:
-        """At most `MAX_MAP_PLACES` rows of a dimension are fetched to see whether it is short."""
-        rows = dimension.select("state", "county", "lat", "lon").limit(MAX_MAP_PLACES + 1).collect()
-        if len(rows) > MAX_MAP_PLACES:
-            return cls(None, dimension)
-        return cls(sorted((r.state.upper(), r.county.upper(), r.lat, r.lon) for r in rows))
+        return cls(None, dimension)
 
 
 FIXED_PLACES = Places(COUNTY_CENTROIDS)
 
 
 def county_centroids(spark: SparkSession) -> DataFrame:
-    """The fixed list as a dimension `(state, county, lat, lon)`, in list order."""
-    return spark.createDataFrame(COUNTY_CENTROIDS, _CENTROID_SCHEMA)
+    """The fixed list as a dimension `(state, county, lat, lon, place_no)`."""
+    rows = [(*place, number) for number, place in enumerate(COUNTY_CENTROIDS)]
+    return spark.createDataFrame(rows, f"{_CENTROID_SCHEMA}, place_no int")
 
 
 def _literal_map(entries: dict) -> Column:
@@ -206,11 +205,11 @@ def _valid(lat: Column, lon: Column) -> Column:
 
 def _centroid_from_map(county: Column, state: Column, places: list) -> Column:
     """Mean of the known parts as `lat, lon`; both null when no part is known."""
-    in_state = {f"{s}|{c}": (lat, lon) for s, c, lat, lon in places}
-    for prefix in {f"{s}|" for s, *_ in places}:
+    in_state = {f"{s.upper()}|{c.upper()}": (lat, lon) for s, c, lat, lon in places if s is not None}
+    for prefix in {f"{s.upper()}|" for s, *_ in places if s is not None}:
         in_state = _with_written_names(in_state, prefix)
     exact = _literal_map(in_state)
-    by_name = _literal_map(_with_written_names({c: (lat, lon) for _, c, lat, lon in places}))
+    by_name = _literal_map(_with_written_names({c.upper(): (lat, lon) for _, c, lat, lon in places}))
     state_name = _state_key(state)
 
     def find(part: Column) -> Column:
@@ -253,11 +252,14 @@ def centroids_of_pairs(pairs: DataFrame, dimension: DataFrame, county: str, stat
     The pairs are made distinct before they are split, so what is shuffled is the number of
     different texts, not the number of projects.
     """
-    dim = dimension.select(
-        F.upper("state").alias("d_state"), F.upper("county").alias("d_county"), "lat", "lon"
+    order = "place_no" if "place_no" in dimension.columns else F.struct("state", "county", "lat", "lon")
+    ordered = dimension.select(
+        F.upper("state").alias("d_state"), F.upper("county").alias("d_county"),
+        F.struct("lat", "lon").alias("place"), F.struct(order).alias("place_order"),
     )
-    last = F.max_by(F.struct("lat", "lon"), F.col("d_state"))
-    by_name = dim.groupBy(F.col("d_county").alias("n_county")).agg(last.alias("n"))
+    last = F.max_by("place", "place_order")
+    dim = ordered.groupBy("d_state", "d_county").agg(last.alias("d")).select("d_state", "d_county", "d.*")
+    by_name = ordered.groupBy(F.col("d_county").alias("n_county")).agg(last.alias("n"))
     distinct = with_values(pairs.select(county, state), county, state).distinct()
     written = distinct.select(county, state, F.explode(county_names(F.col(county))).alias("part"))
     parts = written.withColumn("part", _meant(F.col("part")))
@@ -282,8 +284,8 @@ def centroids_of_pairs(pairs: DataFrame, dimension: DataFrame, county: str, stat
 def with_coordinates(df: DataFrame, places: Places = FIXED_PLACES) -> DataFrame:
     """Add `latitude, longitude` of `county, state`; unknown places and null keys stay null.
 
-    A short list of places becomes a constant map: every row is answered where it lies,
-    without a shuffle. A long one is joined.
+    The fixed list is a constant map: every row is answered where it lies, without a shuffle. A
+    dimension, whatever its size, is joined to the distinct pairs.
     """
     if places.listed is None:
         located = centroids_of_pairs(df, places.dimension, "county", "state")

@@ -84,3 +84,24 @@ def test_fixed_list(spark):
 def test_coverage(spark):
     df = spark.createDataFrame([("KERN", "CA"), ("X", "CA"), (None, None)], "county string, state string")
     assert rows(geo.coordinate_coverage(geo.with_coordinates(df))) == [(3, 1, 2)]
+
+
+def test_fixed_list_and_dimension_answer_alike(spark):
+    """Names alone mean the last place listed, also in states that have none of that name."""
+    pairs = [(c, s) for _, c, *_ in geo.COUNTY_CENTROIDS for s in ("CA", "OR", "ZZ")] + [(c, s) for s, c, *_ in geo.COUNTY_CENTROIDS]
+    df = spark.createDataFrame(pairs, "county string, state string")
+    columns = ["county", "state", "latitude", "longitude"]
+    by_map, by_join = (
+        sorted(rows(geo.with_coordinates(df, p).select(*columns))) for p in (geo.FIXED_PLACES, geo.Places.of(geo.county_centroids(spark)))
+    )
+    assert by_map == by_join
+    last = {c: (lat, lon) for _, c, lat, lon in geo.COUNTY_CENTROIDS}
+    assert {(c, (lat, lon)) for c, s, lat, lon in by_map if s == "ZZ" and c not in geo.COUNTY_FIXES} <= set(last.items())
+
+
+def test_places_listed_twice_and_without_state(spark):
+    listed = [("XX", "TWICE", 10.0, 1.0), ("XX", "TWICE", 20.0, 2.0), (None, "NOWHERE LAND", 5.0, 5.0)]
+    dim = spark.createDataFrame([(*r, k) for k, r in enumerate(listed)], geo._CENTROID_SCHEMA + ", place_no int")
+    for places in (geo.Places(listed), geo.Places.of(dim)):
+        assert located(spark, [("TWICE", "XX")], places) == [(20.0, 2.0)]
+        assert located(spark, [("Nowhere Land", "XX")], places) == [(5.0, 5.0)]
