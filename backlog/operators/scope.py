@@ -65,7 +65,8 @@ def projects_of(
     """The rows of one table that the family looks at."""
     df = tables.table(status, _needed(columns, family, study_processes))
     if family.latest_only:
-        df = latest_snapshot(df)
+        known = tables.newest_date(status)
+        df = latest_snapshot(df) if known is None else df.where(F.col(S.SNAPSHOT) == F.lit(known))
     return in_study_processes(df, study_processes)
 
 
@@ -78,5 +79,10 @@ def projects_of_all(
     """The rows of all three tables that the family looks at, with `status`."""
     df = tables.all_projects(["status", *_needed(columns, family, study_processes)])
     if family.latest_only:
-        df = latest_snapshot_per_status(df)
+        known = {status: tables.newest_date(status) for status in S.STATUSES}
+        if None in known.values():
+            df = latest_snapshot_per_status(df)
+        else:  # a constant for each table of the union, so each prunes its partitions
+            days = F.create_map(*[F.lit(x) for pair in known.items() for x in pair])
+            df = df.where(F.col(S.SNAPSHOT) == F.try_element_at(days, F.col("status")))
     return in_study_processes(df, study_processes)

@@ -91,7 +91,7 @@ def shape_snapshot(
     """
     fuels = [c for c in columns_containing(df, "fuel") if c != "fuel_types"]
     dated = with_fuel_types(df, fuels).withColumn(S.SNAPSHOT, _day(snapshot_date))
-    return _locate(cast_known_columns(rename_columns(dated)), places)
+    return locate(cast_known_columns(rename_columns(dated)), places)
 
 
 def _shape_cluster_sheet(df: DataFrame, status: str, snapshot_date: date | Column) -> DataFrame:
@@ -123,7 +123,7 @@ def shape_cluster(
     if not frames:
         raise ValueError("no known cluster sheet among " + ", ".join(map(repr, sheets)))
     stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
-    return stacked if places is None else _locate(stacked, places)
+    return stacked if places is None else locate(stacked, places)
 
 
 def _day(snapshot_date: date | Column) -> Column:
@@ -131,8 +131,16 @@ def _day(snapshot_date: date | Column) -> Column:
     return day.cast("date")
 
 
-def _locate(df: DataFrame, places: Places) -> DataFrame:
-    if "county" in df.columns and "state" in df.columns:
-        return with_coordinates(df, places)
-    nowhere = F.lit(None).cast("double")
-    return df.withColumns({"latitude": nowhere, "longitude": nowhere})
+def _named(df: DataFrame, name: str) -> str | None:
+    """The column of that name, or else the first whose name contains it."""
+    return name if name in df.columns else next(iter(columns_containing(df, name)), None)
+
+
+def locate(df: DataFrame, places: Places) -> DataFrame:
+    """Coordinates by the county and state columns; null where the table has none."""
+    found = {name: _named(df, name) for name in ("county", "state")}
+    if None in found.values():
+        nowhere = F.lit(None).cast("double")
+        return df.withColumns({"latitude": nowhere, "longitude": nowhere})
+    added = {name: F.col(f"`{c}`").cast("string") for name, c in found.items() if c != name}
+    return with_coordinates(df.withColumns(added) if added else df, places).drop(*added)

@@ -1,30 +1,39 @@
-"""Stored project tables: Parquet partitioned by snapshot date, one folder per load.
+"""Stored project tables: Parquet by snapshot date, and a commit record for each version.
 
 An upsert empties partitions of older snapshots. Overwriting partitions in place would leave
-those behind and expose readers to half a load, so a load writes a new version next to the old
-one and then commits it; readers take the newest committed version. A load that dies leaves a
-folder nobody reads.
+those behind and expose readers to half a load, so a load writes the days it changes next to the old
+ones and then commits a record of where each day is; readers follow the newest record. A load that
+dies leaves a folder nobody reads; of two loads on top of the same version the second fails.
 """
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Sequence
-from datetime import date
+from datetime import date, timedelta
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from backlog import schema as S
 from backlog.operators import snapshots
-from backlog.operators.shape import drop_blank_keys
+from backlog.operators.geo import FIXED_PLACES
+from backlog.operators.shape import drop_blank_keys, locate, rename_columns
 from backlog.sources.tables import ProjectTables
 
-_COMMITS = T.StructType([T.StructField("version", T.LongType())])
+class VersionTaken(RuntimeError):
+    """Another load has committed first; load again on top of it."""
 
 
 class StoredTable:
-    """One project table under `root/name` in a file system all executors share."""
+    """One project table under `root/name` in a file system all executors share.
+
+    `data/load=<id>/ingestion_date=<day>` holds what one load wrote; `commits/<version>.json` says which load
+    holds each day, and the columns. A load writes the days that it changes and points at the others.
+    """
 
     def __init__(self, spark: SparkSession, root: str, name: str, schema: T.StructType):
         self.spark = spark
@@ -32,80 +41,170 @@ class StoredTable:
         self._schema = schema
         self._path = f"{root}/{name}"
 
-    def _files(self):
-        """The file system the table is on, and its folder, as Hadoop sees them."""
-        folder = self.spark._jvm.org.apache.hadoop.fs.Path(self._path)
-        return folder.getFileSystem(self.spark._jsc.hadoopConfiguration()), folder
+    def _at(self, *parts: str):
+        """The file system the table is on, and a path below its folder, as Hadoop sees them."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path("/".join((self._path, *parts)))
+        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()), path
+
+    def _names(self, *parts: str) -> list[str]:
+        files, folder = self._at(*parts)
+        return [s.getPath().getName() for s in files.listStatus(folder)] if files.exists(folder) else []
+
+    def _versions(self) -> list[int]:
+        return sorted(int(n.removesuffix(".json")) for n in self._names("commits") if n.endswith(".json"))
 
     def version(self) -> int | None:
         """The newest committed version; None before the first load."""
-        files, folder = self._files()
-        if not files.exists(self.spark._jvm.org.apache.hadoop.fs.Path(folder, "commits")):
-            return None
-        commits = self.spark.read.schema(_COMMITS).parquet(f"{self._path}/commits")
-        return commits.agg(F.max("version")).first()[0]
+        return max(self._versions(), default=None)
 
-    def _data(self, version: int) -> str:
-        return f"{self._path}/v={version}"
+    def _data(self, load: str | int) -> str:
+        return f"{self._path}/data/load={load}"
+
+    def _manifest(self, version: int | None) -> tuple[dict[str, str], T.StructType]:
+        """The load that holds each day, by the name of the day's folder; and the columns."""
+        if version is None:
+            return {}, self._schema
+        files, path = self._at("commits", f"{version}.json")
+        stream = files.open(path)
+        try:
+            text = self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+        commit = json.loads(text)
+        return commit["days"], T.StructType.fromJson(commit["schema"])
 
     def exists(self) -> bool:
         return self.version() is not None
 
-    def read(self) -> DataFrame:
+    def newest_date(self, version: int | None = None) -> date | None:
+        """The newest snapshot date, from the commit record alone."""
+        version = self.version() if version is None else version
+        days = [d for d in map(_day_of, self._manifest(version)[0]) if d is not None]
+        return max(days, default=None)
+
+    def read(self, version: int | None = None) -> DataFrame:
         """The table as of its newest version; an empty one before the first load."""
-        version = self.version()
-        if version is None:
-            return self.spark.createDataFrame([], self._schema)
-        stored = self.spark.read.parquet(self._data(version))
-        return stored.withColumn(S.SNAPSHOT, F.col(S.SNAPSHOT).cast("date"))
+        version = self.version() if version is None else version
+        days, schema = self._manifest(version)
+        if not days:
+            return self.spark.createDataFrame([], schema)
+        stored = T.StructType([f for f in schema if f.name != S.SNAPSHOT] + [T.StructField("load", T.StringType()), T.StructField(S.SNAPSHOT, T.DateType())])
+        paths = [f"{self._data(load)}/{day}" for day, load in days.items()]
+        return self.spark.read.schema(stored).option("basePath", f"{self._path}/data").parquet(*paths).select(*schema.names)
+
+    def _write(self, df: DataFrame) -> dict[str, str]:
+        """Write rows as one load. Rebalanced by date: few files per small snapshot, many tasks for a large one."""
+        load = uuid.uuid4().hex
+        df.hint("rebalance", S.SNAPSHOT).write.partitionBy(S.SNAPSHOT).parquet(self._data(load))
+        return {day: load for day in self._names("data", f"load={load}") if day.startswith(f"{S.SNAPSHOT}=")}
+
+    def _commit(self, base: int | None, days: dict[str, str], schema: T.StructType) -> int:
+        """Make version base + 1 out of the days; fails if there is one, as it is not built on that."""
+        version = (base or 0) + 1
+        files, path = self._at("commits", f"{version}.json")
+        try:
+            stream = files.create(path, False)
+        except Py4JJavaError as error:
+            if "AlreadyExists" in str(error.java_exception):
+                raise VersionTaken(f"version {version} of {self.name} is there already") from error
+            raise
+        try:
+            stream.write(bytearray(json.dumps({"days": days, "schema": schema.jsonValue()}).encode()))
+        finally:
+            stream.close()
+        return version
 
-    def replace(self, df: DataFrame) -> int:
-        """Write and commit the next version.
+    def _change(self, base: int | None, touched: set[str], rows: DataFrame) -> int:
+        """Commit `rows` in place of the touched days."""
+        days, schema = self._manifest(base)
+        kept = {day: load for day, load in days.items() if day not in touched}
+        known = set(schema.names)
+        schema = T.StructType([*(schema if kept else []), *[f for f in rows.schema if not kept or f.name not in known]])
+        return self._commit(base, kept | self._write(rows), schema)
 
-        Rebalanced by date: few files per small snapshot, many tasks for a large one.
-        """
-        version = (self.version() or 0) + 1
-        df.hint("rebalance", S.SNAPSHOT).write.mode("overwrite").partitionBy(S.SNAPSHOT).parquet(self._data(version))
-        commit = self.spark.createDataFrame([(version,)], _COMMITS)
-        commit.coalesce(1).write.mode("append").parquet(f"{self._path}/commits")
-        return version
+    def replace(self, df: DataFrame) -> int:
+        """Write and commit the whole table."""
+        base = self.version()
+        return self._commit(base, self._write(df), df.schema)
 
     def load(self, incoming: DataFrame, snapshot_date: date) -> int:
-        """Load one snapshot."""
-        return self.replace(snapshots.upsert(self._rebuilt(), incoming, snapshot_date))
+        """Load one snapshot; only its day and the days that lose keys are written."""
+        base = self.version()
+        stored, outdated = self._stored(base)
+        if outdated:
+            return self.replace(snapshots.upsert(stored, incoming, snapshot_date))
+        batch = drop_blank_keys(incoming).withColumn(S.SNAPSHOT, F.lit(snapshot_date))
+        touched = {snapshot_date, *_days(snapshots.superseded(stored, batch))}
+        rows = snapshots.upsert(_on(stored, touched), incoming, snapshot_date)
+        return self._change(base, set(map(_folder, touched)), rows)
 
     def load_dated(self, incoming: DataFrame) -> int:
         """Load rows of several snapshots, as if one after the other."""
-        return self.replace(snapshots.upsert_dated(self._rebuilt(), incoming))
+        base = self.version()
+        stored, outdated = self._stored(base)
+        if outdated:
+            return self.replace(snapshots.upsert_dated(stored, incoming))
+        batch = drop_blank_keys(incoming).where(F.col(S.SNAPSHOT).isNotNull())
+        touched = {*_days(batch), *_days(snapshots.superseded(stored, batch))}
+        rows = snapshots.upsert_dated(_on(stored, touched), incoming)
+        return self._change(base, set(map(_folder, touched)), rows)
 
     def retain(self, as_of: date, weeks: int = 52) -> int:
-        """forget the snapshots older than some weeks."""
-        return self.replace(snapshots.retain(self.read(), as_of, weeks))
+        """forget the snapshots older than some weeks; no data is written."""
+        base = self.version()
+        days, schema = self._manifest(base)
+        oldest = as_of - timedelta(weeks=weeks)
+        kept = {day: load for day, load in days.items() if (_day_of(day) or oldest) >= oldest}
+        return self._commit(base, kept, schema)
 
     def drop_old_versions(self, keep: int = 2) -> list[int]:
-        """Delete the folders of all but the newest committed versions; the latest always stays.
+        """Forget all but the newest committed versions, and delete the loads only they point at.
 
-        Keep as many as the longest-running reader may still be reading.
+        The latest always stays. Keep as many as the longest-running reader may still be reading.
         """
-        version = self.version()
-        if version is None:
-            return []
-        files, folder = self._files()
-        old = [s.getPath() for s in files.listStatus(folder) if s.getPath().getName().startswith("v=")]
-        old = [p for p in old if int(p.getName()[2:]) <= version - max(keep, 1)]
-        for path in old:
+        versions = self._versions()
+        old, kept = versions[:-max(keep, 1)], versions[-max(keep, 1):]
+        used = {load for v in kept for load in self._manifest(v)[0].values()}
+        unused = {load for v in old for load in self._manifest(v)[0].values()} - used
+        for parts in [*[("commits", f"{v}.json") for v in old], *[("data", f"load={load}") for load in unused]]:
+            files, path = self._at(*parts)
             files.delete(path, True)
-        return sorted(int(p.getName()[2:]) for p in old)
+        return old
 
     def duplicate_keys(self) -> DataFrame:
         """V8: keys stored more than once."""
         return snapshots.duplicate_keys(self.read())
 
-    def _rebuilt(self) -> DataFrame:
-        """A stored table of an outdated layout (no coordinates) is started afresh."""
-        stored = self.read()
-        current = {"latitude", "longitude"} <= set(stored.columns)
-        return stored if current else self.spark.createDataFrame([], self._schema)
+    def _stored(self, version: int | None) -> tuple[DataFrame, bool]:
+        """The stored rows in the current layout, and whether they are stored in an outdated one.
+
+        Headers that were stored raw get their column's name, and rows without coordinates are located.
+        """
+        stored = self.read(version)
+        missing = [h for h, name in S.HEADERS.items() if h in stored.columns and name not in stored.columns]
+        if missing:
+            stored = rename_columns(stored, {h: S.HEADERS[h] for h in missing})
+        if {"latitude", "longitude"} <= set(stored.columns):
+            return stored, bool(missing)
+        return locate(stored.drop("latitude", "longitude"), FIXED_PLACES), True
+
+
+def _folder(day: date | None) -> str:
+    return f"{S.SNAPSHOT}={'__HIVE_DEFAULT_PARTITION__' if day is None else day.isoformat()}"
+
+
+def _day_of(folder: str) -> date | None:
+    value = folder.partition("=")[2]
+    return None if value == "__HIVE_DEFAULT_PARTITION__" else date.fromisoformat(value)
+
+
+def _days(df: DataFrame) -> list[date]:
+    """The snapshot dates of some rows: one value for each load, not for each row."""
+    return [r[0] for r in df.select(S.SNAPSHOT).distinct().collect()]
+
+
+def _on(df: DataFrame, days: set[date]) -> DataFrame:
+    return df.where(F.col(S.SNAPSHOT).isin(sorted(days)))
 
 
 class StoredTables(ProjectTables):
@@ -120,8 +219,12 @@ class StoredTables(ProjectTables):
             for name in names
             if only is None or name in only
         }
-        present = {name: table.read() for name, table in self.stored.items() if table.exists()}
-        super().__init__(spark, present)
+        # One version of each table, for its rows and its newest date alike.
+        versions = {name: table.version() for name, table in self.stored.items()}
+        versions = {name: v for name, v in versions.items() if v is not None}
+        present = {name: self.stored[name].read(v) for name, v in versions.items()}
+        newest = {name: self.stored[name].newest_date(v) for name, v in versions.items()}
+        super().__init__(spark, present, {name: day for name, day in newest.items() if day is not None})
 
 
 def incoming_rows(df: DataFrame, schema: T.StructType = S.PROJECT_SCHEMA) -> DataFrame:

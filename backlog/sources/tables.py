@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import date
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,11 +13,21 @@ from backlog import schema as S
 
 
 class ProjectTables:
-    """The four project tables of one store. A table that is not there reads as empty."""
+    """The four project tables of one store. A table that is not there reads as empty.
 
-    def __init__(self, spark: SparkSession, frames: dict[str, DataFrame] | None = None):
+    `newest`: the newest snapshot date of a table, where its source knows it without reading rows.
+    """
+
+    def __init__(
+        self, spark: SparkSession, frames: dict[str, DataFrame] | None = None, newest: dict[str, date] | None = None
+    ):
         self.spark = spark
         self._frames = frames or {}
+        self._newest = newest or {}
+
+    def newest_date(self, status: str) -> date | None:
+        """The newest date of a status table; None where it has to be looked for."""
+        return self._newest.get(S.TABLE_OF_STATUS[status])
 
     def names(self) -> list[str]:
         """The tables that exist."""

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -12,6 +13,16 @@ from backlog.sources.sheets import FILE_NAME, file_date
 from backlog.sources.store import StoredTable, incoming_rows
 
 
+def _landed_schema(spark: SparkSession, landing: str, headers: list[str]) -> T.StructType:
+    """The columns of the files that have landed, unknown ones too, and the headers that none of them has."""
+    try:
+        landed = spark.read.option("mergeSchema", "true").parquet(landing).schema.fields
+    except AnalysisException:  # nothing has landed
+        landed = []
+    missing = [T.StructField(h, T.StringType()) for h in headers if h not in {f.name for f in landed}]
+    return T.StructType([*landed, *missing])
+
+
 def ingest_new_files(
     spark: SparkSession,
     landing: str,
@@ -29,12 +40,9 @@ def ingest_new_files(
     """
     if checkpoint is None:
         checkpoint = f"{spark.conf.get('spark.checkpoint.dir')}/ingest-{table.name}"
-    schema = T.StructType([T.StructField(h, T.StringType()) for h in headers])
-    files = (
-        spark.readStream.schema(schema)
-        .parquet(landing)
-        .withColumn(FILE_NAME, F.col("_metadata.file_name"))
-    )
+    schema = _landed_schema(spark, landing, headers)
+    text = [F.col(f"`{name}`").cast("string").alias(name) for name in schema.names]
+    files = spark.readStream.schema(schema).parquet(landing).select(*text, F.col("_metadata.file_name").alias(FILE_NAME))
 
     def load(batch: DataFrame, _: int) -> None:
         rows = incoming_rows(shape_snapshot(batch, file_date()).drop(FILE_NAME))

@@ -1,7 +1,7 @@
 from datetime import date
 
 import pytest
-from conftest import at, rows
+from conftest import at, plan, rows
 from pyspark.sql import functions as F
 
 from backlog import schema as S
@@ -9,7 +9,7 @@ from backlog.operators import browse, metrics
 from backlog.operators.scope import INTERACTIVE, REPORT
 from backlog.plans import reports
 from backlog.sources.reports import write_csv
-from backlog.sources.store import StoredTable, StoredTables, incoming_rows
+from backlog.sources.store import StoredTable, StoredTables, VersionTaken, incoming_rows
 from backlog.streaming.ingest import ingest_new_files
 
 D1, D2, D3 = date(2025, 1, 6), date(2025, 1, 13), date(2025, 1, 20)
@@ -77,9 +77,46 @@ def test_an_uncommitted_version_is_not_read(spark, tmp_path, make):
 
 def test_outdated_layout_is_rebuilt(spark, tmp_path, make):
     table = StoredTable(spark, str(tmp_path), "withdrawn_projects", S.PROJECT_SCHEMA)
-    table.replace(make([{"queue_position": "OLD", S.SNAPSHOT: D1}]))
+    raw_name = "Unnamed: 0_level_0 Project Name - Confidential"
+    old = make([{"queue_position": "OLD", "county": "KERN", "state": "CA", S.SNAPSHOT: D1}])
+    table.replace(old.withColumn(raw_name, F.lit("Old farm")))
     table.load(make([{"queue_position": "NEW", S.SNAPSHOT: D2}], *S.PROJECT_COLUMNS), D2)
-    assert [r.queue_position for r in table.read().collect()] == ["NEW"]
+    got = sorted(rows(table.read().select("queue_position", "project_name", "latitude", S.SNAPSHOT)))
+    assert got == [("NEW", None, None, D2), ("OLD", "Old farm", 35.3425, D1)]
+    assert raw_name not in table.read().columns
+
+
+def test_a_load_leaves_other_days_alone(spark, tmp_path, make):
+    table = StoredTable(spark, str(tmp_path), "grid_generation_queue", S.PROJECT_SCHEMA)
+
+    def load(day, *keys):
+        table.load(make([{"queue_position": k, "mw_1": 1.0, S.SNAPSHOT: day} for k in keys], *S.PROJECT_COLUMNS), day)
+
+    def files():
+        return {str(f): f.stat().st_mtime_ns for f in tmp_path.rglob("*.parquet")}
+
+    load(D1, "A", "B")
+    load(D2, "C", "D")
+    before, (days, _) = files(), table._manifest(2)
+    load(D3, "C", "E")  # takes C from the second day
+    after = files()
+    assert before.items() <= after.items()
+    assert {f.split("ingestion_date=")[1][:10] for f in after.keys() - before.keys()} == {str(D2), str(D3)}
+    assert table._manifest(3)[0][f"ingestion_date={D1}"] == days[f"ingestion_date={D1}"]
+    assert held(table) == [("A", D1, 1.0), ("B", D1, 1.0), ("C", D3, 1.0), ("D", D2, 1.0), ("E", D3, 1.0)]
+    assert table.newest_date() == D3
+    table.retain(D3 + (D2 - D1), weeks=2)
+    assert files() == after and held(table) == [("C", D3, 1.0), ("D", D2, 1.0), ("E", D3, 1.0)]
+
+
+def test_the_second_of_two_loads_fails(spark, tmp_path, make):
+    table = StoredTable(spark, str(tmp_path), "grid_generation_queue", S.PROJECT_SCHEMA)
+    batch = make([{"queue_position": "A", "mw_1": 1.0, S.SNAPSHOT: D1}], *S.PROJECT_COLUMNS)
+    base = table.version()
+    table.load(batch, D1)
+    with pytest.raises(VersionTaken):
+        table._commit(base, {}, S.PROJECT_SCHEMA)
+    assert held(table) == [("A", D1, 1.0)]
 
 
 def test_unknown_columns_are_kept(spark, tmp_path, make):
@@ -199,3 +236,21 @@ def test_stream_loads_each_file_once(spark, tmp_path):
     land(date(2024, 12, 30), project("A", 9), project("C", 9))  # late
     run()
     assert held(table) == [("A", date(2024, 12, 30), 9.0), ("A", D2, 4.0), ("B", D1, 2.0), ("C", date(2024, 12, 30), 9.0)]
+
+
+def test_stream_keeps_unknown_columns(spark, tmp_path):
+    landing = tmp_path / "landing"
+    landed = raw(spark, project("1", 100)).withColumn("Remark", F.lit("new")).withColumn("Number", F.lit(7))
+    landed.coalesce(1).write.parquet(f"{tmp_path}/part")
+    landing.mkdir()
+    (landing / "queue-report-01062025.parquet").write_bytes(next((tmp_path / "part").glob("*.parquet")).read_bytes())
+    table = StoredTable(spark, f"{tmp_path}/store", "grid_generation_queue", S.PROJECT_SCHEMA)
+    ingest_new_files(spark, str(landing), HEADERS, table, f"{tmp_path}/progress").awaitTermination()
+    assert rows(table.read().select("queue_position", "Remark", "Number")) == [("1", "new", "7")]
+
+
+def test_the_newest_date_comes_from_the_commit_record(store):
+    for question in (metrics.capacity_by_fuel(store, REPORT), metrics.status_counts(store, REPORT)):
+        text = plan(question)
+        assert "Subquery" not in text and text.count(f"(ingestion_date") >= 1 and str(D1) in text
+    assert store.newest_date(S.ACTIVE) == D1
