@@ -32,7 +32,8 @@ base AS (
     o_orderdate + INTERVAL '1' DAY * (o_orderkey % 40) + INTERVAL '1' HOUR * (7 + o_orderkey % 2) AS queue_date,
     CASE WHEN o_orderkey % 13 = 0 THEN NULL WHEN o_orderpriority = '1-URGENT' THEN 'C01'
          WHEN o_orderpriority = '2-HIGH' THEN 'C14' WHEN o_orderpriority = '3-MEDIUM' THEN 'TC'
-         WHEN o_orderpriority = '4-NOT SPECIFIED' THEN 'Serial LGIP' ELSE 'ISP' END AS study_process,
+         WHEN o_orderpriority = '4-NOT SPECIFIED' THEN 'Serial LGIP'
+         WHEN o_orderpriority = '5-LOW' THEN 'ISP' ELSE coalesce(o_orderpriority, 'ISP') END AS study_process,
     fuel_type_1, fuel_type_2, fuel_type_3, mw_1, mw_2, mw_3, net_mw,
     CASE o_orderkey % 7 WHEN 0 THEN n_name || '/NATION_0' WHEN 1 THEN ' ' || lower(n_name) || ' County '
          WHEN 2 THEN 'NOWHERE' WHEN 3 THEN NULL ELSE n_name END AS county,
@@ -82,6 +83,7 @@ cluster AS (
 _FILTER = "study_process IN ('C01', 'C14', 'TC')"
 _COLUMNS = ", ".join(COLUMNS)
 _KEPT = "status, queue_position, project_name, net_mw, ingestion_date"
+_AGAIN = "status, queue_position, project_name, net_mw + 1 AS net_mw, ingestion_date"
 _DAYS = "CAST(floor((epoch({b}) - epoch({a})) / 86400) AS BIGINT)"
 _LEAD = _DAYS.format(a="request_receive_date", b="queue_date")
 _DELAY = _DAYS.format(a="proposed_online_date", b="current_online_date")
@@ -187,7 +189,7 @@ _UPSERTED = """
 SELECT {kept} FROM filled e WHERE {existing} AND NOT EXISTS (
   SELECT 1 FROM filled i WHERE {incoming} AND i.status = e.status AND i.queue_position = e.queue_position
     AND e.ingestion_date < i.ingestion_date)
-UNION ALL SELECT {kept} FROM filled e WHERE {appended}"""
+UNION ALL SELECT {again} FROM filled e WHERE {appended}"""
 
 _SUPERSEDED = """
 SELECT status, ingestion_date, COUNT(*) AS superseded_rows FROM projects e
@@ -281,22 +283,24 @@ FROM (SELECT c_custkey, c_acctbal, CASE c_custkey % 5 WHEN 0 THEN CAST(c_acctbal
 SELECT status, ingestion_date, COUNT(*) AS kept_rows, SUM(net_mw) AS kept_mw FROM projects
 WHERE ingestion_date IS NULL OR ingestion_date >= DATE '2000-06-30' - 364 GROUP BY ALL""",
     "snapshot_upsert": _UPSERTED.format(
-        kept=_KEPT,
-        existing="ingestion_date < DATE '2001-01-01'",
+        kept=_KEPT, again=_AGAIN,
+        existing="ingestion_date IS DISTINCT FROM DATE '2001-01-01'",
         incoming="i.ingestion_date = DATE '2001-01-01'",
         appended="ingestion_date = DATE '2001-01-01'",
     ),
     "snapshot_upsert_late": _UPSERTED.format(
-        kept=_KEPT,
-        existing="ingestion_date <> DATE '1998-01-01'",
+        kept=_KEPT, again=_AGAIN,
+        existing="ingestion_date IS DISTINCT FROM DATE '1998-01-01'",
         incoming="i.ingestion_date = DATE '1998-01-01'",
         appended="ingestion_date = DATE '1998-01-01'",
     ),
     "snapshot_upsert_batch": _UPSERTED.format(
-        kept=_KEPT,
-        existing="ingestion_date IS NOT NULL",
+        kept=_KEPT, again=_AGAIN,
+        existing="coalesce(ingestion_date < DATE '1999-01-01', true)",
         incoming="i.ingestion_date >= DATE '1999-01-01'",
-        appended="false",
+        appended="""ingestion_date >= DATE '1999-01-01' AND NOT EXISTS (
+  SELECT 1 FROM filled i WHERE i.ingestion_date > e.ingestion_date AND i.status = e.status
+    AND i.queue_position = e.queue_position)""",
     ),
     "superseded_rows": _SUPERSEDED,
     "load_counts": f"""
@@ -304,11 +308,11 @@ SELECT (SELECT COUNT(*) FROM projects WHERE ingestion_date = DATE '2001-01-01')
   (SELECT COUNT(*) FROM projects WHERE ingestion_date = DATE '2001-01-01' AND coalesce(trim(queue_position), '') = '')
     AS rows_dropped,
   (SELECT COUNT(*) FROM filled WHERE ingestion_date = DATE '2001-01-01') AS rows_written,
-  0::BIGINT AS rows_replaced,
+  (SELECT COUNT(*) FROM filled WHERE ingestion_date = DATE '2001-01-01') AS rows_replaced,
   (SELECT CAST(SUM(superseded_rows) AS BIGINT) FROM ({_SUPERSEDED})) AS rows_superseded""",
     "duplicate_keys": """
-SELECT queue_position, COUNT(*) AS count FROM filled WHERE status = 'Active' GROUP BY queue_position
-HAVING COUNT(*) > 1 ORDER BY count DESC, queue_position LIMIT 10""",
+SELECT status, queue_position, COUNT(*) AS count FROM filled GROUP BY status, queue_position
+HAVING COUNT(*) > 1 ORDER BY count DESC, status, queue_position LIMIT 10""",
     "weekly_growth": """
 SELECT status, ingestion_date, weekly_mw,
   weekly_mw - lag(weekly_mw) OVER (PARTITION BY status ORDER BY ingestion_date) AS growth_mw

@@ -167,49 +167,48 @@ def retention(t):
     )
 
 
-def _before_and_at(t, day):
+def _again(rows):
+    """Rows to load, told from the stored ones of the same key and date by their MW."""
+    return rows.withColumn("net_mw", F.col("net_mw") + 1)
+
+
+def _stored_and_at(t, day):
+    """Everything as stored, rows of the day, newer and undated ones too; and the day's rows, loaded again."""
     rows = t.all_projects(KEPT_COLUMNS)
-    return rows.where(F.col(S.SNAPSHOT) < F.lit(day)), rows.where(F.col(S.SNAPSHOT) == F.lit(day))
+    return shape.drop_blank_keys(rows), _again(rows.where(F.col(S.SNAPSHOT) == F.lit(day)))
 
 
 @_register
 def snapshot_upsert(t):
-    existing, incoming = _before_and_at(t, LOAD_DATE)
-    return snapshots.upsert(shape.drop_blank_keys(existing), incoming, LOAD_DATE, TABLE_KEYS)
+    return snapshots.upsert(*_stored_and_at(t, LOAD_DATE), LOAD_DATE, TABLE_KEYS)
 
 
 @_register
 def snapshot_upsert_late(t):
-    rows = t.all_projects(KEPT_COLUMNS)
-    existing = shape.drop_blank_keys(rows.where(F.col(S.SNAPSHOT) != F.lit(LATE_DATE)))
-    incoming = rows.where(F.col(S.SNAPSHOT) == F.lit(LATE_DATE))
-    return snapshots.upsert(existing, incoming, LATE_DATE, TABLE_KEYS)
+    return snapshots.upsert(*_stored_and_at(t, LATE_DATE), LATE_DATE, TABLE_KEYS)
 
 
 @_register
 def snapshot_upsert_batch(t):
     rows = t.all_projects(KEPT_COLUMNS)
-    existing = shape.drop_blank_keys(rows.where(F.col(S.SNAPSHOT) < F.lit(BATCH_START)))
-    incoming = rows.where(F.col(S.SNAPSHOT) >= F.lit(BATCH_START))
-    return snapshots.upsert_dated(existing, incoming, TABLE_KEYS)
+    incoming = _again(rows.where(F.col(S.SNAPSHOT) >= F.lit(BATCH_START)))
+    return snapshots.upsert_dated(shape.drop_blank_keys(rows), incoming, TABLE_KEYS)
 
 
 @_register
 def superseded_rows(t):
-    existing, incoming = _before_and_at(t, LOAD_DATE)
-    gone = snapshots.superseded(existing, incoming, TABLE_KEYS)
+    gone = snapshots.superseded(*_stored_and_at(t, LOAD_DATE), TABLE_KEYS)
     return gone.groupBy("status", S.SNAPSHOT).agg(F.count("*").alias("superseded_rows"))
 
 
 @_register
 def load_counts(t):
-    existing, incoming = _before_and_at(t, LOAD_DATE)
-    return snapshots.load_counts(existing, incoming, LOAD_DATE, TABLE_KEYS)
+    return snapshots.load_counts(*_stored_and_at(t, LOAD_DATE), LOAD_DATE, TABLE_KEYS)
 
 
 @_register
 def duplicate_keys(t):
-    return snapshots.duplicate_keys(shape.drop_blank_keys(t.table(S.ACTIVE, [S.KEY])))
+    return snapshots.duplicate_keys(shape.drop_blank_keys(t.all_projects(list(TABLE_KEYS))), TABLE_KEYS)
 
 
 @_register

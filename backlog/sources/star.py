@@ -39,7 +39,8 @@ _FROM_ORDER = {
     "queue_date": f"o_orderdate + INTERVAL '1' DAY * (o_orderkey % 40) + {_HOURS_BY_KEY}",
     "study_process": """CASE WHEN o_orderkey % 13 = 0 THEN NULL WHEN o_orderpriority = '1-URGENT' THEN 'C01'
         WHEN o_orderpriority = '2-HIGH' THEN 'C14' WHEN o_orderpriority = '3-MEDIUM' THEN 'TC'
-        WHEN o_orderpriority = '4-NOT SPECIFIED' THEN 'Serial LGIP' ELSE 'ISP' END""",
+        WHEN o_orderpriority = '4-NOT SPECIFIED' THEN 'Serial LGIP' WHEN o_orderpriority = '5-LOW' THEN 'ISP'
+        ELSE coalesce(o_orderpriority, 'ISP') END""",
     "ingestion_date": "trunc(CAST(o_orderdate AS DATE), 'YEAR')",
 }
 _FROM_CAPACITY = {

@@ -216,3 +216,8 @@ def test_a_hot_developer_is_split_over_tasks(spark, eager_skew_handling, tmp_pat
     counted = browse.projects(star, "all", ["project_name"]).groupBy("project_name").count()
     assert max(r["count"] for r in counted.collect()) >= 500 * 60
     assert "SortMergeJoin(skew=true)" in plan(counted)
+
+
+@pytest.mark.parametrize("name", ["dash_status_counts_empty", "dash_cancellation_rate_empty", "dash_lead_time_empty", "overview_empty"])
+def test_a_filter_that_finds_nothing_reads_the_tables(spark, name):
+    assert "FileScan" in plan(QUERIES[name](spark, PATH))
