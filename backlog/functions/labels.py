@@ -31,7 +31,7 @@ def study_label(process: Column) -> Column:
     """The process with its meaning in brackets."""
     label = F.when(
         process.rlike("^C[0-9]+$"),
-        F.concat(process, F.lit(" (Cluster "), F.substring(process, 2, 1_000_000), F.lit(")")),
+        F.concat(process, F.lit(" (Cluster "), F.regexp_replace(process, "^C", ""), F.lit(")")),
     )
     for name, meaning in PROCESS_NAMES.items():
         label = label.when(process == name, F.lit(f"{name} ({meaning})"))

@@ -67,8 +67,12 @@ def delay_summary(tables: ProjectTables, family: Family) -> DataFrame:
     The projects are first counted per delay, so the exact median works on one row per
     different number of days however many projects there are.
     """
-    df = projects_of(tables, S.ACTIVE, _ONLINE, family)
-    per_delay = _with_delay(df).groupBy("delay_days").agg(F.count("*").alias("n"))
+    return summary_of(_with_delay(projects_of(tables, S.ACTIVE, _ONLINE, family)))
+
+
+def summary_of(detail: DataFrame) -> DataFrame:
+    """A13b of rows with delay_days."""
+    per_delay = detail.groupBy("delay_days").agg(F.count("*").alias("n"))
     days, n = F.col("delay_days"), F.col("n")
 
     def rows_where(condition):
@@ -92,10 +96,13 @@ def delay_summary(tables: ProjectTables, family: Family) -> DataFrame:
 
 def delay_by_fuel(tables: ProjectTables, family: Family) -> DataFrame:
     """Mean delay per fuel string, early projects included."""
-    df = projects_of(tables, S.ACTIVE, [*_ONLINE, "fuel_types"], family)
+    return by_fuel_of(_with_delay(projects_of(tables, S.ACTIVE, [*_ONLINE, "fuel_types"], family)))
+
+
+def by_fuel_of(detail: DataFrame) -> DataFrame:
+    """A13c of rows with delay_days and fuel_types."""
     return (
-        _with_delay(df)
-        .where(F.col("fuel_types").isNotNull())
+        detail.where(F.col("fuel_types").isNotNull())
         .groupBy(F.col("fuel_types").alias("fuel_type"))
         .agg(F.avg("delay_days").alias("average_delay_days"))
     )

@@ -47,18 +47,26 @@ def write_reports(tables: ProjectTables, folder: str) -> list[Outcome]:
     def small(name: str, df: DataFrame, *order: str) -> None:
         write_csv(df, f"{folder}/{name}", single_file=True, order=order)
 
+    def sorted_rows(name: str, df: DataFrame, *order: str) -> None:
+        """In as many files as it takes, sorted through all of them: the rows grow with the fuel texts."""
+        write_csv(df.orderBy(*order), f"{folder}/{name}")
+
     def delays() -> None:
-        detail = timing.delay_detail(tables, REPORT)
-        if detail.isEmpty():
-            log.info("no project has both online dates")
-            return
-        # One row per project: written in as many files as it takes.
-        write_csv(detail, f"{folder}/project_timeline_delays")
-        small("timeline_delay_summary", timing.delay_summary(tables, REPORT))
-        small("timeline_delay_by_fuel", timing.delay_by_fuel(tables, REPORT), "fuel_type")
+        # Worked out once; kept in the executors, and again where one of them is lost.
+        detail = timing.delay_detail(tables, REPORT).persist()
+        try:
+            if detail.isEmpty():
+                log.info("no project has both online dates")
+                return
+            # One row per project: written in as many files as it takes.
+            write_csv(detail, f"{folder}/project_timeline_delays")
+            small("timeline_delay_summary", timing.summary_of(detail))
+            sorted_rows("timeline_delay_by_fuel", timing.by_fuel_of(detail), "fuel_type")
+        finally:
+            detail.unpersist()
 
     analyses: dict[str, Callable[[], object]] = {
-        "capacity_by_fuel": lambda: small(
+        "capacity_by_fuel": lambda: sorted_rows(
             "capacity_by_fuel", metrics.capacity_by_fuel(tables, REPORT), "fuel"
         ),
         "project_count_by_status": lambda: small(
