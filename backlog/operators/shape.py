@@ -94,13 +94,13 @@ def shape_snapshot(
     return locate(cast_known_columns(rename_columns(dated)), places)
 
 
-def _shape_cluster_sheet(df: DataFrame, status: str, snapshot_date: date | Column) -> DataFrame:
+def _shape_cluster_sheet(df: DataFrame, status: Column, snapshot_date: date | Column) -> DataFrame:
     dated = df.withColumn(S.SNAPSHOT, _day(snapshot_date))
     named = rename_columns(dated, S.CLUSTER_HEADERS)
     fuels = [c for c in named.columns if c.startswith("fuel_type_")]
     tagged = with_fuel_types(named, fuels).withColumns({
         "study_process": F.lit(S.CLUSTER_PROCESS),
-        "application_status": F.lit(status),
+        "application_status": status,
     })
     return drop_blank_keys(cast_known_columns(tagged))
 
@@ -116,7 +116,7 @@ def shape_cluster(
     the rows get no coordinates.
     """
     frames = [
-        _shape_cluster_sheet(df, S.CLUSTER_SHEETS[name], snapshot_date)
+        _shape_cluster_sheet(df, F.lit(S.CLUSTER_SHEETS[name]), snapshot_date)
         for name, df in sheets.items()
         if name in S.CLUSTER_SHEETS
     ]
@@ -126,6 +126,22 @@ def shape_cluster(
     return stacked if places is None else locate(stacked, places)
 
 
+def shape_cluster_rows(
+    df: DataFrame,
+    sheet: str,
+    snapshot_date: date | Column,
+    places: Places | None = FIXED_PLACES,
+) -> DataFrame:
+    """S2, P4, P5 where all sheets lie in one table, so that it is read once.
+
+    The column `sheet` names the sheet that a row is of; rows of unknown sheets are skipped.
+    """
+    status_of = F.create_map(*[F.lit(x) for pair in S.CLUSTER_SHEETS.items() for x in pair])
+    status = F.try_element_at(status_of, F.col(sheet))
+    rows = _shape_cluster_sheet(df.where(status.isNotNull()), status, snapshot_date).drop(sheet)
+    return rows if places is None else locate(rows, places)
+
+
 def _day(snapshot_date: date | Column) -> Column:
     day = snapshot_date if isinstance(snapshot_date, Column) else F.lit(snapshot_date)
     return day.cast("date")

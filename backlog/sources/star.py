@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from backlog import schema as S
 from backlog.operators.geo import Places, with_coordinates
-from backlog.operators.shape import flatten_columns, shape_cluster
+from backlog.operators.shape import flatten_columns, shape_cluster_rows
 from backlog.sources.tables import ProjectTables
 
 # Order status of a table; whatever else there is counts as withdrawn.
@@ -121,6 +121,9 @@ CLUSTER_LAYOUT = (
 )
 
 
+#: Column of the cluster cells with the name of a row's sheet.
+SHEET = "_sheet"
+
 # What a cluster column is made of, where that is not a column of the same name.
 _CLUSTER_INPUTS = {
     "fuel_types": {"fuel_type_1", "fuel_type_2", "fuel_type_3"},
@@ -167,10 +170,9 @@ class StarTables(ProjectTables):
         return self._projects(columns or (*COLUMNS, "status"))
 
     def cluster(self, columns: Sequence[str] | None = None) -> DataFrame:
-        sheets = self.cluster_sheets(columns)
         dated = F.trunc(F.to_date("Application Date"), "year")
         located = columns is None or {*_COORDINATES} & {*columns}
-        df = shape_cluster(sheets, dated, self.places() if located else None)
+        df = shape_cluster_rows(self.cluster_cells(columns), SHEET, dated, self.places() if located else None)
         return df if columns is None else df.select(*columns)
 
     def centroids(self) -> DataFrame:
@@ -201,10 +203,11 @@ class StarTables(ProjectTables):
         levels, df = self.raw_sheet(status)
         return df.toDF(*flatten_columns(levels), S.SNAPSHOT)
 
-    def cluster_sheets(self, columns: Sequence[str] | None = None) -> dict[str, DataFrame]:
-        """The cluster workbook's sheets as text; only the withdrawn one has a withdrawal date.
+    def cluster_cells(self, columns: Sequence[str] | None = None) -> DataFrame:
+        """The cells of the cluster workbook as text, each row with the name of its sheet.
 
-        Given the columns in demand, the sheets have no more than those are made of.
+        Both sheets come from one pass over the star. Given the columns in demand, there are no more cells
+        than those are made of. Only rows of the withdrawn sheet have a withdrawal date.
         """
         layout = list(CLUSTER_LAYOUT)
         if columns is not None:
@@ -212,16 +215,16 @@ class StarTables(ProjectTables):
                 *(_CLUSTER_INPUTS.get(column, {column}) for column in columns)
             )
             layout = [(header, column) for header, column in layout if column in wanted]
-        sheets = {}
-        for sheet, status in (("Cluster 15 ", S.ACTIVE), ("Withdrawn", S.WITHDRAWN)):
-            cells = [(header, column) for header, column in layout]
-            if status == S.WITHDRAWN and (columns is None or "withdrawal_date" in columns):
-                cells.append(("Withdrawal Date", "current_online_date"))
-            df = self._projects([column for _, column in cells], status)
-            sheets[sheet] = df.selectExpr(
-                *[f"CAST({column} AS STRING) AS `{header}`" for header, column in cells]
+        cells = [f"CAST({column} AS STRING) AS `{header}`" for header, column in layout]
+        inputs = [column for _, column in layout]
+        if columns is None or "withdrawal_date" in columns:
+            inputs.append("current_online_date")
+            cells.append(
+                f"CAST(CASE WHEN status = '{S.WITHDRAWN}' THEN current_online_date END AS STRING) AS `Withdrawal Date`"
             )
-        return sheets
+        sheet = f"CASE status WHEN '{S.ACTIVE}' THEN 'Cluster 15 ' ELSE 'Withdrawn' END AS {SHEET}"
+        df = self._projects([*inputs, "status"], among=(S.ACTIVE, S.WITHDRAWN))
+        return df.selectExpr(*cells, sheet)
 
     def _capacity(self) -> DataFrame:
         """Per order: MW of its lines and the first ship dates of lines 1 and 2."""
@@ -256,8 +259,10 @@ class StarTables(ProjectTables):
             .join(self.source("region"), F.col("n_regionkey") == F.col("r_regionkey"), "left")
         )
 
-    def _projects(self, columns: Sequence[str], status: str | None = None) -> DataFrame:
-        """The projects, one per order.
+    def _projects(
+        self, columns: Sequence[str], status: str | None = None, among: Sequence[str] = S.STATUSES
+    ) -> DataFrame:
+        """The projects, one per order; of one status or of those `among`.
 
         Every join is a left join to one row per key, so leaving it out when nothing of it is
         read changes no row. The two per-order aggregates share the partitioning of the orders.
@@ -271,6 +276,8 @@ class StarTables(ProjectTables):
         df = self.source("orders")
         if status is not None:
             df = df.where(_TABLE_ROWS[status])
+        elif set(among) != set(S.STATUSES):
+            df = df.where(" OR ".join(_TABLE_ROWS[s] for s in among))
         if needed & set(_FROM_CAPACITY):
             df = df.join(self._capacity(), F.col("o_orderkey") == F.col("capacity_key"), "left")
         if needed & set(_FROM_FUELS):
