@@ -2,9 +2,32 @@
 
 from __future__ import annotations
 
-from backlog.operators.shape import flatten_columns
-from backlog.schema import HEADERS
-from backlog.sources.star import COLUMNS, SHEET_LAYOUT, WITHDRAWN_LAYOUT
+from collections.abc import Iterable
+
+# The columns of a project table, and the flattened headers of the withdrawn sheet with their columns.
+_COLUMN_NAMES = (
+    "project_name", "queue_position", "request_receive_date", "queue_date", "study_process", "fuel_type_1",
+    "fuel_type_2", "fuel_type_3", "mw_1", "mw_2", "mw_3", "net_mw", "county", "state", "utility",
+    "pto_study_region", "proposed_online_date", "current_online_date", "ingestion_date", "fuel_types",
+    "latitude", "longitude",
+)
+_WITHDRAWN_HEADERS = (
+    ("Unnamed: 0_level_0 Project Name - Confidential", "project_name"),
+    ("Unnamed: 1_level_0 Queue Position", "queue_position"),
+    ("Unnamed: 2_level_0 Interconnection Request\nReceive Date", "request_receive_date"),
+    ("Unnamed: 3_level_0 Queue Date", "queue_date"),
+    ("Unnamed: 6_level_0 Study\nProcess", "study_process"),
+    ("Generating Facility Fuel-1", "fuel_type_1"),
+    ("Generating Facility Fuel-2", "fuel_type_2"),
+    ("Generating Facility Fuel-3", "fuel_type_3"),
+    ("MWs MW-1", "mw_1"),
+    ("MWs Net MWs to Grid", "net_mw"),
+    ("Location County", "county"),
+    ("Location State", "state"),
+    ("Point of Interconnection PTO Study Region", "pto_study_region"),
+    ("Point of Interconnection Proposed\nOn-line Date\n(as filed with IR)", "proposed_online_date"),
+    ("Point of Interconnection Current\nOn-line Date", "current_online_date"),
+)
 
 _WITH = r"""
 WITH capacity AS (
@@ -81,7 +104,7 @@ cluster AS (
 """
 
 _FILTER = "study_process IN ('C01', 'C14', 'TC')"
-_COLUMNS = ", ".join(COLUMNS)
+_COLUMNS = ", ".join(_COLUMN_NAMES)
 _KEPT = "status, queue_position, project_name, net_mw, ingestion_date"
 _AGAIN = "status, queue_position, project_name, net_mw + 1 AS net_mw, ingestion_date"
 _DAYS = "CAST(floor((epoch({b}) - epoch({a})) / 86400) AS BIGINT)"
@@ -161,7 +184,7 @@ WHERE study_process IS NOT NULL GROUP BY study_process""",
     }
 
 
-def _column_counts(select: str, columns: list[tuple[str, str]], source: str) -> str:
+def _column_counts(select: str, columns: Iterable[tuple[str, str]], source: str) -> str:
     rows = [
         select.format(position=i, name=name.replace("'", "''"), expr=expr)
         + f" FROM {source}"
@@ -170,12 +193,6 @@ def _column_counts(select: str, columns: list[tuple[str, str]], source: str) ->
     return " UNION ALL ".join(rows)
 
 
-def _flat_headers(withdrawn: bool) -> list[tuple[str, str]]:
-    changed = WITHDRAWN_LAYOUT if withdrawn else {}
-    names = flatten_columns([changed.get(c, level) for level, c in SHEET_LAYOUT])
-    return [(name, c) for name, (_, c) in zip(names, SHEET_LAYOUT)]
-
-
 _TYPES = {
     **{c: "double" for c in ("mw_1", "mw_2", "mw_3", "net_mw", "latitude", "longitude")},
     **{
@@ -236,13 +253,22 @@ _PLAIN = {
 SELECT project_name, queue_position, request_receive_date, queue_date, study_process, fuel_type_1, fuel_type_2,
   fuel_type_3, mw_1, net_mw, county, state, pto_study_region, proposed_online_date, current_online_date,
   ingestion_date, fuel_types, latitude, longitude FROM projects WHERE status = 'Active'""",
+    "snapshot_files": """
+SELECT project_name, queue_position, request_receive_date, queue_date, study_process,
+  nullif(fuel_type_1, '') AS fuel_type_1, nullif(fuel_type_2, '') AS fuel_type_2, nullif(fuel_type_3, '') AS fuel_type_3,
+  mw_1, net_mw, county, state, pto_study_region, proposed_online_date, current_online_date,
+  ingestion_date, fuel_types, latitude, longitude, status FROM projects""",
+    # In a file an empty cell is no value.
+    "cluster_files": """
+SELECT * REPLACE (nullif(fuel_type_1, '') AS fuel_type_1, nullif(fuel_type_2, '') AS fuel_type_2,
+  nullif(fuel_type_3, '') AS fuel_type_3) FROM cluster""",
     "header_flatten": _column_counts(
         "SELECT {position} AS position, '{name}' AS header, COUNT({expr}) AS filled_rows",
-        _flat_headers(True),
+        _WITHDRAWN_HEADERS,
         "projects WHERE status = 'Withdrawn'",
     ),
     "column_rename": "SELECT "
-    + ", ".join(f"CAST({c} AS VARCHAR) AS {HEADERS[name]}" for name, c in _flat_headers(True))
+    + ", ".join(f"CAST({c} AS VARCHAR) AS {c}" for _, c in _WITHDRAWN_HEADERS)
     + ", ingestion_date FROM projects WHERE status = 'Withdrawn'",
     "drop_blank_key": "SELECT status, ingestion_date, COUNT(*) AS kept_rows FROM filled GROUP BY ALL",
     "fuel_types": """
@@ -262,13 +288,13 @@ FROM (SELECT CASE WHEN study_process IS NULL THEN 'queue-report.csv'
 GROUP BY file_name""",
     "table_inventory": f"""
 SELECT CASE status WHEN 'Active' THEN 'grid_generation_queue' WHEN 'Completed' THEN 'completed_projects'
-  ELSE 'withdrawn_projects' END AS table_name, COUNT(*) AS row_count, {len(COLUMNS)} AS column_count,
+  ELSE 'withdrawn_projects' END AS table_name, COUNT(*) AS row_count, {len(_COLUMN_NAMES)} AS column_count,
   MAX(ingestion_date) AS latest_snapshot FROM projects GROUP BY status
 UNION ALL SELECT 'cluster_15_requests', COUNT(*), 23, MAX(ingestion_date) FROM cluster""",
     "table_columns": _column_counts(
         "SELECT 'grid_generation_queue' AS table_name, {position} AS position, '{name}' AS column_name,"
         " {expr} AS filled_rows",
-        [(c, f"'{_TYPES.get(c, 'string')}' AS data_type, COUNT({c})") for c in COLUMNS],
+        [(c, f"'{_TYPES.get(c, 'string')}' AS data_type, COUNT({c})") for c in _COLUMN_NAMES],
         "projects WHERE status = 'Active'",
     ),
     "safe_numeric": r"""
@@ -393,10 +419,47 @@ FROM (SELECT county, state, latitude, longitude, COUNT(project_name) AS project_
         coalesce(SUM(capacity), 0) AS total_capacity FROM ({_LOCATIONS}) GROUP BY ALL)""",
     "county_centroid": "SELECT county, state, latitude, longitude FROM centroids",
     "geo_enrich": "SELECT status, queue_position, county, state, latitude, longitude FROM projects",
+    "places_off_the_globe": """
+SELECT county, state, CASE WHEN abs(lat) <= 90 AND abs(lon) <= 180 THEN lat END AS latitude,
+  CASE WHEN abs(lat) <= 90 AND abs(lon) <= 180 THEN lon END AS longitude
+FROM (SELECT county, state, avg((coalesce(lat, name_lat) - 30) * 10) AS lat, avg((coalesce(lon, name_lon) + 120) * 16) AS lon
+  FROM parts LEFT JOIN places ON part = p_county AND upper(trim(state)) = p_state
+  LEFT JOIN places_by_name ON part = name_county GROUP BY county, state)""",
+    "county_spelling": """
+SELECT county, latitude, longitude, COUNT(*) AS project_count
+FROM customer JOIN (VALUES
+  (0, 'san bernadino', 34.8414::DOUBLE, -116.1781::DOUBLE), (1, ' San Clara County', 37.3541, -121.9552),
+  (2, 'MOJAVE', 35.7047, -113.7578), (3, 'Church County', NULL, NULL), (4, 'Tecate Baja California Mexico', NULL, NULL),
+  (5, 'Rosamond/Kern', 35.3425, -118.7299), (6, 'hyder', 42.9391, -114.7131)) s(n, county, latitude, longitude)
+  ON c_custkey % 7 = n GROUP BY ALL""",
     "coordinate_coverage": """
 SELECT COUNT(*) AS total_rows, COUNT(latitude) AS with_coordinates, COUNT(*) - COUNT(latitude) AS without_coordinates
 FROM projects""",
     "data_quality": _QUALITY,
+    "data_quality_failing": """
+SELECT * FROM (VALUES
+  ('grid_generation_queue', 'missing_table', '', 0::BIGINT, NULL::DOUBLE, false),
+  ('grid_generation_queue', 'missing_column', 'queue_position', 0, NULL, false),
+  ('grid_generation_queue', 'missing_column', 'ingestion_date', 0, NULL, false),
+  ('grid_generation_queue', 'missing_column', 'mw_1', 0, NULL, false),
+  ('grid_generation_queue', 'missing_column', 'project_name', 1, NULL, true),
+  ('completed_projects', 'missing_table', '', 1, NULL, true),
+  ('withdrawn_projects', 'missing_table', '', 0, NULL, false),
+  ('withdrawn_projects', 'missing_column', 'queue_position', 0, NULL, false),
+  ('withdrawn_projects', 'missing_column', 'ingestion_date', 1, NULL, true),
+  ('withdrawn_projects', 'missing_column', 'mw_1', 1, NULL, true),
+  ('withdrawn_projects', 'missing_column', 'project_name', 0, NULL, false)
+) t(table_name, check_name, column_name, issue_count, pct, failed)
+UNION ALL
+SELECT 'grid_generation_queue', 'empty_value', 'queue_position', issues, issues / n_rows * 100, issues > 0
+FROM (SELECT COUNT(*) AS n_rows, COUNT(*) FILTER (coalesce(queue_position, '') = '') AS issues
+      FROM projects WHERE status = 'Active') WHERE n_rows > 0
+UNION ALL
+SELECT 'grid_generation_queue', 'empty_table', '', 0, NULL, false
+FROM (SELECT COUNT(*) AS n_rows FROM projects WHERE status = 'Active') WHERE n_rows = 0
+UNION ALL
+SELECT 'withdrawn_projects', 'empty_table', '', 0, NULL, false
+FROM (SELECT COUNT(*) AS n_rows FROM projects WHERE status = 'Withdrawn' AND net_mw < 0) WHERE n_rows = 0""",
     "data_quality_total": f"SELECT COUNT(*) FILTER (failed) AS issues FROM ({_QUALITY})",
 }
 

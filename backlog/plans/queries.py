@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,8 +24,9 @@ from backlog.operators.scope import (
     latest_snapshot,
     latest_snapshot_per_status,
 )
+from backlog.sources import sheets
 from backlog.sources import tables as stored
-from backlog.sources.star import CLUSTER_LAYOUT, StarTables
+from backlog.sources.star import CLUSTER_LAYOUT, SHEET, StarTables
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -37,6 +39,9 @@ AS_OF = date(2000, 6, 30)
 TABLE_KEYS = ("status", S.KEY)
 FUELS = ("PROMO", "SMALL")
 SEARCH = "customer#0+[1-9]"
+SPELLINGS = (
+    "san bernadino", " San Clara County", "MOJAVE", "Church County", "Tecate Baja California Mexico", "Rosamond/Kern", "hyder",
+)
 KEPT_COLUMNS = ("status", "queue_position", "project_name", "net_mw", "ingestion_date")
 
 _REGISTRY: dict[str, Query] = {}
@@ -60,6 +65,33 @@ def snapshot_scan(t):
     return shape.shape_snapshot(sheet, F.col(S.SNAPSHOT), t.places())
 
 
+@_register
+def snapshot_files(t):
+    """The sheets of all three tables, landed as CSV under their title and header rows, and read again."""
+    folder, day = sheets.landing_folder(t.spark, "snapshots"), "Snapshot Date"
+    frames = []
+    for status in S.STATUSES:
+        levels, cells = t.raw_sheet(status)
+        sheets.write_snapshot(cells, [*levels, tuple(day.split())], f"{folder}/{status}")
+        landed = sheets.read_snapshot(t.spark, f"{folder}/{status}").drop(sheets.FILE_NAME)
+        rows = shape.shape_snapshot(landed, F.col(day), t.places()).drop(day)
+        frames.append(rows.withColumn("status", F.lit(status)))
+    return reduce(lambda a, b: a.unionByName(b), frames)
+
+
+@_register
+def cluster_files(t):
+    """The sheets of the cluster workbook, landed as CSV, read again and stacked."""
+    folder, cells, paths = sheets.landing_folder(t.spark, "cluster"), t.cluster_cells(), {}
+    for name in ("Cluster 15 ", "Withdrawn"):
+        unused = [SHEET] if name == "Withdrawn" else [SHEET, "Withdrawal Date"]
+        paths[name] = f"{folder}/{name.strip()}"
+        sheets.write_cluster_sheet(cells.where(F.col(SHEET) == name).drop(*unused), paths[name])
+    dated = F.trunc(F.to_date("Application Date"), "year")
+    landed = sheets.read_cluster(t.spark, paths)
+    return shape.shape_cluster(landed, dated, t.places()).drop(sheets.FILE_NAME)
+
+
 @_register
 def header_flatten(t):
     sheet = t.flat_sheet(S.WITHDRAWN).drop(S.SNAPSHOT)
@@ -369,6 +401,20 @@ def geo_enrich(t):
     return geo.with_coordinates(rows, t.places())
 
 
+@_register
+def places_off_the_globe(t):
+    far = t.centroids().withColumns({"lat": (F.col("lat") - 30) * 10, "lon": (F.col("lon") + 120) * 16})
+    return geo.centroids_of_pairs(t.all_projects(["county", "state"]), far, "county", "state")
+
+
+@_register
+def county_spelling(t):
+    spellings = F.array(*[F.lit(text) for text in SPELLINGS])
+    county = F.get(spellings, F.pmod("c_custkey", F.lit(len(SPELLINGS))).cast("int"))
+    rows = t.source("customer").select(county.alias("county"), F.lit("CA").alias("state"))
+    return geo.with_coordinates(rows).groupBy("county", "latitude", "longitude").agg(F.count("*").alias("project_count"))
+
+
 @_register
 def coordinate_coverage(t):
     return geo.coordinate_coverage(t.all_projects(["latitude"]))
@@ -382,3 +428,14 @@ def data_quality(t):
 @_register
 def data_quality_total(t):
     return quality.issue_total(quality.data_quality(t))
+
+
+@_register
+def data_quality_failing(t):
+    """No table of completed projects, an empty one of withdrawn projects without MW and dates, active ones without names."""
+    withdrawn = t.table(S.WITHDRAWN).where("net_mw < 0")
+    broken = stored.ProjectTables(t.spark, {
+        S.TABLE_OF_STATUS[S.ACTIVE]: t.table(S.ACTIVE).drop("project_name"),
+        S.TABLE_OF_STATUS[S.WITHDRAWN]: withdrawn.drop("mw_1", S.SNAPSHOT),
+    })
+    return quality.data_quality(broken)

@@ -8,6 +8,8 @@ from __future__ import annotations
 import csv
 import io
 import sys
+import tempfile
+import uuid
 from collections.abc import Iterable, Iterator
 from functools import reduce
 from itertools import islice
@@ -87,6 +89,39 @@ def _under(spark: SparkSession, names: list[str], files: list[str], skip: int) -
     return rows.select(*cells, F.regexp_extract("path", "[^/]+$", 0).alias(FILE_NAME))
 
 
+def landing_folder(spark: SparkSession, name: str) -> str:
+    """A path no other run uses, in the shared folder the cluster names; a local one only where none is named."""
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    return f"{shared or tempfile.mkdtemp(prefix='landing-')}/landing/{name}-{uuid.uuid4().hex}"
+
+
+def _csv_options() -> dict[str, str]:
+    """Cells as they are: blanks kept, quotes doubled."""
+    return {"escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+
+
+def write_snapshot(
+    df: DataFrame, levels: list[tuple[str, ...]], path: str, titles: tuple[str, ...] = ("", "")
+) -> None:
+    """Land text cells as `read_snapshot` reads them; every file has the title rows and the header rows."""
+    text = io.StringIO()
+    csv.writer(text, lineterminator="\n").writerows([[title, "as exported"] for title in titles] + [list(row) for row in zip(*levels)])
+    head = text.getvalue().removesuffix("\n")
+
+    def under_head(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield pa.RecordBatch.from_pydict({"value": [head]}, schema=pa.schema([("value", pa.string())]))
+        yield from batches
+
+    cells = F.struct(*[F.col(f"`{c}`").cast("string").alias(f"c{i}") for i, c in enumerate(df.columns)])
+    lines = df.select(F.to_csv(cells, _csv_options()).alias("value"))
+    lines.mapInArrow(under_head, "value string").write.text(path)
+
+
+def write_cluster_sheet(df: DataFrame, path: str) -> None:
+    """Land a sheet of the cluster workbook as `read_cluster` reads it."""
+    df.write.options(header=True, **_csv_options()).csv(path)
+
+
 def read_cluster(spark: SparkSession, sheets: dict[str, str]) -> dict[str, DataFrame]:
     """The CSV exports of a cluster workbook by sheet name; one header row, no titles."""
     frames = {}
