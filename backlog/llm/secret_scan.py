@@ -1,7 +1,8 @@
 """Secret scans: base patterns over a text and over every layer that can be unwrapped from it.
 
 A worklist starts with the text. Each layer is scanned, then unwrapped: percent escapes and Unicode escapes in
-place, base64 runs and compressed bytes into layers of their own, until no layer yields a new one; a layer
+place, base64 runs, also those wrapped in lines, and compressed bytes, also several streams in a row, into
+layers of their own, until no layer yields a new one; a layer
 seen before is not taken again, so cycles end. Spans found in a layer are mapped to the code points of the
 text that it came from: to the escapes, to the base64 digits, or to the whole compressed run.
 
@@ -37,6 +38,9 @@ HEX = re.compile(r"[0-9a-f]{24,}")  # runs are taken whole, so shorter ones can
 PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 UNICODE = re.compile(r"\\u\{([0-9A-Fa-f]{1,6})\}|\\u([0-9A-Fa-f]{4})|\\U([0-9A-Fa-f]{8})|\\x([0-9A-Fa-f]{2})|&#x([0-9A-Fa-f]{1,6});|&#([0-9]{1,7});")
 BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
+#: Base64 in lines, as in mail and key files.
+WRAPPED = re.compile(r"(?:[A-Za-z0-9+/_-]{60,76}\r?\n)+[A-Za-z0-9+/_-]{1,76}={0,2}")
+LINE_END = str.maketrans("", "", "\r\n=")
 TEXT_CONTROLS = frozenset("\t\n\x0b\x0c\r")
 MASK = "[secret]"
 
@@ -81,6 +85,17 @@ def _readable(data: bytes) -> str | None:
     return text if text and all(c.isprintable() or c in TEXT_CONTROLS for c in text) else None
 
 
+def _opener(data: bytes):
+    """The decompressor for a stream, by its first bytes; None if it is none."""
+    if data[:2] == b"\x1f\x8b":
+        return zlib.decompressobj(31)
+    if len(data) > 2 and data[0] == 0x78 and (data[0] * 256 + data[1]) % 31 == 0:
+        return zlib.decompressobj()
+    if data[:3] == b"BZh":
+        return bz2.BZ2Decompressor()
+    return lzma.LZMADecompressor() if data[:6] == b"\xfd7zXZ\x00" else None
+
+
 @dataclass
 class Scan:
     """The worklist over one document."""
@@ -110,24 +125,35 @@ class Scan:
             out += self.percent(layer)
         if "\\" in text or "&#" in text:
             out += self.unicode(layer)
+        runs, lines = [], False
         for m in BASE64.finditer(text):
-            digits = m.group().rstrip("=").replace("-", "+").replace("_", "/")
-            if len(digits) % 4 == 1:
-                continue
-            try:
-                data = base64.b64decode(digits + "=" * (-len(digits) % 4), validate=True)
-            except binascii.Error:
-                continue
-            if (inner := self.inflated(data)) is not None:
-                out += self.whole(layer, m.start(), m.end(), inner)
-            elif (inner := _readable(data)) is not None:
-                # Byte k lies in the digits 8k/6 to (8k+7)/6.
-                sizes = np.array([len(c.encode()) for c in inner])
-                last = np.cumsum(sizes)
-                a, b = m.start() + 8 * (last - sizes) // 6, m.start() + (8 * last - 1) // 6 + 1
-                out.append(Layer(inner, *layer.origin(a, b)))
+            runs.append(m)
+            lines = lines or m.end() - m.start() >= 60 and text[m.end():m.end() + 1] in ("\r", "\n")
+        if lines:
+            runs += WRAPPED.finditer(text)
+        for m in runs:
+            out += self.base64(layer, m)
         return out
 
+    def base64(self, layer: Layer, m: re.Match) -> list[Layer]:
+        digits = m.group().translate(LINE_END).replace("-", "+").replace("_", "/")
+        if len(digits) % 4 == 1:
+            return []
+        try:
+            data = base64.b64decode(digits + "=" * (-len(digits) % 4), validate=True)
+        except binascii.Error:
+            return []
+        if (inner := self.inflated(data)) is not None:
+            return self.whole(layer, m.start(), m.end(), inner)
+        if (inner := _readable(data)) is None:
+            return []
+        # Byte k lies in the digits 8k/6 to (8k+7)/6; digit d stands at places[d].
+        sizes = np.array([len(c.encode()) for c in inner])
+        last = np.cumsum(sizes)
+        places = m.start() + np.flatnonzero([c not in "\r\n" for c in m.group()])
+        a, b = places[8 * (last - sizes) // 6], places[(8 * last - 1) // 6] + 1
+        return [Layer(inner, *layer.origin(a, b))]
+
     def whole(self, layer: Layer, start: int, end: int, data: bytes) -> list[Layer]:
         """A layer all of whose characters came from one run."""
         inner = _readable(data) if self.inflated(data) is None else None
@@ -138,25 +164,20 @@ class Scan:
         return [Layer(inner, np.full(len(inner), a), np.full(len(inner), b))]
 
     def inflated(self, data: bytes) -> bytes | None:
-        """What a gzip, zlib, bzip2 or xz stream holds; None if it is none."""
-        if data[:2] == b"\x1f\x8b":
-            opener = zlib.decompressobj(31)
-        elif len(data) > 2 and data[0] == 0x78 and (data[0] * 256 + data[1]) % 31 == 0:
-            opener = zlib.decompressobj()
-        elif data[:3] == b"BZh":
-            opener = bz2.BZ2Decompressor()
-        elif data[:6] == b"\xfd7zXZ\x00":
-            opener = lzma.LZMADecompressor()
-        else:
-            return None
-        try:
-            inner = opener.decompress(data, self.max_layer_bytes + 1)
-        except (zlib.error, OSError, lzma.LZMAError, EOFError):
-            return None
-        if len(inner) > self.max_layer_bytes:
-            self.cut += 1
-            return None
-        return inner
+        """What gzip, zlib, bzip2 or xz streams, one behind the other, hold; None if there is none."""
+        out, opener = None, _opener(data)
+        while opener is not None:
+            have = len(out or b"")
+            try:
+                out = (out or b"") + opener.decompress(data, self.max_layer_bytes + 1 - have)
+            except (zlib.error, OSError, lzma.LZMAError, EOFError):
+                return out
+            if len(out) > self.max_layer_bytes:
+                self.cut += 1
+                return None
+            data = opener.unused_data
+            opener = _opener(data)
+        return out
 
     def percent(self, layer: Layer) -> list[Layer]:
         """All runs of percent escapes decoded in place; compressed bytes become a layer of their own."""

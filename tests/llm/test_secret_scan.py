@@ -56,6 +56,28 @@ def test_base64_maps_to_its_digits():
     assert kind == "assign" and (a, b) == (2 + 8 * 8 // 6, 2 + (8 * 27 - 1) // 6 + 1)
 
 
+def test_base64_in_lines_maps_to_its_digits():
+    """The secret crosses a line end, so no line alone holds it."""
+    inner = "p" * 40 + f" {KEY} " + "q" * 200
+    for end in ("\n", "\r\n"):
+        digits = b64(inner.encode())
+        text = "x " + end.join(digits[k:k + 64] for k in range(0, len(digits), 64)) + " y"
+        found = S.Scan().run(text).found
+        (kind, a, b), = [f for f in found if f[2] - f[1] < len(digits)]
+        at = lambda d: 2 + d + len(end) * (d // 64)
+        assert (kind, a, b) == ("assign", at(8 * 41 // 6), at((8 * 60 - 1) // 6) + 1)
+
+
+def test_compressed_base64_in_lines_and_streams_in_a_row():
+    data = gzip.compress(bytes(range(97, 123)) * 4) + gzip.compress(KEY.encode()) + bz2.compress(b"token=zyxwvuts")
+    wrapped = base64.encodebytes(data + zlib.compress(b" secret: abcdefgh")).decode().strip()
+    assert len(wrapped.split("\n")) > 1
+    assert ("assign", 2, 2 + len(wrapped)) in S.Scan().run(f"x {wrapped} y").found
+    one, other = gzip.compress(b"nothing here "), gzip.compress(KEY.encode())
+    assert S.Scan().run(b64(one + other)).found and not S.Scan().run(b64(one)).found
+    assert not S.Scan().run(b64(one + other[:12] + b"broken")).found
+
+
 def test_nested_base64_ten_deep_and_fixpoint():
     data = KEY.encode()
     for _ in range(10):
