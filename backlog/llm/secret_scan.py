@@ -41,7 +41,7 @@ BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
 #: Base64 in lines, as in mail and key files.
 WRAPPED = re.compile(r"(?:[A-Za-z0-9+/_-]{60,76}\r?\n)+[A-Za-z0-9+/_-]{1,76}={0,2}")
 LINE_END = str.maketrans("", "", "\r\n=")
-TEXT_CONTROLS = frozenset("\t\n\x0b\x0c\r")
+TEXT_CONTROLS = str.maketrans("", "", "\t\n\x0b\x0c\r")
 MASK = "[secret]"
 
 
@@ -62,6 +62,15 @@ class Layer:
         """Where the characters a[k] to b[k] (exclusive) of this layer came from."""
         return (a, b) if self.starts is None else (self.starts[a], self.ends[b - 1])
 
+    def mark(self) -> bytes:
+        """The same for layers of the same text and places only."""
+        text = hashlib.sha256(self.text.encode("utf-8", "surrogatepass")).digest()
+        if self.starts is None:
+            return text
+        if not self.starts.strides[0]:  # one place for all characters
+            return text + f"{self.starts[0]} {self.ends[0]}".encode()
+        return text + hashlib.sha256(self.starts.tobytes()).digest()
+
 
 def base_spans(text: str) -> list[tuple[str, int, int]]:
     """(kind, start, end), leftmost and without overlaps within a kind."""
@@ -82,7 +91,7 @@ def _readable(data: bytes) -> str | None:
         text = data.decode("utf-8")
     except UnicodeDecodeError:
         return None
-    return text if text and all(c.isprintable() or c in TEXT_CONTROLS for c in text) else None
+    return text if text and text.translate(TEXT_CONTROLS).isprintable() else None
 
 
 def _opener(data: bytes):
@@ -109,9 +118,7 @@ class Scan:
         work, seen = [Layer(text)], set()
         while work:
             layer = work.pop()
-            mark = hashlib.sha256(layer.text.encode("utf-8", "surrogatepass")).digest()
-            mark += b"" if layer.starts is None else hashlib.sha256(layer.starts.tobytes()).digest()
-            if mark in seen:
+            if (mark := layer.mark()) in seen:
                 continue
             seen.add(mark)
             self.layers += 1
@@ -160,8 +167,9 @@ class Scan:
         if inner is None:
             deeper = self.inflated(data)
             return self.whole(layer, start, end, deeper) if deeper is not None and deeper != data else []
-        a, b = layer.span(start, end)
-        return [Layer(inner, np.full(len(inner), a), np.full(len(inner), b))]
+        # Views of one number each: a large layer takes no more memory than its text.
+        a, b = (np.broadcast_to(np.int64(place), len(inner)) for place in layer.span(start, end))
+        return [Layer(inner, a, b)]
 
     def inflated(self, data: bytes) -> bytes | None:
         """What gzip, zlib, bzip2 or xz streams, one behind the other, hold; None if there is none."""

@@ -4,6 +4,7 @@ import gzip
 import hashlib
 import lzma
 import re
+import tracemalloc
 import zlib
 from urllib.parse import quote
 
@@ -92,6 +93,17 @@ def test_bomb_is_counted_not_scanned():
     assert scan.cut and not scan.found
 
 
+def test_a_large_layer_takes_little_more_than_its_text():
+    inner = b"word " * 2_000_000 + KEY.encode() + b" \\u0041"
+    tracemalloc.start()
+    scan = S.Scan()
+    layer, = scan.whole(S.Layer("x" * 100), 10, 90, gzip.compress(inner))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 5 * len(inner) and layer.span(3, 9) == (10, 90) and layer.text.endswith("u0041")
+    assert S.Scan().run(f"x {b64(gzip.compress(inner))} y").found
+
+
 def test_scan_and_redact(docs_of, with_clashes):
     rows = [(k, t) for k, t in enumerate([*TEXTS, None, f"a {b64(KEY.encode() + b' and so on')} b", f"{KEY} {'ab' * 20}"])] + [(0, "")]
     docs = with_clashes(docs_of(*rows))
