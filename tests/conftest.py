@@ -1,16 +1,12 @@
 from __future__ import annotations
 
-from datetime import date, datetime
-
 import pytest
+from helpers import DAY
 
 from backlog import schema as S
 from backlog.session import local_session
 from backlog.sources.tables import ProjectTables
 
-TESTDATA = "/root/testdata"
-DAY = date(2025, 1, 1)
-
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
@@ -50,15 +46,3 @@ def make_tables(spark, make):
         return ProjectTables(spark, frames)
 
     return build
-
-
-def at(text: str) -> datetime:
-    return datetime.fromisoformat(text)
-
-
-def rows(df) -> list[tuple]:
-    return [tuple(r) for r in df.collect()]
-
-
-def plan(df) -> str:
-    return df._sc._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "simple")

@@ -1,5 +1,5 @@
 import pytest
-from conftest import DAY, rows
+from helpers import DAY, rows
 
 from backlog import schema as S
 from backlog.operators import browse, quality

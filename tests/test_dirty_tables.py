@@ -2,7 +2,7 @@
 
 import pytest
 from compare import TABLES, connect, differences
-from conftest import TESTDATA
+from helpers import TESTDATA
 
 import __spark_entry__ as entry_points
 

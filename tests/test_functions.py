@@ -1,6 +1,6 @@
 import random
 
-from conftest import at, rows
+from helpers import at, rows
 from pyspark.sql import functions as F
 
 from backlog.functions import dates, labels, numbers, text

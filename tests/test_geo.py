@@ -1,5 +1,5 @@
 import pytest
-from conftest import plan, rows
+from helpers import plan, rows
 
 from backlog.operators import geo
 

@@ -1,7 +1,7 @@
 from datetime import date
 
 import pytest
-from conftest import DAY, at, rows
+from helpers import DAY, at, rows
 
 from backlog.operators import metrics, timing
 from backlog.operators.scope import INTERACTIVE, REPORT

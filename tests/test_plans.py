@@ -4,7 +4,7 @@ import re
 from datetime import date
 
 import pytest
-from conftest import TESTDATA, plan
+from helpers import TESTDATA, plan
 
 from backlog import schema as S
 from backlog.operators import browse, geo, metrics, snapshots, timing

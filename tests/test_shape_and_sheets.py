@@ -2,7 +2,7 @@ import csv
 from datetime import date
 
 import pytest
-from conftest import DAY, at, rows
+from helpers import DAY, at, rows
 from pyspark.sql import functions as F
 
 from backlog import schema as S

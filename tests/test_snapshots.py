@@ -2,7 +2,7 @@ import random
 from datetime import date, timedelta
 
 import pytest
-from conftest import rows
+from helpers import rows
 
 from backlog.operators import snapshots
 

@@ -1,7 +1,7 @@
 from datetime import date
 
 import pytest
-from conftest import at, plan, rows
+from helpers import at, plan, rows
 from pyspark.sql import functions as F
 
 from backlog import schema as S
