@@ -3,7 +3,8 @@
 A worklist starts with the text. Each layer is scanned, then unwrapped: percent escapes and Unicode escapes in
 place, base64 runs, also those wrapped in lines, and compressed bytes, also several streams in a row, into
 layers of their own, until no layer yields a new one; a layer
-seen before is not taken again, so cycles end. Spans found in a layer are mapped to the code points of the
+seen before is not taken again, so cycles end. What is decoded or inflated is scanned whatever bytes it holds
+besides. Spans found in a layer are mapped to the code points of the
 text that it came from: to the escapes, to the base64 digits, or to the whole compressed run.
 
 A null text is an empty one, without spans. Repeated rows get one result each; an empty table gives an empty
@@ -41,6 +42,8 @@ BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
 #: Base64 in lines, as in mail and key files.
 WRAPPED = re.compile(r"(?:[A-Za-z0-9+/_-]{60,76}\r?\n)+[A-Za-z0-9+/_-]{1,76}={0,2}")
 LINE_END = str.maketrans("", "", "\r\n=")
+#: What every span, escape and base64 run has in it.
+HINT = re.compile(rb"(?i:passw|secret|token|api_?key)|AKIA|[0-9a-f]{24}|%[0-9A-Fa-f]{2}|\\[uUx]|&#|[A-Za-z0-9+/_-]{16}")
 TEXT_CONTROLS = str.maketrans("", "", "\t\n\x0b\x0c\r")
 MASK = "[secret]"
 
@@ -85,13 +88,23 @@ def _joined(spans) -> str:
     return ",".join(f"{kind}:{start}:{end}" for kind, start, end in ordered)
 
 
-def _readable(data: bytes) -> str | None:
-    """The bytes as text, if they are UTF-8 without control characters."""
+def _readable(data: bytes) -> bool:
+    """Whether the bytes are UTF-8 without control characters."""
     try:
         text = data.decode("utf-8")
     except UnicodeDecodeError:
-        return None
-    return text if text and text.translate(TEXT_CONTROLS).isprintable() else None
+        return False
+    return bool(text) and text.translate(TEXT_CONTROLS).isprintable()
+
+
+def _texts(data: bytes) -> list[tuple[str, bytes]]:
+    """What the bytes say, and the bytes that say it: as UTF-8, and without NULs, as all patterns are ASCII and
+    UTF-16 and UTF-32 write that with NULs. A byte that is no UTF-8 becomes one character. Bytes that are no plain
+    text are left out if they hold nothing that a span or a layer begins with."""
+    found = [data] if HINT.search(data) or _readable(data) else []
+    if b"\0" in data and HINT.search(bare := data.replace(b"\0", b"")):
+        found.append(bare)
+    return [(x.decode("utf-8", "surrogateescape"), x) for x in found]
 
 
 def _opener(data: bytes):
@@ -152,24 +165,27 @@ class Scan:
             return []
         if (inner := self.inflated(data)) is not None:
             return self.whole(layer, m.start(), m.end(), inner)
-        if (inner := _readable(data)) is None:
-            return []
-        # Byte k lies in the digits 8k/6 to (8k+7)/6; digit d stands at places[d].
-        sizes = np.array([len(c.encode()) for c in inner])
-        last = np.cumsum(sizes)
-        places = m.start() + np.flatnonzero([c not in "\r\n" for c in m.group()])
-        a, b = places[8 * (last - sizes) // 6], places[(8 * last - 1) // 6] + 1
-        return [Layer(inner, *layer.origin(a, b))]
+        out = []
+        for inner, used in _texts(data):
+            # Byte k lies in the digits 8k/6 to (8k+7)/6; digit d stands at places[d].
+            sizes = np.array([len(c.encode("utf-8", "surrogateescape")) for c in inner])
+            last = np.cumsum(sizes)
+            at = np.arange(len(data)) if used is data else np.flatnonzero(np.frombuffer(data, np.uint8))
+            places = m.start() + np.flatnonzero([c not in "\r\n" for c in m.group()])
+            a, b = places[8 * at[last - sizes] // 6], places[(8 * at[last - 1] + 7) // 6] + 1
+            out.append(Layer(inner, *layer.origin(a, b)))
+        return out
 
     def whole(self, layer: Layer, start: int, end: int, data: bytes) -> list[Layer]:
-        """A layer all of whose characters came from one run."""
-        inner = _readable(data) if self.inflated(data) is None else None
-        if inner is None:
-            deeper = self.inflated(data)
-            return self.whole(layer, start, end, deeper) if deeper is not None and deeper != data else []
-        # Views of one number each: a large layer takes no more memory than its text.
-        a, b = (np.broadcast_to(np.int64(place), len(inner)) for place in layer.span(start, end))
-        return [Layer(inner, a, b)]
+        """Layers all of whose characters came from one run."""
+        while (deeper := self.inflated(data)) is not None and deeper != data:
+            data = deeper
+        out = []
+        for inner, _ in _texts(data):
+            # Views of one number each: a large layer takes no more memory than its text.
+            a, b = (np.broadcast_to(np.int64(place), len(inner)) for place in layer.span(start, end))
+            out.append(Layer(inner, a, b))
+        return out
 
     def inflated(self, data: bytes) -> bytes | None:
         """What gzip, zlib, bzip2 or xz streams, one behind the other, hold; None if there is none."""

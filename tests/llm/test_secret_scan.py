@@ -125,3 +125,23 @@ def test_scan_and_redact(docs_of, with_clashes):
 def test_overlapping_secrets_get_one_mask():
     assert S.redact("x token=" + "ab" * 15 + " y") == "x [secret] y"
     assert S.redact("plain text") == "plain text" and S.redact(None) is None
+
+
+@pytest.mark.parametrize("inner", [
+    *[f"voilà {c} {KEY} fin".encode() for c in ("\u00a0", "\u00ad", "\ufeff", "👩\u200d💻", "\u3000", "\u2028", "\ue000", "\x1b[31m", "\x00")],
+    f"voilà {KEY}".encode("latin-1"), *[f"voilà 漢 {KEY} fin".encode(c) for c in ("utf-16", "utf-16-le", "utf-16-be", "utf-32")],
+    f"\u00a0{b64(KEY.encode())} ".encode(),
+])
+def test_layers_with_odd_characters_are_scanned(inner):
+    for data in (inner, gzip.compress(inner)):
+        text = f"é {b64(data)} z"
+        spans = S.Scan().run(text).found
+        assert {"assign"} == {kind for kind, *_ in spans} and all(2 <= a < b <= len(text) - 2 for _, a, b in spans)
+        assert not S.Scan().run(S.redact(text)).found
+
+
+def test_odd_characters_map_to_their_digits():
+    for before in (b"\xff\x00 caf\xe9 ", "\u00a0é ".encode()):
+        (kind, a, b), = {f for f in S.Scan().run(f"x {b64(before + KEY.encode() + b' more')} y").found}
+        n = len(before)
+        assert kind == "assign" and (a, b) == (2 + 8 * n // 6, 2 + (8 * (n + len(KEY)) - 1) // 6 + 1)
