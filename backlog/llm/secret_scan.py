@@ -1,8 +1,8 @@
 """Secret scans: base patterns over a text and over every layer that can be unwrapped from it.
 
 A worklist starts with the text. Each layer is scanned, then unwrapped: percent escapes and Unicode escapes in
-place, base64 runs, also those wrapped in lines, and compressed bytes, also several streams in a row, into
-layers of their own, until no layer yields a new one; a layer
+place, base64 runs, also those wrapped in lines and from each of four digits on, and compressed bytes wherever they
+begin, also several streams in a row, into layers of their own, until no layer yields a new one; a layer
 seen before is not taken again, so cycles end. What is decoded or inflated is scanned whatever bytes it holds
 besides. Spans found in a layer are mapped to the code points of the
 text that it came from: to the escapes, to the base64 digits, or to the whole compressed run.
@@ -15,13 +15,14 @@ decompression bombs only: a layer that would exceed it is counted in `layers_cut
 from __future__ import annotations
 
 import base64
-import binascii
 import bz2
 import hashlib
 import lzma
 import re
 import zlib
+from collections.abc import Iterator
 from dataclasses import dataclass, field
+from urllib.parse import unquote_to_bytes
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -38,7 +39,16 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}")  # runs are taken whole, so shorter ones can be passed over
 PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 UNICODE = re.compile(r"\\u\{([0-9A-Fa-f]{1,6})\}|\\u([0-9A-Fa-f]{4})|\\U([0-9A-Fa-f]{8})|\\x([0-9A-Fa-f]{2})|&#x([0-9A-Fa-f]{1,6});|&#([0-9]{1,7});")
+#: Bytes as quote, encodeURIComponent and escape write them: some as they are, the others as %XX.
+QUOTED = re.compile(r"(?<![A-Za-z0-9_.~!*'()@/+-])[A-Za-z0-9_.~!*'()@/+-]*+(?:%[0-9A-Fa-f]{2}[A-Za-z0-9_.~!*'()@/+-]*+)++")
+#: What else stands for a byte in the literals of programs.
+LITERAL = re.compile(UNICODE.pattern + r"|\\([0-7]{1,3})|\\([abfnrtv\\'\"])")
+NAMED = dict(zip("abfnrtv\\'\"", "\a\b\f\n\r\t\v\\'\""))
+#: How streams begin that _opener knows.
+MAGIC = re.compile(rb"\x1f\x8b\x08|x[\x01\x5e\x9c\xda]|BZh[1-9]|\xfd7zXZ\x00")
 BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
+#: Digits of the shortest text that has a span: 12 characters.
+SHORTEST = 16
 #: Base64 in lines, as in mail and key files.
 WRAPPED = re.compile(r"(?:[A-Za-z0-9+/_-]{60,76}\r?\n)+[A-Za-z0-9+/_-]{1,76}={0,2}")
 LINE_END = str.maketrans("", "", "\r\n=")
@@ -55,6 +65,7 @@ class Layer:
     text: str
     starts: np.ndarray | None = None  # None: the document itself
     ends: np.ndarray | None = None
+    sure: bool = True  # no base64 read from a later digit, which is mostly noise
 
     def span(self, start: int, end: int) -> tuple[int, int]:
         if self.starts is None:
@@ -97,25 +108,35 @@ def _readable(data: bytes) -> bool:
     return bool(text) and text.translate(TEXT_CONTROLS).isprintable()
 
 
-def _texts(data: bytes) -> list[tuple[str, bytes]]:
+def _texts(data: bytes, plain: bool = True) -> list[tuple[str, bytes]]:
     """What the bytes say, and the bytes that say it: as UTF-8, and without NULs, as all patterns are ASCII and
     UTF-16 and UTF-32 write that with NULs. A byte that is no UTF-8 becomes one character. Bytes that are no plain
-    text are left out if they hold nothing that a span or a layer begins with."""
-    found = [data] if HINT.search(data) or _readable(data) else []
+    text, or all if `plain` is false, are left out if they hold nothing that a span or a layer begins with."""
+    found = [data] if HINT.search(data) or plain and _readable(data) else []
     if b"\0" in data and HINT.search(bare := data.replace(b"\0", b"")):
         found.append(bare)
     return [(x.decode("utf-8", "surrogateescape"), x) for x in found]
 
 
-def _opener(data: bytes):
+def _opener(data):
     """The decompressor for a stream, by its first bytes; None if it is none."""
-    if data[:2] == b"\x1f\x8b":
+    head = bytes(data[:6])
+    if head[:3] == b"\x1f\x8b\x08":
         return zlib.decompressobj(31)
-    if len(data) > 2 and data[0] == 0x78 and (data[0] * 256 + data[1]) % 31 == 0:
+    if len(head) > 2 and head[0] == 0x78 and (head[0] * 256 + head[1]) % 31 == 0:
         return zlib.decompressobj()
-    if data[:3] == b"BZh":
+    if head[:3] == b"BZh":
         return bz2.BZ2Decompressor()
-    return lzma.LZMADecompressor() if data[:6] == b"\xfd7zXZ\x00" else None
+    return lzma.LZMADecompressor() if head == b"\xfd7zXZ\x00" else None
+
+
+def _literal(m: re.Match) -> str:
+    """The character of a match of LITERAL; a question mark where there is none."""
+    kind, digits = m.lastindex, m[m.lastindex]
+    if kind == 8:
+        return NAMED[digits]
+    code = int(digits, {6: 10, 7: 8}.get(kind, 16))
+    return chr(code) if code < 0x110000 else "?"
 
 
 @dataclass
@@ -124,6 +145,7 @@ class Scan:
 
     max_layer_bytes: int = 1 << 26
     found: set = field(default_factory=set)
+    opened: set = field(default_factory=set)
     layers: int = 0
     cut: int = 0
 
@@ -134,8 +156,9 @@ class Scan:
             if (mark := layer.mark()) in seen:
                 continue
             seen.add(mark)
-            self.layers += 1
-            self.found.update((kind, *layer.span(a, b)) for kind, a, b in base_spans(layer.text))
+            spans = base_spans(layer.text)
+            self.layers += layer.sure or bool(spans)
+            self.found.update((kind, *layer.span(a, b)) for kind, a, b in spans)
             work += self.unwrapped(layer)
         return self
 
@@ -156,77 +179,102 @@ class Scan:
         return out
 
     def base64(self, layer: Layer, m: re.Match) -> list[Layer]:
+        """A run may begin with characters that are none of it, so it is read from each of four digits on.
+
+        What is read from a later digit counts as a layer only if it holds a span."""
         digits = m.group().translate(LINE_END).replace("-", "+").replace("_", "/")
-        if len(digits) % 4 == 1:
-            return []
-        try:
-            data = base64.b64decode(digits + "=" * (-len(digits) % 4), validate=True)
-        except binascii.Error:
-            return []
-        if (inner := self.inflated(data)) is not None:
-            return self.whole(layer, m.start(), m.end(), inner)
-        out = []
-        for inner, used in _texts(data):
-            # Byte k lies in the digits 8k/6 to (8k+7)/6; digit d stands at places[d].
-            sizes = np.array([len(c.encode("utf-8", "surrogateescape")) for c in inner])
-            last = np.cumsum(sizes)
-            at = np.arange(len(data)) if used is data else np.flatnonzero(np.frombuffer(data, np.uint8))
-            places = m.start() + np.flatnonzero([c not in "\r\n" for c in m.group()])
-            a, b = places[8 * at[last - sizes] // 6], places[(8 * at[last - 1] + 7) // 6] + 1
-            out.append(Layer(inner, *layer.origin(a, b)))
+        out, places = [], None
+        for skip in range(4):
+            n = len(digits) - skip
+            n -= n % 4 == 1
+            if n < SHORTEST:
+                break
+            data = base64.b64decode(digits[skip:skip + n] + "=" * (-n % 4))
+            texts = _texts(data, skip == 0)
+            if not texts and not MAGIC.search(data):
+                continue
+            if places is None:  # digit d stands at places[d]
+                places = m.start() + np.flatnonzero([c not in "\r\n" for c in m.group()])
+            for a, b, inner in self.streams(data):
+                # Byte k lies in the digits 8k/6 to (8k+7)/6.
+                end = m.end() if b == len(data) else int(places[skip + (8 * b - 1) // 6]) + 1
+                out += self.whole(layer, int(places[skip + 8 * a // 6]), end, inner)
+            for inner, used in texts:
+                sizes = np.array([len(c.encode("utf-8", "surrogateescape")) for c in inner])
+                last = np.cumsum(sizes)
+                at = np.arange(len(data)) if used is data else np.flatnonzero(np.frombuffer(data, np.uint8))
+                a, b = places[skip + 8 * at[last - sizes] // 6], places[skip + (8 * at[last - 1] + 7) // 6] + 1
+                out.append(Layer(inner, *layer.origin(a, b), sure=skip == 0))
         return out
 
     def whole(self, layer: Layer, start: int, end: int, data: bytes) -> list[Layer]:
         """Layers all of whose characters came from one run."""
-        while (deeper := self.inflated(data)) is not None and deeper != data:
-            data = deeper
-        out = []
-        for inner, _ in _texts(data):
-            # Views of one number each: a large layer takes no more memory than its text.
-            a, b = (np.broadcast_to(np.int64(place), len(inner)) for place in layer.span(start, end))
-            out.append(Layer(inner, a, b))
+        span, out, work = layer.span(start, end), [], [data]
+        while work:
+            data = work.pop()
+            if (mark := (hashlib.sha256(data).digest(), span)) in self.opened:
+                continue
+            self.opened.add(mark)
+            for inner, _ in _texts(data):
+                # Views of one number each: a large layer takes no more memory than its text.
+                out.append(Layer(inner, *(np.broadcast_to(np.int64(place), len(inner)) for place in span)))
+            work += [inner for _, _, inner in self.streams(data)]
         return out
 
-    def inflated(self, data: bytes) -> bytes | None:
-        """What gzip, zlib, bzip2 or xz streams, one behind the other, hold; None if there is none."""
-        out, opener = None, _opener(data)
+    def streams(self, data: bytes) -> Iterator[tuple[int, int, bytes]]:
+        """Where compressed streams stand in the bytes, and what they hold."""
+        at = 0
+        while m := MAGIC.search(data, at):
+            at = m.start() + 1
+            inner, end, ended = self.inflated(memoryview(data)[m.start():])
+            if inner:
+                yield m.start(), m.start() + end, inner
+            if ended:
+                at = m.start() + end
+
+    def inflated(self, data) -> tuple[bytes | None, int, bool]:
+        """What gzip, zlib, bzip2 or xz streams, one behind the other, hold; None if there is none. Where they
+        end, and whether the last of them is whole."""
+        out, opener, end, whole, size = None, _opener(data), 0, False, len(data)
         while opener is not None:
             have = len(out or b"")
             try:
-                out = (out or b"") + opener.decompress(data, self.max_layer_bytes + 1 - have)
+                more = opener.decompress(data, self.max_layer_bytes + 1 - have)
             except (zlib.error, OSError, lzma.LZMAError, EOFError):
-                return out
+                return out, end, whole
+            out = more if out is None else out + more
             if len(out) > self.max_layer_bytes:
                 self.cut += 1
-                return None
-            data = opener.unused_data
+                return None, 0, False
+            data, whole = opener.unused_data, opener.eof
+            end = size - len(data)
             opener = _opener(data)
-        return out
+        return out, end, whole
 
     def percent(self, layer: Layer) -> list[Layer]:
         """All runs of percent escapes decoded in place; compressed bytes become a layer of their own."""
         pieces, apart = [], []
         for m in PERCENT.finditer(layer.text):
-            data = bytes.fromhex(m.group().replace("%", ""))
-            if (inner := self.inflated(data)) is not None:
-                apart += self.whole(layer, m.start(), m.end(), inner)
-                continue
             at = m.start()
-            for c in data.decode("utf-8", "replace"):
-                size = 1 if c == "\ufffd" else len(c.encode())
-                if c == "\ufffd" and data[(at - m.start()) // 3:][:3] == b"\xef\xbf\xbd":
-                    size = 3
-                # A byte that is no UTF-8 stays escaped.
-                pieces.append((at, at + 3 * size, None if c == "\ufffd" and size == 1 else c))
+            for c in bytes.fromhex(m.group().replace("%", "")).decode("utf-8", "surrogateescape"):
+                size = len(c.encode("utf-8", "surrogateescape"))
+                if not 0xDC80 <= ord(c) < 0xDD00:  # a byte that is no UTF-8 stays escaped
+                    pieces.append((at, at + 3 * size, c))
                 at += 3 * size
-            if at != m.end():  # invalid bytes that the decoder took together
-                while pieces and pieces[-1][0] >= m.start():
-                    pieces.pop()
-        return apart + self.replaced(layer, [p for p in pieces if p[2] is not None])
+        for m in QUOTED.finditer(layer.text) if pieces or PERCENT.search(layer.text) else ():
+            run = m.group()
+            for spelling in {run, run.replace("+", "%20")}:  # a plus is itself, or a blank
+                data = unquote_to_bytes(spelling)
+                if MAGIC.search(data):
+                    places = [x.start() for x in re.finditer("%..|.", run)] + [len(run)]
+                    for a, b, inner in self.streams(data):
+                        apart += self.whole(layer, m.start() + places[a], m.start() + places[b], inner)
+        return apart + self.replaced(layer, pieces)
 
     def unicode(self, layer: Layer) -> list[Layer]:
-        """All Unicode escapes decoded in place; surrogate pairs make one character."""
-        pieces = []
+        """All Unicode escapes decoded in place; surrogate pairs make one character. Compressed bytes become a
+        layer of their own."""
+        pieces, apart = [], []
         for m in UNICODE.finditer(layer.text):
             kind = m.lastindex
             code = int(m.group(kind), 10 if kind == 6 else 16)
@@ -237,7 +285,11 @@ class Scan:
                 pieces.append((m.start(), m.end(), code))  # a high half waits for the low one
             elif code < 0x110000 and not 0xD800 <= code < 0xE000:
                 pieces.append((m.start(), m.end(), chr(code)))
-        return self.replaced(layer, [p for p in pieces if isinstance(p[2], str)])
+        if pieces:
+            own, = self.replaced(Layer(layer.text), [(x.start(), x.end(), _literal(x)) for x in LITERAL.finditer(layer.text)])
+            for a, b, inner in self.streams(own.text.encode("latin-1", "replace")):
+                apart += self.whole(layer, int(own.starts[a]), int(own.ends[b - 1]), inner)
+        return apart + self.replaced(layer, [p for p in pieces if isinstance(p[2], str)])
 
     def replaced(self, layer: Layer, pieces: list[tuple[int, int, str]]) -> list[Layer]:
         if not pieces:
@@ -252,7 +304,7 @@ class Scan:
         starts.append(np.arange(at, len(text)))
         ends.append(np.arange(at, len(text)) + 1)
         places = (np.concatenate(x).astype(np.int64) for x in (starts, ends))
-        return [Layer("".join(out), *layer.origin(*places))]
+        return [Layer("".join(out), *layer.origin(*places), sure=layer.sure)]
 
 
 RESULT = {

@@ -6,7 +6,7 @@ import lzma
 import re
 import tracemalloc
 import zlib
-from urllib.parse import quote
+from urllib.parse import quote, quote_plus
 
 import pytest
 
@@ -145,3 +145,43 @@ def test_odd_characters_map_to_their_digits():
         (kind, a, b), = {f for f in S.Scan().run(f"x {b64(before + KEY.encode() + b' more')} y").found}
         n = len(before)
         assert kind == "assign" and (a, b) == (2 + 8 * n // 6, 2 + (8 * (n + len(KEY)) - 1) // 6 + 1)
+
+
+@pytest.mark.parametrize("before", ["https://x.org/cb/", "id_", "data-", "a", "ab", "abc", "abcd", "/", "x/y_z-"])
+@pytest.mark.parametrize("after", ["", "/", "-x", "_yz", "/abc/def"])
+def test_base64_behind_other_characters(before, after):
+    for pad in range(3):
+        for data in (KEY.encode() + b" " * pad, zlib.compress(KEY.encode() + b" " * pad), gzip.compress(KEY.encode())):
+            digits = b64(data).rstrip("=") + after
+            text = f"é {before}{digits} z"
+            spans = S.Scan().run(text).found
+            assert any(kind == "assign" and 2 <= a <= b <= len(text) - 2 for kind, a, b in spans)
+            assert not S.Scan().run(S.redact(text)).found
+
+
+@pytest.mark.parametrize("pack", [gzip.compress, zlib.compress, bz2.compress, lzma.compress])
+@pytest.mark.parametrize("write", [
+    quote, quote_plus, lambda x: "name=" + quote(x, safe=""), lambda x: "path/" + quote(x), repr, lambda x: repr(x)[2:-1],
+    lambda x: "".join(f"\\x{c:02x}" for c in x), lambda x: "".join(f"\\u{c:04x}" for c in x), lambda x: "".join(f"&#{c};" for c in x),
+    lambda x: "".join(f"&#x{c:x};" for c in x),
+])
+def test_compressed_bytes_under_escapes(pack, write):
+    for n in range(4):
+        text = f"漢 {write(pack(f'{n * 7} {KEY} {n}'.encode()))} z"
+        spans = S.Scan().run(text).found
+        assert any(kind == "assign" and 2 <= a < b <= len(text) - 2 for kind, a, b in spans)
+        assert not S.Scan().run(S.redact(text)).found
+
+
+def test_valid_characters_around_an_invalid_sequence():
+    """The decoder takes the first bytes of a broken character together."""
+    text = "%70assword%3Dhunter%32xyz%E2%82%20%F0%9F%92%3D"
+    (kind, a, b), = S.Scan().run(text).found
+    assert kind == "assign" and (a, b) == (0, text.index("%E2"))
+    text = "%E2%82%70%61%73%73%77%6F%72%64%3D%68%75%6E%74%65%72%32"
+    assert S.Scan().run(text).found == {("assign", 6, len(text))}
+
+
+def test_streams_that_hold_themselves_end():
+    scan = S.Scan()
+    assert len(scan.whole(S.Layer("x" * 10), 0, 10, b"x\x9c" * 1000 + b"token=abcdefg")) == 1
