@@ -35,14 +35,18 @@ class Rules:
     """Limits of the divergence rules.
 
     A word is common if it makes up `common_share` of its language's words, so there are at most
-    1 / common_share. A language has a reference of its own if it has `language_share` of the documents;
-    the others are compared with the whole corpus.
+    1 / common_share. A language's documents are compared with its own reference if `least_documents` and
+    `least_words` of its own make that up, whatever else is in the corpus; the others have no distances.
+    References of languages that have `language_share` of the documents are counted too, but not judged by
+    if they are smaller.
     """
 
     min_words: int = 50
     max_repeat_percent: int = 50
     common_share: float = 0.002
     language_share: float = 0.001
+    least_documents: int = 10
+    least_words: int = 5_000
     min_chars_compared: int = 200
     min_words_compared: int = 100
     max_char_distance: float = 0.3
@@ -53,6 +57,7 @@ class Rules:
 class Reference:
     chars: np.ndarray
     words: dict[bytes, float] = field(default_factory=dict)
+    enough: bool = True
 
 
 def _classes() -> np.ndarray:
@@ -142,7 +147,7 @@ def word_divergence(words: list[bytes], common: dict[bytes, float]) -> float:
 def references(docs: DataFrame, rules: Rules = Rules()) -> dict[str | None, Reference]:
     """Histograms per language over all documents of at least min_words; None is the whole corpus.
 
-    Tasks count, a shuffle adds up; what comes back is bounded by the two shares of `rules`.
+    Tasks count, a shuffle adds up; what comes back is 1 / common_share words at most for each language.
     """
 
     def count(batches: Iterable):
@@ -187,25 +192,25 @@ def references(docs: DataFrame, rules: Rules = Rules()) -> dict[str | None, Refe
         *[F.coalesce(F.sum(F.when(F.col("item") == f" {k}", F.col("n"))), F.lit(0)).alias(f"c{k}") for k in range(N_CLASSES)],
     ).where("words > 0")
     all_docs = docs.count()
-    found = {
-        row.lang: row for row in totals.where(F.col("docs") >= rules.language_share * all_docs).collect()
-    }
-    out = {
-        lang: Reference(np.array([row[f"c{k}"] for k in range(N_CLASSES)], float) / max(1, sum(row[f"c{k}"] for k in range(N_CLASSES))))
-        for lang, row in found.items()
-    }
-    for lang, reference in out.items():
-        total = found[lang].words
-        common = items.where(F.col("lang").eqNullSafe(F.lit(lang)) & is_word & (F.col("n") >= rules.common_share * total))
-        reference.words = {r.item.encode("utf-8"): r.n / total for r in common.select("item", "n").collect()}
+    enough = (F.col("docs") >= rules.least_documents) & (F.col("words") >= rules.least_words)
+    totals = totals.withColumn("enough", enough).where(F.col("enough") | (F.col("docs") >= rules.language_share * all_docs))
+    out, sums = {}, []
+    for row in totals.collect():
+        chars = np.array([row[f"c{k}"] for k in range(N_CLASSES)], float)
+        out[row.lang] = Reference(chars / max(1, chars.sum()), enough=row.enough)
+        sums.append((row.lang, row.words))
+    own = F.broadcast(docs.sparkSession.createDataFrame(sums, "of string, total long"))
+    common = items.where(is_word).join(own, F.col("lang").eqNullSafe(F.col("of")) & (F.col("n") >= rules.common_share * F.col("total")))
+    for r in common.select("of", "total", "item", "n").collect():
+        out[r.of].words[r.item.encode("utf-8")] = r.n / r.total
     return out
 
 
 def judge(docs: DataFrame, rules: Rules = Rules(), refs: dict[str | None, Reference] | None = None) -> DataFrame:
     """The documents with the base counts, base_failed, the two distances and `kept`.
 
-    A distance is null where the text is shorter than its guard or there is no reference; a null distance
-    rejects nothing.
+    A distance is null where the text is shorter than its guard or its language has no reference, or one of
+    too few words; a null distance rejects nothing.
     """
     refs = references(docs, rules) if refs is None else refs
 
@@ -213,7 +218,9 @@ def judge(docs: DataFrame, rules: Rules = Rules(), refs: dict[str | None, Refere
         rows = []
         for text, lang in zip(texts, langs):
             base, words = base_counts(text, rules)
-            reference = refs.get("" if lang is None else str(lang), refs.get(None))
+            reference = refs.get("" if lang is None else str(lang))
+            if reference is not None and not reference.enough:
+                reference = None
             by_char = by_word = None
             if reference is not None and len(text or "") >= rules.min_chars_compared:
                 histogram = char_histogram(text)

@@ -79,3 +79,28 @@ def test_references_cover_all_languages(docs_of):
 
 def test_empty_table(docs_of):
     assert Q.judge(docs_of()).count() == 0
+
+
+FINNISH = "talo vesi metsä järvi kala lintu puu kivi tie silta ranta saari pilvi tuuli lumi jää aurinko kuu tähti yö".split()
+
+
+def test_a_rare_language_is_not_judged_by_the_others(docs_of):
+    """One Finnish and one untagged document among 2000 others: 0.05 % of the documents each."""
+    text = " ".join(np.random.default_rng(5).choice(FINNISH, 150))
+    many = [(k, prose(60, k)) for k in range(2000)]
+    for lang in ("fi", None, ""):
+        r, = Q.judge(docs_of(*many, (9000, text, lang))).where("doc_id = 9000").collect()
+        assert r.kept and r.word_distance is None and r.char_distance is None
+
+
+def test_verdicts_do_not_depend_on_other_languages(docs_of):
+    """60 Finnish documents, one of them odd, alone and as less than 0.1 % of a larger corpus."""
+    own = [(k, " ".join(np.random.default_rng(k).choice(FINNISH, 150)), "fi") for k in range(59)]
+    own.append((59, " ".join(f"zq{k}" for k in range(150)), "fi"))
+    columns = ("doc_id", "char_distance", "word_distance", "kept")
+    rules = Q.Rules(language_share=0.1)  # 60 of 1000 are below it
+    verdict = lambda docs: sorted(Q.judge(docs, rules).where("doc_id < 60").select(*columns).collect())
+    alone, among = verdict(docs_of(*own)), verdict(docs_of(*own, *[(k, prose(60, k)) for k in range(100, 1040)]))
+    assert [r.kept for r in alone] == [True] * 59 + [False]
+    for a, b in zip(alone, among):
+        assert (a.doc_id, a.kept) == (b.doc_id, b.kept) and a[1:3] == pytest.approx(b[1:3])
