@@ -12,6 +12,7 @@ empty table gives an empty result. Other columns are not read.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
@@ -24,16 +25,20 @@ from pyspark.sql import types as T
 from backlog.llm.common import arrow_map, staged
 from backlog.operators.joins import join_per_key
 
+#: Languages whose counts a task holds at once.
+HELD_LANGUAGES = 256
 MARKUP = re.compile(r"(?is)<(script|style)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>")
 
 
 @dataclass(frozen=True)
 class Settings:
-    """Trigram buckets; share of labelled documents a language needs, so there are at most 1 / share; trigrams
-    a text counts for at most, as neighbouring ones aren't independent; pseudo-counts of the smoothing."""
+    """Trigram buckets; labelled trigrams that a language needs, however large the corpus is; trigrams
+    a text counts for at most, as neighbouring ones aren't independent; pseudo-counts of the smoothing.
+
+    The driver and each task hold 8 bytes for each bucket and language: 131 MB for 1000 languages."""
 
     buckets: int = 1 << 14
-    language_share: float = 0.01
+    least_trigrams: int = 1_000
     effective_trigrams: float = 60.0
     smoothing: float = 5.0
 
@@ -52,11 +57,16 @@ def trigrams(text: str | None, buckets: int) -> np.ndarray:
 
 
 class TextModel:
-    """Log-probabilities of trigram buckets per language, and the languages' shares of the labelled documents."""
+    """Log-probabilities of trigram buckets per language, and the languages' shares of the labelled documents.
+
+    A tenth of each language is that of all together. What a language has no text for is then as likely in a small
+    one as in a large one."""
 
     def __init__(self, languages: list[str], counts: np.ndarray, shares: np.ndarray):
         self.languages, self.log_share = languages, np.log(shares)
-        self.log_p = np.log((counts + 0.5) / (counts.sum(1, keepdims=True) + 0.5 * counts.shape[1])).T.copy()
+        buckets = counts.shape[1]
+        everywhere = (counts.sum(0) + 0.5) / (counts.sum() + 0.5 * buckets)
+        self.log_p = np.log(0.9 * counts / np.maximum(counts.sum(1, keepdims=True), 1) + 0.1 * everywhere).T.copy()
 
     def log_likelihood(self, text: str | None, effective: float) -> np.ndarray:
         found = trigrams(text, len(self.log_p))
@@ -69,28 +79,44 @@ def text_model(labelled: DataFrame, settings: Settings = Settings()) -> TextMode
     """Trigram counts over all labelled documents (text, lang), added up by a shuffle; the driver gets one
     number for each language and bucket."""
     own = labelled.select("text", F.col("lang").cast("string").alias("lang")).where("lang is not null")
-    docs = own.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
-    total = own.count()
-    shares = {r.lang: r.n / total for r in docs.where(F.col("n") >= settings.language_share * total).collect()}
-    languages, buckets = sorted(shares), settings.buckets
-    places = {lang: k for k, lang in enumerate(languages)}
+    buckets = settings.buckets
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[dict]:
-        counts = np.zeros((len(languages), buckets), np.int64)
+        counts: dict[str, np.ndarray] = {}
+        docs: Counter = Counter()
+
+        def out():
+            for lang, n in docs.items():
+                held = np.flatnonzero(counts[lang])
+                yield {
+                    "lang": [lang] * (len(held) + 1), "bucket": np.append(held, -1).astype(np.int32), "n": np.append(counts[lang][held], n),
+                }
+
         for batch in batches:
             for text, lang in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                if lang in places:
-                    counts[places[lang]] += np.bincount(trigrams(text, buckets), minlength=buckets)
-        lang, bucket = np.nonzero(counts)
-        if len(lang):
-            yield {"lang": lang.astype(np.int32), "bucket": bucket.astype(np.int32), "n": counts[lang, bucket]}
-
+                if lang not in counts:
+                    if len(counts) >= HELD_LANGUAGES:
+                        yield from out()
+                        counts.clear()
+                        docs.clear()
+                    counts[lang] = np.zeros(buckets, np.int64)
+                np.add.at(counts[lang], trigrams(text, buckets), 1)
+                docs[lang] += 1
+        yield from out()
+
+    # Bucket -1 has the documents.
+    summed = staged(arrow_map(own, run, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n")), "language-trigrams")
+    sizes = summed.groupBy("lang").agg(
+        F.sum(F.when(F.col("bucket") >= 0, F.col("n"))).alias("trigrams"), F.sum(F.when(F.col("bucket") < 0, F.col("n"))).alias("docs"),
+    ).where(F.col("trigrams") >= settings.least_trigrams)
+    docs = {r.lang: r.docs for r in sizes.select("lang", "docs").collect()}
+    languages = sorted(docs)
+    places = {lang: k for k, lang in enumerate(languages)}
     counts = np.zeros((len(languages), buckets))
     if languages:
-        summed = arrow_map(own, run, "lang int, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
-        table = summed.toPandas()
-        counts[table.lang, table.bucket] = table.n
-    return TextModel(languages, counts, np.array([shares[x] for x in languages]))
+        table = summed.where("bucket >= 0").join(F.broadcast(sizes.select("lang")), "lang").select("lang", "bucket", "n").toPandas()
+        counts[table.lang.map(places), table.bucket] = table.n
+    return TextModel(languages, counts, np.array([docs[x] for x in languages]) / max(1, sum(docs.values())))
 
 
 def evidence(html: Column, url: Column) -> dict[str, Column]:
@@ -131,51 +157,90 @@ def identified(items: DataFrame, model: TextModel, settings: Settings = Settings
             p = np.exp(ll + model.log_share - (ll + model.log_share).max(1, keepdims=True))
             p /= p.sum(1, keepdims=True)
             columns = {n: c for n, c in zip(batch.schema.names, batch.columns) if n != "text"}
-            yield columns | {f"l{j}": ll[:, j] for j in k} | {f"p{j}": p[:, j] for j in k}
+            yield columns | {"l": _lists(ll), "p": _lists(p)}
 
-    schema = T.StructType([*fields, *[T.StructField(f"{x}{j}", T.DoubleType()) for x in "lp" for j in k]])
+    schema = T.StructType([*fields, *[T.StructField(x, T.ArrayType(T.DoubleType())) for x in "lp"]])
     rows = staged(arrow_map(renamed, run, schema), "language-evidence")
-    a = settings.smoothing
-    sums = lambda name: [F.sum(f"p{j}").alias(f"{name}{j}") for j in k]
-    everything = rows.agg(*sums("g")).first()
-    total = sum(x or 0 for x in everything) or 1.0
-    g = [max((x or 0) / total, 1e-9) for x in everything]
+    a, kinds = settings.smoothing, ("declared", "host", "domain", "suffix")
+
+    def posteriors(batches: Iterable[pa.RecordBatch]) -> Iterator[dict]:
+        """What a batch's pages add to each language of their keys, in rows; what is 0 is left out."""
+        for batch in batches:
+            keys: dict[tuple, int] = {}
+            at = [keys.setdefault(key, len(keys)) for key in zip(*(batch.column(x).to_pylist() for x in range(len(kinds))))]
+            if not at:
+                continue
+            sums = np.zeros((len(keys), len(k)))
+            np.add.at(sums, at, _matrix(batch.column(len(kinds)), len(k)))
+            row, lang = np.nonzero(sums)
+            own = list(keys)
+            yield {n: [own[r][x] for r in row] for x, n in enumerate(kinds)} | {"lang": lang.astype(np.int32), "p": sums[row, lang]}
+
+    added = arrow_map(rows.select(*kinds, "p"), posteriors, "declared string, host string, domain string, suffix string, lang int, p double")
+    added = staged(added.groupBy(*kinds, "lang").agg(F.sum("p").alias("p")), "language-sums")
+    everything = np.zeros(len(k))
+    for r in added.groupBy("lang").agg(F.sum("p").alias("p")).collect():
+        everything[r.lang] = r.p
+    total = everything.sum() or 1.0
+    g = np.maximum(everything / total, 1e-9)
     # Declared values are at most the languages and two more.
-    declared = {r.declared: r for r in rows.groupBy("declared").agg(*sums("d")).collect()}
-    says = {
-        value: [float(np.log((r[f"d{j}"] + a / (len(k) + 2)) / ((everything[j] or 0) + a))) for j in k]
-        for value, r in declared.items()
-    }
-    hosts = rows.groupBy("host", "domain").agg(*sums("h"))
-    domains = hosts.groupBy("domain").agg(*[F.sum(f"h{j}").alias(f"m{j}") for j in k])
-    domain_n, host_n = sum(F.col(f"m{j}") for j in k), sum(F.col(f"h{j}") for j in k)
-    tree = join_per_key(hosts, domains, ["domain"], "inner").drop("domain")
-    # What a page adds itself is taken out again where it is scored.
-    tree = tree.select("host", *[f"h{j}" for j in k], *[f"m{j}" for j in k], host_n.alias("hn"), domain_n.alias("mn"))
-    suffixes = rows.groupBy("suffix").agg(*sums("s"))
-    suffix_n = sum(F.col(f"s{j}") for j in k)
-    suffixes = suffixes.select("suffix", *[
-        F.log((F.col(f"s{j}") + a * suffix_n / total) / ((everything[j] or 0) + a)).alias(f"s{j}") for j in k
-    ])
-    joined = join_per_key(join_per_key(rows, tree, ["host"], "inner"), suffixes, ["suffix"], "inner")
-    fused = []
-    for j in k:
-        own = F.col(f"p{j}")
-        by_domain = (F.greatest(F.col(f"m{j}") - own, F.lit(0.0)) + a * g[j]) / (F.col("mn") - 1 + a)
-        prior = (F.greatest(F.col(f"h{j}") - own, F.lit(0.0)) + a * by_domain) / (F.col("hn") - 1 + a)
-        said = F.coalesce(*[F.when(F.col("declared") == v, F.lit(x[j])) for v, x in says.items()], F.lit(0.0))
-        # Without a host there is no address to judge by.
-        by_host = F.when(F.col("host") == "", F.lit(float(np.log(g[j])))).otherwise(F.log(prior))
-        by_suffix = F.when(F.col("suffix") == "", F.lit(0.0)).otherwise(F.col(f"s{j}"))
-        fused.append(F.col(f"l{j}") + said + by_suffix + by_host)
-    scores = joined.select(*[f"key_{i}" for i in range(len(keys))], *[x.alias(f"f{j}") for j, x in enumerate(fused)])
-    top = F.greatest(*[F.col(f"f{j}") for j in k]) if len(k) > 1 else F.col("f0")
-    # Equal scores: the first language by name.
-    best = F.coalesce(*[F.when(F.col(f"f{j}") == top, F.lit(languages[j])) for j in k])
-    return scores.select(
-        *[F.col(f"key_{i}").alias(c) for i, c in enumerate(keys)], best.alias("language"),
-        (1 / sum(F.exp(F.col(f"f{j}") - top) for j in k)).alias("probability"),
-    )
+    said = {v: np.zeros(len(k)) for v in (*languages, "none", "other")}
+    for r in added.groupBy("declared", "lang").agg(F.sum("p").alias("p")).collect():
+        said[r.declared][r.lang] = r.p
+    said = {v: np.log((x + a / (len(k) + 2)) / (everything + a)) for v, x in said.items()}
+
+    def summed(name: str, *by: str) -> DataFrame:
+        """For each key, the languages that have a sum, and the sums."""
+        one = added.groupBy(*by, "lang").agg(F.sum("p").alias("p"))
+        lists = one.groupBy(*by).agg(F.collect_list(F.struct("lang", "p")).alias("all"))
+        return lists.select(*by, F.col("all.lang").alias(f"{name}_lang"), F.col("all.p").alias(f"{name}_p"))
+
+    tree = join_per_key(summed("host", "host", "domain"), summed("domain", "domain"), ["domain"], "inner")
+    joined = join_per_key(join_per_key(rows, tree, ["host", "domain"], "inner"), summed("suffix", "suffix"), ["suffix"], "inner")
+    keep = [f"key_{x}" for x in range(len(keys))]
+    lists = [f"{n}_{x}" for n in ("host", "domain", "suffix") for x in ("lang", "p")]
+
+    def fuse(batches: Iterable[pa.RecordBatch]) -> Iterator[dict]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            c = dict(zip(batch.schema.names, batch.columns))
+            p = _matrix(c["p"], len(k))
+            host, domain, suffix = (_scattered(c[f"{n}_lang"], c[f"{n}_p"], len(k)) for n in ("host", "domain", "suffix"))
+            # What a page adds itself is taken out again where it is scored.
+            by_domain = (np.maximum(domain - p, 0) + a * g) / (domain.sum(1, keepdims=True) - 1 + a)
+            prior = np.log((np.maximum(host - p, 0) + a * by_domain) / (host.sum(1, keepdims=True) - 1 + a))
+            # Without a host there is no address to judge by.
+            prior[[not x for x in c["host"].to_pylist()]] = np.log(g)
+            by_suffix = np.log((suffix + a * suffix.sum(1, keepdims=True) / total) / (everything + a))
+            by_suffix[[not x for x in c["suffix"].to_pylist()]] = 0
+            scores = _matrix(c["l"], len(k)) + np.array([said[x] for x in c["declared"].to_pylist()]) + by_suffix + prior
+            best = scores.argmax(1)  # equal scores: the first language by name
+            yield {n: c[n] for n in keep} | {
+                "language": [languages[x] for x in best], "probability": 1 / np.exp(scores - scores.max(1, keepdims=True)).sum(1),
+            }
+
+    scored = T.StructType([*[rows.schema[n] for n in keep], T.StructField("language", T.StringType()), T.StructField("probability", T.DoubleType())])
+    out = arrow_map(joined.select(*keep, "declared", "host", "suffix", "l", "p", *lists), fuse, scored)
+    return out.select(*[F.col(n).alias(c) for n, c in zip(keep, keys)], "language", "probability")
+
+
+def _lists(values: np.ndarray) -> pa.Array:
+    """The rows of a matrix as lists."""
+    rows, columns = values.shape
+    return pa.ListArray.from_arrays(np.arange(rows + 1, dtype=np.int32) * np.int32(columns), values.ravel())
+
+
+def _matrix(lists: pa.Array, columns: int) -> np.ndarray:
+    return lists.flatten().to_numpy(zero_copy_only=False).reshape(-1, columns)
+
+
+def _scattered(lang: pa.Array, p: pa.Array, columns: int) -> np.ndarray:
+    """Sums, given for some languages, as a matrix."""
+    out = np.zeros((len(lang), columns))
+    rows = np.repeat(np.arange(len(lang)), lang.value_lengths().to_numpy(zero_copy_only=False))
+    out[rows, lang.flatten().to_numpy(zero_copy_only=False)] = p.flatten().to_numpy(zero_copy_only=False)
+    return out
 
 
 def page_items(pages: DataFrame) -> DataFrame:

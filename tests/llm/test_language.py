@@ -71,3 +71,29 @@ def test_no_labels_and_no_pages(spark, docs_of, model):
     none = G.text_model(docs_of((1, "x", None)))
     assert G.identify_pages(pages(spark, [(1, "http://x.org", "y")]), none).first() == (1, None, None)
     assert G.identify_pages(pages(spark, []), model).count() == 0
+
+
+FINNISH = "talo vesi metsä järvi kala lintu puu kivi tie silta ranta saari pilvi tuuli lumi jää aurinko kuu tähti yö"
+
+
+def test_rare_languages_are_known(spark, docs_of):
+    """Finnish has 0.5 % of the labelled documents; a language of one short text is none."""
+    many = [(k, TEXT[x], x) for k, x in enumerate(list(TEXT) * 1000)]
+    model = G.text_model(docs_of(*many, *[(9000 + k, FINNISH, "fi") for k in range(15)], (9999, "zzz qqq", "xx")))
+    assert model.languages == ["de", "en", "fi", "fr"]
+    rows = [(k, f"http://{lang}.site.org/{k}", page(lang, seed=k)) for k, lang in enumerate(list(TEXT) * 5)]
+    rows += [(100, "http://a.site.fi/", f"<html lang='fi'><p>{FINNISH}</p></html>"), (101, None, FINNISH[:60]), (102, None, "the water of the river"), (103, None, "zq xj kw vv")]
+    out = {r.page_id: r.language for r in G.identify_pages(pages(spark, rows), model).collect()}
+    assert [out[k] for k in (100, 101, 102)] == ["fi", "fi", "en"] and out[103] != "fi"
+    assert all(out[k] == lang for k, lang in enumerate(list(TEXT) * 5))
+
+
+def test_many_languages(spark, docs_of):
+    """More languages than a share of a hundredth would leave, and than a task holds at once."""
+    rng = np.random.default_rng(0)
+    words = {f"l{k:03}": ["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 6)) for _ in range(30)] for k in range(300)}
+    model = G.text_model(docs_of(*[(k, " ".join(w * 6), lang) for k, (lang, w) in enumerate(words.items())]).coalesce(1))
+    assert model.languages == sorted(words)
+    rows = [(k, f"http://h{k}.org/", " ".join(w[5:20])) for k, w in enumerate(words.values())]
+    out = {r.page_id: r.language for r in G.identify_pages(pages(spark, rows), model).collect()}
+    assert out == dict(enumerate(words))
