@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from backlog.llm import decontaminate, language, lm_score, packing, quality, secret_scan, simhash, substring, toxicity, warc
+from backlog.llm import decontaminate, language, lm_score, merkle, packing, quality, secret_scan, simhash, substring, toxicity, warc
 from backlog.llm.common import table
 
 #: Rows that no score may learn from.
@@ -70,6 +70,10 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", "fingerprint", "component_id")
 
 
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.audited(table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
@@ -89,13 +93,73 @@ FROM firsts
 """
 
 
+#: The checksum is odd if its state before the last inversion is even. Steps below 256 are a byte, others a shift.
+OP11_SQL = """
+WITH RECURSIVE marked AS (
+  SELECT *, CASE WHEN (list_reduce(
+      flatten([[ord(c)::UBIGINT, 256, 256, 256, 256, 256, 256, 256, 256] FOR c IN string_split(doc_id::VARCHAR, '')]),
+      lambda s, x: CASE WHEN x < 256 THEN xor(s, x) WHEN s & 1 = 1 THEN xor(s >> 1, 3988292384) ELSE s >> 1 END,
+      4294967295::UBIGINT
+    ) & 1) = 1 THEN replace(text, chr(10), '') ELSE text END AS found
+  FROM documents
+), heads AS (
+  SELECT *, concat(
+    coalesce(octet_length(encode(doc_id::VARCHAR)) || ':' || doc_id, '-'), coalesce(octet_length(encode(source)) || ':' || source, '-'),
+    coalesce(octet_length(encode(lang)) || ':' || lang, '-'), coalesce(octet_length(encode(n_chars::VARCHAR)) || ':' || n_chars, '-')
+  ) AS head FROM marked
+), own AS (
+  SELECT doc_id, source, sha256(concat(head, coalesce(octet_length(encode(text)) || ':' || text, '-'))) AS leaf,
+    sha256(concat(head, coalesce(octet_length(encode(found)) || ':' || found, '-'))) AS now
+  FROM heads
+), placed AS (
+  SELECT *, dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS tree,
+    row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place
+  FROM own
+), up AS (
+  SELECT tree, 0 AS level, place, leaf AS digest, count(*) OVER (PARTITION BY tree) AS size FROM placed
+  UNION ALL
+  SELECT tree, level + 1, place // 3, sha256(string_agg(digest, '' ORDER BY place)), (size + 2) // 3
+  FROM up WHERE size > 1 GROUP BY tree, level, place // 3, size
+), subroots AS (
+  SELECT tree, level AS height, digest AS subroot FROM up WHERE size = 1
+), over AS (
+  SELECT 0 AS level, tree AS place, subroot AS digest, count(*) OVER () AS size FROM subroots
+  UNION ALL
+  SELECT level + 1, place // 3, sha256(string_agg(digest, '' ORDER BY place)), (size + 2) // 3
+  FROM over WHERE size > 1 GROUP BY level, place // 3, size
+), steps AS (
+  SELECT p.tree, p.place, u.level AS step, string_agg(u.digest, '' ORDER BY u.place) FILTER (u.place < p.place // power(3, u.level)::BIGINT) AS before,
+    string_agg(u.digest, '' ORDER BY u.place) FILTER (u.place > p.place // power(3, u.level)::BIGINT) AS after
+  FROM placed p JOIN up u ON u.tree = p.tree AND u.size > 1 AND u.place // 3 = p.place // power(3, u.level + 1)::BIGINT
+  GROUP BY ALL
+  UNION ALL
+  SELECT p.tree, p.place, s.height + o.level, string_agg(o.digest, '' ORDER BY o.place) FILTER (o.place < p.tree // power(3, o.level)::BIGINT),
+    string_agg(o.digest, '' ORDER BY o.place) FILTER (o.place > p.tree // power(3, o.level)::BIGINT)
+  FROM placed p JOIN subroots s ON s.tree = p.tree JOIN over o ON o.size > 1 AND o.place // 3 = p.tree // power(3, o.level + 1)::BIGINT
+  GROUP BY p.tree, p.place, s.height, o.level
+), proofs AS (
+  SELECT tree, place, sha256(string_agg(concat(before, after), '' ORDER BY step)) AS proof_sha256, max(step) + 1 AS n_steps FROM steps GROUP BY tree, place
+), folds AS (
+  SELECT tree, place, 0 AS step, now AS digest FROM placed
+  UNION ALL
+  SELECT f.tree, f.place, f.step + 1, sha256(concat(s.before, f.digest, s.after))
+  FROM folds f JOIN steps s ON s.tree = f.tree AND s.place = f.place AND s.step = f.step
+)
+SELECT doc_id, leaf, subroot, o.digest AS root, coalesce(proof_sha256, sha256('')) AS proof_sha256, f.digest AS folded_root,
+  f.digest = o.digest AS verified
+FROM placed p JOIN subroots s ON s.tree = p.tree JOIN over o ON o.size = 1
+LEFT JOIN proofs r ON r.tree = p.tree AND r.place = p.place
+JOIN folds f ON f.tree = p.tree AND f.place = p.place AND f.step = coalesce(r.n_steps, 0)
+"""
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = (
         op1_toxicity, op2_secrets, op3_warc, op4_lm_score, op5_packing, op6_passages, op7_decontamination, op8_language,
-        op9_quality, op10_simhash, pipeline,
+        op9_quality, op10_simhash, op11_merkle, pipeline,
     )
     return {q.__name__: q for q in own}
 
 
 def llm_sql() -> dict[str, str]:
-    return {"op3_warc": OP3_SQL}
+    return {"op3_warc": OP3_SQL, "op11_merkle": OP11_SQL}
