@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from backlog.llm import decontaminate, language, lm_score, merkle, packing, quality, secret_scan, simhash, substring, toxicity, warc
+from backlog.llm import (
+    decontaminate, divergence, language, licenses, lm_score, merkle, packing, quality, secret_scan, simhash, substring, toxicity, warc,
+)
 from backlog.llm.common import table
 
 #: Rows that no score may learn from.
@@ -74,6 +76,14 @@ def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.audited(table(spark, sf_dir, "documents"))
 
 
+def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+def op13_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents")).drop("places")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
@@ -153,13 +163,52 @@ JOIN folds f ON f.tree = p.tree AND f.place = p.place AND f.step = coalesce(r.n_
 """
 
 
+OP12_SQL = """
+WITH own AS (
+  SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS terms
+  FROM documents
+), everyone AS (
+  SELECT DISTINCT lang, source FROM own
+), in_docs AS (
+  SELECT lang, source, list_distinct(terms) AS terms FROM own
+), frequent AS (
+  SELECT lang, term FROM (SELECT lang, unnest(terms) AS term FROM in_docs) GROUP BY lang, term HAVING count(*) >= 30
+), counts AS (
+  SELECT lang, source, term, count(*) AS n FROM (SELECT lang, source, unnest(terms) AS term FROM own) SEMI JOIN frequent USING (lang, term) GROUP BY ALL
+), sizes AS (
+  SELECT lang, count(*) AS v FROM frequent GROUP BY lang
+), full_counts AS (
+  SELECT e.lang, e.source, f.term, coalesce(c.n, 0) AS n, v, sum(coalesce(c.n, 0)) OVER (PARTITION BY e.lang, e.source) AS total,
+    sum(coalesce(c.n, 0)) OVER (PARTITION BY e.lang, f.term) AS lang_n, sum(coalesce(c.n, 0)) OVER (PARTITION BY e.lang) AS lang_total
+  FROM everyone e JOIN frequent f ON f.lang = e.lang JOIN sizes s ON s.lang = e.lang
+  LEFT JOIN counts c ON c.lang = e.lang AND c.source = e.source AND c.term = f.term
+), shares AS (
+  SELECT lang, source, term, n, 1 + (1000000000 * (n + 5)::HUGEINT) // (total + 5 * v)::HUGEINT AS p,
+    1 + (1000000000 * (lang_n + 5)::HUGEINT) // (lang_total + 5 * v)::HUGEINT AS q
+  FROM full_counts
+), sums AS (
+  SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value
+  FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+), found AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(s.value, 0)::BIGINT AS value
+  FROM everyone a JOIN everyone b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN sums s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, (p - q)::BIGINT FROM shares WHERE n > 0 AND p > q
+)
+SELECT *, (row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item))::INTEGER AS rank
+FROM found QUALIFY part = 'pair' OR rank <= 50
+"""
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = (
         op1_toxicity, op2_secrets, op3_warc, op4_lm_score, op5_packing, op6_passages, op7_decontamination, op8_language,
-        op9_quality, op10_simhash, op11_merkle, pipeline,
+        op9_quality, op10_simhash, op11_merkle, op12_divergence, op13_licenses, pipeline,
     )
     return {q.__name__: q for q in own}
 
 
 def llm_sql() -> dict[str, str]:
-    return {"op3_warc": OP3_SQL, "op11_merkle": OP11_SQL}
+    return {"op3_warc": OP3_SQL, "op11_merkle": OP11_SQL, "op12_divergence": OP12_SQL}

@@ -13,7 +13,7 @@ PATH = "/root/testdata/sf0.001"
 
 def test_registered():
     names = list(llm_queries())
-    assert [n.split("_")[0] for n in names] == [f"op{k}" for k in range(1, 11)] + ["pipeline"]
+    assert [n.split("_")[0] for n in names] == [f"op{k}" for k in range(1, 14)] + ["pipeline"]
     assert set(names) <= set(entry_points.queries()) and set(llm_sql()) <= set(entry_points.oracle_sql())
 
 
