@@ -19,6 +19,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401 - as pa.compute
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -59,11 +60,11 @@ def share(n: str, total: str, kept: str, settings: Settings = Settings()) -> Col
 
 
 def collapsed(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(lang, text, repeats, sources) with one row for each text of a language; and (lang, source) of all groups.
+    """(lang, text, repeats, sources) with one row for each text of a language; and (lang, source, number) of all groups.
 
-    `sources`: how many rows of the text each source has. One row of a text is kept by its source and doc_id, so
-    texts are moved once and copies are counted by digest only. Rows that agree in these too are `repeats`
-    of one another; all of them come, and what they count is to be divided by their number.
+    `sources`: how many rows of the text each source has, by its number in the language. One row of a text is kept
+    by its source and doc_id, so texts are moved once and copies are counted by digest only. Rows that agree in
+    these too are `repeats` of one another; all of them come, and what they count is to be divided by their number.
     """
     blank = lambda name: F.coalesce(F.col(name).cast("string"), F.lit(""))
     own = docs.select(*[blank(c).alias(c) for c in ("lang", "source", "text")], blank("doc_id").alias("id"))
@@ -72,29 +73,40 @@ def collapsed(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     per_source = staged(
         rows.groupBy("lang", "digest", "source").agg(F.sum("repeats").alias("n"), F.min(F.struct("id", "repeats")).alias("head")), "divergence-copies"
     )
-    texts = per_source.groupBy("lang", "digest").agg(
-        F.collect_list(F.struct("source", "n")).alias("sources"), F.min(F.struct("source", "head")).alias("head")
+    of_lang = Window.partitionBy("lang").orderBy("source")  # a row for each source
+    everyone = per_source.select("lang", "source").distinct().withColumn("number", F.row_number().over(of_lang) - 1)
+    everyone = staged(everyone, "divergence-sources")
+    named = everyone.select(F.col("lang").alias("l"), F.col("source").alias("s"), "number")
+    numbered = per_source.join(named, (F.col("lang") == F.col("l")) & (F.col("source") == F.col("s")))
+    texts = numbered.groupBy("lang", "digest").agg(
+        F.collect_list(F.struct("number", "n")).alias("sources"), F.min(F.struct("source", "head")).alias("head")
     ).select(
         F.col("lang").alias("lang_"), F.col("digest").alias("digest_"), F.col("head.source").alias("source_"), F.col("head.head.id").alias("id_"),
         F.col("head.head.repeats").alias("repeats"), "sources",
     )
     texts = staged(texts, "divergence-texts")
     one = own.join(texts, [F.col(c) == F.col(f"{c}_") for c in ("lang", "digest", "source", "id")])
-    return one.select("lang", "text", "repeats", "sources"), per_source.select("lang", "source").distinct()
+    return one.select("lang", "text", "repeats", "sources"), everyone
 
 
 def _counted(batches: Iterable[pa.RecordBatch]) -> Iterator[dict]:
-    """Documents and counts of each term by lang and source, over the rows of a task."""
-    held: dict[tuple[str, str, int], tuple[Counter, Counter]] = {}
+    """(lang, term, repeats, number, docs, n): documents and counts of each term over the rows of a task, in lists by source."""
+    held: dict[tuple[str, int], dict[int, tuple[Counter, Counter]]] = {}
     size = 0
 
     def sent() -> Iterator[dict]:
-        for (lang, source, repeats), (docs, counts) in held.items():
-            k = len(counts)
-            yield {
-                "lang": [lang] * k, "source": [source] * k, "repeats": [repeats] * k, "term": list(counts),
-                "docs": [docs[t] for t in counts], "n": list(counts.values()),
-            }
+        for (lang, repeats), by_source in held.items():
+            sizes = [len(counts) for _, counts in by_source.values()]
+            flat = pa.table({
+                "term": pa.array([t for _, counts in by_source.values() for t in counts], pa.binary()),
+                "number": np.repeat(np.array(list(by_source), np.int32), sizes),
+                "docs": np.array([docs[t] for docs, counts in by_source.values() for t in counts], np.int64),
+                "n": np.array([k for _, counts in by_source.values() for k in counts.values()], np.int64),
+            })
+            rows = flat.group_by("term").aggregate([("number", "list"), ("docs", "list"), ("n", "list")]).combine_chunks()
+            for batch in rows.to_batches():
+                of = {"lang": [lang] * len(batch), "repeats": [repeats] * len(batch), "term": batch["term"]}
+                yield of | {name: batch[f"{name}_list"] for name in ("number", "docs", "n")}
         held.clear()
 
     for batch in batches:
@@ -102,8 +114,9 @@ def _counted(batches: Iterable[pa.RecordBatch]) -> Iterator[dict]:
             own = Counter(terms(text))
             if not own:
                 continue
+            by_source = held.setdefault((lang, repeats), {})
             for source in sources:
-                docs, counts = held.setdefault((lang, source["source"], repeats), (Counter(), Counter()))
+                docs, counts = by_source.setdefault(source["number"], (Counter(), Counter()))
                 before, n = len(counts), source["n"]
                 if n == 1:
                     docs.update(own.keys())
@@ -118,36 +131,84 @@ def _counted(batches: Iterable[pa.RecordBatch]) -> Iterator[dict]:
     yield from sent()
 
 
+def added(term: np.ndarray, number: np.ndarray, repeats: np.ndarray, docs: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, ...]:
+    """The same columns with one row for each term, source and number of repeats, in this order."""
+    order = np.lexsort((repeats, number, term))
+    keys = np.stack([term[order], number[order], repeats[order]])
+    starts = np.flatnonzero(np.append(True, (keys[:, 1:] != keys[:, :-1]).any(0)))
+    return (*keys[:, starts], np.add.reduceat(docs[order], starts), np.add.reduceat(n[order], starts))
+
+
+def _kept(batches: Iterable[pa.RecordBatch], least_docs: int) -> Iterator[dict]:
+    """(lang, term, number, n, lang_n, first) of the terms in at least so many documents; rows come by lang and term."""
+    def done(names: list[tuple[str, bytes]], columns: tuple[np.ndarray, ...]) -> Iterator[dict]:
+        term, number, repeats, docs, n = columns
+        # What repeated rows count is divided by their number; then all of a source are added up.
+        term, number, _, docs, n = added(term, number, np.zeros_like(repeats), docs // repeats, n // repeats)
+        keep = np.bincount(term, docs, len(names)).astype(np.int64)[term] >= least_docs
+        term, number, n = term[keep], number[keep], n[keep]
+        if len(term):
+            lang_n = np.zeros(len(names), np.int64)
+            np.add.at(lang_n, term, n)
+            yield {
+                "lang": [names[t][0] for t in term], "term": [names[t][1] for t in term], "number": number.astype(np.int32), "n": n,
+                "lang_n": lang_n[term], "first": np.append(True, term[1:] != term[:-1]),
+            }
+
+    names: list[tuple[str, bytes]] = []
+    held = tuple(np.zeros(0, np.int64) for _ in range(5))
+    for batch in batches:
+        c = dict(zip(batch.schema.names, batch.columns))
+        if not batch.num_rows:
+            continue
+        own = list(zip(c["lang"].to_pylist(), c["term"].to_pylist()))
+        # The last term so far may go on; what there is of it, is one row for each source.
+        all_names, place = names[-1:], []
+        for name in own:
+            if not all_names or all_names[-1] != name:
+                all_names.append(name)
+            place.append(len(all_names) - 1)
+        each = pa.compute.list_value_length(c["number"]).to_numpy()
+        new = (
+            np.repeat(np.array(place), each), c["number"].flatten().to_numpy().astype(np.int64), np.repeat(c["repeats"].to_numpy(), each),
+            c["docs"].flatten().to_numpy(), c["n"].flatten().to_numpy(),
+        )
+        names = all_names
+        held = added(*(np.concatenate(pair) for pair in zip(held, new)))
+        last = len(names) - 1
+        ready = held[0] < last
+        if ready.any():
+            yield from done(names, tuple(x[ready] for x in held))
+        held = tuple(x[~ready] for x in held)
+        held = (np.zeros_like(held[0]), *held[1:])  # the last term is the first of the next batch's names
+    if len(held[0]):
+        yield from done(names[-1:], held)
+
+
 def postings(texts: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """(lang, term, source, n, lang_n, first) of kept terms: counts in the source and in the language.
+    """(lang, term, number, n, lang_n, first) of kept terms: counts in the source and in the language.
 
     `first` marks one row of each term.
     """
-    sent = arrow_map(texts, _counted, "lang string, source string, repeats long, term binary, docs long, n long")
-    added = sent.groupBy("lang", "term", "source", "repeats").agg(F.sum("docs").alias("docs"), F.sum("n").alias("n"))
-    added = added.groupBy("lang", "term", "source").agg(F.sum(F.expr("docs div repeats")).alias("docs"), F.sum(F.expr("n div repeats")).alias("n"))
-    of_term = Window.partitionBy("lang", "term")  # a row for each source
-    known = added.withColumns({
-        "lang_docs": F.sum("docs").over(of_term), "lang_n": F.sum("n").over(of_term), "first": F.row_number().over(of_term.orderBy("source")) == 1,
-    })
-    return known.where(F.col("lang_docs") >= settings.least_docs).select("lang", F.col("term").cast("string").alias("term"), "source", "n", "lang_n", "first")
+    sent = arrow_map(texts, _counted, "lang string, repeats long, term binary, number array<int>, docs array<long>, n array<long>")
+    dealt = sent.repartition("lang", "term").sortWithinPartitions("lang", "term")
+    least = settings.least_docs
+    kept = arrow_map(dealt, lambda batches: _kept(batches, least), "lang string, term binary, number int, n long, lang_n long, first boolean")
+    return kept.withColumn("term", F.col("term").cast("string"))
 
 
 def groups(everyone: DataFrame, kept: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """(lang, source, number, n_sources, total, kept, lang_total, base) of each group.
+    """(lang, source, number, total, kept, lang_total, n_sources, base) of each group.
 
-    `base` is the share of a term that the group does not hold; sources are numbered within the language.
+    `base` is the share of a term that the group does not hold.
     """
-    totals = kept.groupBy("lang", "source").agg(F.sum("n").alias("total")).select(F.col("lang").alias("l1"), F.col("source").alias("s1"), "total")
+    totals = kept.groupBy("lang", "number").agg(F.sum("n").alias("total")).select(F.col("lang").alias("l1"), F.col("number").alias("n1"), "total")
     langs = kept.groupBy("lang").agg(F.count_if("first").alias("kept"), F.sum("n").alias("lang_total")).withColumnRenamed("lang", "l2")
     zero = lambda c: F.coalesce(F.col(c), F.lit(0)).alias(c)
-    joined = everyone.join(totals, (F.col("lang") == F.col("l1")) & (F.col("source") == F.col("s1")), "left").join(langs, F.col("lang") == F.col("l2"), "left")
-    own = joined.select("lang", "source", zero("total"), zero("kept"), zero("lang_total"))
-    of_lang = Window.partitionBy("lang")  # a row for each source
-    return own.withColumns({
-        "number": F.row_number().over(of_lang.orderBy("source")) - 1, "n_sources": F.count("*").over(of_lang).cast("int"),
-        "base": share("0", "total", "kept", settings),
-    })
+    joined = everyone.join(totals, (F.col("lang") == F.col("l1")) & (F.col("number") == F.col("n1")), "left").join(langs, F.col("lang") == F.col("l2"), "left")
+    own = joined.select("lang", "source", "number", zero("total"), zero("kept"), zero("lang_total"))
+    n_sources = F.count("*").over(Window.partitionBy("lang")).cast("int")  # a row for each source
+    return own.withColumns({"n_sources": n_sources, "base": share("0", "total", "kept", settings)})
 
 
 def distance_sums(values: np.ndarray, to: np.ndarray) -> np.ndarray:
@@ -261,8 +322,8 @@ def audit(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     texts, everyone = collapsed(docs)
     kept = staged(postings(texts, settings), "divergence-postings")
     of = staged(groups(everyone, kept, settings), "divergence-groups")
-    named = of.select(F.col("lang").alias("l"), F.col("source").alias("s"), "number", "n_sources", "total", "kept", "lang_total")
-    shares = kept.join(named, (F.col("lang") == F.col("l")) & (F.col("source") == F.col("s"))).drop("l", "s")
+    named = of.select(F.col("lang").alias("l"), F.col("number").alias("k"), "source", "n_sources", "total", "kept", "lang_total")
+    shares = kept.join(named, (F.col("lang") == F.col("l")) & (F.col("number") == F.col("k"))).drop("l", "k")
     shares = shares.withColumns({"p": share("n", "total", "kept", settings), "q": share("lang_n", "lang_total", "kept", settings)})
     over = shares.where("p > q").select("lang", "source", F.col("term").alias("item"), (F.col("p") - F.col("q")).alias("value"))
     sums = staged(_pair_sums(of, shares, settings), "divergence-pairs")

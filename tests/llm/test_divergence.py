@@ -85,6 +85,15 @@ def test_odd_rows(docs_of, with_clashes):
     assert got(docs.limit(0)) == []
 
 
+def test_terms_over_many_batches(spark, documents):
+    """The counts of a term come in many batches, from many tasks that each send theirs in pieces."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        assert got(documents, divergence.Settings(least_docs=5)) == by_hand(documents.collect(), 5)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
 def test_block_distances():
     """Any shares, also such that a group's share of an absent term is above another's of a term it holds."""
     rng = np.random.default_rng(3)
