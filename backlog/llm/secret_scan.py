@@ -5,11 +5,14 @@ place, base64 runs, also those wrapped in lines and from each of four digits on,
 begin, also several streams in a row, into layers of their own, until no layer yields a new one; a layer
 seen before is not taken again, so cycles end. What is decoded or inflated is scanned whatever bytes it holds
 besides. Spans found in a layer are mapped to the code points of the
-text that it came from: to the escapes, to the base64 digits, or to the whole compressed run.
+text that it came from: to the escapes, to the base64 digits, or to the whole compressed run. As all of a
+stream's content maps to that run, each content is scanned once, for the kinds that it holds, whatever the number
+of places it comes from; a content beyond `PIECE` bytes is scanned in overlapping pieces and never held whole.
 
 A null text is an empty one, without spans. Repeated rows get one result each; an empty table gives an empty
 result. Other columns pass through `redacted` and are not read by `scan`. `max_layer_bytes` guards against
-decompression bombs only: a layer that would exceed it is counted in `layers_cut` and not scanned.
+decompression bombs only: streams of a document that would hold more together are counted in `layers_cut` and not
+scanned.
 """
 
 from __future__ import annotations
@@ -20,7 +23,7 @@ import hashlib
 import lzma
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass, field
 from urllib.parse import unquote_to_bytes
 
@@ -56,6 +59,10 @@ LINE_END = str.maketrans("", "", "\r\n=")
 HINT = re.compile(rb"(?i:passw|secret|token|api_?key)|AKIA|[0-9a-f]{24}|%[0-9A-Fa-f]{2}|\\[uUx]|&#|[A-Za-z0-9+/_-]{16}")
 TEXT_CONTROLS = str.maketrans("", "", "\t\n\x0b\x0c\r")
 MASK = "[secret]"
+#: Longer contents are scanned in pieces, each with the end of the one before.
+PIECE, OVERLAP = 1 << 24, 1 << 20
+#: What the streams of a document may hold together.
+MOST = 1 << 34
 
 
 @dataclass
@@ -70,6 +77,8 @@ class Layer:
     def span(self, start: int, end: int) -> tuple[int, int]:
         if self.starts is None:
             return start, end
+        if not self.starts.strides[0]:  # one place for all characters
+            return int(self.starts[0]), int(self.ends[0])
         return int(self.starts[start:end].min()), int(self.ends[start:end].max())
 
     def origin(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -139,18 +148,95 @@ def _literal(m: re.Match) -> str:
     return chr(code) if code < 0x110000 else "?"
 
 
+def _stored(data: bytes, at: int) -> tuple[int, int]:
+    """Where the stored blocks that a stream begins with have their first byte of content, and where the last of them
+    ends, beyond the data if it is cut off. Their content is what stands there; (0, 0) if it begins otherwise."""
+    if data[at] == 0x78 and at + 1 < len(data) and not data[at + 1] & 0x20 and (0x7800 + data[at + 1]) % 31 == 0:
+        block = at + 2
+    elif data[at:at + 4] == b"\x1f\x8b\x08\0":
+        block = at + 10
+    else:
+        return 0, 0
+    first = end = 0
+    while block + 5 <= len(data) and not data[block] & 6:
+        size = data[block + 1] | data[block + 2] << 8
+        if size ^ (data[block + 3] | data[block + 4] << 8) != 0xFFFF:
+            break
+        first, end = first or block + 5, block + 5 + size
+        if data[block] & 1:
+            break
+        block = end
+    return first, end
+
+
+def _fed(opener, data) -> Iterator[bytes]:
+    """What a decompressor makes of some more bytes, piece by piece."""
+    while True:
+        out = opener.decompress(data, PIECE)
+        if out:
+            yield out
+        data = getattr(opener, "unconsumed_tail", b"")
+        # zlib may hold more where the piece is full; the others say whether they do.
+        if opener.eof or getattr(opener, "needs_input", len(out) < PIECE and not data):
+            return
+
+
+@dataclass
+class Content:
+    """The content of the stream at `at` of another content; it is decompressed anew each time it is read."""
+
+    source: "Content | bytes"
+    at: int
+
+    def chunks(self) -> Iterator[bytes]:
+        skip, opener, rest = self.at, None, b""
+        for part in [self.source] if isinstance(self.source, bytes) else self.source.chunks():
+            part, skip = part[skip:], max(0, skip - len(part))
+            rest = rest + part if rest else part
+            while rest:
+                if opener is None and (opener := _opener(rest)) is None:
+                    if len(rest) < SHORTEST and not isinstance(self.source, bytes):
+                        break  # how a stream begins is told by its first bytes
+                    return
+                try:
+                    yield from _fed(opener, rest)
+                except (zlib.error, OSError, lzma.LZMAError, EOFError):
+                    return
+                rest, opener = (opener.unused_data, None) if opener.eof else (b"", opener)
+
+    def pieces(self) -> Iterator[tuple[int, bytes, bool]]:
+        """(first byte, bytes, whether more follow); every piece begins with the end of the one before."""
+        held, base = b"", 0
+        for chunk in self.chunks():
+            if len(held) >= PIECE:
+                yield base, held, True
+                base, held = base + len(held) - OVERLAP, held[-OVERLAP:]
+            held += chunk
+        yield base, held, False
+
+
 @dataclass
 class Scan:
     """The worklist over one document."""
 
-    max_layer_bytes: int = 1 << 26
+    max_layer_bytes: int = MOST
     found: set = field(default_factory=set)
-    opened: set = field(default_factory=set)
+    known: dict = field(default_factory=dict)  # the kinds that a content holds, by its digest
+    spent: list = field(default_factory=lambda: [0])  # bytes that came out of streams
     layers: int = 0
     cut: int = 0
 
     def run(self, text: str) -> "Scan":
-        work, seen = [Layer(text)], set()
+        return self.worklist([Layer(text)])
+
+    def worklist(self, layers: Iterable[Layer]) -> "Scan":
+        seen: set[bytes] = set()
+        for layer in layers:
+            self._unwrap_all(layer, seen)
+        return self
+
+    def _unwrap_all(self, layer: Layer, seen: set[bytes]) -> None:
+        work = [layer]
         while work:
             layer = work.pop()
             if (mark := layer.mark()) in seen:
@@ -160,7 +246,6 @@ class Scan:
             self.layers += layer.sure or bool(spans)
             self.found.update((kind, *layer.span(a, b)) for kind, a, b in spans)
             work += self.unwrapped(layer)
-        return self
 
     def unwrapped(self, layer: Layer) -> list[Layer]:
         text, out = layer.text, []
@@ -195,10 +280,13 @@ class Scan:
                 continue
             if places is None:  # digit d stands at places[d]
                 places = m.start() + np.flatnonzero([c not in "\r\n" for c in m.group()])
-            for a, b, inner in self.streams(data):
-                # Byte k lies in the digits 8k/6 to (8k+7)/6.
+
+            def spot(a: int, b: int) -> tuple[int, int]:
+                """Byte k lies in the digits 8k/6 to (8k+7)/6."""
                 end = m.end() if b == len(data) else int(places[skip + (8 * b - 1) // 6]) + 1
-                out += self.whole(layer, int(places[skip + 8 * a // 6]), end, inner)
+                return layer.span(int(places[skip + 8 * a // 6]), end)
+
+            self.streams(data, spot)
             for inner, used in texts:
                 sizes = np.array([len(c.encode("utf-8", "surrogateescape")) for c in inner])
                 last = np.cumsum(sizes)
@@ -209,51 +297,161 @@ class Scan:
 
     def whole(self, layer: Layer, start: int, end: int, data: bytes) -> list[Layer]:
         """Layers all of whose characters came from one run."""
-        span, out, work = layer.span(start, end), [], [data]
+        return list(self._contents(data, layer.span(start, end)))
+
+    def _contents(self, data: bytes, span: tuple[int, int] = (0, 0)) -> Iterator[Layer]:
+        """Some bytes, and what the streams in them hold, and so on, as layers of one span."""
+        work, opened = [iter([(data, False)])], set()
         while work:
-            data = work.pop()
-            if (mark := (hashlib.sha256(data).digest(), span)) in self.opened:
+            if (found := next(work[-1], None)) is None:
+                work.pop()
+                continue
+            data, more = found
+            if (mark := hashlib.sha256(data).digest()) in opened:
                 continue
-            self.opened.add(mark)
+            opened.add(mark)
             for inner, _ in _texts(data):
                 # Views of one number each: a large layer takes no more memory than its text.
-                out.append(Layer(inner, *(np.broadcast_to(np.int64(place), len(inner)) for place in span)))
-            work += [inner for _, _, inner in self.streams(data)]
-        return out
+                yield Layer(inner, *(np.broadcast_to(np.int64(place), len(inner)) for place in span))
+            work.append(self._inside(data))
+
+    def _inside(self, data: bytes) -> Iterator[tuple[bytes, bool]]:
+        """What the streams in the bytes hold; long contents come in pieces. What stands in the bytes themselves, or
+        at the end of a content that has come, is left out."""
+        last = b""
+        for at, _, inner, _, rest in self._opened(data):
+            if inner is None:
+                for _, piece, more in self._long(Content(data, at)):
+                    yield piece, more
+            elif rest is None and not last.endswith(inner):
+                last = inner
+                yield inner, False
+
+    def _long(self, content: Content) -> Iterator[tuple[int, bytes, bool]]:
+        """The pieces of a long content. A stream that a piece's end cuts, and that the next piece does not hold from
+        its beginning, is read on from the content itself."""
+        for base, piece, more in content.pieces():
+            self.spent[0] += len(piece)
+            if self.spent[0] > self.max_layer_bytes:
+                self.cut += 1
+                return
+            yield base, piece, more
+            for at, end, _, ended, rest in self._opened(piece) if more else ():
+                if not ended and end == len(piece) and at < len(piece) - OVERLAP:
+                    yield from self._long(Content(content, base + at))
 
-    def streams(self, data: bytes) -> Iterator[tuple[int, int, bytes]]:
-        """Where compressed streams stand in the bytes, and what they hold."""
+    def _opened(self, data: bytes) -> Iterator[tuple[int, int, bytes | None, bool, int | None]]:
+        """(start, end, content, whether it is whole, rest) of the compressed streams in the bytes.
+
+        A content is empty if the bytes end before it begins. A long one is None. One that is the rest of the bytes is not opened: `rest` says where it begins. Streams
+        within a whole one, or within blocks that one holds as they are, are found in its content."""
         at = 0
         while m := MAGIC.search(data, at):
-            at = m.start() + 1
-            inner, end, ended = self.inflated(memoryview(data)[m.start():])
-            if inner:
-                yield m.start(), m.start() + end, inner
+            start, at = m.start(), m.start() + 1
+            first, last = _stored(data, start)
+            if last >= len(data) and last - first <= 0xFFFF:  # one block
+                if first < len(data):
+                    yield start, len(data), b"", False, first
+                continue
+            inner, end, ended = self.inflated(memoryview(data)[start:])
             if ended:
-                at = m.start() + end
+                at = start + end
+            elif inner or inner is None:
+                at = max(at, min(last, len(data)))
+            if inner or end:
+                yield start, start + end, inner, ended, None
+
+    def streams(self, data: bytes, spot: Callable[[int, int], tuple[int, int]]) -> None:
+        """Adds the kinds that the streams in the bytes hold; `spot` tells the span of the bytes from a to b.
+
+        A content at the end of another one holds no more kinds than that, so of many such contents only those
+        are scanned where a kind ends to be found."""
+        ends: list[tuple[bytes, list[tuple[tuple[int, int], int]]]] = [(data, [])]
+        last = b""
+        for at, end, inner, _, rest in self._opened(data):
+            span = spot(at, end)
+            if rest is not None:
+                ends[0][1].append((span, rest))
+            elif inner is None:
+                self._add(span, self._kinds(piece for _, piece, _ in self._long(Content(data, at))))
+            elif not inner:
+                continue
+            elif last.endswith(inner):
+                ends[-1][1].append((span, len(last) - len(inner)))
+            else:
+                last = inner
+                ends.append((inner, [(span, 0)]))
+        for content, tails in ends:
+            self._add_tails(content, tails)
+
+    def _add(self, span: tuple[int, int], kinds: Iterable[str]) -> None:
+        self.found.update((kind, *span) for kind in kinds)
+
+    def _add_tails(self, content: bytes, tails: list[tuple[tuple[int, int], int]]) -> None:
+        """Adds the kinds that the content holds from each place on; the places ascend, the kinds get fewer."""
+        tails = sorted(tails, key=lambda t: t[1])
+
+        def add(low: int, high: int, least: frozenset) -> None:
+            """`least`: what the last of the tails holds."""
+            if low > high:
+                return
+            most = self.kinds(content[tails[low][1]:])
+            if most == least:
+                for span, _ in tails[low:high + 1]:
+                    self._add(span, most)
+                return
+            self._add(tails[low][0], most)
+            middle = (low + 1 + high) // 2
+            if middle > low:
+                inside = self.kinds(content[tails[middle][1]:])
+                add(low + 1, middle - 1, inside)
+                add(middle, high, least)
+
+        if tails:
+            add(0, len(tails) - 1, self.kinds(content[tails[-1][1]:]))
+
+    def kinds(self, content: bytes) -> frozenset:
+        """The kinds of spans in some bytes and in all that they hold; the same bytes are scanned once."""
+        mark = hashlib.sha256(content).digest()
+        if mark not in self.known:
+            self.known[mark] = frozenset()  # what holds itself adds nothing
+            self.known[mark] = self._kinds([content])
+        return self.known[mark]
+
+    def _kinds(self, contents: Iterable[bytes]) -> frozenset:
+        inside = Scan(self.max_layer_bytes, known=self.known, spent=self.spent)
+        for content in contents:
+            inside.worklist(inside._contents(content))
+        self.layers += inside.layers
+        self.cut += inside.cut
+        return frozenset(kind for kind, _, _ in inside.found)
 
     def inflated(self, data) -> tuple[bytes | None, int, bool]:
-        """What gzip, zlib, bzip2 or xz streams, one behind the other, hold; None if there is none. Where they
-        end, and whether the last of them is whole."""
-        out, opener, end, whole, size = None, _opener(data), 0, False, len(data)
+        """What gzip, zlib, bzip2 or xz streams, one behind the other, hold; empty if there is none, None if it is
+        longer than a piece. Where they end, and whether the last of them is whole."""
+        out, opener, end, whole, size, length = [], _opener(data), 0, False, len(data), 0
         while opener is not None:
-            have = len(out or b"")
             try:
-                more = opener.decompress(data, self.max_layer_bytes + 1 - have)
+                for more in _fed(opener, data):
+                    length += len(more)
+                    self.spent[0] += len(more)
+                    if self.spent[0] > self.max_layer_bytes:
+                        self.cut += 1
+                        return b"", 0, False
+                    if length <= PIECE:
+                        out.append(more)
+                    else:
+                        out.clear()
             except (zlib.error, OSError, lzma.LZMAError, EOFError):
-                return out, end, whole
-            out = more if out is None else out + more
-            if len(out) > self.max_layer_bytes:
-                self.cut += 1
-                return None, 0, False
+                break
             data, whole = opener.unused_data, opener.eof
             end = size - len(data)
             opener = _opener(data)
-        return out, end, whole
+        return (b"".join(out) if length <= PIECE else None), end, whole
 
     def percent(self, layer: Layer) -> list[Layer]:
-        """All runs of percent escapes decoded in place; compressed bytes become a layer of their own."""
-        pieces, apart = [], []
+        """All runs of percent escapes decoded in place; compressed bytes among them are opened."""
+        pieces = []
         for m in PERCENT.finditer(layer.text):
             at = m.start()
             for c in bytes.fromhex(m.group().replace("%", "")).decode("utf-8", "surrogateescape"):
@@ -266,15 +464,13 @@ class Scan:
             for spelling in {run, run.replace("+", "%20")}:  # a plus is itself, or a blank
                 data = unquote_to_bytes(spelling)
                 if MAGIC.search(data):
-                    places = [x.start() for x in re.finditer("%..|.", run)] + [len(run)]
-                    for a, b, inner in self.streams(data):
-                        apart += self.whole(layer, m.start() + places[a], m.start() + places[b], inner)
-        return apart + self.replaced(layer, pieces)
+                    places = [m.start() + x.start() for x in re.finditer("%..|.", run)] + [m.end()]
+                    self.streams(data, lambda a, b, places=places: layer.span(places[a], places[b]))
+        return self.replaced(layer, pieces)
 
     def unicode(self, layer: Layer) -> list[Layer]:
-        """All Unicode escapes decoded in place; surrogate pairs make one character. Compressed bytes become a
-        layer of their own."""
-        pieces, apart = [], []
+        """All Unicode escapes decoded in place; surrogate pairs make one character. Compressed bytes are opened."""
+        pieces = []
         for m in UNICODE.finditer(layer.text):
             kind = m.lastindex
             code = int(m.group(kind), 10 if kind == 6 else 16)
@@ -287,9 +483,8 @@ class Scan:
                 pieces.append((m.start(), m.end(), chr(code)))
         if pieces:
             own, = self.replaced(Layer(layer.text), [(x.start(), x.end(), _literal(x)) for x in LITERAL.finditer(layer.text)])
-            for a, b, inner in self.streams(own.text.encode("latin-1", "replace")):
-                apart += self.whole(layer, int(own.starts[a]), int(own.ends[b - 1]), inner)
-        return apart + self.replaced(layer, [p for p in pieces if isinstance(p[2], str)])
+            self.streams(own.text.encode("latin-1", "replace"), lambda a, b: layer.span(int(own.starts[a]), int(own.ends[b - 1])))
+        return self.replaced(layer, [p for p in pieces if isinstance(p[2], str)])
 
     def replaced(self, layer: Layer, pieces: list[tuple[int, int, str]]) -> list[Layer]:
         if not pieces:
@@ -313,7 +508,7 @@ RESULT = {
 }
 
 
-def _row(text: str | None, max_layer_bytes: int) -> tuple:
+def _row(text: str | None, max_layer_bytes: int = MOST) -> tuple:
     text = text or ""
     base = base_spans(text)
     scan = Scan(max_layer_bytes).run(text)
@@ -321,7 +516,7 @@ def _row(text: str | None, max_layer_bytes: int) -> tuple:
     return (*counts, hashlib.sha256(_joined(base).encode()).hexdigest(), _joined(scan.found), scan.layers, scan.cut)
 
 
-def scan(docs: DataFrame, max_layer_bytes: int = 1 << 26) -> DataFrame:
+def scan(docs: DataFrame, max_layer_bytes: int = MOST) -> DataFrame:
     """(doc_id, counts and digest of the base spans, all spans as kind:start:end, layers)."""
 
     def per_batch(texts: list) -> dict:
@@ -330,7 +525,7 @@ def scan(docs: DataFrame, max_layer_bytes: int = 1 << 26) -> DataFrame:
     return add_columns(docs.select("doc_id", "text"), ["text"], per_batch, RESULT).drop("text")
 
 
-def redact(text: str | None, mask: str = MASK, max_layer_bytes: int = 1 << 26) -> str | None:
+def redact(text: str | None, mask: str = MASK, max_layer_bytes: int = MOST) -> str | None:
     """The text with a mask in place of every secret; secrets that overlap get one."""
     if not text:
         return text

@@ -3,7 +3,9 @@ import bz2
 import gzip
 import hashlib
 import lzma
+import random
 import re
+import time
 import tracemalloc
 import zlib
 from urllib.parse import quote, quote_plus
@@ -185,3 +187,75 @@ def test_valid_characters_around_an_invalid_sequence():
 def test_streams_that_hold_themselves_end():
     scan = S.Scan()
     assert len(scan.whole(S.Layer("x" * 10), 0, 10, b"x\x9c" * 1000 + b"token=abcdefg")) == 1
+
+
+def headers_in_a_row(n: int, rest: bytes = b"") -> str:
+    """Base64 of zlib headers and stored blocks, each of which holds all that follows."""
+    return base64.b64encode(b"x\x01\x00\xff\xff\x00\x00" * n + rest).decode()
+
+
+def test_headers_in_a_row_take_little_time():
+    """Each stream holds the next one, and each content is another; 100 KB of them, with a secret behind and without."""
+    for rest in (b"", b" password=hunter2222 "):
+        text = headers_in_a_row(10_700, rest)
+        began = time.perf_counter()
+        found = S.Scan().run(text).found
+        assert time.perf_counter() - began < 5 and bool(found) == bool(rest)
+        assert not rest or not S.Scan().run(S.redact(text)).found
+
+
+def test_streams_at_the_end_of_another_each_have_their_span():
+    """The rest of the digits from each header on holds the secret, until its name is cut."""
+    found = S.Scan().run(headers_in_a_row(30, b" password=hunter2222 ")).found
+    ends = {b for _, a, b in found}
+    starts = sorted(a for _, a, b in found if b == max(ends))
+    assert starts == [8 * 7 * k // 6 for k in range(30)]
+
+
+def test_one_content_in_many_places_is_scanned_once(monkeypatch):
+    blob = base64.b64encode(gzip.compress(KEY.encode() + b" x" * 5000)).decode()
+    texts = []
+    scanned = S.base_spans
+    monkeypatch.setattr(S, "base_spans", lambda text: texts.append(len(text)) or scanned(text))
+    found = S.Scan().run(" ; ".join([blob] * 50)).found
+    assert len(found) == 50 and sum(n > 5000 for n in texts) <= 2
+
+
+@pytest.fixture(scope="module")
+def seventy_megabytes():
+    words = " ".join(random.Random(3).choices("some words that hold nothing at all".split(), k=2_000)) + " "
+    return words.encode() * (70_000_000 // len(words) + 1) + KEY.encode() + b" end"
+
+
+def test_a_secret_at_70_mb_of_a_layer(seventy_megabytes):
+    """Longer than a piece: found, masked, and never held whole."""
+    text = f"x {base64.b64encode(gzip.compress(seventy_megabytes, 1)).decode()} y"
+    scan = S.Scan().run(text)
+    assert ("assign", 2, len(text) - 2) in scan.found and not scan.cut
+    assert S.redact(text) == "x [secret] y"
+    small = S.Scan(max_layer_bytes=1 << 20).run(text)
+    assert small.cut and not small.found
+
+
+def test_pieces_of_a_long_layer(monkeypatch):
+    """Secrets at every place of a layer, also where a piece ends; a stream within that a piece's end cuts."""
+    monkeypatch.setattr(S, "PIECE", 4000)
+    monkeypatch.setattr(S, "OVERLAP", 500)
+    for pack in (gzip.compress, zlib.compress, bz2.compress, lzma.compress):
+        for at in range(3300, 4700, 290):
+            inner = b"- " * (at // 2) + KEY.encode() + b" -" * 4000
+            assert S.Scan().run(base64.b64encode(pack(inner)).decode()).found
+        deep = random.Random(1).randbytes(7000) + b" " + KEY.encode() + b" " + random.Random(2).randbytes(3000)
+        for at in (0, 3990, 9000):
+            outer = b"- " * (at // 2) + pack(deep) + b" -" * 300
+            assert S.Scan().run(base64.b64encode(gzip.compress(outer)).decode()).found
+
+
+def test_chunks_of_a_content():
+    data = random.Random(4).randbytes(50_000)
+    for pack in (gzip.compress, zlib.compress, bz2.compress, lzma.compress):
+        twice = pack(data[:20_000]) + pack(data[20_000:])
+        assert b"".join(S.Content(b"abc" + twice, 3).chunks()) == data
+        packed = gzip.compress(b"abc" + twice)
+        assert b"".join(S.Content(S.Content(packed, 0), 3).chunks()) == data
+        assert data.startswith(b"".join(S.Content(twice[:30_000], 0).chunks()))
