@@ -41,8 +41,16 @@ def flatten_columns(levels: list[tuple[str, ...]]) -> list[str]:
 
 
 def rename_columns(df: DataFrame, headers: dict[str, str] = S.HEADERS) -> DataFrame:
-    """Known headers get their column name, all others are kept as they are."""
-    return df.withColumnsRenamed({c: headers[c] for c in df.columns if c in headers})
+    """Known headers get their column name, all others are kept as they are.
+
+    Where sheets that spell a header differently are stacked, the column is filled from whichever has a value.
+    """
+    sources: dict[str, list[str]] = {}
+    for c in df.columns:
+        sources.setdefault(headers.get(c, c), []).append(c)
+    if all(len(of) == 1 for of in sources.values()):
+        return df.withColumnsRenamed({of[0]: name for name, of in sources.items() if of[0] != name})
+    return df.select(*[F.coalesce(*[F.col(f"`{c}`") for c in of]).alias(name) for name, of in sources.items()])
 
 
 def columns_containing(df: DataFrame, word: str) -> list[str]:
@@ -97,7 +105,7 @@ def shape_snapshot(
 def _shape_cluster_sheet(df: DataFrame, status: Column, snapshot_date: date | Column) -> DataFrame:
     dated = df.withColumn(S.SNAPSHOT, _day(snapshot_date))
     named = rename_columns(dated, S.CLUSTER_HEADERS)
-    fuels = [c for c in named.columns if c.startswith("fuel_type_")]
+    fuels = sorted(c for c in named.columns if c.startswith("fuel_type_"))  # however a sheet orders them
     tagged = with_fuel_types(named, fuels).withColumns({
         "study_process": F.lit(S.CLUSTER_PROCESS),
         "application_status": status,

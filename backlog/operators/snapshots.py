@@ -20,15 +20,24 @@ from backlog.operators.shape import drop_blank_keys
 KEYS = (S.KEY,)
 
 
-def _newest_per_key(incoming: DataFrame, keys: Sequence[str]) -> DataFrame:
+#: The newest incoming date of a row's key.
+NEWEST = "_newest"
+
+
+def newest_per_key(incoming: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
     """One row per key, combined before the shuffle, however often a key comes."""
-    return incoming.groupBy(*keys).agg(F.max(S.SNAPSHOT).alias("_newest"))
+    return incoming.groupBy(*keys).agg(F.max(S.SNAPSHOT).alias(NEWEST))
+
+
+def with_newest(df: DataFrame, incoming: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
+    """All rows of `df`, with the newest date that their key comes in under."""
+    return join_per_key(df, newest_per_key(incoming, keys), keys, "left")
 
 
 def _older_rows(df: DataFrame, incoming: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
     """Rows of `df` whose key is incoming under a newer date: without them, or only them."""
-    older = F.col(S.SNAPSHOT) < F.col("_newest")
-    return join_per_key(df, _newest_per_key(incoming, keys), keys, how, older)
+    older = F.col(S.SNAPSHOT) < F.col(NEWEST)
+    return join_per_key(df, newest_per_key(incoming, keys), keys, how, older)
 
 
 def superseded(existing: DataFrame, incoming: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:

@@ -29,6 +29,16 @@ _WITHDRAWN_HEADERS = (
     ("Point of Interconnection Current\nOn-line Date", "current_online_date"),
 )
 
+_ACTIVE_HEADERS = tuple(
+    ({"project_name": "Unnamed: 0_level_0 Project Name", "study_process": "Unnamed: 5_level_0 Study\nProcess"}.get(column, header), column)
+    for header, column in _WITHDRAWN_HEADERS
+)
+_CLUSTER_NAMES = (
+    "queue_position", "project_name", "fuel_type_1", "mw_1", "fuel_type_2", "mw_2", "fuel_type_3", "mw_3", "net_mw", "county", "state",
+    "pto_study_region", "utility", "proposed_online_date", "queue_date", "request_receive_date", "withdrawal_date", "ingestion_date",
+    "fuel_types", "study_process", "application_status", "latitude", "longitude",
+)
+
 _WITH = r"""
 WITH capacity AS (
   SELECT l_orderkey AS capacity_key,
@@ -197,7 +207,7 @@ _TYPES = {
     **{c: "double" for c in ("mw_1", "mw_2", "mw_3", "net_mw", "latitude", "longitude")},
     **{
         c: "timestamp_ntz"
-        for c in ("request_receive_date", "queue_date", "proposed_online_date", "current_online_date")
+        for c in ("request_receive_date", "queue_date", "proposed_online_date", "current_online_date", "withdrawal_date")
     },
     "ingestion_date": "date",
 }
@@ -208,6 +218,13 @@ SELECT {kept} FROM filled e WHERE {existing} AND NOT EXISTS (
     AND e.ingestion_date < i.ingestion_date)
 UNION ALL SELECT {again} FROM filled e WHERE {appended}"""
 
+_AT_2001 = _UPSERTED.format(
+    kept=_KEPT, again=_AGAIN,
+    existing="ingestion_date IS DISTINCT FROM DATE '2001-01-01'",
+    incoming="i.ingestion_date = DATE '2001-01-01'",
+    appended="ingestion_date = DATE '2001-01-01'",
+)
+
 _SUPERSEDED = """
 SELECT status, ingestion_date, COUNT(*) AS superseded_rows FROM projects e
 WHERE ingestion_date < DATE '2001-01-01' AND EXISTS (
@@ -252,7 +269,17 @@ _PLAIN = {
     "snapshot_scan": f"""
 SELECT project_name, queue_position, request_receive_date, queue_date, study_process, fuel_type_1, fuel_type_2,
   fuel_type_3, mw_1, net_mw, county, state, pto_study_region, proposed_online_date, current_online_date,
+  ingestion_date, fuel_types, latitude, longitude, status FROM projects""",
+    "snapshot_ranges": """
+SELECT project_name, queue_position, request_receive_date, queue_date, study_process,
+  nullif(fuel_type_1, '') AS fuel_type_1, nullif(fuel_type_2, '') AS fuel_type_2, nullif(fuel_type_3, '') AS fuel_type_3,
+  mw_1, net_mw, county, state, pto_study_region, proposed_online_date, current_online_date,
   ingestion_date, fuel_types, latitude, longitude FROM projects WHERE status = 'Active'""",
+    "newest_file": """
+SELECT queue_position, project_name, ingestion_date, status, 'queue-report-' || strftime(ingestion_date, '%m%d%Y') || '.csv' AS file_name
+FROM latest""",
+    "found_place_columns": """
+SELECT status, queue_position, county AS project_county, state AS project_state, latitude, longitude FROM projects""",
     "snapshot_files": """
 SELECT project_name, queue_position, request_receive_date, queue_date, study_process,
   nullif(fuel_type_1, '') AS fuel_type_1, nullif(fuel_type_2, '') AS fuel_type_2, nullif(fuel_type_3, '') AS fuel_type_3,
@@ -262,14 +289,17 @@ SELECT project_name, queue_position, request_receive_date, queue_date, study_pro
     "cluster_files": """
 SELECT * REPLACE (nullif(fuel_type_1, '') AS fuel_type_1, nullif(fuel_type_2, '') AS fuel_type_2,
   nullif(fuel_type_3, '') AS fuel_type_3) FROM cluster""",
-    "header_flatten": _column_counts(
-        "SELECT {position} AS position, '{name}' AS header, COUNT({expr}) AS filled_rows",
-        _WITHDRAWN_HEADERS,
-        "projects WHERE status = 'Withdrawn'",
+    "header_flatten": " UNION ALL ".join(
+        _column_counts(
+            f"SELECT '{status}' AS status, {{position}} AS position, '{{name}}' AS header, COUNT({{expr}}) AS filled_rows",
+            _WITHDRAWN_HEADERS if status == "Withdrawn" else _ACTIVE_HEADERS,
+            f"projects WHERE status = '{status}'",
+        )
+        for status in ("Active", "Completed", "Withdrawn")
     ),
     "column_rename": "SELECT "
     + ", ".join(f"CAST({c} AS VARCHAR) AS {c}" for _, c in _WITHDRAWN_HEADERS)
-    + ", ingestion_date FROM projects WHERE status = 'Withdrawn'",
+    + ", ingestion_date, status FROM projects",
     "drop_blank_key": "SELECT status, ingestion_date, COUNT(*) AS kept_rows FROM filled GROUP BY ALL",
     "fuel_types": """
 SELECT fuel_type_1, fuel_type_2, fuel_type_3, fuel_types, COUNT(*) AS project_count FROM projects GROUP BY ALL""",
@@ -291,11 +321,18 @@ SELECT CASE status WHEN 'Active' THEN 'grid_generation_queue' WHEN 'Completed' T
   ELSE 'withdrawn_projects' END AS table_name, COUNT(*) AS row_count, {len(_COLUMN_NAMES)} AS column_count,
   MAX(ingestion_date) AS latest_snapshot FROM projects GROUP BY status
 UNION ALL SELECT 'cluster_15_requests', COUNT(*), 23, MAX(ingestion_date) FROM cluster""",
-    "table_columns": _column_counts(
-        "SELECT 'grid_generation_queue' AS table_name, {position} AS position, '{name}' AS column_name,"
-        " {expr} AS filled_rows",
-        [(c, f"'{_TYPES.get(c, 'string')}' AS data_type, COUNT({c})") for c in _COLUMN_NAMES],
-        "projects WHERE status = 'Active'",
+    "table_columns": " UNION ALL ".join(
+        _column_counts(
+            f"SELECT '{table}' AS table_name, {{position}} AS position, '{{name}}' AS column_name, {{expr}} AS filled_rows",
+            [(c, f"'{_TYPES.get(c, 'string')}' AS data_type, COUNT({c})") for c in names],
+            source,
+        )
+        for table, names, source in (
+            ("grid_generation_queue", _COLUMN_NAMES, "projects WHERE status = 'Active'"),
+            ("completed_projects", _COLUMN_NAMES, "projects WHERE status = 'Completed'"),
+            ("withdrawn_projects", _COLUMN_NAMES, "projects WHERE status = 'Withdrawn'"),
+            ("cluster_15_requests", _CLUSTER_NAMES, "cluster"),
+        )
     ),
     "safe_numeric": r"""
 SELECT c_custkey, coalesce(TRY_CAST(t AS DOUBLE), 0) AS text_float, coalesce(TRY_CAST(t AS DOUBLE), -1) AS text_float_default,
@@ -308,12 +345,7 @@ FROM (SELECT c_custkey, c_acctbal, CASE c_custkey % 5 WHEN 0 THEN CAST(c_acctbal
     "retention": """
 SELECT status, ingestion_date, COUNT(*) AS kept_rows, SUM(net_mw) AS kept_mw FROM projects
 WHERE ingestion_date IS NULL OR ingestion_date >= DATE '2000-06-30' - 364 GROUP BY ALL""",
-    "snapshot_upsert": _UPSERTED.format(
-        kept=_KEPT, again=_AGAIN,
-        existing="ingestion_date IS DISTINCT FROM DATE '2001-01-01'",
-        incoming="i.ingestion_date = DATE '2001-01-01'",
-        appended="ingestion_date = DATE '2001-01-01'",
-    ),
+    "snapshot_upsert": _AT_2001,
     "snapshot_upsert_late": _UPSERTED.format(
         kept=_KEPT, again=_AGAIN,
         existing="ingestion_date IS DISTINCT FROM DATE '1998-01-01'",
@@ -329,6 +361,28 @@ WHERE ingestion_date IS NULL OR ingestion_date >= DATE '2000-06-30' - 364 GROUP
     AND i.queue_position = e.queue_position)""",
     ),
     "superseded_rows": _SUPERSEDED,
+    "snapshot_upsert_bucketed": _AT_2001,
+    "raw_header_load": f"SELECT queue_position, project_name, net_mw, ingestion_date FROM ({_AT_2001}) WHERE status = 'Withdrawn'",
+    "load_counts_observed": f"""
+SELECT CASE s WHEN 'Active' THEN 'grid_generation_queue' WHEN 'Completed' THEN 'completed_projects' ELSE 'withdrawn_projects' END AS table_name,
+  (SELECT COUNT(*) FROM projects WHERE status = s AND ingestion_date = DATE '2001-01-01') AS rows_read,
+  (SELECT COUNT(*) FROM projects WHERE status = s AND ingestion_date = DATE '2001-01-01' AND coalesce(trim(queue_position), '') = '')
+    AS rows_dropped,
+  (SELECT COUNT(*) FROM filled WHERE status = s AND ingestion_date = DATE '2001-01-01') AS rows_written,
+  (SELECT COUNT(*) FROM filled WHERE status = s AND ingestion_date = DATE '2001-01-01') AS rows_replaced,
+  (SELECT CAST(coalesce(SUM(superseded_rows), 0) AS BIGINT) FROM ({_SUPERSEDED}) WHERE status = s) AS rows_superseded
+FROM (VALUES ('Active'), ('Completed'), ('Withdrawn')) t(s)""",
+    "kept_sums_after_load": "SELECT status, ingestion_date, study_process, COUNT(*) AS project_count, coalesce(SUM(net_mw), 0) AS total_mw FROM ("
+    + _UPSERTED.format(
+        kept="status, ingestion_date, study_process, net_mw", again="status, ingestion_date, study_process, net_mw + 1",
+        existing="ingestion_date IS DISTINCT FROM DATE '2001-01-01'",
+        incoming="i.ingestion_date = DATE '2001-01-01'",
+        appended="ingestion_date = DATE '2001-01-01'",
+    )
+    + ") GROUP BY ALL",
+    "duplicate_keys_per_table": """
+SELECT status, queue_position, COUNT(*) AS count, row_number() OVER (PARTITION BY status ORDER BY COUNT(*) DESC, queue_position) AS position
+FROM filled GROUP BY status, queue_position HAVING COUNT(*) > 1 QUALIFY position <= 10""",
     "load_counts": f"""
 SELECT (SELECT COUNT(*) FROM projects WHERE ingestion_date = DATE '2001-01-01') AS rows_read,
   (SELECT COUNT(*) FROM projects WHERE ingestion_date = DATE '2001-01-01' AND coalesce(trim(queue_position), '') = '')
@@ -406,6 +460,21 @@ SELECT project_name, queue_position, county, state, fuel_types, net_mw, status F
 WHERE status = 'Active' AND county IN ('NATION_1', 'NATION_7', 'NOWHERE') AND coalesce(net_mw, 0) >= 10""",
     "name_search": """
 SELECT status, project_name, queue_position FROM projects WHERE regexp_matches(project_name, 'R#0+[12]', 'i')""",
+    "name_search_indexed": """
+SELECT status, project_name, queue_position FROM projects WHERE regexp_matches(project_name, 'R#0+[12]', 'i')""",
+    "browse_projects_indexed": _BROWSED,
+    "csv_export": _BROWSED,
+    "ordered_study_processes": f"""
+SELECT study_process, row_number() OVER (
+  ORDER BY TRY_CAST(nullif(regexp_extract(study_process, '^C0*([0-9]+)$', 1), '') AS BIGINT) NULLS LAST, study_process) AS position
+FROM ({_STUDIES})""",
+    "ordered_top_projects": f"""
+SELECT project_name, queue_position, net_mw,
+  row_number() OVER (ORDER BY net_mw DESC, project_name NULLS FIRST, queue_position NULLS FIRST) AS position FROM ({_top('latest', '')})""",
+    "ordered_options": """
+SELECT field, value, row_number() OVER (PARTITION BY field ORDER BY value) AS position FROM (
+  SELECT DISTINCT 'county' AS field, county AS value FROM projects WHERE county IS NOT NULL
+  UNION ALL SELECT DISTINCT 'state', state FROM projects WHERE state IS NOT NULL)""",
     "fuel_categories": "SELECT DISTINCT unnest(string_split(fuel_types, '/')) AS fuel FROM projects",
     "county_state_options": """
 SELECT DISTINCT 'county' AS field, county AS value FROM projects WHERE county IS NOT NULL
@@ -417,6 +486,13 @@ SELECT *, county || ' County, ' || state || '<br>Projects: ' || project_count ||
   || {_case_mw('total_capacity')} AS label
 FROM (SELECT county, state, latitude, longitude, COUNT(project_name) AS project_count,
         coalesce(SUM(capacity), 0) AS total_capacity FROM ({_LOCATIONS}) GROUP BY ALL)""",
+    "zoom_cells": f"""
+SELECT level, substr(key, 1, level) AS cell, COUNT(*) AS places, SUM(project_count) AS project_count, SUM(total_capacity) AS total_capacity
+FROM (SELECT *, {' || '.join(f"CAST(((x >> {k}) & 1) + 2 * ((y >> {k}) & 1) AS VARCHAR)" for k in range(7, -1, -1))} AS key
+  FROM (SELECT *, least(floor((longitude + 180) / 360 * 256), 255)::BIGINT AS x, least(floor((90 - latitude) / 180 * 256), 255)::BIGINT AS y
+    FROM (SELECT county, state, latitude, longitude, COUNT(project_name) AS project_count, coalesce(SUM(capacity), 0) AS total_capacity
+      FROM ({_LOCATIONS}) GROUP BY ALL) WHERE project_count > 0)), generate_series(0, 8) levels(level)
+GROUP BY ALL""",
     "county_centroid": "SELECT county, state, latitude, longitude FROM centroids",
     "geo_enrich": "SELECT status, queue_position, county, state, latitude, longitude FROM projects",
     "places_off_the_globe": """
@@ -464,6 +540,9 @@ FROM (SELECT COUNT(*) AS n_rows FROM projects WHERE status = 'Withdrawn' AND net
 }
 
 
+_KEPT_KPIS = ("capacity_by_fuel", "status_counts", "weekly_growth", "dash_top_zones", "overview", "study_summary_filtered")
+
+
 def all_sql() -> dict[str, str]:
     everything = dict(_PLAIN)
     everything.update(_interactive("projects"))
@@ -472,4 +551,6 @@ def all_sql() -> dict[str, str]:
     nothing = _interactive("(SELECT * FROM projects WHERE study_process = 'C99')")
     for name in ("dash_status_counts", "dash_cancellation_rate", "dash_lead_time", "overview"):
         everything[f"{name}_empty"] = nothing[name]
+    for name in _KEPT_KPIS:  # from sums kept per snapshot: the same answers as from all projects
+        everything[f"kept_{name}"] = everything[name]
     return {name: _WITH + sql.strip() for name, sql in everything.items()}

@@ -9,24 +9,28 @@ from collections.abc import Callable
 from datetime import date
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from backlog import schema as S
 from backlog.functions.dates import snapshot_date_of
-from backlog.functions.labels import study_label
+from backlog.functions.labels import study_label, study_order
 from backlog.functions.numbers import format_mw, safe_float, safe_int
 from backlog.functions.text import contains_any
-from backlog.operators import browse, geo, metrics, quality, shape, snapshots, timing
+from backlog.operators import browse, cells, geo, metrics, quality, shape, snapshots, sums, timing
 from backlog.operators.scope import (
     INTERACTIVE,
     REPORT,
     latest_snapshot,
     latest_snapshot_per_status,
 )
+from backlog.operators.search import TextIndex
 from backlog.sources import sheets
 from backlog.sources import tables as stored
+from backlog.sources.bucketed import BucketedTable
+from backlog.sources.reports import write_csv
 from backlog.sources.star import CLUSTER_LAYOUT, SHEET, StarTables
+from backlog.sources.store import StoredTable
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -61,8 +65,7 @@ def all_queries() -> dict[str, Query]:
 
 @_register
 def snapshot_scan(t):
-    sheet = t.flat_sheet(S.ACTIVE)
-    return shape.shape_snapshot(sheet, F.col(S.SNAPSHOT), t.places())
+    return shape.shape_snapshot(t.flat_sheets(), F.col(S.SNAPSHOT), t.places())
 
 
 @_register
@@ -79,14 +82,47 @@ def snapshot_files(t):
     return reduce(lambda a, b: a.unionByName(b), frames)
 
 
+@_register
+def snapshot_ranges(t):
+    """The active sheet landed as one file, and read by many tasks, 64 KB each."""
+    folder, day = sheets.landing_folder(t.spark, "ranges"), "Snapshot Date"
+    levels, cells = t.raw_sheet(S.ACTIVE)
+    sheets.write_snapshot(cells.coalesce(1), [*levels, tuple(day.split())], folder)
+    landed = sheets.read_snapshot(t.spark, folder, range_bytes=1 << 16).drop(sheets.FILE_NAME)
+    return shape.shape_snapshot(landed, F.col(day), t.places()).drop(day)
+
+
+@_register
+def newest_file(t):
+    """The rows of the newest file of each sheet, where a file is named by its snapshot's date."""
+    name = F.concat(F.lit("queue-report-"), F.date_format(S.SNAPSHOT, "MMddyyyy"), F.lit(".csv"))
+    frames = []
+    for status in S.STATUSES:
+        rows = t.table(status, [S.KEY, "project_name", S.SNAPSHOT, "status"]).withColumn(sheets.FILE_NAME, name)
+        frames.append(sheets.newest_file_rows(rows).withColumnRenamed(sheets.FILE_NAME, "file_name"))
+    return reduce(lambda a, b: a.unionByName(b), frames)
+
+
+@_register
+def found_place_columns(t):
+    """Sheets whose county and state stand under headers that only contain these words."""
+    rows = t.all_projects(["status", S.KEY, "county", "state"])
+    named = rows.withColumnsRenamed({"county": "Project County", "state": "Project State"})
+    located = shape.locate(named, t.places())
+    return located.withColumnsRenamed({"Project County": "project_county", "Project State": "project_state"})
+
+
 @_register
 def cluster_files(t):
-    """The sheets of the cluster workbook, landed as CSV, read again and stacked."""
+    """The sheets of the cluster workbook, landed as CSV in files of two layouts, read again and stacked."""
     folder, cells, paths = sheets.landing_folder(t.spark, "cluster"), t.cluster_cells(), {}
+    odd = F.pmod(F.xxhash64("Queue Number"), F.lit(2)) == 1
     for name in ("Cluster 15 ", "Withdrawn"):
         unused = [SHEET] if name == "Withdrawn" else [SHEET, "Withdrawal Date"]
-        paths[name] = f"{folder}/{name.strip()}"
-        sheets.write_cluster_sheet(cells.where(F.col(SHEET) == name).drop(*unused), paths[name])
+        rows = cells.where(F.col(SHEET) == name).drop(*unused)
+        paths[name] = [f"{folder}/{name.strip()}/{layout}" for layout in ("forward", "backward")]
+        sheets.write_cluster_sheet(rows.where(~odd), paths[name][0])
+        sheets.write_cluster_sheet(rows.where(F.coalesce(odd, F.lit(True))).select(*[f"`{c}`" for c in reversed(rows.columns)]), paths[name][1])
     dated = F.trunc(F.to_date("Application Date"), "year")
     landed = sheets.read_cluster(t.spark, paths)
     return shape.shape_cluster(landed, dated, t.places()).drop(sheets.FILE_NAME)
@@ -94,14 +130,21 @@ def cluster_files(t):
 
 @_register
 def header_flatten(t):
-    sheet = t.flat_sheet(S.WITHDRAWN).drop(S.SNAPSHOT)
-    counted = stored.table_columns(sheet, "sheet")
-    return counted.select("position", F.col("column_name").alias("header"), "filled_rows")
+    """The headers of each sheet, and how many rows fill them."""
+    sheet, rows = t.flat_sheets(), None
+    counts = sheet.groupBy("status").agg(*[F.count(f"`{c}`").alias(c) for c in sheet.columns if c not in ("status", S.SNAPSHOT)])
+    for status in S.STATUSES:
+        own = F.array(*[
+            F.struct(F.lit(i).alias("position"), F.lit(header).alias("header"), F.col(f"`{header}`").alias("filled_rows"))
+            for i, header in enumerate(t.sheet_headers(status), start=1)
+        ])
+        rows = F.when(F.col("status") == status, own) if rows is None else rows.when(F.col("status") == status, own)
+    return counts.select("status", F.inline(rows))
 
 
 @_register
 def column_rename(t):
-    return shape.rename_columns(t.flat_sheet(S.WITHDRAWN))
+    return shape.rename_columns(t.flat_sheets())
 
 
 @_register
@@ -158,7 +201,7 @@ def table_inventory(t):
 
 @_register
 def table_columns(t):
-    return stored.table_columns(t.scan(S.TABLE_OF_STATUS[S.ACTIVE]), S.TABLE_OF_STATUS[S.ACTIVE])
+    return reduce(lambda a, b: a.unionByName(b), [stored.table_columns(t.scan(name), name) for name in t.names()])
 
 
 @_register
@@ -238,6 +281,50 @@ def load_counts(t):
     return snapshots.load_counts(*_stored_and_at(t, LOAD_DATE), LOAD_DATE, TABLE_KEYS)
 
 
+@_register
+def snapshot_upsert_bucketed(t):
+    """The same as `snapshot_upsert`, into a table whose files are dealt by key."""
+    rows, incoming = _stored_and_at(t, LOAD_DATE)
+    return _bucketed(t, rows).upsert(incoming, LOAD_DATE)
+
+
+def _bucketed(t, rows):
+    folder = sheets.landing_folder(t.spark, "bucketed")
+    return BucketedTable(t.spark, f"stored_{folder[-32:]}", TABLE_KEYS, buckets=16).write(rows, folder)
+
+
+@_register
+def load_counts_observed(t):
+    """What became of the rows of a load into each stored table, as the jobs that wrote them counted."""
+    folder, out = sheets.landing_folder(t.spark, "observed"), []
+    for status, name in S.TABLE_OF_STATUS.items():
+        rows = t.table(status, KEPT_COLUMNS).drop("status").withColumns({"latitude": F.lit(None).cast("double"), "longitude": F.lit(None).cast("double")})
+        table = StoredTable(t.spark, folder, name, rows.schema)
+        table.replace(shape.drop_blank_keys(rows))
+        n = table.load_counted(_again(rows.where(F.col(S.SNAPSHOT) == F.lit(LOAD_DATE))), LOAD_DATE)
+        out.append((name, n.rows_read, n.rows_dropped, n.rows_written, n.rows_replaced, n.rows_superseded))
+    return t.spark.createDataFrame(out, "table_name string, rows_read long, rows_dropped long, rows_written long, rows_replaced long, rows_superseded long")
+
+
+@_register
+def raw_header_load(t):
+    """Withdrawn projects stored under a raw header, then a load under the column's name."""
+    rows = shape.drop_blank_keys(t.table(S.WITHDRAWN, [c for c in KEPT_COLUMNS if c != "status"]))
+    rows = rows.withColumns({"latitude": F.lit(None).cast("double"), "longitude": F.lit(None).cast("double")})
+    table = StoredTable(t.spark, sheets.landing_folder(t.spark, "headers"), "withdrawn_projects", rows.schema)
+    table.replace(rows.withColumnRenamed("project_name", "Unnamed: 0_level_0 Project Name - Confidential"))
+    table.load(_again(rows.where(F.col(S.SNAPSHOT) == F.lit(LOAD_DATE))), LOAD_DATE)
+    return table.read().select(S.KEY, "project_name", "net_mw", S.SNAPSHOT)
+
+
+@_register
+def duplicate_keys_per_table(t):
+    """The ten keys stored most often in each table."""
+    counts = shape.drop_blank_keys(t.all_projects(list(TABLE_KEYS))).groupBy(*TABLE_KEYS).agg(F.count("*").alias("count"))
+    place = F.row_number().over(Window.partitionBy("status").orderBy(F.desc("count"), S.KEY))
+    return counts.where("count > 1").withColumn("position", place).where("position <= 10")
+
+
 @_register
 def duplicate_keys(t):
     return snapshots.duplicate_keys(shape.drop_blank_keys(t.all_projects(list(TABLE_KEYS))), TABLE_KEYS)
@@ -300,6 +387,44 @@ def capacity_labels(t):
     return totals.withColumn("label", format_mw(F.col("total_mw")))
 
 
+# --- the same from sums kept per snapshot (A1-A8, A10, A15, A16, A24) ------------------------
+
+
+def _kept_sums(t):
+    """The sums of all projects, stored by day and read again."""
+    folder = sheets.landing_folder(t.spark, "sums")
+    made = sums.sums_of(t.all_projects(list(sums.INPUTS)))
+    made.write.partitionBy(S.SNAPSHOT).parquet(folder)
+    return t.spark.read.schema(made.schema).parquet(folder).select(*made.columns)
+
+
+_KEPT = {
+    "capacity_by_fuel": lambda k: sums.capacity_by_fuel(k, REPORT),
+    "status_counts": lambda k: sums.status_counts(k, REPORT),
+    "weekly_growth": lambda k: sums.weekly_growth(k),
+    "dash_top_zones": lambda k: sums.top_zones(k, INTERACTIVE),
+    "overview": lambda k: sums.overview(k, INTERACTIVE),
+    "study_summary_filtered": lambda k: sums.study_summary(k, STUDY_FILTER),
+}
+for _name, _build in _KEPT.items():
+    _register(lambda t, b=_build: b(_kept_sums(t)), f"kept_{_name}")
+
+
+@_register
+def kept_sums_after_load(t):
+    """The sums after a load: of the days it changed they are made anew, those of other days stay."""
+    columns = list(dict.fromkeys([*KEPT_COLUMNS, *sums.INPUTS]))
+    rows = t.all_projects(columns)
+    before, incoming = shape.drop_blank_keys(rows), _again(rows.where(F.col(S.SNAPSHOT) == F.lit(LOAD_DATE)))
+    gone = snapshots.superseded(before, incoming, TABLE_KEYS)
+    days = gone.select("status", S.SNAPSHOT).unionByName(incoming.select("status", S.SNAPSHOT)).distinct()
+    of = days.select(F.col("status").alias("_status"), F.col(S.SNAPSHOT).alias("_day"))
+    after = snapshots.upsert(before, incoming, LOAD_DATE, TABLE_KEYS)
+    changed = after.join(of, (F.col("status") == F.col("_status")) & (F.col(S.SNAPSHOT) == F.col("_day")), "left_semi")
+    kept = sums.replaced(sums.sums_of(before), days, sums.sums_of(changed))
+    return kept.groupBy("status", S.SNAPSHOT, "study_process").agg(F.sum("projects").alias("project_count"), F.sum("net_mw_sum").alias("total_mw"))
+
+
 # --- browsing (B1-B3, F5-F9, D3, D4, A14, A23) -----------------------------------------------
 
 
@@ -352,6 +477,31 @@ def name_search(t):
     return browse.filter_projects(df, search="R#0+[12]")
 
 
+def _indexed(t, rows, column):
+    return TextIndex(t.spark, sheets.landing_folder(t.spark, "index"), column).write(rows)
+
+
+@_register
+def name_search_indexed(t):
+    """The same as `name_search`, by trigrams."""
+    return _indexed(t, t.all_projects(["status", "project_name", "queue_position"]), "project_name").search("R#0+[12]")
+
+
+@_register
+def browse_projects_indexed(t):
+    """The same as `browse_projects`: fuels by trigrams, then the other filters."""
+    found = _indexed(t, browse.projects(t, "all", _BROWSE_COLUMNS), "fuel_types").containing(FUELS)
+    return browse.filter_projects(found, states=("ASIA", "EUROPE"), min_capacity=50.0, search=SEARCH).select(*_BROWSE_COLUMNS, "status")
+
+
+@_register
+def csv_export(t):
+    """The browse result written as CSV and read again."""
+    folder, found = sheets.landing_folder(t.spark, "export"), _browsed(t)
+    write_csv(found, folder)
+    return t.spark.read.schema(found.schema).option("header", True).csv(folder)
+
+
 @_register
 def fuel_categories(t):
     return browse.fuel_categories(t.all_projects(["fuel_types"]))
@@ -387,6 +537,36 @@ def location_rollup(t):
     return browse.location_rollup(browse.project_locations(t))
 
 
+@_register
+def zoom_cells(t):
+    return cells.zoom_rollup(browse.project_locations(t)).select("level", "cell", "places", "project_count", "total_capacity")
+
+
+# --- orders of output (T4-T6) ----------------------------------------------------------------
+
+
+def _placed(df, *order):
+    return df.withColumn("position", F.row_number().over(Window.orderBy(*order)))  # over results that are small by nature
+
+
+@_register
+def ordered_study_processes(t):
+    return _placed(metrics.study_processes(t), *study_order(F.col("study_process")))
+
+
+@_register
+def ordered_top_projects(t):
+    order = (F.desc("net_mw"), F.asc_nulls_first("project_name"), F.asc_nulls_first(S.KEY))
+    return _placed(metrics.top_projects(t, REPORT).select("project_name", S.KEY, "net_mw"), *order)
+
+
+@_register
+def ordered_options(t):
+    """The option lists as they are shown, each from 1."""
+    shown = browse.county_state_options(t.all_projects(["county", "state"]))
+    return shown.withColumn("position", F.row_number().over(Window.partitionBy("field").orderBy("value")))
+
+
 # --- places (J1, J2, A21) and quality (A26) --------------------------------------------------
 
 

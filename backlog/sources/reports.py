@@ -8,10 +8,14 @@ from pyspark.sql import DataFrame
 
 
 def write_csv(df: DataFrame, path: str, single_file: bool = False, order: Sequence[str] = ()) -> None:
-    """A folder of CSV files with a header; one file, sorted, for results that are small by nature."""
+    """A folder of CSV files with a header; one file, sorted, for results that are small by nature.
+
+    Text keeps its blanks, and quotes in it are doubled.
+    """
     if single_file:
         # Repartitioned, not coalesced: the work before it stays spread over the cluster.
         df = df.repartition(1)
     if order:
         df = df.sortWithinPartitions(*order)
-    df.write.mode("overwrite").option("header", True).csv(path)
+    kept = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False, "escape": '"'}
+    df.write.mode("overwrite").options(header=True, **kept).csv(path)

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from backlog.functions.dates import snapshot_date_of
 from backlog.operators.shape import flatten_columns, name_header_levels
+from backlog.sources import csv_ranges
 
 # A snapshot sheet has two title rows above its two header rows.
 TITLE_ROWS, HEADER_ROWS = 2, 2
@@ -62,20 +63,51 @@ def read_snapshot(
     path: str | list[str],
     title_rows: int = TITLE_ROWS,
     header_rows: int = HEADER_ROWS,
+    range_bytes: int = csv_ranges.RANGE_BYTES,
 ) -> DataFrame:
     """One or many dated CSV exports of one sheet, under flattened headers, with `_file_name`.
 
-    Every file is read under its own header, however wide; files of one layout together, and the layouts
-    are stacked by column name. Title and header records are told by their place in the file.
+    Every file is read under its own header, however wide, and stacked by column name: those of the first file,
+    then what others have besides. Title and header records are told by their place in the file. The header
+    comes from a file's first bytes; its rows from ranges of `range_bytes`, each in a task of its own.
+    Files in a store that only Spark can open are read whole, each by one task.
     """
+    files = spark.read.format("binaryFile").load(path).select("path", "length")  # a listing; nothing is read
+    if not files.where(~F.substring_index("path", ":", 1).isin(*csv_ranges.SCHEMES)).isEmpty():
+        return _whole_files(spark, path, title_rows, header_rows)
+    told = csv_ranges.heads(files, title_rows, header_rows).groupBy("header").agg(F.array_sort(F.collect_list(F.struct("path", "size", "body"))).alias("files"))
+    layouts = sorted(((row["files"], _names(row["header"])) for row in told.collect()), key=lambda x: x[0][0]["path"])  # one row a layout
+    layouts = [(held, names) for held, names in layouts if names]
+    if not layouts:
+        raise ValueError(f"no sheet with a header in {path}")
+    columns: dict[tuple[str, int], int] = {}  # a name that a header has twice has two columns
+    placed, plan = [], []
+    for number, (held, names) in enumerate(layouts):
+        keys = [(name, names[:i].count(name)) for i, name in enumerate(names)]
+        placed.append([columns.setdefault(key, len(columns)) for key in keys])
+        plan += [(f["path"], f["size"], f["body"], number) for f in held]
+    letters = csv_ranges.states(spark, [entry[:3] for entry in plan], range_bytes)
+    todo = [(file, size, body, letters[file], number) for file, size, body, number in plan if size > body]
+    rows = csv_ranges.ranges(spark, todo, placed, range_bytes)
+    cells = [F.get("cells", F.lit(place)).alias(name) for (name, _), place in columns.items()]
+    first = len(layouts[0][1])
+    return rows.select(*cells[:first], F.regexp_extract("path", "[^/]+$", 0).alias(FILE_NAME), *cells[first:])
+
+
+def _names(header: list[list[str | None]]) -> list[str]:
+    """The flattened column names of a header, as wide as its last filled cell."""
+    width = max((i + 1 for row in header for i, cell in enumerate(row) if cell), default=0)
+    return flatten_columns(name_header_levels([(list(row) + [None] * width)[:width] for row in header])) if width else []
+
+
+def _whole_files(spark: SparkSession, path: str | list[str], title_rows: int, header_rows: int) -> DataFrame:
     layouts: dict[tuple[str, ...], list[str]] = {}
     heads: dict[str, list[list[str | None]]] = {}
     for row in _records(spark, path, title_rows, header_rows).orderBy("path", "record").collect():
         heads.setdefault(row.path, []).append(list(row.cells))
     for file, header in heads.items():
-        width = max((i + 1 for row in header for i, cell in enumerate(row) if cell is not None), default=0)
-        levels = [(row + [None] * width)[:width] for row in header]
-        layouts.setdefault(tuple(flatten_columns(name_header_levels(levels))), []).append(file)
+        if names := _names(header):
+            layouts.setdefault(tuple(names), []).append(file)
     if not layouts:
         raise ValueError(f"no sheet with a header in {path}")
     frames = [_under(spark, list(names), files, title_rows + header_rows) for names, files in layouts.items()]
@@ -90,8 +122,10 @@ def _under(spark: SparkSession, names: list[str], files: list[str], skip: int) -
 
 
 def landing_folder(spark: SparkSession, name: str) -> str:
-    """A path no other run uses, in the shared folder the cluster names; a local one only where none is named."""
+    """A path no other run uses, in the shared folder the cluster names; a local one only where all runs in one process."""
     shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not shared and not spark.sparkContext.master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     return f"{shared or tempfile.mkdtemp(prefix='landing-')}/landing/{name}-{uuid.uuid4().hex}"
 
 
@@ -122,13 +156,12 @@ def write_cluster_sheet(df: DataFrame, path: str) -> None:
     df.write.options(header=True, **_csv_options()).csv(path)
 
 
-def read_cluster(spark: SparkSession, sheets: dict[str, str]) -> dict[str, DataFrame]:
-    """The CSV exports of a cluster workbook by sheet name; one header row, no titles."""
-    frames = {}
-    for name, path in sheets.items():
-        df = spark.read.csv(path, header=True, multiLine=True, escape='"')
-        frames[name] = df.withColumn(FILE_NAME, F.col("_metadata.file_name"))
-    return frames
+def read_cluster(spark: SparkSession, sheets: dict[str, str | list[str]]) -> dict[str, DataFrame]:
+    """The CSV exports of a cluster workbook by sheet name; one header row, no titles.
+
+    Every file is read under its own header, as `read_snapshot` does it.
+    """
+    return {name: read_snapshot(spark, path, title_rows=0, header_rows=1) for name, path in sheets.items()}
 
 
 def read_landed(spark: SparkSession, path: str) -> DataFrame:

@@ -198,10 +198,25 @@ class StarTables(ProjectTables):
         cells = [f"CAST({column} AS STRING) AS _c{i}" for i, (_, column) in enumerate(SHEET_LAYOUT)]
         return levels, df.selectExpr(*cells, S.SNAPSHOT)
 
-    def flat_sheet(self, status: str) -> DataFrame:
-        """The raw sheet under flattened headers, with the date of its snapshot."""
-        levels, df = self.raw_sheet(status)
-        return df.toDF(*flatten_columns(levels), S.SNAPSHOT)
+    def sheet_headers(self, status: str) -> list[str]:
+        """The flattened headers of a table's raw sheet."""
+        changed = WITHDRAWN_LAYOUT if status == S.WITHDRAWN else {}
+        return flatten_columns([changed.get(column, level) for level, column in SHEET_LAYOUT])
+
+    def flat_sheets(self) -> DataFrame:
+        """The raw sheets of all tables stacked by flattened header, with the date and the status of each row.
+
+        They come from one pass over the star. A header that only some sheets have is null in the others.
+        """
+        headers = {status: self.sheet_headers(status) for status in S.STATUSES}
+        columns = [column for _, column in SHEET_LAYOUT]
+        cells = []
+        for i, column in enumerate(columns):
+            for header in dict.fromkeys(of[i] for of in headers.values()):
+                own = [status for status, of in headers.items() if of[i] == header]
+                cell = F.col(column).cast("string")
+                cells.append((cell if len(own) == len(headers) else F.when(F.col("status").isin(own), cell)).alias(header))
+        return self._projects([*columns, S.SNAPSHOT, "status"]).select(*cells, S.SNAPSHOT, "status")
 
     def cluster_cells(self, columns: Sequence[str] | None = None) -> DataFrame:
         """The cells of the cluster workbook as text, each row with the name of its sheet.

@@ -1,0 +1,113 @@
+import csv
+import io
+import random
+
+import pyarrow as pa
+import pytest
+from helpers import rows
+from pyspark.sql import functions as F
+
+from backlog.sources import csv_ranges, sheets
+
+
+def by_hand(data: bytes):
+    return [r for r in csv.reader(io.TextIOWrapper(io.BytesIO(data), encoding="utf-8-sig", newline="")) if r]
+
+
+def in_ranges(data: bytes, size: int):
+    """The records of a file read range by range, the states followed from the first to the last."""
+    file = pa.BufferReader(data)
+    body = len(csv_ranges.BOM) if data.startswith(csv_ranges.BOM) else 0
+    state, out = csv_ranges.OUTSIDE, []
+    for start in range(body, len(data), size):
+        stop = min(len(data), start + size)
+        own, before, after = csv_ranges._around(file, body, start, stop, len(data))
+        assert own == data[start:stop]
+        begin = 0 if start == body else csv_ranges.first_record(own, state, before, after)
+        if begin is not None:
+            out += [cells for cells, _ in csv_ranges.records(file, start + begin, stop)]
+        state = csv_ranges.leaves(own, before, after)[state]
+    return out
+
+
+@pytest.mark.parametrize("seed", range(40))
+def test_any_ranges_give_the_same_records(seed):
+    """Random files of quotes, commas and line ends, well formed or not, cut at every length."""
+    rng = random.Random(seed)
+    if seed % 2:
+        alphabet = ['"', '""', ",", "\n", "\r\n", "a", "é", "x,y", "\r"]
+        text = io.StringIO(newline="")
+        out = csv.writer(text, lineterminator=rng.choice(["\n", "\r\n", "\r"]))
+        for _ in range(12):
+            out.writerow(["".join(rng.choice(alphabet) for _ in range(rng.randrange(5))) for _ in range(rng.randrange(4))])
+        data = text.getvalue().encode()
+    else:  # quotes anywhere
+        data = "".join(rng.choice('"",\n\rab') for _ in range(60)).encode()
+    if seed % 3 == 0:
+        data = csv_ranges.BOM + data
+    want = by_hand(data)
+    for size in (*range(1, 12), 17, 64, 1000):
+        assert in_ranges(data, size) == want
+
+
+def test_lines_over_chunks():
+    data = b"a\r\nb\rc\nd\r\n\r\ne\r"
+    for chunk in range(1, 8):
+        lines = csv_ranges.Lines(pa.BufferReader(data), 0, chunk)
+        assert list(lines) == ["a\r\n", "b\r", "c\n", "d\r\n", "\r\n", "e\r"] and lines.at == len(data)
+
+
+def test_head_is_read_from_the_first_bytes():
+    class Counted(io.BytesIO):
+        most = 0
+
+        def read(self, n=-1):
+            out = super().read(n)
+            self.most = max(self.most, self.tell())
+            return out
+
+    file = Counted(b"title\n\nas of\n\"a\nb\",c\nd,e\n" + b"1,2\n" * 3_000_000)
+    header, body = csv_ranges.head(file, 2, 2)
+    assert header == [["a\nb", "c"], ["d", "e"]] and file.getvalue()[body:body + 4] == b"1,2\n"
+    assert file.most <= 2 << 20
+
+
+def sheet(path, records, header):
+    with open(path, "w", newline="") as f:
+        out = csv.writer(f)
+        out.writerows([["Title"], ["as of"], *header])
+        out.writerows(records)
+
+
+def test_one_file_in_many_tasks(spark, tmp_path):
+    """A sheet with line ends and quotes in its cells, in ranges far shorter than a record, and by the whole."""
+    rng = random.Random(2)
+    records = [[str(k), rng.choice(["plain", 'a "quoted" one', "two\nlines", "", '"', ",\r\n,"]) * rng.randrange(1, 4), "x" * rng.randrange(60)] for k in range(500)]
+    sheet(tmp_path / "one.csv", records, [["Key", "", "Group"], ["No", "Text", "Rest"]])
+    whole = rows(sheets._whole_files(spark, str(tmp_path), 2, 2))
+    want = [(k, t or None, x or None, "one.csv") for k, t, x in records]
+    assert sorted(whole) == sorted(want)
+    for size in (50, 1000, 1 << 20):
+        df = sheets.read_snapshot(spark, str(tmp_path), range_bytes=size)
+        assert sorted(rows(df)) == sorted(want)
+        tasks = df.select(F.spark_partition_id()).distinct().count()
+        assert tasks > 100 if size == 50 else tasks > 10 if size == 1000 else tasks == 1
+    assert df.columns == ["Key No", "Key Text", "Group Rest", "_file_name"]
+
+
+def test_files_without_rows_or_header(spark, tmp_path):
+    sheet(tmp_path / "a.csv", [["1"]], [["Key"], ["No"]])
+    sheet(tmp_path / "b.csv", [], [["Key", "Key"], ["No", "No"]])
+    (tmp_path / "c.csv").write_bytes(b"")
+    assert rows(sheets.read_snapshot(spark, str(tmp_path)).select(F.col("_file_name"))) == [("a.csv",)]
+    with pytest.raises(ValueError, match="no sheet with a header"):
+        sheets.read_snapshot(spark, str(tmp_path / "c.csv"))
+
+
+def test_cluster_files_of_differing_headers(spark, tmp_path):
+    (tmp_path / "one.csv").write_text("Queue Number,Project Name\n1,Alpha\n")
+    (tmp_path / "two.csv").write_text("Project Name,Queue Number,NET MW POI\nBeta,2,50\n")
+    got = sheets.read_cluster(spark, {"Cluster 15 ": str(tmp_path)})["Cluster 15 "]
+    assert sorted(rows(got.select("Queue Number", "Project Name", "NET MW POI", "_file_name"))) == [
+        ("1", "Alpha", None, "one.csv"), ("2", "Beta", "50", "two.csv"),
+    ]

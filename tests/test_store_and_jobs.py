@@ -119,6 +119,110 @@ def test_the_second_of_two_loads_fails(spark, tmp_path, make):
     assert held(table) == [("A", D1, 1.0)]
 
 
+def test_loads_of_different_days_do_not_fail(spark, tmp_path, make):
+    """A load that another one of a different day has overtaken starts anew on top of it."""
+    table = StoredTable(spark, str(tmp_path), "grid_generation_queue", S.PROJECT_SCHEMA)
+
+    def batch(day, *keys):
+        return make([{"queue_position": k, "mw_1": 1.0, S.SNAPSHOT: day} for k in keys], *S.PROJECT_COLUMNS)
+
+    table.load(batch(D1, "A", "B"), D1)
+
+    class Overtaken(StoredTable):
+        others: list = []
+
+        def _write(self, *args):
+            written = super()._write(*args)
+            if self.others:
+                day, keys = self.others.pop()
+                table.load(batch(day, *keys), day)
+            return written
+
+    slow = Overtaken(spark, str(tmp_path), "grid_generation_queue", S.PROJECT_SCHEMA)
+    slow.others = [(D2, "BC")]
+    counts = slow.load_counted(batch(D3, "B", "D"), D3)  # the other load's B is superseded too
+    assert (counts.version, counts.rows_written, counts.rows_superseded) == (3, 2, 1)
+    assert held(table) == [("A", D1, 1.0), ("B", D3, 1.0), ("C", D2, 1.0), ("D", D3, 1.0)]
+    slow.others = [(D3, "Z")]
+    with pytest.raises(VersionTaken):
+        slow.load(batch(D3, "Y"), D3)
+    assert held(table) == [("A", D1, 1.0), ("C", D2, 1.0), ("Z", D3, 1.0)]
+
+
+def test_a_commit_is_there_whole_or_not_at_all(spark, tmp_path, make):
+    """A reader between the making of a record and its end, and a load that died there, change nothing."""
+    table = StoredTable(spark, str(tmp_path), "completed_projects", S.PROJECT_SCHEMA)
+    batch = make([{"queue_position": "A", "mw_1": 1.0, S.SNAPSHOT: D1}], *S.PROJECT_COLUMNS)
+    seen = []
+
+    class Watched(StoredTable):
+        def _at(self, *parts):
+            if parts[0] == "commits" and parts[-1].endswith(".json"):  # asked for once the record is begun
+                seen.append(table.version() and len(held(table)))
+            return super()._at(*parts)
+
+    table.load(batch, D1)
+    commits = tmp_path / "completed_projects" / "commits"
+    (commits / ".dead.tmp").write_text("")
+    Watched(spark, str(tmp_path), "completed_projects", S.PROJECT_SCHEMA).load(batch.withColumn("queue_position", F.lit("B")), D2)
+    assert set(seen) == {1} and table.version() == 2
+    assert sorted(f.name for f in commits.iterdir() if not f.name.endswith(".crc")) == [".dead.tmp", "1.json", "2.json"]
+    with pytest.raises(VersionTaken):
+        table._commit(1, {}, S.PROJECT_SCHEMA)
+    assert len([f for f in commits.iterdir() if f.name.endswith(".tmp")]) == 1
+
+
+def test_counts_of_the_load(spark, tmp_path, make):
+    """Read, dropped, written, replaced and superseded rows, by the job that writes; of one snapshot and of several."""
+    table = StoredTable(spark, str(tmp_path), "grid_generation_queue", S.PROJECT_SCHEMA)
+
+    def batch(*rows):
+        return make([{"queue_position": k, "mw_1": 1.0, S.SNAPSHOT: day} for k, day in rows], *S.PROJECT_COLUMNS)
+
+    def counts(c):
+        return c.rows_read, c.rows_dropped, c.rows_outdated, c.rows_written, c.rows_replaced, c.rows_superseded
+
+    assert counts(table.load_counted(batch(("A", D1), ("B", D1), (" ", D1), (None, D1)), D1)) == (4, 2, 0, 2, 0, 0)
+    assert counts(table.load_counted(batch(("A", D2), ("C", D2), ("C", D2)), D2)) == (3, 0, 0, 3, 0, 1)
+    assert counts(table.load_counted(batch(("C", D2)), D2)) == (1, 0, 0, 1, 3, 0)
+    assert counts(table.load_counted(batch(("B", D2), ("B", D3), ("D", None), (" ", D3), ("E", D2)))) == (5, 2, 1, 2, 1, 1)
+    assert held(table) == [("B", D3, 1.0), ("E", D2, 1.0)]
+    assert counts(table.load_counted(batch().limit(0), D2)) == (0, 0, 0, 0, 1, 0)
+    assert counts(table.load_counted(batch(("A", D1)).limit(0))) == (0, 0, 0, 0, 0, 0)
+    assert held(table) == [("B", D3, 1.0)]
+    assert not list((tmp_path / "grid_generation_queue").glob("incoming/*"))
+
+
+def test_a_batch_is_worked_out_once(spark, tmp_path, make):
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    table = StoredTable(spark, str(tmp_path), "grid_generation_queue", S.PROJECT_SCHEMA)
+    batch = make([{"queue_position": str(k), S.SNAPSHOT: D1} for k in range(10)], *S.PROJECT_COLUMNS)
+    table.load(batch, D1)
+    table.load(batch.mapInArrow(counted, batch.schema), D2)
+    assert seen.value == 10
+
+
+def test_a_raw_header_is_renamed_without_writing_its_days_anew(spark, tmp_path, make):
+    table = StoredTable(spark, str(tmp_path), "withdrawn_projects", S.PROJECT_SCHEMA)
+    names, mw = "Unnamed: 0_level_0 Project Name - Confidential", "MWs MW-1"
+    old = make([{"queue_position": k, "latitude": None, "longitude": None, S.SNAPSHOT: D1} for k in ("OLD", "BOTH")])
+    table.replace(old.withColumns({names: F.lit("Old farm"), mw: F.lit("12.5")}))
+    files = set(tmp_path.rglob("*.parquet"))
+    table.load(make([{"queue_position": "NEW", "project_name": "New", "mw_1": 3.0, S.SNAPSHOT: D2}], *S.PROJECT_COLUMNS), D2)
+    assert files < set(tmp_path.rglob("*.parquet")) and table._manifest(2)[0][f"{S.SNAPSHOT}={D1}"] == table._manifest(1)[0][f"{S.SNAPSHOT}={D1}"]
+    want = [("BOTH", "Old farm", 12.5, D1), ("NEW", "New", 3.0, D2), ("OLD", "Old farm", 12.5, D1)]
+    assert sorted(rows(table.read().select("queue_position", "project_name", "mw_1", S.SNAPSHOT))) == want
+    assert not {names, mw} & set(table.read().columns)
+    table.load(make([{"queue_position": "BOTH", "project_name": "Newer", "mw_1": 4.0, S.SNAPSHOT: D3}], *S.PROJECT_COLUMNS), D3)
+    assert sorted(rows(table.read().select("queue_position", "project_name", "mw_1", S.SNAPSHOT))) == [("BOTH", "Newer", 4.0, D3), *want[1:]]
+
+
 def test_unknown_columns_are_kept(spark, tmp_path, make):
     table = StoredTable(spark, str(tmp_path), "grid_generation_queue", S.PROJECT_SCHEMA)
     plain = make([{"queue_position": "A", S.SNAPSHOT: D1}])
