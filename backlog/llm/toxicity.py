@@ -31,12 +31,14 @@ TERM = re.compile(r"\w+")
 class Settings:
     """`rows`: the classifier is fitted on at most so many labelled documents, those with the least hash of
     their id. A term is used if `least_docs` of them hold it and its shares among toxic and other documents
-    are `least_z` standard errors apart: other terms would be learned by heart. Terms are hashed to
-    2 ** hash_bits numbers."""
+    are `least_z` standard errors apart; or `least_z_beside` among the documents that hold such a term, as a
+    group's name tells nothing alone, but much beside an insult. Other terms would be learned by heart. Terms
+    are hashed to 2 ** hash_bits numbers."""
 
     rows: int = 16_000
     least_docs: int = 5
     least_z: float = 5.0
+    least_z_beside: float = 4.0
     hash_bits: int = 40
     factors: int = 8
     epochs: int = 12
@@ -128,19 +130,42 @@ def _sums(values: np.ndarray, starts: np.ndarray, n: int) -> np.ndarray:
     return total[np.append(starts[1:], n)] - total[starts]
 
 
+def _apart(in_toxic: np.ndarray, counts: np.ndarray, n_toxic: int, n: int) -> np.ndarray:
+    """How many standard errors apart the shares of toxic and other documents that hold a term are."""
+    common = counts / n
+    error = np.sqrt(common * (1 - common) * (1 / n_toxic + 1 / (n - n_toxic)) + 1e-12)
+    return (in_toxic / n_toxic - (counts - in_toxic) / (n - n_toxic)) / error
+
+
+def _telling(flat: np.ndarray, sizes: np.ndarray, toxic: np.ndarray, settings: Settings) -> np.ndarray:
+    """Which terms are used, by number; row k has sizes[k] of the terms in `flat`, each once."""
+    n_terms, row = int(flat.max(initial=-1)) + 1, np.repeat(np.arange(len(sizes)), sizes)
+
+    def counted(terms: np.ndarray, rows: np.ndarray, n_toxic: int, n: int, least: float) -> np.ndarray:
+        counts, in_toxic = np.bincount(terms, minlength=n_terms), np.bincount(terms[toxic[rows]], minlength=n_terms)
+        return (counts >= settings.least_docs) & (np.abs(_apart(in_toxic, counts, n_toxic, n)) >= least)
+
+    alone = counted(flat, row, int(toxic.sum()), len(toxic), settings.least_z)
+    used, order = alone.copy(), np.argsort(flat, kind="stable")
+    edges = np.searchsorted(flat[order], np.arange(n_terms + 1))
+    starts = np.cumsum(sizes) - sizes
+    for term in np.flatnonzero(alone):
+        rows = row[order[edges[term]:edges[term + 1]]]
+        n, n_toxic = len(rows), int(toxic[rows].sum())
+        if min(n_toxic, n - n_toxic) >= settings.least_docs:
+            beside = np.concatenate([np.arange(starts[r], starts[r] + sizes[r]) for r in rows])
+            used |= counted(flat[beside], row[beside], n_toxic, n, settings.least_z_beside)
+    return used
+
+
 def _fitted(rows: list[tuple[int, np.ndarray]], settings: Settings) -> Machine:
     """A machine for (toxic, hashed terms) rows."""
     toxic = np.array([y for y, _ in rows], np.float32)
     share = float(toxic.mean()) if len(toxic) else 0.0
     if not 0 < share < 1:
         return Machine(settings, np.zeros(0, np.int64), 30.0 if share else -30.0)
-    numbers, counts = np.unique(np.concatenate([x for _, x in rows]), return_counts=True)
-    in_toxic = np.bincount(np.searchsorted(numbers, np.concatenate([x for y, x in rows if y])), minlength=len(numbers))
-    n, n_toxic = len(toxic), toxic.sum()
-    common = counts / n
-    error = np.sqrt(common * (1 - common) * (1 / n_toxic + 1 / (n - n_toxic)) + 1e-12)
-    z = (in_toxic / n_toxic - (counts - in_toxic) / (n - n_toxic)) / error
-    numbers = numbers[(counts >= settings.least_docs) & (np.abs(z) >= settings.least_z)]
+    numbers, flat = np.unique(np.concatenate([x for _, x in rows]), return_inverse=True)
+    numbers = numbers[_telling(flat, np.array([len(x) for _, x in rows]), toxic > 0, settings)]
     machine = Machine(settings, numbers, float(np.log(share / (1 - share))))
     known = [np.searchsorted(numbers, x[np.isin(x, numbers)]) for _, x in rows]
     return machine.fit(known, toxic)
@@ -150,7 +175,7 @@ def train(docs: DataFrame, labels: DataFrame, may_learn: Column, settings: Setti
     """Fit on the labelled documents for which `may_learn`, an expression over doc_id, is true.
 
     One task fits the model: it gets at most settings.rows rows, of 8 bytes for each term; the driver gets the
-    model.
+    model. Rows of one document and the same terms are one, however often they are there.
     """
     chosen = (
         labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull()).where(may_learn)
@@ -172,7 +197,9 @@ def train(docs: DataFrame, labels: DataFrame, may_learn: Column, settings: Setti
 
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     picked = own.join(F.broadcast(chosen), F.col("doc_id") == F.col("labelled")).select("doc_id", "text", "toxic")
-    models = arrow_map(picked, run, "id long, toxic int, terms binary").groupBy(F.lit("all")).applyInPandas(fit, "model binary").collect()
+    different = arrow_map(picked, run, "id long, toxic int, terms binary").distinct()
+    fitted_on = different.orderBy(F.xxhash64("id"), "id", "terms").limit(settings.rows)
+    models = fitted_on.groupBy(F.lit("all")).applyInPandas(fit, "model binary").collect()
     if not models:
         return _fitted([], settings)
     numbers, bias, weights, factors = pickle.loads(bytes(models[0].model))

@@ -47,6 +47,31 @@ def test_held_out_documents(spark, docs_of, with_clashes):
     assert by_id[1000].score == by_id[1001].score and by_id[1002].predicted == 1 and 0 <= by_id[None].score <= 1
 
 
+def test_a_pair_with_a_term_that_is_neutral_alone(spark, docs_of):
+    """Toxic exactly where the insult and the group meet; the group stands in most clean texts. Through `train`."""
+    rng = np.random.default_rng(2)
+    rows, labels = [], []
+    for k in range(4000):
+        insult, group = rng.random() < 0.3, rng.random() < 0.7
+        words = [f"word{x}" for x in rng.integers(0, 300, 20)] + ["vermin"] * insult + ["groupname"] * group
+        rows.append((k, " ".join(rng.permutation(words))))
+        labels.append((k, 1, int(insult and group)))
+    docs, labels = docs_of(*rows), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    held = F.expr("crc32(cast(doc_id as string)) % 4 = 2")
+    machine = X.train(docs, labels, ~held)
+    assert {X.hashed("vermin", 40), X.hashed("groupname", 40)} <= set(machine.numbers.tolist())
+    out = X.scored(docs, machine).where(held).join(labels, "doc_id").collect()
+    assert len(out) > 900 and sum(r.predicted == r.toxic for r in out) >= 0.995 * len(out)
+
+
+def test_a_document_repeated_often_is_one_row(spark, docs_of):
+    docs, labels = labelled(spark, docs_of)
+    may = F.expr("crc32(cast(doc_id as string)) % 4 <> 2")
+    often = docs.unionByName(docs.where("doc_id = 5").crossJoin(spark.range(3000)).drop("id"))
+    a, b = (X.train(d, labels, may) for d in (docs, often))
+    assert (a.numbers == b.numbers).all() and (a.weights == b.weights).all() and (a.factors == b.factors).all()
+
+
 def test_held_out_rows_teach_nothing(spark, docs_of):
     docs, labels = labelled(spark, docs_of)
     may = F.expr("crc32(cast(doc_id as string)) % 4 <> 2")
