@@ -4,7 +4,8 @@ log posterior = log-likelihood of the text's character trigrams + that of the de
 of the address suffix + log prior of the host. Priors are smoothed down a hierarchy: all pages, domain, host,
 each from grouped sums of the posteriors that the texts alone give; a page doesn't count in its own prior.
 
-Null and empty texts, urls and hosts give no evidence of that kind; a page without any gets the prior. Repeated
+Null and empty texts, urls and hosts give no evidence of that kind; a page without any gets the prior. Texts are
+read whole, however long, in time that grows with their length. Equal posteriors: the first language by name. Repeated
 rows are treated alike. Without labelled text there are no languages, and the result's language is null. An
 empty table gives an empty result. Other columns are not read.
 """
@@ -27,7 +28,9 @@ from backlog.operators.joins import join_per_key
 
 #: Languages whose counts a task holds at once.
 HELD_LANGUAGES = 256
-MARKUP = re.compile(r"(?is)<(script|style)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>")
+#: Elements whose content is no text, and how they end.
+HIDDEN = re.compile(r"(?i)<(script|style)\b")
+CLOSING = {name: re.compile(rf"(?i)</{name}\s*>") for name in ("script", "style")}
 
 
 @dataclass(frozen=True)
@@ -44,7 +47,26 @@ class Settings:
 
 
 def plain_text(html: str | None) -> str:
-    return MARKUP.sub(" ", html or "")
+    """The text of a page with a blank in place of each tag, comment, script and style. One pass: an end that is not
+    found once is not looked for again."""
+    text, out, at, missing = html or "", [], 0, set()
+    while (start := text.find("<", at)) >= 0:
+        end = -1
+        if (m := HIDDEN.match(text, start)) and (name := m[1].lower()) not in missing:
+            if closing := CLOSING[name].search(text, m.end()):
+                end = closing.end()
+            else:
+                missing.add(name)
+        if end < 0 and "-->" not in missing and text.startswith("<!--", start):
+            end = text.find("-->", start + 4) + 3
+            if end < 3:
+                missing.add("-->")
+                end = -1
+        if end < 0 and (end := text.find(">", start) + 1) == 0:
+            break  # no tag ends any more
+        out += [text[at:start], " "]
+        at = end
+    return "".join(out) + text[at:]
 
 
 def trigrams(text: str | None, buckets: int) -> np.ndarray:
@@ -124,7 +146,7 @@ def evidence(html: Column, url: Column) -> dict[str, Column]:
     host = F.lower(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)", 1))
     host = F.when(host != "", host)
     return {
-        "declared": F.lower(F.regexp_extract(html, r"(?i)<html\b[^>]*?\blang\s*=\s*[\"']?([a-z]{2,3})", 1)),
+        "declared": F.lower(F.regexp_extract(html, r"(?i)<html\b[^<>]*?\blang\s*=\s*[\"']?([a-z]{2,3})", 1)),
         "host": host,
         "domain": F.regexp_extract(host, r"([^.]+\.)?[^.]+$", 0),
         "suffix": F.regexp_extract(host, r"[^.]+$", 0),

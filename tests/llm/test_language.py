@@ -1,3 +1,7 @@
+import random
+import re
+import time
+
 import numpy as np
 import pytest
 
@@ -97,3 +101,29 @@ def test_many_languages(spark, docs_of):
     rows = [(k, f"http://h{k}.org/", " ".join(w[5:20])) for k, w in enumerate(words.values())]
     out = {r.page_id: r.language for r in G.identify_pages(pages(spark, rows), model).collect()}
     assert out == dict(enumerate(words))
+
+
+def test_plain_text_is_that_of_an_expression():
+    markup = re.compile(r"(?is)<(script|style)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>")
+    rng = random.Random(4)
+    parts = ["<", ">", "<script", "<STYLE", "</script>", "</Style  >", "<!--", "-->", "--", "a", " ", "\n", "<p>", "<scripts>", "/", "é"]
+    for _ in range(20_000):
+        html = "".join(rng.choice(parts) for _ in range(rng.randrange(14)))
+        assert G.plain_text(html) == markup.sub(" ", html), html
+
+
+def test_a_megabyte_of_openings():
+    for opening in ("<", "<script ", "<!--", "<style>", "</script", "<script><!--"):
+        html = opening * (1_000_000 // len(opening))
+        began = time.perf_counter()
+        assert G.plain_text(html).startswith(("<", " "))
+        assert time.perf_counter() - began < 2
+
+
+def test_long_pages(spark, docs_of):
+    """A page of many megabytes, of markup only and of text, is identified like a short one."""
+    docs = docs_of(*[(k, f"the quick brown fox {k} jumps over lazy dogs and more " * 9, "en") for k in range(40)], *[(100 + k, f"der schnelle braune fuchs {k} springt \u00fcber faule hunde " * 9, "de") for k in range(40)])
+    model = G.text_model(docs)
+    rows = [(1, "http://a.de/", "<html lang='de'>" + "der schnelle braune fuchs " * 100_000), (2, "http://a.com/", "<html " * 300_000), (3, "http://b.com", "<" * 1_000_000 + "the quick dogs")]
+    out = {r.page_id: r.language for r in G.identify_pages(spark.createDataFrame(rows, "page_id long, url string, html string"), model).collect()}
+    assert out[1] == "de" and len(out) == 3
