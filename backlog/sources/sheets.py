@@ -124,7 +124,7 @@ def _under(spark: SparkSession, names: list[str], files: list[str], skip: int) -
 def landing_folder(spark: SparkSession, name: str) -> str:
     """A path no other run uses, in the shared folder the cluster names; a local one only where all runs in one process."""
     shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not shared and not spark.sparkContext.master.startswith("local["):
+    if not shared and not f"{spark.sparkContext.master}[".startswith("local["):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     return f"{shared or tempfile.mkdtemp(prefix='landing-')}/landing/{name}-{uuid.uuid4().hex}"
 
@@ -164,9 +164,9 @@ def read_cluster(spark: SparkSession, sheets: dict[str, str | list[str]]) -> dic
     return {name: read_snapshot(spark, path, title_rows=0, header_rows=1) for name, path in sheets.items()}
 
 
-def read_landed(spark: SparkSession, path: str) -> DataFrame:
+def read_landed(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """S1 for Parquet: dated files whose columns already have flattened headers, all text."""
-    df = spark.read.option("mergeSchema", "true").parquet(path)
+    df = spark.read.option("mergeSchema", "true").parquet(*([path] if isinstance(path, str) else path))
     text = [F.col(f"`{c}`").cast("string").alias(c) for c in df.columns]
     return df.select(*text, F.col("_metadata.file_name").alias(FILE_NAME))
 
