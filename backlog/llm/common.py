@@ -16,9 +16,11 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that all executors see: spark.checkpoint.dir; one of our own only where none is set."""
+    """The folder that all executors see: spark.checkpoint.dir; one of our own only where all runs in one process."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
+        if not f"{spark.sparkContext.master}[".startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="checkpoint-")
         spark.sparkContext.setCheckpointDir(folder)
         folder = spark.sparkContext.getCheckpointDir()
