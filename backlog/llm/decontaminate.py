@@ -4,8 +4,10 @@ A document and a test item are compared if they share seeds, runs of `shortest`
 common runs that don't overlap, are marked again and again, found by running Karp-Rabin; an item whose tokens
 are tiled to at least `coverage` is in the document, also if its passages come in another order.
 
-Null and empty texts hold nothing. Items of fewer than `min_item_tokens` tokens are not judged. Repeated items
-count once, repeated documents each. An empty table gives an empty result. Other columns are not read.
+Null and empty texts hold nothing. Items of fewer than `min_item_tokens` tokens must be there whole, in one run, as a
+part of one may be an ordinary phrase; items shorter than a seed are not judged. Texts are tiled whole, however long.
+Tiles of one length: the first in the item, then in the document. Repeated items count once, repeated documents each.
+An empty table gives an empty result. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -30,7 +32,8 @@ PRIME = np.uint64(0x9E3779B97F4A7C15)
 
 @dataclass(frozen=True)
 class Settings:
-    """Shortest tile, share of an item that has to be tiled, least tokens of an item, tokens sent to tasks at once."""
+    """Shortest tile, share of an item that has to be tiled, tokens of an item from which on that share is enough,
+    tokens sent to tasks at once."""
 
     shortest: int = 4
     coverage: float = 0.6
@@ -119,11 +122,10 @@ class Block:
         self.items = [np.array([self.numbers[w] for w in tokens], np.int64) for _, tokens in items]
         hashes, owners, places = [], [], []
         for k, values in enumerate(self.items):
-            if len(values) >= settings.min_item_tokens:
-                h = self.seeds(values)
-                hashes.append(h)
-                owners.append(np.full(len(h), k))
-                places.append(np.arange(len(h)))
+            h = self.seeds(values)
+            hashes.append(h)
+            owners.append(np.full(len(h), k))
+            places.append(np.arange(len(h)))
         joined = [np.concatenate(x) if x else np.zeros(0, np.int64) for x in (hashes, owners, places)]
         order = np.argsort(joined[0], kind="stable")
         self.hashes, self.owners, self.places = (x[order] for x in joined)
@@ -158,7 +160,8 @@ class Block:
                 spots[1].add(int(self.places[k]))
         out = []
         for k, (in_text, in_item) in sorted(by_item.items()):
-            item, need = self.items[k], self.settings.coverage * len(self.items[k])
+            item = self.items[k]
+            need = len(item) * (self.settings.coverage if len(item) >= self.settings.min_item_tokens else 1)
             if _reach(in_item, self.settings.shortest) < need:
                 continue  # tiles lie in seeds, so the item can't be covered
             at = np.unique((np.unique(in_text)[:, None] + np.arange(self.settings.shortest)).ravel())

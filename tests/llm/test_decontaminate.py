@@ -81,3 +81,20 @@ def test_empty_tables(spark, docs_of):
     none = spark.createDataFrame([], "item_id long, text string")
     assert D.contaminated(docs_of((1, ITEM)), none).count() == 0 and D.clean(docs_of((1, ITEM)), none).count() == 1
     assert D.contaminated(docs_of(), spark.createDataFrame([(1, ITEM)], "item_id long, text string")).count() == 0
+
+
+def test_short_items_must_be_there_whole():
+    items = [(1, "what river flows through paris".split()), (2, "one two three".split()), (3, "a b c d e f g".split())]
+    block = D.Block(items, D.Settings())
+    found = lambda text: [i for i, _, _ in block.matches(text)]
+    assert found("So: what river flows through Paris? The Seine.") == [1]
+    assert found("what river flows through london") == [] and found("river flows through paris") == []
+    assert found("one two three") == [] and found("x a b c d e f g y") == [3] and found("a b c d x e f g") == []
+
+
+def test_very_long_texts():
+    item = [f"t{k}" for k in range(40)]
+    block = D.Block([(1, item)], D.Settings())
+    text = " ".join(f"w{k}" for k in range(300_000))
+    assert block.matches(f"{text} {' '.join(item[20:])} {text[:1000]} {' '.join(item[:20])}")[0][:2] == (1, 1.0)
+    assert block.matches(text) == []
