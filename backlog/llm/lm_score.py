@@ -4,7 +4,8 @@ A word's probability is that of its class, given by the network, times its share
 the corpus. Classes hold frequent words of about equal mass; words outside the vocabulary are a class of their
 own and share it evenly. A document's score is the sum of the log-probabilities of all its words.
 
-Null and empty texts have no words: n_tokens 0, score 0, mean null. Repeated rows are scored alike. An empty
+Null and empty texts have no words: n_tokens 0, score 0, mean null. Texts are read whole, however long. Of words
+equally frequent at the edge of the vocabulary, the first in order is in it. Repeated rows are scored alike. An empty
 table gives an empty result. Other columns are not read.
 """
 
@@ -29,8 +30,9 @@ FAN_IN = 16
 
 @dataclass(frozen=True)
 class Settings:
-    """Vocabulary size, classes, window on each side, widths; every round masks one word in `masked` of every
-    document, trains in every task from the same start, and averages what the tasks have learned."""
+    """Vocabulary size, classes, window on each side, widths; one word in `masked` of every document is masked
+    together, until in all rounds each has been once; every round trains in every task from the same start and
+    averages what the tasks have learned."""
 
     vocabulary: int = 16_384
     classes: int = 32
@@ -107,11 +109,12 @@ class Network:
         """One pass over the masked places `at`, in batches, with AdaGrad."""
         s = self.settings
         seen = {n: np.full(getattr(self, n).shape, 1e-4, np.float32) for n in self.NAMES}
+        small = np.uint16 if len(self.embedding) <= 1 << 16 else np.int64  # short numbers are sorted by their digits
 
         def step(name: str, g: np.ndarray, rows=slice(None)) -> None:
-            value, past = getattr(self, name), seen[name]
-            past[rows] += g * g
-            value[rows] -= s.rate * g / np.sqrt(past[rows])
+            past = seen[name][rows] + g * g
+            seen[name][rows] = past
+            getattr(self, name)[rows] -= s.rate * g / np.sqrt(past)
 
         for k in range(0, len(at), s.batch):
             ids = padded[at[k:k + s.batch, None] + self.offsets()]
@@ -119,7 +122,8 @@ class Network:
             x = self.embedding[ids].reshape(n, -1)
             h = np.maximum(x @ self.w1 + self.b1, 0)
             z = h @ self.w2 + self.b2
-            p = np.exp(z - z.max(1, keepdims=True))
+            z -= z.max(1, keepdims=True)
+            p = np.exp(z, out=z)
             p /= p.sum(1, keepdims=True)
             p[np.arange(n), kind[k:k + s.batch]] -= 1
             p /= n
@@ -129,10 +133,11 @@ class Network:
             step("b2", p.sum(0))
             step("w1", x.T @ dh)
             step("b1", dh.sum(0))
-            used, where = np.unique(ids.ravel(), return_inverse=True)
-            order = np.argsort(where, kind="stable")
-            starts = np.searchsorted(where[order], np.arange(len(used)))
-            step("embedding", np.add.reduceat(dx[order], starts, axis=0), used)
+            flat = ids.ravel()
+            order = np.argsort(flat.astype(small), kind="stable")
+            ordered = flat[order]
+            starts = np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1]))
+            step("embedding", np.add.reduceat(dx[order], starts, axis=0), ordered[starts])
 
     def scorer(self, vocabulary: Vocabulary):
         """A function giving the log-probability of the words at some places."""
@@ -181,6 +186,14 @@ def _slices(texts: list, most: int = 2_000_000) -> Iterator[list]:
         yield part
 
 
+def masked_places(at: np.ndarray, number: int, settings: Settings) -> np.ndarray:
+    """The places whose words are masked in a round, those masked together next to each other; each place is in one
+    of the rounds."""
+    turn = at * 7 % max(settings.masked, settings.rounds)
+    mine = turn % settings.rounds == number
+    return at[mine][np.argsort(turn[mine], kind="stable")]
+
+
 def train(docs: DataFrame, words: Vocabulary, settings: Settings = Settings()) -> Network:
     """Federated averaging: all documents take part in every round, each with its masked words."""
     network = Network(settings, words)
@@ -194,8 +207,7 @@ def train(docs: DataFrame, words: Vocabulary, settings: Settings = Settings()) -
             for batch in batches:
                 for texts in _slices(batch.column(0).to_pylist()):
                     padded, at, _ = _padded(texts, words, s.window)
-                    # Every word has its turn once in `masked` rounds.
-                    mine = at[(at * 7 + number * (s.masked // 2 + 1)) % s.masked == 0]
+                    mine = masked_places(at, number, s)
                     if len(mine):
                         own.learn(padded, mine, words.kind[padded[mine]])
                         places += len(mine)

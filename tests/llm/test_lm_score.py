@@ -71,3 +71,19 @@ def test_averages_of_many_models(spark):
 def test_counts_and_empty_table(docs_of):
     assert {r.word: r.n for r in word_counts(docs_of((1, "A a b"), (2, "b\tB"), (3, None))).collect()} == {"a": 2, "b": 3}
     assert L.scored(docs_of(), SMALL).count() == 0
+
+
+def test_every_place_is_masked_once():
+    at = np.flatnonzero(np.random.default_rng(0).random(5_000) < 0.9)
+    for masked, rounds in ((16, 2), (16, 1), (2, 3), (5, 4), (16, 16)):
+        taken = np.concatenate([L.masked_places(at, k, L.Settings(masked=masked, rounds=rounds)) for k in range(rounds)])
+        assert sorted(taken.tolist()) == at.tolist()
+
+
+def test_long_texts_and_ties(docs_of):
+    """A text of many slices is scored as a whole; of words equally frequent the first is in the vocabulary."""
+    docs = docs_of((1, "a b c d " * 200_000), (2, "a b c d " * 100))
+    settings = L.Settings(vocabulary=3, classes=4, batch=1024)
+    assert set(L.vocabulary(docs, settings).numbers) == {"a", "b", "c"}
+    out = {r.doc_id: r for r in L.scored(docs, settings).collect()}
+    assert out[1].n_tokens == 800_000 and out[1].mean_log_probability == pytest.approx(out[2].mean_log_probability, abs=0.05)
