@@ -1,4 +1,11 @@
-"""A training corpus from documents: five stages, each written as Parquet and read again by the next."""
+"""A training corpus from documents: five stages, each written as Parquet and read again by the next.
+
+A null or empty text has no words: the quality rules reject it, so it does not reach the later stages; each of these
+takes it for a text without words, copies, items or secrets all the same. Null lang or source is a value like others.
+Texts are read whole, however long. Repeated rows are copies of one another, of which one stays; where several rows
+have the least doc_id, or none has one, it is the least of all columns. Ties are those of the operators. An empty
+table goes through all stages; further columns are kept up to the last stage, whatever their names.
+"""
 
 from __future__ import annotations
 
