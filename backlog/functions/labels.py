@@ -42,6 +42,7 @@ def study_label(process: Column) -> Column:
 
 def place_label(county: Column, state: Column, projects: Column, capacity: Column) -> Column:
     """The text shown for one place on a map."""
+    # The wording of the label.
     return F.concat(
         county, F.lit(" County, "), state,
         F.lit("<br>Projects: "), projects.cast("string"),
