@@ -342,6 +342,10 @@ FROM (SELECT c_custkey, c_acctbal, CASE c_custkey % 5 WHEN 0 THEN CAST(c_acctbal
         WHEN 1 THEN ' ' || c_custkey || ' ' WHEN 2 THEN c_name WHEN 3 THEN '' END AS t FROM customer)""",
     "latest_snapshot": f"SELECT {_KEPT} FROM latest",
     "latest_active_rows": f"SELECT {_KEPT} FROM latest WHERE status = 'Active'",
+    "latest_rows_ranged": f"SELECT {_KEPT} FROM projects WHERE ingestion_date = (SELECT MAX(ingestion_date) FROM projects)",
+    "largest_rows": f"""
+SELECT {_KEPT} FROM projects WHERE net_mw IS NOT NULL
+ORDER BY net_mw DESC, status, queue_position NULLS FIRST, project_name NULLS FIRST, ingestion_date NULLS FIRST LIMIT 100""",
     "retention": """
 SELECT status, ingestion_date, COUNT(*) AS kept_rows, SUM(net_mw) AS kept_mw FROM projects
 WHERE ingestion_date IS NULL OR ingestion_date >= DATE '2000-06-30' - 364 GROUP BY ALL""",

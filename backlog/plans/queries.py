@@ -28,6 +28,7 @@ from backlog.operators.search import TextIndex
 from backlog.sources import sheets
 from backlog.sources import tables as stored
 from backlog.sources.bucketed import BucketedTable
+from backlog.sources.ranged import RangedTable
 from backlog.sources.reports import write_csv
 from backlog.sources.star import CLUSTER_LAYOUT, SHEET, StarTables
 from backlog.sources.store import StoredTable
@@ -234,6 +235,23 @@ def latest_active_rows(t):
     return latest_snapshot(t.table(S.ACTIVE, KEPT_COLUMNS))
 
 
+def _ranged(t):
+    rows = t.all_projects(KEPT_COLUMNS)
+    return RangedTable(t.spark, sheets.landing_folder(t.spark, "ranged")).write(rows, files=32)
+
+
+@_register
+def latest_rows_ranged(t):
+    """The rows of the newest date of all, from a layout by date and MW."""
+    return _ranged(t).latest()
+
+
+@_register
+def largest_rows(t):
+    """The hundred rows of most MW, from the same layout."""
+    return _ranged(t).largest(100, "status", "queue_position", "project_name", S.SNAPSHOT)
+
+
 @_register
 def retention(t):
     kept = snapshots.retain(t.all_projects(["status", S.SNAPSHOT, "net_mw"]), AS_OF)

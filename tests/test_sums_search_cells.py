@@ -1,4 +1,4 @@
-"""Sums kept per day, search by trigrams, cells of a map, tables dealt by key."""
+"""Sums kept per day, search by trigrams, cells of a map, tables dealt by key or by ranges."""
 
 import random
 import re
@@ -13,6 +13,7 @@ from backlog.operators import browse, cells, metrics, snapshots, sums, timing
 from backlog.operators.scope import INTERACTIVE, REPORT
 from backlog.operators.search import TextIndex, required, trigrams
 from backlog.sources.bucketed import BucketedTable
+from backlog.sources.ranged import RangedTable
 
 D1, D2, D3 = date(2025, 1, 6), date(2025, 1, 13), date(2025, 1, 20)
 
@@ -150,6 +151,46 @@ def test_cells(spark):
     assert quarters == set(by_hand.items())
 
 
+@pytest.fixture(scope="module")
+def ranged(spark, tmp_path_factory, make):
+    """Ten days; one of them, and one number of MW, hold a third of all rows each."""
+    rng = random.Random(2)
+    days = [D1, *[date(2025, 2, d) for d in range(1, 10)]]
+    made = [
+        {"queue_position": str(k), S.SNAPSHOT: None if k % 50 == 0 else days[0] if k % 3 else rng.choice(days), "net_mw": None if k % 40 == 0 else 100.0 if k % 3 == 1 else rng.uniform(1, 500)}
+        for k in range(3000)
+    ]
+    rows_ = make(made, "queue_position", S.SNAPSHOT, "net_mw")
+    return rows_, RangedTable(spark, str(tmp_path_factory.mktemp("ranged"))).write(rows_, 30)
+
+
+def test_questions_to_a_ranged_table(ranged):
+    df, table = ranged
+    assert sorted(rows(table.read().select(*df.columns)), key=repr) == sorted(rows(df), key=repr)
+    newest = max(r[S.SNAPSHOT] for r in df.collect() if r[S.SNAPSHOT])
+    assert sorted(rows(table.latest()), key=repr) == sorted(rows(df.where(F.col(S.SNAPSHOT) == F.lit(newest))), key=repr)
+    for mw in (0.0, 100.0, 450.0, 1e9):
+        assert sorted(rows(table.at_least(mw)), key=repr) == sorted(rows(df.where(F.col("net_mw") >= mw)), key=repr)
+    for n in (1, 10, 2000, 5000):
+        want = df.where("net_mw is not null").orderBy(F.desc("net_mw"), F.asc_nulls_first("queue_position"), F.asc_nulls_first(S.SNAPSHOT)).limit(n)
+        assert rows(table.largest(n, "queue_position", S.SNAPSHOT).select("net_mw", "queue_position")) == rows(want.select("net_mw", "queue_position"))
+
+
+def test_a_ranged_table_skips_files(ranged):
+    df, table = ranged
+    files = len(table.read().inputFiles())
+    assert files >= 25
+    assert len(table.latest().inputFiles()) <= 3 and len(table.at_least(499.0).inputFiles()) < files / 2
+    sizes = [r.n for r in table._files().collect()]
+    assert max(sizes) < 10 * 3000 / files  # neither the hot day nor the hot MW is one file
+
+
+def test_an_empty_ranged_table(spark, tmp_path, ranged):
+    df, _ = ranged
+    table = RangedTable(spark, str(tmp_path)).write(df.limit(0), 4)
+    assert table.latest().count() == table.at_least(1).count() == table.largest(3).count() == 0
+
+
 @pytest.fixture
 def dealt(spark, tmp_path, make):
     rng = random.Random(3)
