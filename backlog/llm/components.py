@@ -33,9 +33,10 @@ def _star(pairs: DataFrame, larger_only: bool) -> DataFrame:
     """Link each node's neighbours u to the least of them and the node itself.
 
     larger_only: `pairs` holds both directions and only neighbours above the node are linked anew;
-    otherwise u < v in each pair, and the node is linked as well.
+    otherwise u < v in each pair, and the node is linked as well. The minima come to the join by a shuffle of
+    their own, as a key that is worked out: adaptive execution splits a hub only if both sides come that way.
     """
-    least = pairs.groupBy("v").agg(F.min("u").alias("m")).select(F.col("v").alias("w"), F.least("m", "w").alias("m"))
+    least = pairs.groupBy("v").agg(F.min("u").alias("m")).select(F.col("v").bitwiseXOR(F.lit(0)).alias("w"), F.least("m", "v").alias("m"))
     joined = pairs.join(least, F.col("v") == F.col("w"))
     if larger_only:
         return joined.where("u > v").select(F.col("u").alias("v"), F.col("m").alias("u"))

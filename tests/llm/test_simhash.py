@@ -113,3 +113,24 @@ def test_one_of_each(docs_of, with_clashes):
     out = S.one_of_each(docs)
     assert out.columns == docs.columns
     assert sorted(((r.doc_id, r.text) for r in out.collect()), key=str) == sorted([(2, a), (1, b), (None, "null ids only"), (8, None)], key=str)
+
+
+def test_a_hub_is_split(spark):
+    """A node that all others are linked to is read by several tasks."""
+    from backlog.llm import components as C
+
+    own = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+    }
+    before = {k: spark.conf.get(k) for k in own}
+    pairs = spark.range(100_000).select((F.col("id") + 1).alias("v"), F.lit(0).cast("long").alias("u"))
+    try:
+        for k, v in own.items():
+            spark.conf.set(k, v)
+        star = C._star(pairs.unionByName(pairs.select(F.col("u").alias("v"), F.col("v").alias("u"))), larger_only=True)
+        assert len(star.collect()) == 100_000
+        assert "skew=true" in star._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
