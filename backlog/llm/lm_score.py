@@ -40,7 +40,7 @@ class Settings:
     embedding: int = 16
     hidden: int = 32
     masked: int = 16
-    rounds: int = 2
+    rounds: int = 1
     batch: int = 4096
     rate: float = 0.05
 
