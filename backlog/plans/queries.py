@@ -73,10 +73,12 @@ def snapshot_scan(t):
 def snapshot_files(t):
     """The sheets of all three tables, landed as CSV under their title and header rows, and read again."""
     folder, day = sheets.landing_folder(t.spark, "snapshots"), "Snapshot Date"
-    frames = []
+    levels, cells = t.raw_sheets()
+    cells.write.partitionBy("status").parquet(f"{folder}/cells")  # the star is joined once for all three
+    cells, frames = t.spark.read.schema(cells.schema).parquet(f"{folder}/cells"), []
     for status in S.STATUSES:
-        levels, cells = t.raw_sheet(status)
-        sheets.write_snapshot(cells, [*levels, tuple(day.split())], f"{folder}/{status}")
+        own = cells.where(F.col("status") == status).drop("status")
+        sheets.write_snapshot(own, [*levels[status], tuple(day.split())], f"{folder}/{status}")
         landed = sheets.read_snapshot(t.spark, f"{folder}/{status}").drop(sheets.FILE_NAME)
         rows = shape.shape_snapshot(landed, F.col(day), t.places()).drop(day)
         frames.append(rows.withColumn("status", F.lit(status)))

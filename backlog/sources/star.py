@@ -198,6 +198,17 @@ class StarTables(ProjectTables):
         cells = [f"CAST({column} AS STRING) AS _c{i}" for i, (_, column) in enumerate(SHEET_LAYOUT)]
         return levels, df.selectExpr(*cells, S.SNAPSHOT)
 
+    def raw_sheets(self) -> tuple[dict[str, list[tuple[str, str]]], DataFrame]:
+        """All tables as their raw sheets, in one pass over the star: the header levels of each, and the text cells
+        of `raw_sheet` with the status of each row."""
+        levels = {}
+        for status in S.STATUSES:
+            changed = WITHDRAWN_LAYOUT if status == S.WITHDRAWN else {}
+            levels[status] = [changed.get(column, level) for level, column in SHEET_LAYOUT]
+        df = self._projects([*(column for _, column in SHEET_LAYOUT), S.SNAPSHOT, "status"])
+        cells = [f"CAST({column} AS STRING) AS _c{i}" for i, (_, column) in enumerate(SHEET_LAYOUT)]
+        return levels, df.selectExpr(*cells, S.SNAPSHOT, "status")
+
     def sheet_headers(self, status: str) -> list[str]:
         """The flattened headers of a table's raw sheet."""
         changed = WITHDRAWN_LAYOUT if status == S.WITHDRAWN else {}

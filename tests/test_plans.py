@@ -10,6 +10,7 @@ from backlog import schema as S
 from backlog.operators import browse, geo, metrics, snapshots, timing
 from backlog.operators.scope import INTERACTIVE, REPORT
 from backlog.plans.queries import all_queries
+from backlog.sources import sheets
 from backlog.sources.store import StoredTables
 from backlog.sources.star import StarTables
 
@@ -228,3 +229,10 @@ def test_a_hot_developer_is_split_over_tasks(spark, eager_skew_handling, tmp_pat
 @pytest.mark.parametrize("name", ["dash_status_counts_empty", "dash_cancellation_rate_empty", "dash_lead_time_empty", "overview_empty"])
 def test_a_filter_that_finds_nothing_reads_the_tables(spark, name):
     assert "FileScan" in plan(QUERIES[name](spark, PATH))
+
+
+def test_landed_sheets_come_from_one_pass_over_the_star(spark, monkeypatch):
+    written, write = [], sheets.write_snapshot
+    monkeypatch.setattr(sheets, "write_snapshot", lambda df, *of: (written.append(plan(df)), write(df, *of)))
+    QUERIES["snapshot_files"](spark, PATH)
+    assert len(written) == 3 and not any("lineitem" in text for text in written)
