@@ -87,10 +87,10 @@ def snapshot_files(t):
 
 @_register
 def snapshot_ranges(t):
-    """The active sheet landed as one file, and read by many tasks, 64 KB each."""
+    """The active sheet landed as one file, and read by many tasks, 64 KB each, or more of a very large file."""
     folder, day = sheets.landing_folder(t.spark, "ranges"), "Snapshot Date"
     levels, cells = t.raw_sheet(S.ACTIVE)
-    sheets.write_snapshot(cells.coalesce(1), [*levels, tuple(day.split())], folder)
+    sheets.write_one_file(cells, [*levels, tuple(day.split())], folder)
     landed = sheets.read_snapshot(t.spark, folder, range_bytes=1 << 16).drop(sheets.FILE_NAME)
     return shape.shape_snapshot(landed, F.col(day), t.places()).drop(day)
 

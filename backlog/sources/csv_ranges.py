@@ -33,6 +33,8 @@ LINE_END = re.compile(rb"\r\n|\n|\r")
 #: Outside quotes, inside them, inside them with the first half of a doubled quote just read.
 OUTSIDE, INSIDE, HALF = "oih"
 RANGE_BYTES = 32 << 20
+#: Ranges of all files of a sheet together; where there would be more, ranges are longer, up to RANGE_BYTES.
+MOST_RANGES = 500
 HEAD_BYTES = 1 << 16
 #: Records that a task sends on together.
 ROWS = 5_000
@@ -90,7 +92,8 @@ class Lines:
 def records(file: pa.NativeFile, start: int, stop: int | None = None) -> Iterator[tuple[list[str], int]]:
     """(cells, end) of the records that begin from byte `start` on, before byte `stop`. Empty lines are none."""
     csv.field_size_limit(1 << 30)
-    lines = Lines(file, start)
+    # Of a short range no more is read ahead than its own length.
+    lines = Lines(file, start, 1 << 20 if stop is None else min(1 << 20, max(1 << 12, stop - start)))
     reader = csv.reader(lines)
     while stop is None or lines.at < stop:
         cells = next(reader, None)
@@ -203,8 +206,10 @@ class SheetReader(DataSourceReader):
                 out.append(SheetRange(path, size, body, start, min(size, start + self._bytes), state, layout))
         return out
 
-    def read(self, partition: SheetRange) -> Iterator[pa.RecordBatch]:
+    def read(self, partition: SheetRange | None) -> Iterator[pa.RecordBatch]:
         p = partition
+        if p is None:  # no file has any rows
+            return
         with opened(p.path) as file:
             begin = 0
             if p.state is None or p.start > p.body:
@@ -279,6 +284,11 @@ def heads(files: DataFrame, title_rows: int, header_rows: int) -> DataFrame:
     return files.select("path", "length").mapInArrow(run, "path string, size long, body long, header array<array<string>>")
 
 
+def range_length(sizes: Iterable[int], asked: int) -> int:
+    """Bytes of a range: those asked for, or more where files of these sizes would make up too many ranges."""
+    return max(asked, min(RANGE_BYTES, -(-sum(sizes) // MOST_RANGES)))
+
+
 def states(spark: SparkSession, files: list[tuple[str, int, int]], range_bytes: int) -> dict[str, str]:
     """The state that each range of each file begins in, a letter a range."""
     long = [(path, size, body, None, None) for path, size, body in files if size - body > range_bytes]

@@ -7,12 +7,14 @@ from __future__ import annotations
 
 import csv
 import io
+import os
 import sys
 import tempfile
 import uuid
 from collections.abc import Iterable, Iterator
 from functools import reduce
-from itertools import islice
+from itertools import accumulate, islice
+from urllib.parse import urlsplit
 
 import pyarrow as pa
 from pyspark import cloudpickle
@@ -69,7 +71,8 @@ def read_snapshot(
 
     Every file is read under its own header, however wide, and stacked by column name: those of the first file,
     then what others have besides. Title and header records are told by their place in the file. The header
-    comes from a file's first bytes; its rows from ranges of `range_bytes`, each in a task of its own.
+    comes from a file's first bytes; its rows from ranges of `range_bytes`, each in a task of its own, or of more
+    where that would be very many tasks.
     Files in a store that only Spark can open are read whole, each by one task.
     """
     files = spark.read.format("binaryFile").load(path).select("path", "length")  # a listing; nothing is read
@@ -86,6 +89,7 @@ def read_snapshot(
         keys = [(name, names[:i].count(name)) for i, name in enumerate(names)]
         placed.append([columns.setdefault(key, len(columns)) for key in keys])
         plan += [(f["path"], f["size"], f["body"], number) for f in held]
+    range_bytes = csv_ranges.range_length([size - body for _, size, body, _ in plan], range_bytes)
     letters = csv_ranges.states(spark, [entry[:3] for entry in plan], range_bytes)
     todo = [(file, size, body, letters[file], number) for file, size, body, number in plan if size > body]
     rows = csv_ranges.ranges(spark, todo, placed, range_bytes)
@@ -134,21 +138,68 @@ def _csv_options() -> dict[str, str]:
     return {"escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
 
 
+def _head(levels: list[tuple[str, ...]], titles: tuple[str, ...]) -> str:
+    """The title rows and the header rows, without the last line end."""
+    text = io.StringIO()
+    csv.writer(text, lineterminator="\n").writerows([[title, "as exported"] for title in titles] + [list(row) for row in zip(*levels)])
+    return text.getvalue().removesuffix("\n")
+
+
+def _lines(df: DataFrame) -> DataFrame:
+    cells = F.struct(*[F.col(f"`{c}`").cast("string").alias(f"c{i}") for i, c in enumerate(df.columns)])
+    return df.select(F.to_csv(cells, _csv_options()).alias("value"))
+
+
 def write_snapshot(
     df: DataFrame, levels: list[tuple[str, ...]], path: str, titles: tuple[str, ...] = ("", "")
 ) -> None:
     """Land text cells as `read_snapshot` reads them; every file has the title rows and the header rows."""
-    text = io.StringIO()
-    csv.writer(text, lineterminator="\n").writerows([[title, "as exported"] for title in titles] + [list(row) for row in zip(*levels)])
-    head = text.getvalue().removesuffix("\n")
+    head = _head(levels, titles)
 
     def under_head(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_pydict({"value": [head]}, schema=pa.schema([("value", pa.string())]))
         yield from batches
 
-    cells = F.struct(*[F.col(f"`{c}`").cast("string").alias(f"c{i}") for i, c in enumerate(df.columns)])
-    lines = df.select(F.to_csv(cells, _csv_options()).alias("value"))
-    lines.mapInArrow(under_head, "value string").write.text(path)
+    _lines(df).mapInArrow(under_head, "value string").write.text(path)
+
+
+def write_one_file(
+    df: DataFrame, levels: list[tuple[str, ...]], path: str, titles: tuple[str, ...] = ("", "")
+) -> None:
+    """Land text cells as `write_snapshot` does, as one file in the folder `path`.
+
+    The rows are written as parts, in `path` with `-parts` behind it; then every part is copied to its place in the
+    file by a task of its own. In stores whose files take no writes in place, one task writes the rows.
+    """
+    _lines(df).write.text(f"{path}-parts")
+    spark = df.sparkSession
+    held = spark.read.format("binaryFile").load(f"{path}-parts").select("path", "length")
+    parts = [(row.path, row.length) for row in held.where("length > 0").orderBy("path").collect()]  # one row a part
+    if any(not part.startswith("file:") for part, _ in parts):
+        return write_snapshot(df.repartition(1), levels, path, titles)
+    head = (_head(levels, titles) + "\n").encode()
+    places = accumulate((length for _, length in parts), initial=len(head))
+    folder = urlsplit(path).path if path.startswith("file:") else path
+    target = f"{folder}/{uuid.uuid4().hex}.csv"
+
+    def copy(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part, at in zip(*(c.to_pylist() for c in batch.columns)):
+                os.makedirs(folder, exist_ok=True)
+                place = os.open(target, os.O_WRONLY | os.O_CREAT, 0o644)
+                with open(place, "wb") as out:
+                    out.seek(at)
+                    if part is None:
+                        out.write(head)
+                    else:
+                        with csv_ranges.opened(part) as own:
+                            while data := own.read(1 << 22):
+                                out.write(data)
+            yield batch
+
+    todo = [(None, 0), *((part, at) for (part, _), at in zip(parts, places))]
+    rows = spark.createDataFrame(todo, "part string, at long")
+    rows.repartitionByRange(len(todo), "at").mapInArrow(copy, rows.schema).foreach(lambda row: None)
 
 
 def write_cluster_sheet(df: DataFrame, path: str) -> None:

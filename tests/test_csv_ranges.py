@@ -111,3 +111,38 @@ def test_cluster_files_of_differing_headers(spark, tmp_path):
     assert sorted(rows(got.select("Queue Number", "Project Name", "NET MW POI", "_file_name"))) == [
         ("1", "Alpha", None, "one.csv"), ("2", "Beta", "50", "two.csv"),
     ]
+
+
+def test_a_short_range_reads_no_more_than_its_length_ahead():
+    class Counted(io.BytesIO):
+        total = 0
+
+        def read(self, n=-1):
+            out = super().read(n)
+            self.total += len(out)
+            return out
+
+    file = Counted(b"a,b\n" * 1_000_000)
+    assert len(list(csv_ranges.records(file, 0, 1 << 16))) == 1 << 14
+    assert file.total <= 3 << 16
+
+
+def test_very_many_ranges_are_longer_ones():
+    most, longest = csv_ranges.MOST_RANGES, csv_ranges.RANGE_BYTES
+    assert csv_ranges.range_length([1000, 50], 64) == 64
+    assert csv_ranges.range_length([most * 1000, most * 200], 64) == 1200
+    assert csv_ranges.range_length([most * longest * 9], 64) == longest
+
+
+def test_one_file_is_written_by_many_tasks(spark, tmp_path):
+    values = [(str(k), ["plain", 'a "quoted" one', "two\nlines", " blank ", None][k % 5]) for k in range(300)]
+    df = spark.createDataFrame(values, "a string, b string").repartition(7)
+    path = str(tmp_path / "one")
+    sheets.write_one_file(df, [("Key", "No"), ("Group", "a\ntext")], path)
+    files = list((tmp_path / "one").iterdir())
+    assert len(files) == 1 and len(list((tmp_path / "one-parts").glob("part-*"))) > 1
+    assert by_hand(files[0].read_bytes())[:4] == [["", "as exported"]] * 2 + [["Key", "Group"], ["No", "a\ntext"]]
+    got = sheets.read_snapshot(spark, path, range_bytes=100)
+    assert sorted((a, b or "") for a, b in rows(got.drop("_file_name"))) == sorted((a, b or "") for a, b in values)
+    sheets.write_one_file(df.where("a = 'x'"), [("Key", "No"), ("Group", "Text")], path + "-empty")
+    assert rows(sheets.read_snapshot(spark, path + "-empty")) == []
