@@ -16,6 +16,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -26,6 +27,8 @@ CAPACITY = 2048
 #: ASCII characters that the tokenizer keeps apart from letters.
 PUNCTUATION = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum())
 SEPARATOR = (0).to_bytes(4, "little")
+#: Bytes of text whose words are looked up together.
+LOT = 16 << 20
 #: Pieces of a length that one task numbers, about.
 RANKED_TOGETHER = 20_000
 
@@ -47,40 +50,69 @@ class WordIds:
     def encoded(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def learn(self, words: set[str]) -> None:
-        """Ids of words, many in a call: each unit ends in a token that ends a word, so units can be counted."""
-        counted = []
-        for w in words:
-            units = 1
-            if not (w.isascii() and w.isalpha()):
-                core = w.strip(PUNCTUATION)
-                lead = w[:w.index(core)] if core else w
-                if not (core.isalpha() and core.lower().isalpha()) or "'" in lead or "<|" in w:
-                    self.ids[w] = self.encoded(w)
-                    continue
-                units += bool(lead) + (len(lead) + len(core) < len(w))
-            counted.append((w, units))
-        for k in range(0, len(counted), 500):
-            part = counted[k:k + 500]
-            text = " ".join([w for w, _ in part])
-            ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+    def parts(self, w: str) -> tuple[str, ...]:
+        """The units of a word, ASCII ones in lower case; none if it has others."""
+        if w.isascii() and w.isalpha():
+            return (w.lower(),)
+        core = w.strip(PUNCTUATION)
+        lead = w[:w.index(core)] if core else w
+        if not (core.isalpha() and core.lower().isalpha()) or "'" in lead or "<|" in w:
+            return ()
+        return tuple(x for x in (lead, core.lower() if core.isascii() else core, w[len(lead) + len(core):]) if x)
+
+    def learn(self, words: list[str]) -> None:
+        """Ids of words, from those of their units, which are learned once and many in a call: each ends in a token
+        that ends a word, so units can be counted."""
+        made = [(w, self.parts(w)) for w in words]
+        units = list({x for _, parts in made for x in parts}.difference(self.ids))
+        for k in range(0, len(units), 500):
+            part = units[k:k + 500]
+            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, "<u4")
             last = np.flatnonzero(self.ends[np.minimum(ids, len(self.ends) - 1)]) + 1
-            upto = np.cumsum([units for _, units in part])
-            if len(last) != upto[-1]:
-                self.ids.update((w, self.encoded(w)) for w, _ in part)
+            if len(last) != len(part):
+                self.ids.update((x, self.encoded(x)) for x in part)
                 continue
             data, at = ids.tobytes(), 0
-            for (w, _), end in zip(part, (4 * last[upto - 1]).tolist()):
-                self.ids[w], at = data[at:end], end
-
-    def of(self, text: str | None) -> bytes:
-        words = (text or "").replace("\n", " ").replace("\t", " ").split(" ")
-        if missing := set(words).difference(self.ids):
+            for x, end in zip(part, (4 * last).tolist()):
+                self.ids[x], at = data[at:end], end
+        for w, parts in made:
+            self.ids[w] = b"".join([self.ids[x] for x in parts]) if parts else self.encoded(w)
+
+    def of_all(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts in a row, each text's followed by the separator, and where each text's end."""
+        spaced = pc.fill_null(texts.cast(pa.large_string()), "")
+        for blank in "\n\t":
+            spaced = pc.replace_substring(spaced, blank, " ")
+        split = pc.split_pattern(spaced, " ")
+        coded = split.flatten().dictionary_encode()
+        distinct = coded.dictionary.to_pylist()
+        if missing := [w for w in distinct if w not in self.ids]:
             if len(self.ids) > self.most:
                 self.ids.clear()
-                missing = set(words)
+                missing = distinct
             self.learn(missing)
-        return b"".join(map(self.ids.__getitem__, words)) + SEPARATOR
+        own = [*map(self.ids.__getitem__, distinct), SEPARATOR]
+        sizes = np.fromiter(map(len, own), np.int64, len(own)) // 4
+        starts = np.cumsum(sizes) - sizes
+        upto = np.cumsum(pc.list_value_length(split).to_numpy())
+        codes = np.insert(coded.indices.to_numpy(), upto, len(distinct))
+        size = sizes[codes]
+        ends = np.cumsum(size)
+        total = int(ends[-1]) if len(ends) else 0
+        small = np.int32 if max(total, int(sizes.sum())) < 1 << 31 else np.int64
+        at = np.repeat((starts[codes] - ends + size).astype(small), size)
+        at += np.arange(total, dtype=small)
+        return np.frombuffer(b"".join(own), "<u4")[at], ends[upto + np.arange(len(upto))]
+
+    def of(self, text: str | None) -> bytes:
+        return self.of_all(pa.array([text], pa.string()))[0].tobytes()
+
+
+def lots(texts: pa.Array) -> Iterator[tuple[int, int]]:
+    """Stretches (first, behind the last) of texts of about LOT bytes together."""
+    lot = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)) // LOT
+    cuts = [0, *(np.flatnonzero(np.diff(lot)) + 1).tolist(), len(texts)]
+    return ((a, b) for a, b in zip(cuts, cuts[1:]) if a < b)
 
 
 def pieces(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACITY, with_ids: bool = False) -> DataFrame:
@@ -90,10 +122,12 @@ def pieces(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACI
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[dict]:
         words = per_worker(f"word ids {path}", lambda: WordIds(path))
-        for batch in batches:
-            rows = []
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                ids = words.of(text)
+        for first, last, batch in ((a, b, batch) for batch in batches for a, b in lots(batch.column(1))):
+            rows, begin = [], 0
+            every, ends = words.of_all(batch.column(1)[first:last])
+            data = memoryview(every).cast("B")
+            for doc_id, end in zip(batch.column(0)[first:last].to_pylist(), (4 * ends).tolist()):
+                ids, begin = data[begin:end], end
                 for k, at in enumerate(range(0, len(ids), 4 * capacity)):
                     own = ids[at:at + 4 * capacity]
                     rows.append((doc_id, k, at // 4, len(own) // 4, zlib.crc32(own), own))

@@ -134,3 +134,25 @@ def test_pack_odd_rows(docs_of, tokenizer, monkeypatch):
     with_ids = P.pack(docs_of((1, "hello there")), with_ids=True).first()
     assert with_ids.ids == want(tokenizer, "hello there")
     assert P.pack(docs_of()).count() == 0
+
+
+def test_words_of_texts_are_looked_up_once(tokenizer, monkeypatch):
+    """Texts of a batch are encoded together, and a word's units once, however they are written and in whatever texts they stand."""
+    words, sent = P.WordIds(PATH), []
+    own = words.tokenizer
+
+    class Counted:
+        def encode_batch_fast(self, texts, **more):
+            sent.extend(x for text in texts for x in text.split(" "))
+            return own.encode_batch_fast(texts, **more)
+
+        def __getattr__(self, name):
+            return getattr(own, name)
+
+    words.tokenizer = Counted()
+    texts = ["Zorble (zorble), ZORBLE!", None, "", "zorble. x\ty\nzorble"]
+    ids, ends = words.of_all(P.pa.array(texts))
+    assert [x.tolist() for x in np.split(ids, ends)[:-1]] == [want(tokenizer, t) for t in texts]
+    assert sent.count("zorble") == 1 and not any("zorble" in x.lower() for x in sent if x != "zorble")
+    monkeypatch.setattr(P, "LOT", 5)
+    assert [x for a, b in P.lots(P.pa.array(texts)) for x in range(a, b)] == [0, 1, 2, 3] and list(P.lots(P.pa.array([], P.pa.string()))) == []
