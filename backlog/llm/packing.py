@@ -88,8 +88,9 @@ class WordIds:
         distinct = coded.dictionary.to_pylist()
         if missing := [w for w in distinct if w not in self.ids]:
             if len(self.ids) > self.most:
+                kept = {w: self.ids[w] for w in distinct if w in self.ids}  # what texts go on using
                 self.ids.clear()
-                missing = distinct
+                self.ids.update(kept)
             self.learn(missing)
         own = [*map(self.ids.__getitem__, distinct), SEPARATOR]
         sizes = np.fromiter(map(len, own), np.int64, len(own)) // 4
