@@ -28,7 +28,9 @@ CAPACITY = 2048
 PUNCTUATION = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum())
 SEPARATOR = (0).to_bytes(4, "little")
 #: Bytes of text whose words are looked up together.
-LOT = 16 << 20
+LOT = 8 << 20
+#: Words that a worker keeps the ids of, some 400 bytes each. The worker and they stay on while it runs other tasks.
+MOST_WORDS = 900_000
 #: Pieces of a length that one task numbers, about.
 RANKED_TOGETHER = 20_000
 
@@ -40,7 +42,7 @@ class WordIds:
     of its words in a row. To it, letters are one unit, and so is the ASCII punctuation before or after them.
     """
 
-    def __init__(self, path: str, most: int = 900_000):
+    def __init__(self, path: str, most: int = MOST_WORDS):
         self.ids: dict[str, bytes] = {}
         self.tokenizer, self.most = Tokenizer.from_file(path), most
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)

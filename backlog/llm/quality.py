@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from backlog.llm.common import add_columns, arrow_map, staged
+from backlog.llm.common import add_columns, arrow_map, parts, staged
 
 SYMBOLS = "#*$%&|<>"
 BLANKS = " \t\n\x0b\x0c\r"
@@ -27,7 +27,7 @@ RESULT = {
     "word_distance": T.DoubleType(), "kept": T.BooleanType(),
 }
 #: Counters are sent on when they hold this many words, so a task's memory doesn't grow with its input.
-FLUSH_WORDS = 200_000
+FLUSH_WORDS = 100_000
 
 
 @dataclass(frozen=True)
@@ -144,7 +144,7 @@ def word_divergence(words: list[bytes], common: dict[bytes, float]) -> float:
     return divergence(p, q, rest)
 
 
-def references(docs: DataFrame, rules: Rules = Rules()) -> dict[str | None, Reference]:
+def references(docs: DataFrame, rules: Rules = Rules(), text: str = "text", lang: str = "lang") -> dict[str | None, Reference]:
     """Histograms per language over all documents of at least min_words; None is the whole corpus.
 
     Tasks count, a shuffle adds up; what comes back is 1 / common_share words at most for each language.
@@ -157,12 +157,19 @@ def references(docs: DataFrame, rules: Rules = Rules()) -> dict[str | None, Refe
         held = 0
 
         def out():
-            rows = [(lang, w.decode("utf-8", "surrogatepass"), n) for lang, c in words.items() for w, n in c.items()]
-            rows += [(lang, f" {k}", int(n)) for lang, h in chars.items() for k, n in enumerate(h)]
-            rows += [(lang, " docs", n) for lang, n in docs_of.items()]
-            return dict(zip(("lang", "item", "n"), map(list, zip(*rows)))) if rows else None
-
-        for batch in batches:
+            langs, items, ns = [], [], []
+            for lang, c in words.items():
+                langs += [lang] * len(c)
+                items += [w.decode("utf-8", "surrogatepass") for w in c]
+                ns += c.values()
+            rows = [(lang, f" {k}", int(n)) for lang, h in chars.items() for k, n in enumerate(h)]
+            for lang, item, n in [*rows, *[(lang, " docs", n) for lang, n in docs_of.items()]]:
+                langs.append(lang)
+                items.append(item)
+                ns.append(n)
+            return {"lang": langs, "item": items, "n": ns} if langs else None
+
+        for batch in parts(batches):
             for text, lang in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 lang = lang or ""
                 docs_of[lang] += 1
@@ -180,7 +187,7 @@ def references(docs: DataFrame, rules: Rules = Rules()) -> dict[str | None, Refe
         if last := out():
             yield last
 
-    counted = arrow_map(docs.select("text", F.col("lang").cast("string")), count, "lang string, item string, n long")
+    counted = arrow_map(docs.select(text, F.col(lang).cast("string")), count, "lang string, item string, n long")
     items = staged(counted.groupBy("lang", "item").agg(F.sum("n").alias("n")), "quality-counts")
     everywhere = items.groupBy("item").agg(F.sum("n").alias("n")).select(F.lit(None).cast("string").alias("lang"), "item", "n")
     items = items.unionByName(everywhere)
@@ -206,13 +213,15 @@ def references(docs: DataFrame, rules: Rules = Rules()) -> dict[str | None, Refe
     return out
 
 
-def judge(docs: DataFrame, rules: Rules = Rules(), refs: dict[str | None, Reference] | None = None) -> DataFrame:
-    """The documents with the base counts, base_failed, the two distances and `kept`.
+def judge(
+    docs: DataFrame, rules: Rules = Rules(), refs: dict[str | None, Reference] | None = None, text: str = "text", lang: str = "lang",
+) -> DataFrame:
+    """The documents with the base counts, base_failed, the two distances and `kept`; `text` and `lang` name what is judged.
 
     A distance is null where the text is shorter than its guard or its language has no reference, or one of
     too few words; a null distance rejects nothing.
     """
-    refs = references(docs, rules) if refs is None else refs
+    refs = references(docs, rules, text, lang) if refs is None else refs
 
     def per_batch(texts: list, langs: list) -> dict:
         rows = []
@@ -231,4 +240,4 @@ def judge(docs: DataFrame, rules: Rules = Rules(), refs: dict[str | None, Refere
             rows.append((*base, by_char, by_word, not base[-1] and not odd))
         return dict(zip(RESULT, map(list, zip(*rows))))
 
-    return add_columns(docs, ["text", "lang"], per_batch, RESULT)
+    return add_columns(docs, [text, lang], per_batch, RESULT)
